@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions import lexicon as lx
+from tagloom.functions.bind import evaluate_once, let
 from tagloom.functions.text import blank_to_null, contains_any, strip
 
 # --- fixed values: class-name pairs of the article container, in order of preference
@@ -43,14 +44,17 @@ def _container_pattern(first: str, second: str) -> str:
 
 def article_container(html: Column) -> Column:
     """Content of the first article container that matches, else the whole page."""
-    found = F.coalesce(
-        *[
-            blank_to_null(F.regexp_extract(html, _container_pattern(*classes), 2))
-            for classes in CONTAINER_CLASSES
-        ]
-    )
-    inner = F.regexp_replace(found, "</[^<>]*>$", "")
-    return F.when(html.rlike("(?i)viewer"), F.coalesce(inner, html)).otherwise(html)
+    def chosen(page: Column) -> Column:
+        found = F.coalesce(
+            *[
+                blank_to_null(F.regexp_extract(page, _container_pattern(*classes), 2))
+                for classes in CONTAINER_CLASSES
+            ]
+        )
+        inner = F.regexp_replace(found, "</[^<>]*>$", "")
+        return F.when(page.rlike("(?i)viewer"), F.coalesce(inner, page)).otherwise(page)
+
+    return let(html, chosen)
 
 
 def without_scripts(html: Column) -> Column:
@@ -73,21 +77,31 @@ def tags_to_lines(html: Column) -> Column:
     return F.regexp_replace(html, "<[^>]+>", "\n")
 
 
-def decode_entities(text: Column) -> Column:
-    """Decode entities; only texts with an ampersand travel to Python."""
-    return F.coalesce(entity_decoder()(F.when(text.contains("&"), text)), text)
+def needs_decoding(text: Column) -> Column:
+    """The text where it has an ampersand, else NULL: only these travel to Python."""
+    return F.when(text.contains("&"), text)
+
 
+def squeezed(text: Column) -> Column:
+    """Newline runs, then blank runs, become one; both ends are stripped; blank is NULL."""
+    lines = F.regexp_replace(F.regexp_replace(text, "\n+", "\n"), "[ \t]+", " ")
+    return blank_to_null(strip(lines))
 
-def accepted_text(text: Column) -> Column:
-    """Squeeze blank runs, strip, and reject empty, link-heavy or page-chrome text."""
-    squeezed = F.regexp_replace(F.regexp_replace(text, "\n+", "\n"), "[ \t]+", " ")
-    cleaned = blank_to_null(strip(squeezed))
-    slashes = F.length(cleaned) - F.length(F.replace(cleaned, F.lit("/"), F.lit("")))
-    rejected = (slashes > lx.MAX_SLASHES) | contains_any(cleaned, lx.PAGE_CHROME)
-    return F.when(~rejected, cleaned)
 
+def is_readable(text: Column) -> Column:
+    """Neither a list of links nor page chrome."""
+    slashes = F.length(text) - F.length(F.replace(text, F.lit("/"), F.lit("")))
+    return (slashes <= lx.MAX_SLASHES) & ~contains_any(text, lx.PAGE_CHROME)
 
-def article_text(html: Column) -> Column:
-    """Readable text of a page's article, NULL when there is none worth reading."""
-    body = tags_to_lines(without_notices(without_scripts(article_container(blank_to_null(html)))))
-    return accepted_text(decode_entities(body))
+
+def with_article_text(df: DataFrame, html: str = "html", out: str = "article_text") -> DataFrame:
+    """Add the readable text of a page's article, NULL when there is none.
+
+    ``html`` is replaced by ``out``: no later step needs the raw page.
+    """
+    page, text = F.col(html), F.col(out)
+    content = without_scripts(article_container(blank_to_null(page)))
+    lined = evaluate_once(df, out, let(content, lambda c: tags_to_lines(without_notices(c)))).drop(html)
+    decoded = lined.withColumn(out, F.coalesce(entity_decoder()(needs_decoding(text)), text))
+    whole = evaluate_once(decoded, out, squeezed(text))
+    return whole.withColumn(out, F.when(is_readable(text), text))

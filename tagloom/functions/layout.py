@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tagloom.functions.bind import let
 from tagloom.functions.refs import RANGE, REF, cell_ref, column_letters, ref_column, ref_row
 
 # --- fixed values ---------------------------------------------------------
@@ -26,8 +27,11 @@ def page_count(max_column: Column) -> Column:
 
 def shift_column(column: Column) -> Column:
     """Where a content column lands once the pad columns are in."""
-    moved = column + F.floor((column - FIRST_COLUMN) / F.lit(CONTENT_WIDTH))
-    return F.when(column < FIRST_COLUMN, column).otherwise(moved).cast("int")
+    def moved(c: Column) -> Column:
+        passed = F.call_function("div", c - FIRST_COLUMN, F.lit(CONTENT_WIDTH))
+        return F.when(c < FIRST_COLUMN, c).otherwise(c + passed).cast("int")
+
+    return let(column, moved)
 
 
 def pad_column(page: Column) -> Column:
@@ -57,11 +61,11 @@ def print_area(sheet_name: Column, max_column: Column) -> Column:
 
 
 def shift_ref(ref: Column) -> Column:
-    return cell_ref(ref_row(ref), shift_column(ref_column(ref)))
+    return let(ref, lambda r: cell_ref(ref_row(r), shift_column(ref_column(r))))
 
 
 def _shift_range(text: Column) -> Column:
-    """A range with both corners moved; swapped corners are put in order first."""
+    """A range with both corners moved."""
     left, right = F.split_part(text, F.lit(":"), F.lit(1)), F.split_part(text, F.lit(":"), F.lit(2))
     return F.concat_ws(":", shift_ref(left), shift_ref(right))
 

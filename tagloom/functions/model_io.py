@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagloom.functions import lexicon as lx
+from tagloom.functions.bind import let
 from tagloom.functions.prompts import BODY_PROMPT, TITLE_PROMPT
 from tagloom.functions.rules import normalise_label
 
@@ -46,8 +47,10 @@ def response_label(response: Column) -> Column:
     A response without ``choices[0].message.content`` counts as a general
     remark.  A JSON null there is an empty answer, hence a simple reaction.
     """
-    content = F.try_variant_get(
-        F.try_parse_json(response), "$.choices[0].message.content", "variant"
-    )
-    text = F.when(~F.is_variant_null(content), F.try_variant_get(content, "$", "string"))
-    return F.when(content.isNull(), F.lit(lx.GENERAL)).otherwise(normalise_label(text))
+
+    def label(content: Column) -> Column:
+        text = F.when(~F.is_variant_null(content), F.try_variant_get(content, "$", "string"))
+        return F.when(content.isNull(), F.lit(lx.GENERAL)).otherwise(normalise_label(text))
+
+    parsed = F.try_parse_json(response)
+    return let(F.try_variant_get(parsed, "$.choices[0].message.content", "variant"), label)
