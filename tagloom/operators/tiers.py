@@ -86,6 +86,33 @@ def articles_of(links: DataFrame, pages: DataFrame) -> DataFrame:
     return with_article_text(wanted).filter(F.col("article_text").isNotNull())
 
 
+def article_sources(targets: DataFrame, pages: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """Each target with the page behind its link, NULL when there is none."""
+    links = targets.filter(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("n"))
+    wanted = pages.withColumnRenamed("url", "link").join(links.select("link"), "link", "left_semi")
+    return spread_lookup(
+        targets, wanted, "link", [F.col("workbook"), F.col("row_num")],
+        heavy_keys(links, "link", heavy_rows=heavy_rows),
+    )
+
+
+def article_categories(
+    targets: DataFrame,
+    pages: DataFrame,
+    scorers: Scorers,
+    heavy_rows: int = HEAVY_ROWS,
+    stage: Stage = cut_lineage,
+) -> DataFrame:
+    """Category of each target from the page behind its link: ``(workbook, row_num, article)``."""
+    links = targets.filter(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("n"))
+    labels = body_labels(articles_of(links, pages), scorers, heavy_rows=heavy_rows, stage=stage)
+    found = spread_lookup(
+        targets, labels, "link", [F.col("workbook"), F.col("row_num")],
+        heavy_keys(links, "link", heavy_rows=heavy_rows),
+    )
+    return found.select("workbook", "row_num", "article")
+
+
 def body_labels(
     articles: DataFrame,
     scorers: Scorers,

@@ -43,15 +43,12 @@ def qa_output(folder: Column, name: Column, artifact: Column, strict: bool = Fal
     return _checked(is_safe_segment(artifact), path, strict, "artifact_name")
 
 
-def write_table(df: DataFrame, path: str, file_format: str = "parquet", by: str | None = "workbook_bucket",
-                buckets: int = 64) -> None:
+def write_table(
+    df: DataFrame, path: str, file_format: str = "parquet", partition_by: tuple[str, ...] = ()
+) -> None:
     """Write a result table, refusing to replace one.
 
-    Rows are partitioned by a hash bucket of the workbook: one folder per
-    workbook would mean millions of small files.  ``by=None`` writes it flat.
+    Partition only by columns of few values: a folder per workbook would mean
+    millions of small files.
     """
-    if by is None:
-        df.write.mode("errorifexists").format(file_format).save(path)
-        return
-    bucketed = df.withColumn(by, F.pmod(F.xxhash64("workbook"), F.lit(buckets)).cast("int"))
-    bucketed.write.mode("errorifexists").partitionBy(by).format(file_format).save(path)
+    df.write.mode("errorifexists").partitionBy(*partition_by).format(file_format).save(path)
