@@ -76,21 +76,20 @@ FROM {keyed} k JOIN {pages} p ON p.page_id = k.card_key
 """
 
 CELLS = """
-SELECT workbook, 0 AS sheet_idx, '2026 list' AS sheet_name, row_num, 7 AS col_num, marker AS value,
-       CAST(NULL AS STRING) AS hyperlink, false AS has_formula FROM {post_list}
+SELECT p.workbook, 0 AS sheet_idx, '2026 list' AS sheet_name, p.row_num, c.col_num,
+       CASE WHEN c.col_num = 7 THEN p.marker WHEN c.col_num = 10 THEN p.title
+            WHEN p.doc_id % 2 = 0 THEN '원문' ELSE p.link END AS value,
+       CASE WHEN c.col_num = 11 AND p.doc_id % 2 = 0 THEN coalesce(p.link, 'https://example.com/none') END AS hyperlink,
+       false AS has_formula
+FROM (SELECT *, 1 AS one FROM {post_list}) p
+JOIN (SELECT * FROM (VALUES (1, 7), (1, 10), (1, 11)) AS v(one, col_num)) c ON p.one = c.one
 UNION ALL
-SELECT workbook, 0, '2026 list', row_num, 10, title, CAST(NULL AS STRING), false FROM {post_list}
-UNION ALL
-SELECT workbook, 0, '2026 list', row_num, 11, CASE WHEN doc_id % 2 = 0 THEN '원문' ELSE link END,
-       CASE WHEN doc_id % 2 = 0 THEN coalesce(link, 'https://example.com/none') END, false FROM {post_list}
-UNION ALL
-SELECT workbook, sheet_idx, sheet_name, 2, card_start, anchor, CAST(NULL AS STRING), false FROM {cards}
-UNION ALL
-SELECT workbook, sheet_idx, sheet_name, 4, card_start + 4, link, CAST(NULL AS STRING), false FROM {cards}
-UNION ALL
-SELECT workbook, sheet_idx, sheet_name, 5, card_start, header, CAST(NULL AS STRING), false FROM {cards}
-UNION ALL
-SELECT workbook, sheet_idx, sheet_name, 5, card_start + 1, category, CAST(NULL AS STRING), has_formula FROM {cards}
+SELECT k.workbook, k.sheet_idx, k.sheet_name, c.row_num, CAST(k.card_start + c.step AS INT),
+       CASE WHEN c.row_num = 2 THEN k.anchor WHEN c.row_num = 4 THEN k.link
+            WHEN c.step = 0 THEN k.header ELSE k.category END,
+       CAST(NULL AS STRING), k.has_formula AND c.row_num = 5 AND c.step = 1
+FROM (SELECT *, 1 AS one FROM {cards}) k
+JOIN (SELECT * FROM (VALUES (1, 2, 0), (1, 4, 4), (1, 5, 0), (1, 5, 1)) AS v(one, row_num, step)) c ON k.one = c.one
 """
 
 SHEETS = """
@@ -112,9 +111,9 @@ FROM (SELECT workbook, family, CASE WHEN wb % 8 = 7 THEN workbook ELSE family EN
 
 WRITES = """
 SELECT workbook, CAST(doc_id AS INT) AS seq,
-       CASE WHEN doc_id % 97 = 5 THEN 'other' WHEN doc_id % 4 = 1 THEN concat('S', CAST(slot % 8 AS STRING))
-            ELSE '2026 list' END AS sheet_name,
-       CASE WHEN doc_id % 97 <> 5 AND doc_id % 4 = 1
+       CASE WHEN wb % 3 = 1 THEN '2026 list' WHEN doc_id % 97 = 5 THEN 'other'
+            WHEN doc_id % 4 = 1 THEN concat('S', CAST(slot % 8 AS STRING)) ELSE '2026 list' END AS sheet_name,
+       CASE WHEN wb % 3 <> 1 AND doc_id % 97 <> 5 AND doc_id % 4 = 1
             THEN concat(CASE WHEN slot < 8 THEN 'C' WHEN slot < 16 THEN 'I' WHEN slot < 24 THEN 'O'
                              WHEN slot < 32 THEN 'U' ELSE 'AA' END, '5')
             ELSE concat('G', CAST(CASE WHEN wb % 3 = 0 THEN row_num ELSE 5 + slot END AS STRING)) END AS cell_ref
@@ -254,7 +253,7 @@ SELECT workbook, CAST(CAST(substr(workbook, 3) AS BIGINT) % 9 AS INT) AS active_
 RANGES = """
 SELECT workbook, sheet_name,
        concat(chr(63 + CAST(card_start AS INT)), CAST(2 + sheet_idx AS STRING), ':',
-              CASE WHEN sheet_idx = 3 THEN 'A' ELSE chr(64 + CAST(card_start - card_start % 3 AS INT)) END,
+              CASE WHEN sheet_idx = 3 THEN 'A' ELSE chr(65 + CAST(card_start - card_start % 3 AS INT) % 26) END,
               CAST(5 + sheet_idx % 4 AS STRING)) AS cell_range
 FROM {cards}
 UNION ALL
