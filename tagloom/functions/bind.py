@@ -29,3 +29,8 @@ def evaluate_once(df: DataFrame, name: str, value: Column) -> DataFrame:
         *[F.col(f"`{c}`") for c in df.columns if c != name],
         F.explode(F.array(value)).alias(name),
     )
+
+
+def literal_list(values: list[str] | tuple[str, ...]) -> Column:
+    """An array literal of strings without line breaks, in one expression instead of one per value."""
+    return F.split(F.lit("\n".join(values)), "\n")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Sequence
@@ -10,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagloom.functions import lexicon as lx
-from tagloom.functions.bind import let
+from tagloom.functions.bind import let, literal_list
 from tagloom.functions.lexicon import AnyOf, Condition, Matches, Rule, StartsWith
 from tagloom.functions.text import clean_title, contains_any, distinct_needles, strip
 
@@ -72,17 +73,13 @@ def _first_plain_rule(text: Column, entries: Sequence[tuple[str, int]]) -> Colum
     and only the tokens they announce are tried.
     """
     groups = _pivots(entries)
-    by_pivot = F.create_map(
-        *[
-            part
-            for pivot, tokens in groups.items()
-            for part in (
-                F.lit(pivot),
-                F.array(*[F.struct(F.lit(t).alias("token"), F.lit(n).alias("rule")) for t, n in tokens]),
-            )
-        ]
-    )
-    announced = F.array_intersect(F.split(text, ""), F.array(*[F.lit(p) for p in groups]))
+    table = {
+        pivot: [{"token": token, "rule": number} for token, number in tokens]
+        for pivot, tokens in groups.items()
+    }
+    # A literal of that many values is built fastest by parsing one string.
+    by_pivot = F.from_json(F.lit(json.dumps(table)), "map<string,array<struct<token:string,rule:int>>>")
+    announced = F.array_intersect(F.split(text, ""), literal_list(list(groups)))
     candidates = F.flatten(F.transform(announced, lambda c: F.element_at(by_pivot, c)))
     hits = F.filter(candidates, lambda c: F.contains(text, c["token"]))
     return F.array_min(F.transform(hits, lambda c: c["rule"]))
@@ -106,7 +103,7 @@ def first_rule(text: Column, rules: Sequence[Rule]) -> Column:
     if not found:
         return F.lit(None).cast("string")
     number = F.least(*found) if len(found) > 1 else found[0]
-    return F.get(F.array(*[F.lit(rule.label) for rule in rules]), number)
+    return F.get(literal_list([rule.label for rule in rules]), number)
 
 
 def _without_hangul(condition: Condition) -> Condition | None:
@@ -160,7 +157,7 @@ def first_label_in(text: Column, labels: Sequence[str] = lx.CATEGORIES) -> Colum
     """The domain label that occurs first in the text, NULL when there is none."""
     places = F.filter(
         F.transform(
-            F.array(*[F.lit(label) for label in labels]),
+            literal_list(labels),
             lambda label: F.struct(F.instr(text, label).alias("at"), label.alias("label")),
         ),
         lambda place: place["at"] > 0,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.functions.bind import let
+from tagloom.functions.bind import let, literal_list
 from tagloom.functions.lexicon import FINAL_PREFIXES
 
 # What str.strip() and str.split() treat as white space.
@@ -51,7 +51,7 @@ def contains_any(text: Column, tokens: tuple[str, ...]) -> Column:
         for needle in needles[1:]:
             hit = hit | text.contains(needle)
         return hit
-    return F.exists(F.array(*[F.lit(t) for t in needles]), lambda t: F.contains(text, t))
+    return F.exists(literal_list(needles), lambda t: F.contains(text, t))
 
 
 def final_label(value: Column) -> Column:

@@ -15,20 +15,22 @@ NULL_PARTS = 1 << 20
 
 def heavy_keys(
     counts: DataFrame, key: str, rows: str = "n", heavy_rows: int = HEAVY_ROWS
-) -> DataFrame:
+) -> DataFrame | None:
     """Keys with so many rows that they must be split, and into how many parts.
 
-    ``counts`` has one row per key.  A key is heavy when it holds more than
-    ``heavy_rows`` rows and more than 1/MAX_HEAVY of all rows, so the result
-    never has more than MAX_HEAVY rows and is safe to broadcast.
+    ``counts`` has one row per key.  Two numbers come to the driver: the total
+    and the largest count.  When no key is heavy the result is None and lookups
+    stay plain joins.  Otherwise a key is heavy when it holds more than
+    ``heavy_rows`` rows and more than 1/MAX_HEAVY of all rows, so there are
+    never more than MAX_HEAVY of them and they are safe to broadcast.
     """
-    total = counts.agg(F.sum(rows)).scalar()
-    limit = F.greatest(F.lit(heavy_rows).cast("bigint"), F.call_function("div", total, F.lit(MAX_HEAVY)))
-    return (
-        counts.filter(F.col(key).isNotNull())
-        .select(key, F.col(rows).alias("_rows"), limit.alias("_limit"))
-        .filter(F.col("_rows") > F.col("_limit"))
-        .select(key, F.ceil(F.col("_rows") / F.col("_limit")).cast("int").alias("_parts"))
+    keyed = counts.filter(F.col(key).isNotNull())
+    total, largest = keyed.agg(F.sum(rows), F.max(rows)).first()
+    if total is None or largest <= heavy_rows:
+        return None
+    limit = max(heavy_rows, total // MAX_HEAVY)
+    return keyed.filter(F.col(rows) > limit).select(
+        key, F.ceil(F.col(rows) / F.lit(limit)).cast("int").alias("_parts")
     )
 
 
@@ -37,7 +39,7 @@ def spread_lookup(
     right: DataFrame,
     key: str,
     spread_by: list[Column],
-    heavy: DataFrame,
+    heavy: DataFrame | None,
 ) -> DataFrame:
     """``left`` left-joined to ``right`` (one row per key) without a hot task.
 
@@ -45,18 +47,19 @@ def spread_lookup(
     is repeated once per part; rows with a NULL key are dealt out as well.
     ``spread_by`` should tell the left rows of one key apart.
     """
-    few = F.broadcast(heavy)
     deal = F.xxhash64(*spread_by)
-    part = (
-        F.when(F.col(key).isNull(), F.pmod(deal, F.lit(NULL_PARTS)))
-        .when(F.col("_parts").isNotNull(), F.pmod(deal, F.col("_parts")))
-        .otherwise(F.lit(0))
-        .cast("int")
-    )
-    dealt = left.join(few, key, "left").withColumn("_part", part).drop("_parts")
-    repeated = (
-        right.join(few, key, "left")
-        .withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)))
-        .drop("_parts")
-    )
+    unkeyed = F.pmod(deal, F.lit(NULL_PARTS)).cast("int")
+    if heavy is None:
+        dealt = left.withColumn("_part", F.when(F.col(key).isNull(), unkeyed).otherwise(0))
+        repeated = right.withColumn("_part", F.lit(0))
+    else:
+        few = F.broadcast(heavy)
+        parts = F.coalesce("_parts", F.lit(1))
+        part = F.when(F.col(key).isNull(), unkeyed).otherwise(F.pmod(deal, parts).cast("int"))
+        dealt = left.join(few, key, "left").withColumn("_part", part).drop("_parts")
+        repeated = (
+            right.join(few, key, "left")
+            .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
+            .drop("_parts")
+        )
     return dealt.join(repeated, [key, "_part"], "left").drop("_part")

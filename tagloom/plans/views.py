@@ -276,12 +276,19 @@ def _needs(sql: str) -> list[str]:
     return sorted({n for n in re.findall(r"(?<!\{)\{([a-z_]+)\}(?!\})", sql)})
 
 
+_BUILT: dict[tuple[str, int, str, str], DataFrame] = {}
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or a derived view, as a DataFrame."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    sql = re.sub(r"sha256\((\w+)\)", r"sha2(\1, 256)", VIEWS[name])
-    return spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _needs(sql)})
+    """A given table, or a derived view, as a DataFrame (its plan is analysed once per session)."""
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
+    if key not in _BUILT:
+        if name in TABLES:
+            _BUILT[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        else:
+            sql = re.sub(r"sha256\((\w+)\)", r"sha2(\1, 256)", VIEWS[name])
+            _BUILT[key] = spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _needs(sql)})
+    return _BUILT[key]
 
 
 def with_clause(names: list[str]) -> str:
