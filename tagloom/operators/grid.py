@@ -203,19 +203,31 @@ def last_writes(updates: DataFrame, keys: list[str] = CELL_KEY) -> DataFrame:
     )
 
 
-def upsert(cells: DataFrame, winners: DataFrame) -> DataFrame:
+def writable_places(rules: CardRules = CardRules()) -> Column:
+    """Condition that every cell a label can be written to fulfils."""
+    own = (F.col("sheet_name") == lx.TARGET_SHEET) & (F.col("col_num") == lx.TARGET_COLUMN)
+    return own | (F.col("row_num") == rules.write_row)
+
+
+def upsert(cells: DataFrame, winners: DataFrame, places: Column | None = None) -> DataFrame:
     """Write one value per cell into the grid.
 
-    Absent cells are created, formula cells keep what they hold, all others stay.
+    Absent cells are created, formula cells keep what they hold, all others
+    stay.  ``places`` is a condition all winners fulfil: cells outside it pass
+    by without a shuffle, which leaves little of a wide grid to join.
     """
     new = winners.select(*CELL_KEY, F.col("value").alias("new_value"))
     formula = F.coalesce("has_formula", F.lit(False))
-    return (
-        cells.join(new, CELL_KEY, "full_outer")
+    written = (
+        (cells if places is None else cells.filter(places)).join(new, CELL_KEY, "full_outer")
         .withColumn("value", F.when(formula, F.col("value")).otherwise(F.coalesce("new_value", "value")))
         .withColumn("has_formula", formula)
         .drop("new_value")
     )
+    if places is None:
+        return written
+    aside = cells.filter(~F.coalesce(places, F.lit(False))).withColumn("has_formula", formula)
+    return written.unionByName(aside)
 
 
 def updates_by_sheet(winners: DataFrame) -> DataFrame:

@@ -324,6 +324,12 @@ def k15_batch_summary(spark, sf):
     return batch.summary
 
 
+@query
+def k15_batch_grid(spark, sf):
+    batch = jobs.classify_grids(view(spark, sf, "cells"), _page_table(spark, sf), _scorers(spark, sf))
+    return batch.cells.select(*grid.CELL_KEY, "value", "has_formula")
+
+
 # --- joins ---------------------------------------------------------------------------------------
 
 
@@ -350,7 +356,8 @@ def j3_fan_out(spark, sf):
 def j4_upsert(spark, sf):
     cells = view(spark, sf, "cells")
     winners = grid.winning_updates(_results(spark, sf), _cards(spark, sf))
-    return grid.upsert(cells, winners).select(*grid.CELL_KEY, "value", "has_formula")
+    written = grid.upsert(cells, winners, grid.writable_places())
+    return written.select(*grid.CELL_KEY, "value", "has_formula")
 
 
 @query

@@ -122,14 +122,20 @@ INDEX = f"""card_index AS (SELECT workbook, link, sheet_idx, sheet_name, 5 AS ro
   FROM cards WHERE {GOOD_CARDS} AND NOT starts_with(category, '긍정_') AND NOT starts_with(category, '부정_'))"""
 ALL_CARDS = f"""all_cards AS (SELECT workbook, sheet_idx, sheet_name, card_start + 1 AS col_num,
   concat({letters('(card_start + 1)')}, '5') AS cell_ref FROM cards WHERE {GOOD_CARDS})"""
-UPDATES = f"""{RESULTS}, {INDEX}, updates AS (
+FANNED = f"""{INDEX}, updates AS (
   SELECT workbook, '2026 list' AS sheet_name, row_num, 7 AS col_num, category AS value, row_num AS target_row, 0 AS branch FROM results
   UNION ALL
   SELECT r.workbook, c.sheet_name, c.row_num, c.col_num, r.category, r.row_num, 1
   FROM results r JOIN card_index c ON r.workbook = c.workbook AND r.link = c.link)"""
-WINNERS = f"""{UPDATES}, winners AS (SELECT workbook, sheet_name, row_num, col_num, value FROM (
+UPDATES = f"{RESULTS}, {FANNED}"
+LAST = """winners AS (SELECT workbook, sheet_name, row_num, col_num, value FROM (
   SELECT *, row_number() OVER (PARTITION BY workbook, sheet_name, row_num, col_num ORDER BY target_row DESC, branch DESC) AS rn
   FROM updates) WHERE rn = 1)"""
+WINNERS = f"{UPDATES}, {LAST}"
+UPSERT = """SELECT coalesce(c.workbook, w.workbook) AS workbook, coalesce(c.sheet_name, w.sheet_name) AS sheet_name,
+ coalesce(c.row_num, w.row_num) AS row_num, coalesce(c.col_num, w.col_num) AS col_num,
+ CASE WHEN c.has_formula THEN c.value WHEN w.value IS NOT NULL THEN w.value ELSE c.value END AS value, coalesce(c.has_formula, false) AS has_formula
+FROM cells c FULL JOIN winners w ON c.workbook = w.workbook AND c.sheet_name = w.sheet_name AND c.row_num = w.row_num AND c.col_num = w.col_num"""
 MAX_COLS = "max_cols AS (SELECT workbook, sheet_name, greatest(1, max(col_num)) AS max_col FROM cells GROUP BY ALL)"
 SUMMARY = """SELECT b.workbook, c.category, count(r.category) AS n
 FROM (SELECT DISTINCT workbook FROM {t}) b, (SELECT unnest([{labels}]) AS category) c
@@ -263,6 +269,10 @@ rest("k13_tier_resolver", TIERS, resolved("post_list", "link"), "SELECT * FROM r
 rest("k14_title_only", TIERS, resolved("post_list", "''"), "SELECT workbook, row_num, category FROM resolved")
 rest("k15_batch_summary", TIERS, f"{TARGETS}, {resolved('targets', 'link')}", summary("resolved"))
 
+rest("k15_batch_grid", TIERS + ["cards", "cells"], f"""{TARGETS}, {resolved('targets', 'link')},
+results AS (SELECT t.workbook, t.row_num, t.link, r.category FROM targets t JOIN resolved r ON t.workbook = r.workbook AND t.row_num = r.row_num),
+{FANNED}, {LAST}""", UPSERT)
+
 # --- joins -------------------------------------------------------------------------------------------
 
 rest("j1_card_index", ["cards"], INDEX, "SELECT workbook, link, sheet_name, row_num, col_num FROM card_index")
@@ -270,10 +280,7 @@ rest("j2_card_targets", ["cards", "sheets"], ALL_CARDS, """SELECT c.workbook, c.
 FROM all_cards c JOIN sheets s ON c.workbook = s.workbook AND c.sheet_name = s.sheet_name GROUP BY c.workbook, c.sheet_name""")
 GRID = ["post_list", "cards", "cells"]
 rest("j3_fan_out", GRID, UPDATES, "SELECT workbook, sheet_name, row_num, col_num, value, target_row FROM updates")
-rest("j4_upsert", GRID, WINNERS, """SELECT coalesce(c.workbook, w.workbook) AS workbook, coalesce(c.sheet_name, w.sheet_name) AS sheet_name,
- coalesce(c.row_num, w.row_num) AS row_num, coalesce(c.col_num, w.col_num) AS col_num,
- CASE WHEN c.has_formula THEN c.value WHEN w.value IS NOT NULL THEN w.value ELSE c.value END AS value, coalesce(c.has_formula, false) AS has_formula
-FROM cells c FULL JOIN winners w ON c.workbook = w.workbook AND c.sheet_name = w.sheet_name AND c.row_num = w.row_num AND c.col_num = w.col_num""")
+rest("j4_upsert", GRID, WINNERS, UPSERT)
 SURFACE = f"""{ALL_CARDS}, surface AS (SELECT workbook, sheet_name, cell_ref FROM all_cards
  UNION SELECT workbook, '2026 list', concat('G', r) FROM (SELECT DISTINCT workbook FROM cells), (SELECT unnest(range(5, 221)) AS r))"""
 VIOLATIONS = f"""{SURFACE}, written AS (SELECT workbook, sheet_name, cell_ref, min(seq) AS seq FROM writes GROUP BY ALL),

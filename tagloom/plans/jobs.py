@@ -37,7 +37,8 @@ def classify_grids(cells: DataFrame, pages: DataFrame, scorers: tiers.Scorers, *
     results = tiers.resolve_categories(targets, pages, scorers, **options)
     cards = grid.card_cells(cells)
     updates = grid.winning_updates(results, cards)
-    return Batch(results, cards, updates, grid.category_summary(results), grid.upsert(cells, updates))
+    written = grid.upsert(cells, updates, grid.writable_places())
+    return Batch(results, cards, updates, grid.category_summary(results), written)
 
 
 def decide_writers(
