@@ -38,6 +38,12 @@ def joined(values: Column) -> Column:
 # --- inputs shared by several queries ---------------------------------------------
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """Deal a small scan out over all cores; a large one has splits enough and is left alone."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _targets(spark, sf):
     return grid.target_rows(view(spark, sf, "cells"))
 
@@ -52,7 +58,7 @@ def _cards(spark, sf):
 
 def _texts(spark, sf):
     """Every document's whole text behind a Korean phrase: ``(doc_id, text)``."""
-    docs = view(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 30).alias("i"))
+    docs = _spread(view(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 30).alias("i")))
     joined_text = F.concat_ws(" ", "phrase", "text").alias("text")
     return docs.join(view(spark, sf, "phrases"), "i").select("doc_id", joined_text)
 
@@ -233,7 +239,7 @@ def k1_rule_cascade_strict(spark, sf):
 
 @query
 def k1_rules_on_documents(spark, sf):
-    docs = view(spark, sf, "documents").select("doc_id", "text")
+    docs = _spread(view(spark, sf, "documents").select("doc_id", "text"))
     return docs.select("doc_id", rules.classify_strict(F.col("text")).alias("label"))
 
 
@@ -290,12 +296,12 @@ def k9_first_success(spark, sf):
 
 @query
 def k10_article_text(spark, sf):
-    return with_article_text(view(spark, sf, "article_pages").select("page_id", "html"))
+    return with_article_text(_spread(view(spark, sf, "article_pages").select("page_id", "html")))
 
 
 @query
 def k11_body_tier(spark, sf):
-    pages = view(spark, sf, "article_pages").select("page_id", "html")
+    pages = _spread(view(spark, sf, "article_pages").select("page_id", "html"))
     articles = with_article_text(pages).filter("article_text IS NOT NULL")
     return tiers.body_labels(articles, _scorers(spark, sf), key="page_id")
 
