@@ -96,9 +96,10 @@ def normalised(x: str) -> str:
 
 
 def letters(n: str) -> str:
-    """Column letters of a number below 18,279."""
+    """Column letters of a number below 475,255."""
     return (
-        f"concat(CASE WHEN {n} > 702 THEN chr(CAST(65 + ({n} - 703) // 676 AS INT)) ELSE '' END, "
+        f"concat(CASE WHEN {n} > 18278 THEN chr(CAST(65 + ({n} - 18279) // 17576 AS INT)) ELSE '' END, "
+        f"CASE WHEN {n} > 702 THEN chr(CAST(65 + (({n} - 703) // 676) % 26 AS INT)) ELSE '' END, "
         f"CASE WHEN {n} > 26 THEN chr(CAST(65 + (({n} - 27) // 26) % 26 AS INT)) ELSE '' END, "
         f"chr(CAST(65 + ({n} - 1) % 26 AS INT)))"
     )
@@ -220,8 +221,8 @@ no_script AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(
  '(?is)<style\\b[^>]*>.*?</style>', ' ', 'g'), '(?is)<noscript\\b[^>]*>.*?</noscript>', ' ', 'g') AS h FROM inner_html),
 no_notice AS (SELECT page_id, url, replace(regexp_replace(h, '<[^>]+>[^<]*회원간의 거래 분쟁에 대한 공론화 금지[^<]*</[^>]+>', ' ', 'g'),
  '회원간의 거래 분쟁에 대한 공론화 금지', ' ') AS h FROM no_script),
-lined AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]+>', chr(10), 'g'),
- '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS t FROM no_notice),
+lined AS (SELECT page_id, url, regexp_replace(replace(replace(replace(replace(replace(regexp_replace(h, '<[^>]+>', chr(10), 'g'),
+ '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g') AS t FROM no_notice),
 squeezed AS (SELECT page_id, url, nullif({strip("regexp_replace(regexp_replace(t, '\\n+', chr(10), 'g'), '[ \\t]+', ' ', 'g')")}, '') AS t FROM lined),
 articles AS (SELECT page_id, url, CASE WHEN length(t) - length(replace(t, '/', '')) > 80
  OR {has('t', '게시판 목록 바로가기', '본문 바로가기', '웹 접근성이 좋은 모바일 웹', '내소식이 없습니다', '가입한 카페의 활동 알림', '카페홈', '가입카페')}
