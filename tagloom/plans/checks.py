@@ -106,7 +106,7 @@ def letters(n: str) -> str:
 
 
 def shifted(c: str) -> str:
-    return f"(CASE WHEN {c} < 2 THEN {c} ELSE {c} + ({c} - 2) // 6 END)"
+    return f"CAST(CASE WHEN {c} < 2 THEN {c} ELSE {c} + ({c} - 2) // 6 END AS INT)"
 
 
 # --- pieces shared by several checks ---------------------------------------------------
@@ -343,7 +343,7 @@ FROM (SELECT workbook, count(*) AS n FROM targets GROUP BY workbook) t LEFT JOIN
 # --- windows -------------------------------------------------------------------------------------------------
 
 rest("w1_last_write", GRID, WINNERS, "SELECT * FROM winners")
-rest("w2_progress", ["post_list"], f"""{RESULTS}, numbered AS (SELECT *, row_number() OVER (PARTITION BY workbook ORDER BY row_num) AS idx,
+rest("w2_progress", ["post_list"], f"""{RESULTS}, numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY workbook ORDER BY row_num) AS INT) AS idx,
  count(*) OVER (PARTITION BY workbook) AS total FROM results)""",
      "SELECT workbook, row_num, idx, total, concat('[', idx, '/', total, '] row=', row_num, ' (rule) -> ', category) AS line FROM numbered")
 
@@ -354,7 +354,7 @@ def islands(source: str) -> str:
 runs AS (SELECT *, sum(b) OVER (PARTITION BY workbook, sheet_name ORDER BY col_num) AS island FROM breaks)"""
 
 
-ISLANDS = "SELECT workbook, sheet_name, min(col_num) AS start_col, max(col_num) AS end_col, min(attrs) AS attrs FROM runs GROUP BY workbook, sheet_name, island"
+ISLANDS = "SELECT workbook, sheet_name, CAST(min(col_num) AS INT) AS start_col, CAST(max(col_num) AS INT) AS end_col, min(attrs) AS attrs FROM runs GROUP BY workbook, sheet_name, island"
 rest("w3_coalesce_ranges", ["column_ranges"], f"""cols AS (SELECT workbook, sheet_name, col_num, max(attrs) AS attrs
  FROM (SELECT workbook, sheet_name, unnest(range(start_col, end_col + 1)) AS col_num, attrs FROM column_ranges) GROUP BY ALL), {islands('cols')}""", ISLANDS)
 rest("w4_first_violation", ["cards", "cells", "writes"], f"{VIOLATIONS}, {FIRST_VIOLATION}", "SELECT * FROM first_violation")
@@ -417,7 +417,7 @@ FROM tabs t LEFT JOIN (SELECT workbook, sheet_idx FROM sheets WHERE sheet_name =
 rest("l11_page_outlines", ["cells"], f"""{MAX_COLS}, paged AS (SELECT workbook, sheet_name, unnest(range(1, CAST(ceil((max_col - 1) / 6.0) AS INT) + 1)) AS page
  FROM max_cols WHERE max_col >= 2 AND sheet_name NOT IN ('주현황보고', '2026 list')),
 rows_of AS (SELECT *, unnest(range(2, 36)) AS row_num FROM paged), spots AS (SELECT *, unnest(range(0, 6)) AS s FROM rows_of)""",
-     """SELECT workbook, sheet_name, page, row_num, 2 + (page - 1) * 7 + s AS col_num, s = 0 AS left_edge, s = 5 AS right_edge,
+     """SELECT workbook, sheet_name, CAST(page AS INT) AS page, CAST(row_num AS INT) AS row_num, CAST(2 + (page - 1) * 7 + s AS INT) AS col_num, s = 0 AS left_edge, s = 5 AS right_edge,
  row_num = 2 AS top_edge, row_num = 35 AS bottom_edge FROM spots""")
 
 # --- validation ----------------------------------------------------------------------------------------------------------

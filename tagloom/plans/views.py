@@ -76,20 +76,18 @@ FROM {keyed} k JOIN {pages} p ON p.page_id = k.card_key
 """
 
 CELLS = """
-SELECT p.workbook, 0 AS sheet_idx, '2026 list' AS sheet_name, p.row_num, c.col_num,
-       CASE WHEN c.col_num = 7 THEN p.marker WHEN c.col_num = 10 THEN p.title
-            WHEN p.doc_id % 2 = 0 THEN '원문' ELSE p.link END AS value,
-       CASE WHEN c.col_num = 11 AND p.doc_id % 2 = 0 THEN coalesce(p.link, 'https://example.com/none') END AS hyperlink,
+SELECT workbook, 0 AS sheet_idx, '2026 list' AS sheet_name, row_num, col_num,
+       CASE WHEN col_num = 7 THEN marker WHEN col_num = 10 THEN title
+            WHEN doc_id % 2 = 0 THEN '원문' ELSE link END AS value,
+       CASE WHEN col_num = 11 AND doc_id % 2 = 0 THEN coalesce(link, 'https://example.com/none') END AS hyperlink,
        false AS has_formula
-FROM (SELECT *, 1 AS one FROM {post_list}) p
-JOIN (SELECT * FROM (VALUES (1, 7), (1, 10), (1, 11)) AS v(one, col_num)) c ON p.one = c.one
+FROM (SELECT *, unnest([7, 10, 11]) AS col_num FROM {post_list}) p
 UNION ALL
-SELECT k.workbook, k.sheet_idx, k.sheet_name, c.row_num, CAST(k.card_start + c.step AS INT),
-       CASE WHEN c.row_num = 2 THEN k.anchor WHEN c.row_num = 4 THEN k.link
-            WHEN c.step = 0 THEN k.header ELSE k.category END,
-       CAST(NULL AS STRING), k.has_formula AND c.row_num = 5 AND c.step = 1
-FROM (SELECT *, 1 AS one FROM {cards}) k
-JOIN (SELECT * FROM (VALUES (1, 2, 0), (1, 4, 4), (1, 5, 0), (1, 5, 1)) AS v(one, row_num, step)) c ON k.one = c.one
+SELECT workbook, sheet_idx, sheet_name, CASE WHEN piece < 2 THEN 2 + 2 * piece ELSE 5 END,
+       CAST(card_start + CASE WHEN piece = 1 THEN 4 WHEN piece = 3 THEN 1 ELSE 0 END AS INT),
+       CASE WHEN piece = 0 THEN anchor WHEN piece = 1 THEN link WHEN piece = 2 THEN header ELSE category END,
+       CAST(NULL AS STRING), has_formula AND piece = 3
+FROM (SELECT *, unnest([0, 1, 2, 3]) AS piece FROM {cards}) k
 """
 
 SHEETS = """
@@ -287,6 +285,7 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             _BUILT[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
         else:
             sql = re.sub(r"sha256\((\w+)\)", r"sha2(\1, 256)", VIEWS[name])
+            sql = re.sub(r"unnest\(\[(.*?)\]\)", r"explode(array(\1))", sql)
             _BUILT[key] = spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _needs(sql)})
     return _BUILT[key]
 
