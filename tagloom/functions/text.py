@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.functions.bind import let, literal_list
+from tagloom.functions.bind import literal_list
 from tagloom.functions.lexicon import FINAL_PREFIXES
 
 # What str.strip() and str.split() treat as white space.
@@ -19,7 +19,7 @@ def strip(text: Column) -> Column:
 
 def blank_to_null(text: Column) -> Column:
     """NULL for an empty string."""
-    return let(text, lambda t: F.when(t != "", t))
+    return F.nullif(text, F.lit(""))
 
 
 def clean_title(text: Column) -> Column:

@@ -102,26 +102,22 @@ def card_cells(
             part(rules.write_row, rules.write_offset, "final", final_label(value), F.lit(""))
         )
     card_rows = {rules.anchor_row, rules.header_row, rules.link_row, rules.write_row}
-
-    def text_of(name: str) -> Column:
-        return F.max(F.when(F.col("p.part") == name, F.col("p.text")))
+    has_part = lambda name: F.count_if(F.col("part") == name) > 0
 
     found = (
         cells.filter(row.isin(*sorted(card_rows)))
-        .select(
-            "workbook", "sheet_idx", "sheet_name",
-            F.explode(F.filter(F.array(*parts), lambda p: p.isNotNull())).alias("p"),
-        )
-        .groupBy("workbook", "sheet_idx", "sheet_name", F.col("p.anchor_col").alias("anchor_col"))
+        .select("workbook", "sheet_idx", "sheet_name", F.inline(F.array(*parts)))
+        .filter(F.col("part").isNotNull())
+        .groupBy("workbook", "sheet_idx", "sheet_name", "anchor_col")
         .agg(
-            text_of("anchor").alias("anchor"),
-            text_of("header").alias("header"),
-            text_of("link").alias("link"),
-            text_of("final").alias("final"),
+            has_part("anchor").alias("anchor"),
+            has_part("header").alias("header"),
+            has_part("final").alias("final"),
+            F.max(F.when(F.col("part") == "link", F.col("text"))).alias("link"),
         )
     )
-    whole = F.col("anchor").isNotNull() & F.col("header").isNotNull() & F.col("link").isNotNull()
-    return found.filter(whole & F.col("final").isNull()).select(
+    whole = F.col("anchor") & F.col("header") & ~F.col("final") & F.col("link").isNotNull()
+    return found.filter(whole).select(
         "workbook", "link", "sheet_idx", "sheet_name",
         F.lit(rules.write_row).alias("row_num"),
         (F.col("anchor_col") + rules.write_offset).alias("col_num"),
