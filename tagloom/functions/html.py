@@ -47,7 +47,7 @@ def article_container(html: Column) -> Column:
     def chosen(page: Column) -> Column:
         found = F.coalesce(
             *[
-                blank_to_null(F.regexp_extract(page, _container_pattern(*classes), 2))
+                let(F.regexp_extract(page, _container_pattern(*classes), 2), blank_to_null)
                 for classes in CONTAINER_CLASSES
             ]
         )
@@ -84,8 +84,8 @@ def needs_decoding(text: Column) -> Column:
 
 def squeezed(text: Column) -> Column:
     """Newline runs, then blank runs, become one; both ends are stripped; blank is NULL."""
-    lines = F.regexp_replace(F.regexp_replace(text, "\n+", "\n"), "[ \t]+", " ")
-    return blank_to_null(strip(lines))
+    lines = F.regexp_replace(F.regexp_replace(text, "\n{2,}", "\n"), "(?: (?=[ \t])|\t)[ \t]*", " ")
+    return let(strip(lines), blank_to_null)
 
 
 def is_readable(text: Column) -> Column:

@@ -114,3 +114,14 @@ def test_rules_run_on_a_stream(spark, tmp_path):
     run.stop()
     got = {r.title: r.category for r in spark.table(name).collect()}
     assert got == {"강추": lx.RECOMMEND, "오늘 배송 빠르네요": lx.SIMPLE}
+
+
+def test_white_space_is_what_python_says(spark):
+    import sys
+
+    spaces = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isspace()]
+    assert sorted(spaces) == sorted(text.SPACES)
+    others = ["​", "᠎", "﻿", "⁠"]
+    values = [f"a{s}b" for s in spaces + others] + [f"{s}a{s} {s}b{s}" for s in spaces + others] + ["a  b ", " a b"]
+    assert labels(spark, values, text.clean_title(F.col("t"))) == [" ".join(v.split()) for v in values]
+    assert labels(spark, values, text.strip(F.col("t"))) == [v.strip() for v in values]
