@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat_format, curriculum, embedding_links, nearest
+from tagloom.llm import chat_format, curriculum, embedding_links, nearest, packing, substring_dedup
 from tagloom.llm.shared import table
 
 
@@ -28,6 +28,20 @@ def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+def op4_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as pieces of packed sequences of 2048 tokens."""
+    pieces = packing.tokenise(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(pieces).select(
+        "doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the 50-word windows that an earlier document has."""
+    cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.9."""
     return embedding_links.links(table(spark, sf_dir, "embeddings"), threshold=0.9)
@@ -47,6 +61,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_nearest_neighbours": op3_nearest_neighbours,
+    "op4_sequence_packing": op4_sequence_packing,
+    "op6_substring_dedup": op6_substring_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
@@ -59,6 +75,17 @@ CHECKS = {
               FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op6_substring_dedup": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        g AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS s
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+        m AS (SELECT s, min(doc_id) AS low FROM g GROUP BY s),
+        c AS (SELECT DISTINCT g.doc_id, unnest(range(g.i, g.i + 50)) AS p FROM g JOIN m ON g.s = m.s AND g.doc_id > m.low),
+        r AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id)
+        SELECT d.doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+               sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
+                      list_filter(w, lambda x, k: NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
+        FROM d LEFT JOIN r ON d.doc_id = r.doc_id""",
     "op10_source_mixing": """
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
                           md5(CAST(doc_id AS VARCHAR)) AS turn, md5(coalesce(text, '')) AS content FROM documents),
