@@ -127,3 +127,10 @@ def merge(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             if (jumped == labels).all():
                 break
             labels[:] = jumped
+
+
+def segment_hashes(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Polynomial hashes of the value runs ``starts[i]:ends[i]``; empty runs hash to one value."""
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers(_STEP, len(hashes)), out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * powers(_STEP, len(hashes) + 1, True)[starts] + (ends - starts).astype(np.uint64))

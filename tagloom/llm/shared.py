@@ -65,3 +65,11 @@ def components(edges: DataFrame) -> DataFrame:
         seen = now
     stars = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.union(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have yet, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
