@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat_format, curriculum, embedding_links, line_templates, nearest, packing, substring_dedup
+from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup
 from tagloom.llm.shared import table
 
 
@@ -42,6 +42,11 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class and the number of links of every document at a similarity of 0.8 of five-word shingles."""
+    return jaccard_join.near_copies(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the lines whose templates recur in ten texts or more."""
     cut = line_templates.without_recurring(table(spark, sf_dir, "documents"), report=True)
@@ -69,6 +74,7 @@ QUERIES = {
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_sequence_packing": op4_sequence_packing,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_source_mixing": op10_source_mixing,
