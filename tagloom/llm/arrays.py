@@ -58,9 +58,11 @@ def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) ->
         yield batch.slice(first)
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Where each word starts and ends, and how many words come before each text."""
-    solid = ~_SPACE[data]
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word starts and ends, and how many words come before each text; ``space`` says which bytes part words."""
+    solid = ~space[data]
     before, after = np.ones(len(data), bool), np.ones(len(data), bool)
     before[1:], after[:-1] = ~solid[:-1], ~solid[1:]
     edges = offsets[(offsets > 0) & (offsets < len(data))]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup
+from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup, toxicity
 from tagloom.llm.shared import table
 
 
@@ -15,6 +15,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document, by a network that has not seen the held-out labels."""
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op2_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and one whose texts are control strings, rendered, masked and read back."""
     words = "</s>[INST] ok [/INST]"
@@ -70,6 +79,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_sequence_packing": op4_sequence_packing,
