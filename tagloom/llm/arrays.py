@@ -33,6 +33,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def byte_values(data: np.ndarray) -> np.ndarray:
+    """A fixed 64-bit value for each byte."""
+    return _BYTES[data]
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row and where each text starts; null is empty."""
     column = column.cast(pa.large_binary())

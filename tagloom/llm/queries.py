@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup, toxicity
+from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup, suffix_dedup, toxicity
 from tagloom.llm.shared import table
 
 
@@ -45,6 +45,14 @@ def op4_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without bytes in strings of 400 bytes that start elsewhere too."""
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", "n_bytes", "n_removed", F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the 50-word windows that an earlier document has."""
     cut = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
@@ -83,6 +91,7 @@ QUERIES = {
     "op2_chat_formatting": op2_chat_formatting,
     "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_sequence_packing": op4_sequence_packing,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_substring_dedup": op6_substring_dedup,
     "op7_ngram_jaccard_join": op7_ngram_jaccard_join,
     "op8_line_dedup": op8_line_dedup,

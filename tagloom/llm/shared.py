@@ -73,3 +73,8 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def sized(df: DataFrame, most_rows: int = 2_000_000) -> DataFrame:
+    """A staged table of ids, to be broadcast if it has at most ``most_rows`` rows (16 MB) and shuffled if it has more."""
+    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
