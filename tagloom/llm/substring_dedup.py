@@ -10,22 +10,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.arrays import slices, sliding_least, utf8, window_hashes, word_hashes, words_of
-from tagloom.llm.shared import stage
+from tagloom.llm.shared import sized, stage
 
-WINDOW = 50
+WINDOW, MARKER = 50, 12
 
 
 def window_table(data, offsets, window: int):
     """Hashes of all windows inside texts, their text and their first word; and the least part-hash of each.
 
-    A window's marker is the smallest hash among its runs of half as many
-    words: equal windows have equal markers, and neighbours mostly share one.
+    A window's marker is the smallest hash among its runs of ``MARKER`` words:
+    equal windows have equal markers, and neighbours mostly share one.
     """
     starts, ends, before = words_of(data, offsets)
     hashes = word_hashes(data, starts, ends)
     whole = window_hashes(hashes, window)
-    half = (window + 1) // 2
-    marker = sliding_least(window_hashes(hashes, half), window - half + 1)
+    run = min(MARKER, window)
+    marker = sliding_least(window_hashes(hashes, run), window - run + 1)
     first = np.arange(len(whole))
     text = np.searchsorted(before, first, "right") - 1
     inside = first + window <= before[text + 1]
@@ -38,13 +38,20 @@ def runs_of(sorted_flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
 
 
+def exact_copies(docs: DataFrame) -> DataFrame:
+    """``doc_id`` of the documents whose whole text a smaller id has."""
+    named = docs.select("doc_id", F.md5("text").alias("content"))
+    first = named.groupBy("content").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("first < last")
+    return named.join(first, "content").where("doc_id > first").select("doc_id").distinct()
+
+
 def first_owners(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Words to remove: ``doc_id, places``, the first words of all windows that a smaller ``doc_id`` has too.
 
     Every window has a hash, but only windows that may repeat are moved.
     First each document sends the distinct markers of its windows, about a
-    thirteenth of its words.  Only windows whose marker two documents share
-    are then sent and counted; no other window can repeat.  Both counts are
+    twentieth of its words.  Only windows whose marker two documents share are
+    then sent and counted; no other window can repeat.  Both counts are
     partial aggregates (smallest and largest document of a hash), so a passage
     in a third of all documents is summed before it moves.
     """
@@ -53,14 +60,15 @@ def first_owners(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         for batch in batches:
             for cut in slices(batch):
                 _, marker, text, _, _ = window_table(*utf8(cut.column("text")), window)
-                step = np.ones(len(marker), bool)
-                step[1:] = (marker[1:] != marker[:-1]) | (text[1:] != text[:-1])
+                keys = marker + text.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                step = np.sort(np.unique(keys, return_index=True)[1])
                 ids = cut.column("doc_id").to_numpy()[text[step]]
                 yield pa.RecordBatch.from_arrays([pa.array(marker[step].view(np.int64)), pa.array(ids, pa.int64())], ["marker", "doc_id"])
 
-    sent = stage(docs.mapInArrow(markers, "marker long, doc_id long").distinct(), "markers")
+    sent = stage(docs.mapInArrow(markers, "marker long, doc_id long"), "markers")
     owners = sent.groupBy("marker").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
-    shared = sent.join(owners.select("marker"), "marker").groupBy("doc_id").agg(F.collect_list("marker").alias("markers"))
+    shared = stage(sent.join(owners.select("marker"), "marker").groupBy("doc_id").agg(F.collect_list("marker").alias("markers")), "shared-markers")
+    owning = docs.join(sized(shared.select("doc_id")), "doc_id", "left_semi")
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,7 +86,7 @@ def first_owners(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 )
 
     candidates = stage(
-        docs.join(shared, "doc_id").select("doc_id", "text", "markers").mapInArrow(windows, "window long, doc_id long, place int"),
+        owning.join(shared, "doc_id").select("doc_id", "text", "markers").mapInArrow(windows, "window long, doc_id long, place int"),
         "windows",
     )
     least = candidates.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
@@ -99,14 +107,25 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     adjoining windows merge into the maximal intervals ``removed``.  ``kept``
     are the other words joined by one space.
 
+    A document whose text an earlier one has loses all its words (if they fill
+    a window) and takes no part in the search.  Only documents that change, or
+    may, are moved; the others stay where they were read.
+
     Null and empty texts have no words and lose none, like texts shorter than
-    a window.  ``doc_id`` is expected to name one row; rows that share one are
-    one document's texts and lose what any of them loses only if an earlier
-    document has it.  Rows without an id are kept whole.  Other columns are
+    a window.  ``doc_id`` is expected to name one row; of rows that share one
+    each loses what any of them loses.  Rows without an id are kept whole.  Other columns are
     ignored; an empty table gives no rows.
     """
-    texts = docs.select("doc_id", "text")
-    places = first_owners(texts.where("doc_id is not null and text is not null"), window)
+    texts = docs.select(F.col("doc_id").cast("long"), "text")
+    known = texts.where("doc_id is not null and text is not null")
+    copies = stage(exact_copies(known), "copies")
+    places = first_owners(known.join(sized(copies), "doc_id", "left_anti"), window)
+    change = stage(
+        places.select("doc_id", "places", F.lit(False).alias("copy"))
+        .union(copies.select("doc_id", F.lit(None).cast("array<int>"), F.lit(True))),
+        "changes",
+    )
+    touched = sized(change.select("doc_id"))
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -117,7 +136,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 for i, places in enumerate(cut.column("places")):
                     low, high = before[i], before[i + 1]
                     gone = np.zeros(high - low + 1, np.int32)
-                    if places.is_valid:
+                    if cut.column("copy")[i].as_py():
+                        gone[0] = high - low >= window
+                    elif places.is_valid:
                         at = places.values.to_numpy()
                         at = np.unique(at[at + window <= high - low])
                         np.add.at(gone, at, 1)
@@ -137,6 +158,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     ["doc_id", "n_words", "n_removed", "removed", "kept"],
                 )
 
-    return texts.join(places, "doc_id", "left").mapInArrow(
-        cut_out, "doc_id long, n_words long, n_removed long, removed array<struct<first: long, end: long>>, kept string"
+    shape = "doc_id long, n_words long, n_removed long, removed array<struct<first: long, end: long>>, kept string"
+    whole = texts.join(touched, "doc_id", "left_anti").select(
+        "doc_id", "text", F.lit(None).cast("array<int>").alias("places"), F.lit(False).alias("copy")
     )
+    cut = texts.join(touched, "doc_id", "left_semi").join(change, "doc_id").select("doc_id", "text", "places", "copy")
+    return whole.mapInArrow(cut_out, shape).union(cut.mapInArrow(cut_out, shape))
