@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tagloom.functions.text import strip
+from tagloom.operators.lineage import cut_lineage
+
+Stage = Callable[[DataFrame], DataFrame]
 
 # --- fixed values: measured phases and thresholds --------------------------------
 METRICS = (
@@ -16,11 +21,11 @@ METRICS = (
 SPEEDUP_MIN = 3.0
 REDUCTION_MIN = 0.60
 
-WRITERS = ("primary", "legacy")
-
 # Quantile grid of one narrowing, and the sketch's rank error, which is far finer.
 GRID = 500
 ACCURACY = 10_000
+# A group with so few distinct values left is ranked by one task.
+LAST_VALUES = 20_000
 
 
 def run_metrics(runs: DataFrame) -> DataFrame:
@@ -66,38 +71,39 @@ def _bracket(state: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def exact_median(
-    values: DataFrame, keys: list[str], value: str, narrowings: int = 2, few_groups: bool = False
+    values: DataFrame, keys: list[str], value: str, last_values: int = LAST_VALUES, stage: Stage = cut_lineage
 ) -> DataFrame:
     """Exact median per group: ``(*keys, median)``, the mean of the middle two when even.
 
     The built-in exact median keeps a whole group's values in one task.  Here a
     sketch of bounded size brackets the middle ranks; values outside are only
-    counted.  Each narrowing leaves about one row in a hundred, and the last few
-    distinct values are ranked by a window.  ``few_groups`` states that the
-    number of groups is bounded, so brackets may be broadcast.
+    counted.  Each narrowing leaves about one row in a hundred and is staged,
+    so the next one reads little; it goes on until no group has more than
+    about ``last_values`` distinct values left, which a window ranks.
     """
-    hint = F.broadcast if few_groups else (lambda df: df)
     rows = values.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("v"))
-    state = rows.groupBy(*keys).agg(F.count("*").alias("n"), _sketch(F.col("v")).alias("q")).select(
-        "*", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("m")
-    )
     v = F.col("v")
-    for _ in range(narrowings):
-        placed = rows.join(hint(_bracket(state, keys)), keys)
+    state = stage(
+        rows.groupBy(*keys)
+        .agg(F.count("*").alias("n"), _sketch(v).alias("q"), F.approx_count_distinct("v").alias("distinct"))
+        .select("*", F.lit(0).cast("bigint").alias("below"), F.col("n").alias("m"))
+    )
+    while (state.agg(F.max("distinct")).first()[0] or 0) > last_values:
+        placed = rows.join(_bracket(state, keys), keys)
         inside = v.between(F.col("lo"), F.col("hi"))
-        state = (
-            placed.groupBy(*keys, "n", F.col("below").alias("before"))
-            .agg(
-                F.count_if(v < F.col("lo")).alias("under"),
-                F.count_if(inside).alias("m"),
-                _sketch(F.when(inside, v)).alias("q"),
-            )
-            .withColumn("below", F.col("before") + F.col("under"))
+        under = placed.filter(v < F.col("lo")).groupBy(*keys).agg(F.count("*").alias("under"))
+        rows = stage(placed.filter(inside).select(*keys, "v"))
+        state = stage(
+            rows.groupBy(*keys)
+            .agg(F.count("*").alias("m"), _sketch(v).alias("q"), F.approx_count_distinct("v").alias("distinct"))
+            .join(state.select(*keys, "n", F.col("below").alias("before")), keys)
+            .join(under, keys, "left")
+            .withColumn("below", F.col("before") + F.coalesce("under", F.lit(0)))
+            .drop("before", "under")
         )
-        rows = placed.filter(inside).select(*keys, "v")
     ranked = (
         rows.groupBy(*keys, "v").agg(F.count("*").alias("c"))
-        .join(hint(state.select(*keys, "n", "below")), keys)
+        .join(state.select(*keys, "n", "below"), keys)
         .withColumn("last", F.col("below") + F.sum("c").over(W.partitionBy(*keys).orderBy("v")))
     )
     at = lambda rank: F.max(
@@ -109,8 +115,7 @@ def exact_median(
 
 def median_metrics(runs: DataFrame, metrics: tuple[str, ...] = METRICS) -> DataFrame:
     """Median of every metric, one row per writer."""
-    known = runs.filter(F.col("writer").isin(*WRITERS))
-    medians = exact_median(long_metrics(known, metrics), ["writer", "metric"], "seconds", few_groups=True)
+    medians = exact_median(long_metrics(runs, metrics), ["writer", "metric"], "seconds")
     return medians.groupBy("writer").agg(
         *[F.max(F.when(F.col("metric") == m, F.col("median"))).alias(m) for m in metrics]
     )

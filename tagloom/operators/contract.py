@@ -10,13 +10,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.refs import cell_ref, checked_ref, ref_column, ref_row
-from tagloom.operators.grid import CELL_KEY
+from tagloom.operators.grid import CardRules
 
 # --- fixed values: writers and policy ------------------------------------------
 PRIMARY_WRITER = "primary_template_value_only"
 NO_WRITER = "unsupported_variant"
 POLICY = "hard_fail"
 
+# --- fixed values: reason codes and messages -------------------------------------
+REASONS = {
+    "unsupported_sheet_count": "sheet count differs from supported workbook family",
+    "unsupported_missing_target_sheet": "missing required sheet ",
+    "unsupported_sheet_order": "sheet order differs from supported workbook family",
+    "unsupported_sheet_state": "sheet hidden-state map differs from supported workbook family",
+    "unsupported_missing_linked_card_layout": "linked-card write targets differ from supported workbook family",
+    "unsupported_workbook_family_signature": "workbook.xml fingerprint differs from supported workbook family",
+}
+# Own reasons: what cannot be checked is not supported.
+UNCHECKED = {
+    "unsupported_missing_contract": "no contract for this workbook family",
+    "unsupported_ambiguous_contract": "several contracts for this workbook family",
+    "unsupported_missing_catalogue": "the sheet catalogue of the workbook cannot be read",
+    "unsupported_unreadable_part": "a part of the workbook cannot be read: ",
+}
+
 EMPTY_REFS = "array<string>"
 TARGET_ENTRY = "array<struct<key:string,value:array<string>>>"
 
@@ -69,7 +86,10 @@ def target_variants(single: Column, several: Column) -> Column:
 
 
 def normalise_contracts(raw: DataFrame) -> DataFrame:
-    """Flatten contracts as read from JSON to the columns the checks use."""
+    """Flatten contracts as read from JSON to the columns the checks use.
+
+    ``card_rules`` keeps the contract's own offsets and labels.
+    """
     family, topology, surface = (
         "supported_workbook_family", "preserved_topology", "writable_surface",
     )
@@ -82,6 +102,7 @@ def normalise_contracts(raw: DataFrame) -> DataFrame:
         ).alias("state_variants"),
         F.col(f"{surface}.primary_target.sheet_name").alias("target_sheet"),
         F.col(f"{surface}.primary_target.allowed_ranges").alias("allowed_ranges"),
+        F.col(f"{surface}.linked_card_rules").alias("card_rules"),
         target_variants(
             F.col(f"{surface}.linked_card_targets"),
             F.col(f"{surface}.linked_card_targets_variants"),
@@ -93,6 +114,24 @@ def normalise_contracts(raw: DataFrame) -> DataFrame:
     )
 
 
+def contract_card_rules(workbooks: DataFrame, contracts: DataFrame) -> DataFrame:
+    """The card rules of each workbook's family, for ``grid.card_cells``, and the sheets that may hold cards.
+
+    A field that the contract leaves out has its default.
+    """
+    default = CardRules()
+    named = {
+        "anchor_row": "card_anchor_row", "header_row": "header_row", "link_row": "link_row", "write_row": "write_row",
+        "link_offset": "link_column_offset_from_anchor", "write_offset": "write_column_offset_from_anchor",
+        "anchor_label": "card_anchor_label", "header_label": "header_label",
+    }
+    rules = contracts.dropDuplicates(["family"]).select(
+        "family", F.col("sheet_order").alias("sheets"),
+        *[F.coalesce(F.col(f"card_rules.{theirs}"), F.lit(getattr(default, ours))).alias(ours) for ours, theirs in named.items()],
+    )
+    return workbooks.select("workbook", "family").join(rules, "family").drop("family")
+
+
 # --- the workbook's own values --------------------------------------------------------
 
 
@@ -138,61 +177,75 @@ def fingerprints(sheets: DataFrame, workbooks: DataFrame, targets: DataFrame) ->
 # --- checks ------------------------------------------------------------------------------
 
 
-def check_contracts(prints: DataFrame, contracts: DataFrame) -> DataFrame:
-    """First failing check of each workbook: ``(workbook, code, detail)``, NULL when all pass."""
-    rules = contracts.select(
-        "family",
-        F.col("sheet_order").alias("want_order"),
-        "sheet_count", "target_sheet", "state_variants", "card_variants", "hashes",
+def check_contracts(prints: DataFrame, contracts: DataFrame, unreadable: DataFrame | None = None) -> DataFrame:
+    """First failing check of each workbook: ``(workbook, family, code, detail)``, NULL when all pass.
+
+    A workbook whose family has no contract or several, that has no sheet
+    catalogue, or that has a row in ``unreadable(workbook, part)`` fails; a
+    value that is missing on either side differs.
+    """
+    columns = ["sheet_order", "sheet_count", "target_sheet", "state_variants", "card_variants", "hashes"]
+    rules = contracts.groupBy("family").agg(
+        F.count("*").alias("n_contracts"), *[F.first(c).alias(f"want_{c}") for c in columns]
     )
-    both = prints.join(rules, "family", "left")
-    names = F.transform("sheet_states", lambda s: s["key"])
-    family = "differs from supported workbook family"
-    fail = lambda code, detail: F.struct(
-        F.lit(code).alias("code"), F.lit(detail).alias("detail") if isinstance(detail, str) else detail.alias("detail")
+    broken = (
+        prints.select("workbook", F.lit(None).cast("string").alias("bad_part")).limit(0)
+        if unreadable is None
+        else unreadable.groupBy("workbook").agg(F.min("part").alias("bad_part"))
+    )
+    both = prints.join(rules, "family", "left").join(broken, "workbook", "left")
+    messages = REASONS | UNCHECKED
+    fail = lambda code, more="": F.struct(
+        F.lit(code).alias("code"), F.concat(F.lit(messages[code]), more if isinstance(more, Column) else F.lit(more)).alias("detail")
     )
+    holds = lambda values, value: F.coalesce(F.array_contains(values, value), F.lit(False))
+    demanded = lambda values: F.coalesce(F.size(values) > 0, F.lit(False))
+    names = F.transform("sheet_states", lambda s: s["key"])
     first = (
-        F.when(
-            F.col("sheet_count") != F.size("sheet_order"),
-            fail("unsupported_sheet_count", f"sheet count {family}"),
-        )
-        .when(
-            ~F.array_contains(names, F.col("target_sheet")),
-            fail("unsupported_missing_target_sheet", F.concat(F.lit("missing required sheet "), "target_sheet")),
-        )
+        F.when(F.col("n_contracts").isNull(), fail("unsupported_missing_contract"))
+        .when(F.col("n_contracts") > 1, fail("unsupported_ambiguous_contract"))
+        .when(F.col("bad_part").isNotNull(), fail("unsupported_unreadable_part", F.col("bad_part")))
+        .when(F.col("sheet_order").isNull(), fail("unsupported_missing_catalogue"))
+        .when(~F.col("want_sheet_count").eqNullSafe(F.size("sheet_order")), fail("unsupported_sheet_count"))
         .when(
-            F.col("sheet_order") != F.col("want_order"),
-            fail("unsupported_sheet_order", f"sheet order {family}"),
+            ~holds(names, F.col("want_target_sheet")),
+            fail("unsupported_missing_target_sheet", F.coalesce("want_target_sheet", F.lit(""))),
         )
+        .when(~F.col("sheet_order").eqNullSafe(F.col("want_sheet_order")), fail("unsupported_sheet_order"))
         .when(
-            (F.size("state_variants") > 0) & ~F.array_contains("state_variants", F.col("sheet_states")),
-            fail("unsupported_sheet_state", f"sheet hidden-state map {family}"),
+            demanded(F.col("want_state_variants")) & ~holds(F.col("want_state_variants"), F.col("sheet_states")),
+            fail("unsupported_sheet_state"),
         )
         .when(
-            (F.size("card_variants") > 0) & ~F.array_contains("card_variants", F.col("card_targets")),
-            fail("unsupported_missing_linked_card_layout", "linked-card write targets differ from supported workbook family"),
+            demanded(F.col("want_card_variants")) & ~holds(F.col("want_card_variants"), F.col("card_targets")),
+            fail("unsupported_missing_linked_card_layout"),
         )
         .when(
-            (F.size("hashes") > 0) & ~F.array_contains("hashes", F.col("workbook_xml_sha256")),
-            fail("unsupported_workbook_family_signature", f"workbook.xml fingerprint {family}"),
+            demanded(F.col("want_hashes")) & ~holds(F.col("want_hashes"), F.col("workbook_xml_sha256")),
+            fail("unsupported_workbook_family_signature"),
         )
     )
     return both.select("workbook", "family", first.alias("f")).select("workbook", "family", "f.code", "f.detail")
 
 
-def expand_ranges(ranges: DataFrame, range_col: str = "cell_range") -> DataFrame:
-    """Every cell of each ``A1:B9`` rectangle; reversed bounds give none."""
+def range_bounds(ranges: DataFrame, range_col: str = "cell_range") -> DataFrame:
+    """Corners of each ``A1:B9`` rectangle as ``low_row, high_row, low_col, high_col``; reversed bounds are left out."""
     start = F.split_part(F.col(range_col), F.lit(":"), F.lit(1))
     end = F.split_part(F.col(range_col), F.lit(":"), F.lit(2))
-    corners = ranges.select(
+    return ranges.select(
         "*",
-        ref_row(checked_ref(start)).alias("_r0"), ref_row(checked_ref(end)).alias("_r1"),
-        ref_column(start).alias("_c0"), ref_column(end).alias("_c1"),
-    ).filter((F.col("_r0") <= F.col("_r1")) & (F.col("_c0") <= F.col("_c1")))
+        ref_row(checked_ref(start)).alias("low_row"), ref_row(checked_ref(end)).alias("high_row"),
+        ref_column(start).alias("low_col"), ref_column(end).alias("high_col"),
+    ).filter((F.col("low_row") <= F.col("high_row")) & (F.col("low_col") <= F.col("high_col")))
+
+
+def expand_ranges(ranges: DataFrame, range_col: str = "cell_range") -> DataFrame:
+    """Every cell of each ``A1:B9`` rectangle; for reports that name cells, not for tests of membership."""
     return (
-        corners.withColumn("row_num", F.explode(F.sequence("_r0", "_r1")))
-        .withColumn("col_num", F.explode(F.sequence("_c0", "_c1")))
-        .drop("_r0", "_r1", "_c0", "_c1")
+        range_bounds(ranges, range_col)
+        .withColumn("row_num", F.explode(F.sequence("low_row", "high_row")))
+        .withColumn("col_num", F.explode(F.sequence("low_col", "high_col")))
+        .drop("low_row", "high_row", "low_col", "high_col")
         .withColumn("cell_ref", cell_ref(F.col("row_num"), F.col("col_num")))
     )
 
@@ -208,19 +261,31 @@ def writable_surface(primary: DataFrame, cards: DataFrame) -> DataFrame:
     return ranged.unionByName(own).distinct()
 
 
-def surface_violations(updates: DataFrame, surface: DataFrame) -> DataFrame:
+def surface_violations(updates: DataFrame, primary: DataFrame, cards: DataFrame) -> DataFrame:
     """Updates off the surface: ``(workbook, sheet_name, cell_ref, seq, code, detail)``.
 
-    The two anti joins see each written cell once: an update is as right or
-    wrong as its cell, and the first update of a cell is the one to report.
+    ``primary(workbook, sheet_name, cell_range)`` and the workbook's own card
+    cells may be written.  Ranges stay bounds: a whole-sheet range is one row.
+    Each written cell is looked at once: an update is as right or wrong as its
+    cell, and the first update of a cell is the one to report.
     """
     ref = F.col("cell_ref") if "cell_ref" in updates.columns else cell_ref(F.col("row_num"), F.col("col_num"))
     written = (
         updates.groupBy("workbook", "sheet_name", ref.alias("cell_ref")).agg(F.min("seq").alias("seq"))
+        .withColumn("at_row", ref_row(F.col("cell_ref"))).withColumn("at_col", ref_column(F.col("cell_ref")))
+    )
+    sheet = ["workbook", "sheet_name"]
+    bounds = range_bounds(primary.select(*sheet, "cell_range").distinct())
+    own = cards.select(*sheet, F.col("row_num").alias("at_row"), F.col("col_num").alias("at_col")).distinct()
+    w, b = written.alias("w"), bounds.alias("b")
+    inside = (
+        (F.col("w.workbook") == F.col("b.workbook")) & (F.col("w.sheet_name") == F.col("b.sheet_name"))
+        & F.col("w.at_row").between(F.col("b.low_row"), F.col("b.high_row"))
+        & F.col("w.at_col").between(F.col("b.low_col"), F.col("b.high_col"))
     )
-    off = written.join(surface, ["workbook", "sheet_name", "cell_ref"], "left_anti")
-    sheets = surface.select("workbook", "sheet_name").distinct().withColumn("known", F.lit(True))
-    judged = off.join(sheets, ["workbook", "sheet_name"], "left")
+    off = w.join(b, inside, "left_anti").join(own, [*sheet, "at_row", "at_col"], "left_anti")
+    sheets = bounds.select(*sheet).union(own.select(*sheet)).distinct().withColumn("known", F.lit(True))
+    judged = off.join(sheets, sheet, "left")
     known = F.col("known").isNotNull()
     return judged.select(
         "workbook", "sheet_name", "cell_ref", "seq",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,41 @@ def sheet_parts(sheet_names: DataFrame, sheets: DataFrame) -> DataFrame:
     return found.select("workbook", F.when(F.col("part").isNotNull(), F.col("part")).otherwise(unknown).alias("part"))
 
 
+@dataclass(frozen=True)
+class Allowlist:
+    """What may change in a package: parts by name, prefix or pattern, sheets by name, and writable sheets if included."""
+
+    parts: tuple[str, ...] = ()
+    prefixes: tuple[str, ...] = ()
+    patterns: tuple[str, ...] = ()
+    sheet_names: tuple[str, ...] = ()
+    include_writable: bool = False
+    contract_path: str | None = None
+
+
+def compiled_allowlist(settings: DataFrame) -> Allowlist:
+    """The allowlist of a settings table with one row, as ``read_allowlist`` gives it; two rows are refused."""
+    rows = settings.limit(2).collect()
+    if len(rows) != 1:
+        raise ValueError("an allowlist has exactly one settings row")
+    row = rows[0]
+    listed = lambda name: tuple(v for v in row[name] or () if v)
+    return Allowlist(
+        listed("allowed_changed_parts"), listed("allowed_changed_part_prefixes"), listed("allowed_changed_part_patterns"),
+        listed("allowed_changed_sheet_names"), bool(row["include_contract_writable_surface_sheet_xml"]), row["contract_path"],
+    )
+
+
+def allowed_parts(allowlist: Allowlist, sheets: DataFrame, writable_sheets: DataFrame) -> DataFrame:
+    """Sheet parts that the allowlist lets change: ``(workbook, part)``; a sheet that a workbook lacks fails the job."""
+    named = sheets.select("workbook").distinct().select(
+        "workbook", F.explode(F.array(*map(F.lit, allowlist.sheet_names)).cast("array<string>")).alias("sheet_name")
+    )
+    if allowlist.include_writable:
+        named = named.unionByName(writable_sheets.select("workbook", "sheet_name"))
+    return sheet_parts(named.distinct(), sheets)
+
+
 def unexpected_changes(
     changes: DataFrame,
     allowed_parts: DataFrame,

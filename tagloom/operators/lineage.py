@@ -4,18 +4,27 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def local_folder(spark: SparkSession) -> None:
+    """Give a local session without a checkpoint folder a temporary one; all its tasks share that machine.
+
+    For tests, benches and queries run by hand.  A session that names
+    ``spark.checkpoint.dir`` keeps it, and one on a cluster gets none.
+    """
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None and (context.master == "local" or context.master.startswith("local[")):
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-checkpoint-"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and go on from there.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``.  Only
-    a local session that names none gets a temporary one.
+    The folder is the one the session names in ``spark.checkpoint.dir``.  Set
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` to have the files
+    removed once nothing refers to them.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-checkpoint-"))
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return df.checkpoint()

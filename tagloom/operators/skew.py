@@ -5,61 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with fewer rows than this is no burden for one task.
-HEAVY_ROWS = 1_000_000
-# No more keys than this can each hold more than 1/MAX_HEAVY of all rows.
-MAX_HEAVY = 1_000
+# Every key is dealt out over this many parts, so one with a third of all rows is a fiftieth of them at most.
+PARTS = 16
 # Rows without a key match nothing; they are dealt out over this many parts.
 NULL_PARTS = 1 << 20
 
 
-def heavy_keys(
-    counts: DataFrame, key: str, rows: str = "n", heavy_rows: int = HEAVY_ROWS
-) -> DataFrame | None:
-    """Keys with so many rows that they must be split, and into how many parts.
-
-    ``counts`` has one row per key.  Two numbers come to the driver: the total
-    and the largest count.  When no key is heavy the result is None and lookups
-    stay plain joins.  Otherwise a key is heavy when it holds more than
-    ``heavy_rows`` rows and more than 1/MAX_HEAVY of all rows, so there are
-    never more than MAX_HEAVY of them and they are safe to broadcast.
-    """
-    keyed = counts.filter(F.col(key).isNotNull())
-    total, largest = keyed.agg(F.sum(rows), F.max(rows)).first()
-    if total is None or largest <= heavy_rows:
-        return None
-    limit = max(heavy_rows, total // MAX_HEAVY)
-    return keyed.filter(F.col(rows) > limit).select(
-        key, F.ceil(F.col(rows) / F.lit(limit)).cast("int").alias("_parts")
-    )
-
-
-def spread_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    spread_by: list[Column],
-    heavy: DataFrame | None,
-) -> DataFrame:
+def spread_lookup(left: DataFrame, right: DataFrame, key: str, spread_by: list[Column], parts: int = PARTS) -> DataFrame:
     """``left`` left-joined to ``right`` (one row per key) without a hot task.
 
-    Rows of a heavy key are dealt out over its parts and the matching right row
-    is repeated once per part; rows with a NULL key are dealt out as well.
-    ``spread_by`` should tell the left rows of one key apart.
+    Left rows are dealt out over ``parts`` by a hash of ``spread_by``, which
+    should tell the rows of one key apart, and each right row is repeated for
+    every part; rows with a NULL key are dealt out as well.  The plan is the
+    same whatever the data.  Keep wide columns out of ``right``.
     """
     deal = F.xxhash64(*spread_by)
-    unkeyed = F.pmod(deal, F.lit(NULL_PARTS)).cast("int")
-    if heavy is None:
-        dealt = left.withColumn("_part", F.when(F.col(key).isNull(), unkeyed).otherwise(0))
-        repeated = right.withColumn("_part", F.lit(0))
-    else:
-        few = F.broadcast(heavy)
-        parts = F.coalesce("_parts", F.lit(1))
-        part = F.when(F.col(key).isNull(), unkeyed).otherwise(F.pmod(deal, parts).cast("int"))
-        dealt = left.join(few, key, "left").withColumn("_part", part).drop("_parts")
-        repeated = (
-            right.join(few, key, "left")
-            .withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-            .drop("_parts")
-        )
+    part = F.when(F.col(key).isNull(), F.pmod(deal, F.lit(NULL_PARTS)) + parts).otherwise(F.pmod(deal, F.lit(parts)))
+    dealt = left.withColumn("_part", part.cast("int"))
+    repeated = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return dealt.join(repeated, [key, "_part"], "left").drop("_part")

@@ -21,7 +21,7 @@ from tagloom.functions.model_io import MAX_ATTEMPTS, response_label
 from tagloom.functions.rules import classify_strict, is_weak
 from tagloom.functions.text import clean_title
 from tagloom.operators.lineage import cut_lineage
-from tagloom.operators.skew import HEAVY_ROWS, heavy_keys, spread_lookup
+from tagloom.operators.skew import spread_lookup
 
 Scorer = Callable[[DataFrame], DataFrame]
 Stage = Callable[[DataFrame], DataFrame]
@@ -72,8 +72,8 @@ def requests_of(rows: DataFrame, text: str) -> DataFrame:
     """Distinct texts with their number of rows: ``(item, text, n)``."""
     return (
         rows.filter(F.col("item").isNotNull())
-        .groupBy("item", F.col(text).alias("text"))
-        .agg(F.count("*").alias("n"))
+        .groupBy("item")
+        .agg(F.first(text).alias("text"), F.count("*").alias("n"))
     )
 
 
@@ -86,52 +86,46 @@ def articles_of(links: DataFrame, pages: DataFrame) -> DataFrame:
     return with_article_text(wanted).filter(F.col("article_text").isNotNull())
 
 
-def article_sources(targets: DataFrame, pages: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def article_sources(targets: DataFrame, pages: DataFrame) -> DataFrame:
     """Each target with the page behind its link, NULL when there is none."""
-    links = targets.filter(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("n"))
-    wanted = pages.withColumnRenamed("url", "link").join(links.select("link"), "link", "left_semi")
-    return spread_lookup(
-        targets, wanted, "link", [F.col("workbook"), F.col("row_num")],
-        heavy_keys(links, "link", heavy_rows=heavy_rows),
-    )
+    links = targets.filter(F.col("link").isNotNull()).select("link").distinct()
+    wanted = pages.withColumnRenamed("url", "link").join(links, "link", "left_semi")
+    return spread_lookup(targets, wanted, "link", [F.col("workbook"), F.col("row_num")])
 
 
 def article_categories(
     targets: DataFrame,
     pages: DataFrame,
     scorers: Scorers,
-    heavy_rows: int = HEAVY_ROWS,
     stage: Stage = cut_lineage,
 ) -> DataFrame:
-    """Category of each target from the page behind its link: ``(workbook, row_num, article)``."""
-    links = targets.filter(F.col("link").isNotNull()).groupBy("link").agg(F.count("*").alias("n"))
-    labels = body_labels(articles_of(links, pages), scorers, heavy_rows=heavy_rows, stage=stage)
-    found = spread_lookup(
-        targets, labels, "link", [F.col("workbook"), F.col("row_num")],
-        heavy_keys(links, "link", heavy_rows=heavy_rows),
-    )
-    return found.select("workbook", "row_num", "article")
+    """Category of each target from the page behind its link: ``(workbook, row_num, article)``.
+
+    Staged, so no later use of the result calls a model again.
+    """
+    links = targets.filter(F.col("link").isNotNull()).select("link").distinct()
+    labels = body_labels(articles_of(links, pages), scorers, stage=stage)
+    found = spread_lookup(targets, labels, "link", [F.col("workbook"), F.col("row_num")])
+    return stage(found.select("workbook", "row_num", "article"))
 
 
 def body_labels(
     articles: DataFrame,
     scorers: Scorers,
     key: str = "link",
-    heavy_rows: int = HEAVY_ROWS,
     stage: Stage = cut_lineage,
 ) -> DataFrame:
     """Label of each article: title rules on the body, first model, second model, fallback."""
     ruled = evaluate_once(articles, "rule", classify_strict(F.col("article_text")))
+    is_open = F.col("rule").isNull()
     keyed = stage(
-        ruled.withColumn("item", F.when(F.col("rule").isNull(), item_key(F.col("article_text"))))
+        ruled.withColumn("item", F.when(is_open, item_key(F.col("article_text"))))
+        .withColumn("article_text", F.when(is_open, F.col("article_text")))
     )
     requests = requests_of(keyed, "article_text")
     first = stage(answers(scorers.body_first, requests))
     second = answers(scorers.body_second, requests.join(first, "item", "left_anti"))
-    labelled = spread_lookup(
-        keyed.select(key, "rule", "item"), first.unionByName(second), "item",
-        [F.col(key)], heavy_keys(requests, "item", heavy_rows=heavy_rows),
-    )
+    labelled = spread_lookup(keyed.select(key, "rule", "item"), first.unionByName(second), "item", [F.col(key)])
     return labelled.select(key, F.coalesce("rule", "label", F.lit(lx.SIMPLE)).alias("article"))
 
 
@@ -139,15 +133,14 @@ def resolve_categories(
     targets: DataFrame,
     pages: DataFrame,
     scorers: Scorers,
-    heavy_rows: int = HEAVY_ROWS,
     stage: Stage = cut_lineage,
 ) -> DataFrame:
     """Category and method of each target ``(workbook, row_num, title, link)``.
 
     Rules settle most rows and those never meet a join.  The rest passes the
     tiers in order; every text is scored once and every page read once however
-    many rows share it.  ``stage`` runs after each tier so that a tier is not
-    repeated for the next one.
+    many rows share it.  ``stage`` runs after each tier and on the result, so
+    neither a later tier nor any use of the result calls a model again.
     """
     row_id = [F.col("workbook"), F.col("row_num")]
     cleaned = evaluate_once(targets, "title", clean_title(F.col("title")))
@@ -167,28 +160,22 @@ def resolve_categories(
     # First model on the title.
     titles = requests_of(rows, "title")
     first = answers(scorers.title_first, titles).withColumnRenamed("label", "first")
-    rows = spread_lookup(rows, first, "item", row_id, heavy_keys(titles, "item", heavy_rows=heavy_rows))
+    rows = spread_lookup(rows, first, "item", row_id)
     weak = is_weak(F.col("first"))
     wants_page = F.col("first").isNull() | weak
     rows = stage(rows.withColumn("page", F.when(wants_page, F.col("link"))))
 
     # The article behind the link.
-    links = (
-        rows.filter(F.col("page").isNotNull()).groupBy(F.col("page").alias("link"))
-        .agg(F.count("*").alias("n"))
-    )
-    articles = body_labels(articles_of(links, pages), scorers, heavy_rows=heavy_rows, stage=stage)
-    rows = spread_lookup(
-        rows, articles.withColumnRenamed("link", "page"), "page", row_id,
-        heavy_keys(links.withColumnRenamed("link", "page"), "page", heavy_rows=heavy_rows),
-    )
+    links = rows.filter(F.col("page").isNotNull()).select(F.col("page").alias("link")).distinct()
+    articles = body_labels(articles_of(links, pages), scorers, stage=stage)
+    rows = spread_lookup(rows, articles.withColumnRenamed("link", "page"), "page", row_id)
     wants_second = F.col("first").isNull() & F.col("article").isNull()
     rows = stage(rows.withColumn("item", F.when(wants_second, F.col("item"))))
 
     # Second model, only where the first failed and no article helped.
     last = requests_of(rows, "title")
     second = answers(scorers.title_second, last).withColumnRenamed("label", "second")
-    rows = spread_lookup(rows, second, "item", row_id, heavy_keys(last, "item", heavy_rows=heavy_rows))
+    rows = spread_lookup(rows, second, "item", row_id)
 
     strong = F.col("first").isNotNull() & ~weak
     resolved = rows.select(
@@ -201,7 +188,7 @@ def resolve_categories(
         .otherwise(F.lit("fallback"))
         .alias("method"),
     )
-    return settled.unionByName(resolved)
+    return stage(settled.unionByName(resolved))
 
 
 def title_categories(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from functools import wraps
 from hashlib import sha256
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from tagloom.functions import layout as lay
 from tagloom.functions import lexicon as lx
@@ -15,6 +17,7 @@ from tagloom.functions import model_io, refs, rules, text
 from tagloom.functions.bind import evaluate_once
 from tagloom.functions.html import with_article_text
 from tagloom.operators import benchmarks, contract, diff, grid, layout, tiers
+from tagloom.operators.lineage import cut_lineage, local_folder
 from tagloom.plans import jobs
 from tagloom.plans.views import view
 from tagloom.plans.xml_parts import package_parts
@@ -26,8 +29,13 @@ BOOK_ROW = ("workbook", "row_num")
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
-    return function
+    @wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        local_folder(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 def joined(values: Column) -> Column:
@@ -38,27 +46,35 @@ def joined(values: Column) -> Column:
 # --- inputs shared by several queries ---------------------------------------------
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """Deal a small scan out over all cores; a large one has splits enough and is left alone."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+def _cells(spark, sf):
+    """The whole grid, staged for queries that read it several times."""
+    return cut_lineage(view(spark, sf, "cells"))
 
 
 def _targets(spark, sf):
     return grid.target_rows(view(spark, sf, "cells"))
 
 
-def _results(spark, sf):
-    return jobs.rule_results(_targets(spark, sf))
+def _results(spark, sf, cells=None):
+    return jobs.rule_results(_targets(spark, sf) if cells is None else grid.target_rows(cells))
 
 
 def _cards(spark, sf):
     return grid.card_cells(view(spark, sf, "cells"))
 
 
+def _fan_out(spark, sf):
+    cells = _cells(spark, sf)
+    return grid.fan_out(_results(spark, sf, cells), grid.card_cells(cells))
+
+
+def _winners(spark, sf, cells):
+    return grid.winning_updates(_results(spark, sf, cells), grid.card_cells(cells))
+
+
 def _texts(spark, sf):
     """Every document's whole text behind a Korean phrase: ``(doc_id, text)``."""
-    docs = _spread(view(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 30).alias("i")))
+    docs = view(spark, sf, "documents").select("doc_id", "text", (F.col("doc_id") % 30).alias("i"))
     joined_text = F.concat_ws(" ", "phrase", "text").alias("text")
     return docs.join(view(spark, sf, "phrases"), "i").select("doc_id", joined_text)
 
@@ -151,11 +167,12 @@ def s12_article_source(spark, sf):
 
 @query
 def s13_charset_cascade(spark, sf):
-    way = F.col("doc_id") % 3
-    pages = view(spark, sf, "documents").select(
+    way = F.col("doc_id") % 6
+    docs = view(spark, sf, "documents").withColumn("i", F.col("doc_id") % 30).join(view(spark, sf, "phrase_bytes"), "i")
+    pages = docs.select(
         "doc_id",
-        F.when(way == 1, F.encode("text", "UTF-16")).otherwise(F.encode("text", "UTF-8")).alias("content"),
-        F.when(way == 1, "utf-16").when(way == 2, "no-such-charset").alias("declared"),
+        F.when(way == 1, F.encode("text", "UTF-16")).when(way >= 3, F.unhex("cp949")).otherwise(F.encode("text", "UTF-8")).alias("content"),
+        F.when(way == 1, "utf-16").when(way == 2, "no-such-charset").when(way == 4, "ms949").when(way == 5, "euc-kr").alias("declared"),
     )
     return pages.select("doc_id", charset.decode_page(F.col("content"), F.col("declared")).alias("text"))
 
@@ -239,7 +256,7 @@ def k1_rule_cascade_strict(spark, sf):
 
 @query
 def k1_rules_on_documents(spark, sf):
-    docs = _spread(view(spark, sf, "documents").select("doc_id", "text"))
+    docs = view(spark, sf, "documents").select("doc_id", "text")
     return docs.select("doc_id", rules.classify_strict(F.col("text")).alias("label"))
 
 
@@ -296,12 +313,12 @@ def k9_first_success(spark, sf):
 
 @query
 def k10_article_text(spark, sf):
-    return with_article_text(_spread(view(spark, sf, "article_pages").select("page_id", "html")))
+    return with_article_text(view(spark, sf, "article_pages").select("page_id", "html"))
 
 
 @query
 def k11_body_tier(spark, sf):
-    pages = _spread(view(spark, sf, "article_pages").select("page_id", "html"))
+    pages = view(spark, sf, "article_pages").select("page_id", "html")
     articles = with_article_text(pages).filter("article_text IS NOT NULL")
     return tiers.body_labels(articles, _scorers(spark, sf), key="page_id")
 
@@ -346,7 +363,8 @@ def j1_card_index(spark, sf):
 
 @query
 def j2_card_targets(spark, sf):
-    cards = grid.card_cells(view(spark, sf, "cells"), skip_final=False)
+    rules = contract.contract_card_rules(view(spark, sf, "workbooks"), _contracts(spark, sf, {"f1": 2}))
+    cards = grid.card_cells(view(spark, sf, "cells"), rules, skip_final=False)
     targets = contract.card_targets(cards, view(spark, sf, "sheets"))
     entry = F.explode("card_targets").alias("e")
     return targets.select("workbook", entry).select("workbook", F.col("e.key").alias("sheet_name"), joined(F.col("e.value")).alias("refs"))
@@ -354,16 +372,14 @@ def j2_card_targets(spark, sf):
 
 @query
 def j3_fan_out(spark, sf):
-    updates = grid.fan_out(_results(spark, sf), _cards(spark, sf))
-    return updates.select(*grid.CELL_KEY, "value", F.col("seq.target_row").alias("target_row"))
+    return _fan_out(spark, sf).select(*grid.CELL_KEY, "value", F.col("seq.target_row").alias("target_row"))
 
 
 @query
 def j4_upsert(spark, sf):
-    cells = view(spark, sf, "cells")
-    winners = grid.winning_updates(_results(spark, sf), _cards(spark, sf))
-    written = grid.upsert(cells, winners, grid.writable_places())
-    return written.select(*grid.CELL_KEY, "value", "has_formula")
+    cells = _cells(spark, sf)
+    written = grid.upsert(cells, _winners(spark, sf, cells), grid.writable_places())
+    return written.select("sheet_idx", *grid.CELL_KEY, "value", "has_formula")
 
 
 @query
@@ -379,9 +395,8 @@ def j6_part_changes(spark, sf):
 
 @query
 def j7_untouched_cells(spark, sf):
-    cells = view(spark, sf, "cells")
-    winners = grid.winning_updates(_results(spark, sf), _cards(spark, sf))
-    return grid.upsert(cells, winners).join(winners, grid.CELL_KEY, "left_anti").select(*grid.CELL_KEY, "value")
+    cells = _cells(spark, sf)
+    return cells.join(_winners(spark, sf, cells), grid.CELL_KEY, "left_anti").select(*grid.CELL_KEY, "value")
 
 
 @query
@@ -414,7 +429,7 @@ def a3_card_positions(spark, sf):
 
 @query
 def a4_updates_by_sheet(spark, sf):
-    nested = grid.updates_by_sheet(grid.winning_updates(_results(spark, sf), _cards(spark, sf)))
+    nested = grid.updates_by_sheet(_winners(spark, sf, _cells(spark, sf)))
     entry = lambda e: F.concat_ws("=", e["key"], e["value"])
     pairs = F.array_sort(F.transform(F.map_entries("cells"), entry))
     return nested.select("workbook", "sheet_name", joined(pairs).alias("cells"))
@@ -462,8 +477,7 @@ def a10_guardrail(spark, sf):
 
 @query
 def a11_run_counts(spark, sf):
-    updates = grid.fan_out(_results(spark, sf), _cards(spark, sf))
-    return benchmarks.run_counts(updates, _targets(spark, sf))
+    return benchmarks.run_counts(_fan_out(spark, sf), _targets(spark, sf))
 
 
 # --- windows ------------------------------------------------------------------------------------------
@@ -471,8 +485,7 @@ def a11_run_counts(spark, sf):
 
 @query
 def w1_last_write(spark, sf):
-    winners = grid.last_writes(grid.fan_out(_results(spark, sf), _cards(spark, sf)))
-    return winners.select(*grid.CELL_KEY, "value")
+    return grid.last_writes(_fan_out(spark, sf)).select(*grid.CELL_KEY, "value")
 
 
 @query
@@ -571,10 +584,50 @@ def e8_unexpected_changes(spark, sf):
     )
 
 
+@query
+def e8_compiled_allowlist(spark, sf):
+    """Unexpected changes under an allowlist as it would be written to a file."""
+    text = json.dumps({
+        "allowed_changed_parts": ["xl/part25.xml"], "allowed_changed_part_prefixes": ["xl/drawings/"],
+        "allowed_changed_part_patterns": [r"xl/part3\d\.xml"], "allowed_changed_sheet_names": ["S0"],
+        "include_contract_writable_surface_sheet_xml": True,
+    })
+    settings = spark.createDataFrame([(text,)], "body string").select(F.from_json("body", files.ALLOWLIST_SCHEMA).alias("a")).select("a.*")
+    allowlist = diff.compiled_allowlist(settings)
+    changes = diff.part_changes(view(spark, sf, "parts_left"), view(spark, sf, "parts_right"))
+    sheets = view(spark, sf, "sheets")
+    allowed = diff.allowed_parts(allowlist, sheets, sheets.filter("sheet_idx = 4"))
+    return diff.unexpected_changes(changes, allowed, allowlist.parts, allowlist.prefixes, allowlist.patterns)
+
+
+@query
+def e6_state_variants(spark, sf):
+    """Each workbook's own states as the single map, and as a list where the family asks for one."""
+    sheets = view(spark, sf, "sheets")
+    books = sheets.groupBy("workbook").agg(F.map_from_entries(F.collect_list(F.struct("sheet_name", "state"))).alias("own"))
+    listed = F.when(F.length("workbook") % 2 == 0, F.array("own", F.map_filter("own", lambda k, v: v == "hidden")))
+    variants = contract.state_variants(listed, F.col("own"))
+    shown = F.transform(variants, lambda v: joined(F.transform(v, lambda e: F.concat_ws("=", e["key"], e["value"]))))
+    return books.select("workbook", F.array_join(shown, ";").alias("variants"))
+
+
+@query
+def e7_target_variants(spark, sf):
+    """Each workbook's own card cells as JSON text, next to entries that are none."""
+    cards = view(spark, sf, "cards").withColumn("ref", refs.cell_ref(F.lit(5), F.col("card_start") + 1))
+    own = cards.groupBy("workbook", "sheet_name").agg(F.array_sort(F.collect_set("ref")).alias("refs"))
+    books = own.groupBy("workbook").agg(F.map_from_entries(F.collect_list(F.struct("sheet_name", "refs"))).alias("own"))
+    text = F.to_json("own")
+    several = F.concat(F.lit('["malformed", 7, {"S0": "not a list"}, '), text, F.lit("]"))
+    variants = F.array_sort(contract.target_variants(text, several))
+    entry = lambda e: F.concat_ws("=", e["key"], joined(e["value"]))
+    shown = F.transform(variants, lambda v: F.array_join(F.transform(v, entry), " "))
+    return books.select("workbook", F.array_join(F.array_sort(shown), ";").alias("variants"))
+
+
 @query
 def e9_branches(spark, sf):
-    updates = grid.fan_out(_results(spark, sf), _cards(spark, sf))
-    return updates.groupBy("workbook", F.col("seq.branch").alias("branch")).agg(F.count("*").alias("n"))
+    return _fan_out(spark, sf).groupBy("workbook", F.col("seq.branch").alias("branch")).agg(F.count("*").alias("n"))
 
 
 # --- layout ------------------------------------------------------------------------------------------------
@@ -624,9 +677,10 @@ def l6_shift_spans(spark, sf):
 
 @query
 def l7_paged_columns(spark, sf):
+    following = F.lead("start_col").over(W.partitionBy("workbook", "sheet_name").orderBy("start_col"))
     ranges = view(spark, sf, "column_ranges").groupBy("workbook", "sheet_name", "start_col").agg(
-        F.max("attrs").alias("attrs")
-    ).withColumn("end_col", F.col("start_col") + 3)
+        F.max("attrs").alias("attrs"), F.max("end_col").alias("end_col")
+    ).withColumn("end_col", F.least("end_col", F.coalesce(following - 1, "end_col")))
     return layout.paged_columns(ranges, layout.sheet_max_columns(view(spark, sf, "cells")))
 
 
@@ -654,7 +708,7 @@ def l11_page_outlines(spark, sf):
 # --- validation -----------------------------------------------------------------------------------------------
 
 
-def contract_json(family: str, hash_list: list[str]) -> str:
+def contract_json(family: str, hash_list: list[str], write_offset: int = 1) -> str:
     """A contract for the derived workbooks, as it would be written to a file."""
     order = [lx.TARGET_SHEET] + [f"S{i}" for i in range(8)]
     cards: dict[str, list[str]] = {}
@@ -670,13 +724,15 @@ def contract_json(family: str, hash_list: list[str]) -> str:
         },
         "writable_surface": {
             "primary_target": {"sheet_name": lx.TARGET_SHEET, "allowed_ranges": ["G5:G220"]},
+            "linked_card_rules": {"write_column_offset_from_anchor": write_offset},
             "linked_card_targets": cards, "linked_card_targets_variants": ["malformed", {"S0": "not a list"}],
         },
     })
 
 
-def _contracts(spark, sf):
-    rows = [(contract_json(f, [sha256(f.encode()).hexdigest()]),) for f in ("f0", "f1")]
+def _contracts(spark, sf, write_offsets: dict[str, int] | None = None):
+    offsets = write_offsets or {}
+    rows = [(contract_json(f, [sha256(f.encode()).hexdigest()], offsets.get(f, 1)),) for f in ("f0", "f1")]
     raw = spark.createDataFrame(rows, "body string")
     parsed = raw.select(F.from_json("body", files.CONTRACT_SCHEMA).alias("c")).select("c.*")
     return contract.normalise_contracts(parsed)
@@ -693,7 +749,7 @@ def _violations(spark, sf):
     primary = view(spark, sf, "workbooks").select(
         "workbook", F.lit(lx.TARGET_SHEET).alias("sheet_name"), F.lit("G5:G220").alias("cell_range")
     )
-    return contract.surface_violations(view(spark, sf, "writes"), contract.writable_surface(primary, cards))
+    return contract.surface_violations(view(spark, sf, "writes"), primary, cards)
 
 
 def _decisions(spark, sf):
@@ -742,7 +798,7 @@ def v5_package_errors(spark, sf):
     left = jobs.Snapshot(view(spark, sf, "parts_left"), sheets, names, merges(1000), view(spark, sf, "grid_before"))
     right = jobs.Snapshot(view(spark, sf, "parts_right"), moved, names, merges(29), view(spark, sf, "grid_after"))
     surface = sheets.filter("sheet_idx IN (1, 2)").select("workbook", "sheet_name", F.lit("c5").alias("cell_ref"))
-    return jobs.package_errors(left, right, surface, prefixes=["xl/media/"])
+    return jobs.package_errors(left, right, surface, diff.Allowlist(prefixes=("xl/media/",), include_writable=True))
 
 
 @query

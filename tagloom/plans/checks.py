@@ -124,12 +124,12 @@ INDEX = f"""card_index AS (SELECT workbook, link, sheet_idx, sheet_name, 5 AS ro
 ALL_CARDS = f"""all_cards AS (SELECT workbook, sheet_idx, sheet_name, card_start + 1 AS col_num,
   concat({letters('(card_start + 1)')}, '5') AS cell_ref FROM cards WHERE {GOOD_CARDS})"""
 FANNED = f"""{INDEX}, updates AS (
-  SELECT workbook, '2026 list' AS sheet_name, row_num, 7 AS col_num, category AS value, row_num AS target_row, 0 AS branch FROM results
+  SELECT workbook, CAST(NULL AS INT) AS sheet_idx, '2026 list' AS sheet_name, row_num, 7 AS col_num, category AS value, row_num AS target_row, 0 AS branch FROM results
   UNION ALL
-  SELECT r.workbook, c.sheet_name, c.row_num, c.col_num, r.category, r.row_num, 1
+  SELECT r.workbook, c.sheet_idx, c.sheet_name, c.row_num, c.col_num, r.category, r.row_num, 1
   FROM results r JOIN card_index c ON r.workbook = c.workbook AND r.link = c.link)"""
 UPDATES = f"{RESULTS}, {FANNED}"
-LAST = """winners AS (SELECT workbook, sheet_name, row_num, col_num, value FROM (
+LAST = """winners AS (SELECT workbook, sheet_idx, sheet_name, row_num, col_num, value FROM (
   SELECT *, row_number() OVER (PARTITION BY workbook, sheet_name, row_num, col_num ORDER BY target_row DESC, branch DESC) AS rn
   FROM updates) WHERE rn = 1)"""
 WINNERS = f"{UPDATES}, {LAST}"
@@ -165,8 +165,8 @@ UNION ALL SELECT workbook, sheet_name, row_num, 10, title, 's', false FROM posts
 UNION ALL SELECT workbook, sheet_name, row_num, 11, link, 'str', false FROM posts WHERE link <> ''""")
 rest("s5_hyperlinks", ["post_list", "sheets"], FIRST_SHEET,
      "SELECT workbook, sheet_name, concat('K', row_num) AS cell_ref, link AS hyperlink FROM posts WHERE link <> ''")
-check("s6_defined_names", ["workbooks"], """SELECT workbook, 'Total' AS name, NULL AS local_sheet_id, 'SUM(A:A)' AS text FROM workbooks
-UNION ALL SELECT workbook, '_xlnm.Print_Area', 1, 'S0!$B$2' FROM workbooks""")
+check("s6_defined_names", ["cells"], """SELECT DISTINCT workbook, 'Total' AS name, NULL AS local_sheet_id, 'SUM(A:A)' AS text FROM cells
+UNION ALL SELECT DISTINCT workbook, '_xlnm.Print_Area', 1, 'S0!$B$2' FROM cells""")
 rest("s7_merge_ranges", ["post_list", "sheets"], "refs AS (SELECT workbook, concat('A', row_num, ':B', row_num) AS r FROM post_list WHERE doc_id % 40 % 3 = 0)",
      """SELECT s.workbook, s.sheet_name, string_agg(r.r, ',' ORDER BY r.r) AS merges FROM sheets s JOIN refs r ON s.workbook = r.workbook
 WHERE s.part = 'xl/worksheets/sheet1.xml' GROUP BY s.workbook, s.sheet_name""")
@@ -177,7 +177,8 @@ check("s9_single_input", ["input_listing"], "SELECT folder, min(path) AS path FR
 check("s10_newest_artifact", ["listing_before"], "SELECT folder, path, modified FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY modified DESC, path DESC) AS rn FROM listing_before) WHERE rn = 1")
 rest("s12_article_source", ["post_list", "article_pages"], TARGETS,
      "SELECT t.workbook, t.row_num, t.link, p.page_id, sha256(p.html) AS html_sha256 FROM targets t LEFT JOIN article_pages p ON t.link = p.url")
-check("s13_charset_cascade", [], "SELECT doc_id, nullif(text, '') AS text FROM documents")
+check("s13_charset_cascade", ["phrases"], """SELECT d.doc_id, CASE WHEN d.doc_id % 6 >= 3 THEN p.phrase ELSE nullif(d.text, '') END AS text
+FROM documents d JOIN phrases p ON d.doc_id % 30 = p.i""")
 SAFE = f"({strip('kind')} <> '' AND {strip('kind')} NOT IN ('.', '..') AND NOT contains(kind, '/') AND NOT contains(kind, chr(92)))"
 check("s14_dated_output", ["output_names"], f"SELECT o_orderkey, CASE WHEN {SAFE} THEN concat('output/', strftime(o_orderdate, '%y%m%d'), '_', {strip('kind')}, '_', name) END AS path FROM output_names")
 check("s15_qa_output", ["output_names"], f"SELECT o_orderkey, CASE WHEN {SAFE} THEN concat('output/qa/', {strip('kind')}, '/', name) END AS path FROM output_names")
@@ -277,11 +278,13 @@ results AS (SELECT t.workbook, t.row_num, t.link, r.category FROM targets t JOIN
 # --- joins -------------------------------------------------------------------------------------------
 
 rest("j1_card_index", ["cards"], INDEX, "SELECT workbook, link, sheet_name, row_num, col_num FROM card_index")
-rest("j2_card_targets", ["cards", "sheets"], ALL_CARDS, """SELECT c.workbook, c.sheet_name, string_agg(c.cell_ref, ',' ORDER BY c.col_num) AS refs
-FROM all_cards c JOIN sheets s ON c.workbook = s.workbook AND c.sheet_name = s.sheet_name GROUP BY c.workbook, c.sheet_name""")
+rest("j2_card_targets", ["cards", "sheets", "workbooks"], f"""own_cards AS (SELECT c.workbook, c.sheet_name,
+ card_start + CASE WHEN w.family = 'f1' THEN 2 ELSE 1 END AS col_num FROM cards c JOIN workbooks w ON w.workbook = c.workbook
+ WHERE {GOOD_CARDS} AND w.family IN ('f0', 'f1'))""", f"""SELECT c.workbook, c.sheet_name, string_agg(concat({letters('c.col_num')}, '5'), ',' ORDER BY c.col_num) AS refs
+FROM own_cards c JOIN sheets s ON c.workbook = s.workbook AND c.sheet_name = s.sheet_name GROUP BY c.workbook, c.sheet_name""")
 GRID = ["post_list", "cards", "cells"]
 rest("j3_fan_out", GRID, UPDATES, "SELECT workbook, sheet_name, row_num, col_num, value, target_row FROM updates")
-rest("j4_upsert", GRID, WINNERS, UPSERT)
+rest("j4_upsert", GRID, WINNERS, UPSERT.replace("SELECT ", "SELECT coalesce(c.sheet_idx, w.sheet_idx) AS sheet_idx, ", 1))
 SURFACE = f"""{ALL_CARDS}, surface AS (SELECT workbook, sheet_name, cell_ref FROM all_cards
  UNION SELECT workbook, '2026 list', concat('G', r) FROM (SELECT DISTINCT workbook FROM cells), (SELECT unnest(range(5, 221)) AS r))"""
 VIOLATIONS = f"""{SURFACE}, written AS (SELECT workbook, sheet_name, cell_ref, min(seq) AS seq FROM writes GROUP BY ALL),
@@ -316,8 +319,8 @@ rest("a6_max_column", ["cells", "sheets"], MAX_COLS, """SELECT coalesce(m.workbo
 FROM max_cols m FULL JOIN (SELECT * FROM sheets WHERE sheet_idx % 4 = 1) s ON m.workbook = s.workbook AND m.sheet_name = s.sheet_name""")
 STATES = "string_agg(concat(sheet_name, '=', state), ',' ORDER BY sheet_name)"
 check("a7_fingerprint", ["sheets", "workbooks"], f"""SELECT w.workbook, w.file_sha256, w.workbook_xml_sha256,
- string_agg(sheet_name, ',' ORDER BY sheet_idx) AS sheet_order, {STATES} AS sheet_states
-FROM workbooks w JOIN sheets s ON w.workbook = s.workbook GROUP BY ALL""")
+ string_agg(sheet_name, ',' ORDER BY sheet_idx) AS sheet_order, CASE WHEN count(sheet_name) > 0 THEN {STATES} END AS sheet_states
+FROM workbooks w LEFT JOIN sheets s ON w.workbook = s.workbook GROUP BY w.workbook, w.file_sha256, w.workbook_xml_sha256""")
 METRICS = ["load_seconds", "manifest_build_seconds", "classify_seconds", "write_seconds", "save_seconds", "output_stage_seconds", "total_seconds"]
 
 
@@ -342,7 +345,7 @@ FROM (SELECT workbook, count(*) AS n FROM targets GROUP BY workbook) t LEFT JOIN
 
 # --- windows -------------------------------------------------------------------------------------------------
 
-rest("w1_last_write", GRID, WINNERS, "SELECT * FROM winners")
+rest("w1_last_write", GRID, WINNERS, "SELECT workbook, sheet_name, row_num, col_num, value FROM winners")
 rest("w2_progress", ["post_list"], f"""{RESULTS}, numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY workbook ORDER BY row_num) AS INT) AS idx,
  count(*) OVER (PARTITION BY workbook) AS total FROM results)""",
      "SELECT workbook, row_num, idx, total, concat('[', idx, '/', total, '] row=', row_num, ' (rule) -> ', category) AS line FROM numbered")
@@ -385,6 +388,16 @@ check("e5_allowed_hashes", ["workbooks"], "SELECT workbook, CASE WHEN file_sha25
 rest("e8_unexpected_changes", PARTS + ["sheets"], CHANGES, """SELECT workbook, part FROM changes c WHERE status = 'changed' AND part <> 'xl/part25.xml'
  AND NOT starts_with(part, 'xl/media/') AND NOT regexp_full_match(part, 'xl/part3[0-9]\\.xml')
  AND NOT EXISTS (SELECT 1 FROM sheets s WHERE s.workbook = c.workbook AND s.part = c.part AND s.sheet_idx <= 2)""")
+rest("e8_compiled_allowlist", PARTS + ["sheets"], CHANGES, """SELECT workbook, part FROM changes c WHERE status = 'changed' AND part <> 'xl/part25.xml'
+ AND NOT starts_with(part, 'xl/drawings/') AND NOT regexp_full_match(part, 'xl/part3[0-9]\\.xml')
+ AND NOT EXISTS (SELECT 1 FROM sheets s WHERE s.workbook = c.workbook AND s.part = c.part AND (s.sheet_name = 'S0' OR s.sheet_idx = 4))""")
+check("e6_state_variants", ["sheets"], f"""SELECT workbook, CASE WHEN length(workbook) % 2 = 0
+ THEN concat({STATES}, ';', coalesce(string_agg(concat(sheet_name, '=', state), ',' ORDER BY sheet_name) FILTER (state = 'hidden'), ''))
+ ELSE {STATES} END AS variants FROM sheets GROUP BY workbook""")
+rest("e7_target_variants", ["cards"], f"""placed AS (SELECT DISTINCT workbook, sheet_name, concat({letters('(card_start + 1)')}, '5') AS ref FROM cards),
+per_sheet AS (SELECT workbook, sheet_name, string_agg(ref, ',' ORDER BY ref) AS refs FROM placed GROUP BY workbook, sheet_name),
+own AS (SELECT workbook, string_agg(concat(sheet_name, '=', refs), ' ' ORDER BY sheet_name) AS v FROM per_sheet GROUP BY workbook)""",
+     "SELECT workbook, concat(least(v, 'S0='), ';', greatest(v, 'S0=')) AS variants FROM own")
 rest("e9_branches", GRID, UPDATES, "SELECT workbook, branch, count(*) AS n FROM updates GROUP BY workbook, branch")
 
 # --- layout -----------------------------------------------------------------------------------------------------------
@@ -399,8 +412,9 @@ rest("l3_print_area", ["cells"], AREAS, "SELECT * FROM areas")
 check("l4_shift_marker", [], f"SELECT {ITEM}, {shifted('(l_partkey + 1)')} - 1 AS col FROM lineitem")
 check("l5_shift_refs", [], f"""SELECT {ITEM}, l_suppkey, concat({letters(shifted('l_linenumber'))}, l_partkey, ' B2:', {letters(shifted('(2 + l_suppkey % 24)'))}, '35 other') AS refs FROM lineitem""")
 check("l6_shift_spans", [], f"SELECT {ITEM}, concat({shifted('l_linenumber')}, ':', {shifted('l_partkey')}) AS span FROM lineitem")
-rest("l7_paged_columns", ["column_ranges", "cells"], f"""{MAX_COLS}, opened AS (SELECT workbook, sheet_name, unnest(range(start_col, start_col + 4)) AS c, attrs
- FROM (SELECT workbook, sheet_name, start_col, max(attrs) AS attrs FROM column_ranges GROUP BY ALL)),
+rest("l7_paged_columns", ["column_ranges", "cells"], f"""{MAX_COLS}, disjoint AS (SELECT workbook, sheet_name, start_col, attrs, least(end_col, coalesce(lead(start_col) OVER (PARTITION BY workbook, sheet_name ORDER BY start_col) - 1, end_col)) AS end_col
+ FROM (SELECT workbook, sheet_name, start_col, max(attrs) AS attrs, max(end_col) AS end_col FROM column_ranges GROUP BY workbook, sheet_name, start_col)),
+opened AS (SELECT workbook, sheet_name, unnest(range(start_col, end_col + 1)) AS c, attrs FROM disjoint),
 cols AS (SELECT workbook, sheet_name, {shifted('c')} AS col_num, attrs FROM opened
  UNION ALL SELECT workbook, sheet_name, 1 + p * 7, '{{"customWidth":"1","width":"0.875"}}' FROM (SELECT workbook, sheet_name,
   unnest(range(1, CAST(ceil((max_col - 1) / 6.0) AS INT) + 1)) AS p FROM max_cols)), {islands('cols')}""", ISLANDS)
@@ -433,21 +447,22 @@ prints AS (SELECT w.*, c.n, c.sheet_order, c.states, c.targets, o.card_refs FROM
 EXPECTED_CARDS = """expected AS (SELECT string_agg(e, ';' ORDER BY e) AS card_refs FROM (SELECT concat('S', s % 8, '=',
  string_agg(['C5', 'I5', 'O5', 'U5', 'AA5'][s // 8 + 1], ',' ORDER BY s)) AS e FROM (SELECT unnest(range(0, 40)) AS s)
  WHERE s NOT IN (3, 14, 25, 36, 5, 18, 31, 1, 35) GROUP BY s % 8))"""
-FAMILY = "differs from supported workbook family"
 TESTS = [
-    ("n <> 9", "unsupported_sheet_count", f"sheet count {FAMILY}"),
+    ("family NOT IN ('f0', 'f1')", "unsupported_missing_contract", "no contract for this workbook family"),
+    ("n IS NULL", "unsupported_missing_catalogue", "the sheet catalogue of the workbook cannot be read"),
+    ("n <> 9", "unsupported_sheet_count", "sheet count differs from supported workbook family"),
     ("targets = 0", "unsupported_missing_target_sheet", "missing required sheet 2026 list"),
-    (f"sheet_order <> '{ORDER}'", "unsupported_sheet_order", f"sheet order {FAMILY}"),
-    (f"states <> '{GOOD_STATES}'", "unsupported_sheet_state", f"sheet hidden-state map {FAMILY}"),
+    (f"sheet_order <> '{ORDER}'", "unsupported_sheet_order", "sheet order differs from supported workbook family"),
+    (f"states <> '{GOOD_STATES}'", "unsupported_sheet_state", "sheet hidden-state map differs from supported workbook family"),
     ("card_refs IS DISTINCT FROM (SELECT card_refs FROM expected)", "unsupported_missing_linked_card_layout",
      "linked-card write targets differ from supported workbook family"),
-    ("workbook_xml_sha256 <> sha256(family)", "unsupported_workbook_family_signature", f"workbook.xml fingerprint {FAMILY}"),
+    ("workbook_xml_sha256 <> sha256(family)", "unsupported_workbook_family_signature", "workbook.xml fingerprint differs from supported workbook family"),
 ]
 CODE = "CASE " + " ".join(f"WHEN {t} THEN '{c}'" for t, c, _ in TESTS) + " END AS code"
 DETAIL = "CASE " + " ".join(f"WHEN {t} THEN '{d}'" for t, _, d in TESTS) + " END AS detail"
 CHECKED = f"{PRINTS}, {EXPECTED_CARDS}, checked AS (SELECT workbook, family, {CODE}, {DETAIL} FROM prints)"
 rest("v1_contract_check", ["cards", "sheets", "workbooks"], CHECKED, "SELECT * FROM checked")
-rest("v2_runtime_contract", ["cards", "sheets", "workbooks"], PRINTS, "SELECT workbook, family, '2026 list' AS target_sheet, states, card_refs FROM prints")
+rest("v2_runtime_contract", ["cards", "sheets", "workbooks"], PRINTS, "SELECT workbook, family, '2026 list' AS target_sheet, states, coalesce(card_refs, '') AS card_refs FROM prints WHERE family IN ('f0', 'f1')")
 DECIDED = f"""{CHECKED}, {VIOLATIONS.replace(ALL_CARDS + ', ', '')}, {FIRST_VIOLATION},
 decided AS (SELECT c.workbook, CASE WHEN c.code IS NULL AND v.code IS NULL THEN 'primary_template_value_only' ELSE 'unsupported_variant' END AS writer,
  'hard_fail' AS policy, c.code IS NULL AND v.code IS NULL AS supported, coalesce(c.code, v.code) AS reason_code, coalesce(c.detail, v.detail) AS detail

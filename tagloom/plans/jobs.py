@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -11,7 +10,8 @@ from pyspark.sql import functions as F
 from tagloom.functions.rules import classify_general
 from tagloom.functions.bind import evaluate_once
 from tagloom.operators import benchmarks, contract, diff, grid, tiers
-from tagloom.operators.grid import CardRules
+from tagloom.operators.grid import CardRules, TargetRules
+from tagloom.operators.lineage import cut_lineage
 from tagloom.sources import packages
 
 
@@ -31,13 +31,25 @@ def rule_results(targets: DataFrame) -> DataFrame:
     return labelled.select("workbook", "row_num", "link", "category", F.lit("rule").alias("method"))
 
 
-def classify_grids(cells: DataFrame, pages: DataFrame, scorers: tiers.Scorers, **options) -> Batch:
-    """Label every target of every workbook and write the labels into the grid."""
-    targets = grid.target_rows(cells)
-    results = tiers.resolve_categories(targets, pages, scorers, **options)
-    cards = grid.card_cells(cells)
-    updates = grid.winning_updates(results, cards)
-    written = grid.upsert(cells, updates, grid.writable_places())
+def classify_grids(
+    cells: DataFrame,
+    pages: DataFrame,
+    scorers: tiers.Scorers,
+    stage: tiers.Stage = cut_lineage,
+    target_rules: TargetRules = TargetRules(),
+    card_rules: CardRules = CardRules(),
+) -> Batch:
+    """Label every target of every workbook and write the labels into the grid.
+
+    Cells and results are staged: packages are read once and each model is
+    called once however many of the tables are used.
+    """
+    cells = stage(cells)
+    targets = grid.target_rows(cells, target_rules)
+    results = tiers.resolve_categories(targets, pages, scorers, stage=stage)
+    cards = grid.card_cells(cells, card_rules)
+    updates = grid.winning_updates(results, cards, target_rules)
+    written = grid.upsert(cells, updates, grid.writable_places(card_rules, target_rules))
     return Batch(results, cards, updates, grid.category_summary(results), written)
 
 
@@ -47,17 +59,21 @@ def decide_writers(
     workbooks: DataFrame,
     contracts: DataFrame,
     updates: DataFrame,
-    rules: CardRules = CardRules(),
+    unreadable: DataFrame | None = None,
+    stage: tiers.Stage = cut_lineage,
 ) -> DataFrame:
-    """Contract and surface checks of each workbook, first failure reported."""
-    cards = grid.card_cells(cells, rules, skip_final=False)
+    """Contract and surface checks of each workbook, first failure reported.
+
+    Cards are found by the rules of each workbook's contract, once.
+    """
+    rules = contract.contract_card_rules(workbooks, contracts)
+    cards = stage(grid.card_cells(cells, rules, skip_final=False))
     prints = contract.fingerprints(sheets, workbooks, contract.card_targets(cards, sheets))
-    checks = contract.check_contracts(prints, contracts)
+    checks = contract.check_contracts(prints, contracts, unreadable)
     primary = workbooks.join(contracts, "family").select(
         "workbook", F.col("target_sheet").alias("sheet_name"), F.explode("allowed_ranges").alias("cell_range")
     )
-    surface = contract.writable_surface(primary, cards)
-    return contract.writer_decisions(checks, contract.surface_violations(updates, surface))
+    return contract.writer_decisions(checks, contract.surface_violations(updates, primary, cards))
 
 
 class Snapshot(NamedTuple):
@@ -83,24 +99,18 @@ def package_errors(
     template: Snapshot,
     output: Snapshot,
     surface: DataFrame,
-    exact: Sequence[str] = (),
-    prefixes: Sequence[str] = (),
-    patterns: Sequence[str] = (),
-    changeable_sheets: DataFrame | None = None,
+    allowlist: diff.Allowlist = diff.Allowlist(),
 ) -> DataFrame:
     """All violations of the package invariants: ``(workbook, error_kind, item)``.
 
-    ``surface(workbook, sheet_name, cell_ref)`` are the writable cells; their
-    sheets may change, but only there.  ``changeable_sheets(workbook,
-    sheet_name)`` may change freely.
+    ``surface(workbook, sheet_name, cell_ref)`` are the writable cells.  If the
+    allowlist includes them, their sheets may change, but only there; the
+    sheets that it names may change freely.
     """
     changes = diff.part_changes(template.parts, output.parts)
     writable_sheets = surface.select("workbook", "sheet_name").distinct()
-    writable_parts = diff.sheet_parts(writable_sheets, template.sheets)
-    allowed = writable_parts
-    if changeable_sheets is not None:
-        allowed = allowed.unionByName(diff.sheet_parts(changeable_sheets, template.sheets))
-    unexpected = diff.unexpected_changes(changes, allowed, exact, prefixes, patterns)
+    allowed = diff.allowed_parts(allowlist, template.sheets, writable_sheets)
+    unexpected = diff.unexpected_changes(changes, allowed, allowlist.parts, allowlist.prefixes, allowlist.patterns)
 
     in_changed = template.sheets.join(
         changes.filter("status = 'changed'").select("workbook", "part"), ["workbook", "part"], "left_semi"

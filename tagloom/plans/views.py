@@ -56,7 +56,7 @@ SELECT k.doc_id, k.workbook, k.row_num,
        CASE WHEN (k.doc_id + k.wb) % 5 = 0 THEN '긍정_제품후기'
             WHEN (k.doc_id + k.wb) % 5 = 1 THEN '부정_제품반응' ELSE '반응_제품반응' END AS marker,
        CASE WHEN k.doc_id % 37 = 0 THEN '   '
-            ELSE concat('  ', h.phrase, chr(10), ' ', split_part(k.text, ' ', 1), '  ') END AS title,
+            ELSE concat('  ', h.phrase, chr(10), ' ', k.text, '  ') END AS title,
        CASE WHEN k.doc_id % 7 = 0 THEN NULL WHEN k.doc_id % 11 = 0 THEN ''
             WHEN k.doc_id % 3 = 0 THEN k.hot_url ELSE p.url END AS link
 FROM {keyed} k JOIN {phrases} h ON (k.doc_id + 7 * k.wb) % 30 = h.i
@@ -103,8 +103,11 @@ WHERE NOT (dv = 3 AND sheet_name = 'S7')
 WORKBOOKS = """
 SELECT workbook, family, sha256(workbook) AS file_sha256, sha256(seed) AS workbook_xml_sha256
 FROM (SELECT workbook, family, CASE WHEN wb % 8 = 7 THEN workbook ELSE family END AS seed
-      FROM (SELECT workbook, wb, concat('f', CAST(wb % 2 AS STRING)) AS family
-            FROM (SELECT DISTINCT workbook, CAST(substr(workbook, 3) AS BIGINT) AS wb FROM {cells}) a) b) c
+      FROM (SELECT CASE WHEN twin = 1 THEN concat(workbook, '-cut') ELSE workbook END AS workbook, wb,
+                   CASE WHEN wb % 5 = 3 THEN 'unknown' ELSE concat('f', CAST(wb % 2 AS STRING)) END AS family
+            FROM (SELECT workbook, wb, unnest([0, 1]) AS twin
+                  FROM (SELECT DISTINCT workbook, CAST(substr(workbook, 3) AS BIGINT) AS wb FROM {cells}) a) t
+            WHERE twin = 0 OR wb % 5 = 2) b) c
 """
 
 WRITES = """
@@ -200,7 +203,7 @@ FROM {cards}
 """
 
 BENCH_RUNS = """
-SELECT event_id, CASE WHEN user_id % 2 = 0 THEN 'primary' ELSE 'legacy' END AS writer,
+SELECT event_id, CASE WHEN user_id % 5 = 4 THEN 'other' WHEN user_id % 2 = 0 THEN 'primary' ELSE 'legacy' END AS writer,
        value AS load_seconds, value / 8 AS manifest_build_seconds, value * 2 AS classify_seconds,
        CASE WHEN user_id % 2 = 0 THEN value / 4 ELSE value END AS write_seconds,
        value / 4 AS save_seconds, value * 8 AS total_seconds
@@ -245,7 +248,7 @@ SELECT DISTINCT workbook, 'Total', CAST(NULL AS INT), 'SUM(A:A)' FROM {sheets}
 """
 
 TABS = """
-SELECT workbook, CAST(CAST(substr(workbook, 3) AS BIGINT) % 9 AS INT) AS active_tab FROM {workbooks}
+SELECT DISTINCT workbook, CAST(CAST(substr(workbook, 3) AS BIGINT) % 9 AS INT) AS active_tab FROM {cells}
 """
 
 RANGES = """
@@ -258,7 +261,12 @@ UNION ALL
 SELECT workbook, '2026 list', 'G5:G220' FROM {workbooks}
 """
 
+PHRASE_BYTES = "SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{phrase.encode('cp949').hex()}')" for i, phrase in re.findall(r"\((\d+),'([^']*)'\)", PHRASES)
+) + ") AS t(i, cp949)"
+
 VIEWS: dict[str, str] = {
+    "phrase_bytes": PHRASE_BYTES,
     "phrases": PHRASES, "answers": ANSWERS, "keyed": KEYED_DOCUMENTS, "post_list": POST_LIST,
     "cards": CARDS, "cells": CELLS, "sheets": SHEETS, "workbooks": WORKBOOKS, "writes": WRITES,
     "article_pages": ARTICLE_PAGES, "attempts": ATTEMPTS, "model_answers": MODEL_ANSWERS,
@@ -274,20 +282,21 @@ def _needs(sql: str) -> list[str]:
     return sorted({n for n in re.findall(r"(?<!\{)\{([a-z_]+)\}(?!\})", sql)})
 
 
-_BUILT: dict[tuple[str, int, str, str], DataFrame] = {}
-
-
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table, or a derived view, as a DataFrame (its plan is analysed once per session)."""
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir, name)
-    if key not in _BUILT:
-        if name in TABLES:
-            _BUILT[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        else:
-            sql = re.sub(r"sha256\((\w+)\)", r"sha2(\1, 256)", VIEWS[name])
-            sql = re.sub(r"unnest\(\[(.*?)\]\)", r"explode(array(\1))", sql)
-            _BUILT[key] = spark.sql(sql, **{n: view(spark, sf_dir, n) for n in _needs(sql)})
-    return _BUILT[key]
+    """A given table, or a derived view, as a DataFrame; each table is listed once for a view."""
+    built: dict[str, DataFrame] = {}
+
+    def build(wanted: str) -> DataFrame:
+        if wanted not in built:
+            if wanted in TABLES:
+                built[wanted] = spark.read.parquet(f"{sf_dir}/{wanted}.parquet")
+            else:
+                sql = re.sub(r"sha256\((\w+)\)", r"sha2(\1, 256)", VIEWS[wanted])
+                sql = re.sub(r"unnest\(\[(.*?)\]\)", r"explode(array(\1))", sql)
+                built[wanted] = spark.sql(sql, **{n: build(n) for n in _needs(sql)})
+        return built[wanted]
+
+    return build(name)
 
 
 def with_clause(names: list[str]) -> str:

@@ -6,6 +6,8 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from tagloom.operators.lineage import local_folder  # noqa: E402
+
 
 def session() -> SparkSession:
     spark = (
@@ -19,6 +21,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("OFF")
+    local_folder(spark)
     return spark
 
 

@@ -20,10 +20,12 @@ def test_expand_ranges(spark):
 
 
 def test_violations_and_first(spark):
-    surface = spark.createDataFrame([("w", "2026 list", "G5"), ("w", "IB", "C5")], SURFACE)
+    primary = spark.createDataFrame([("w", "2026 list", "G5:G9"), ("u", "S", "A1:XFD1048576")], "workbook string, sheet_name string, cell_range string")
+    cards = spark.createDataFrame([("w", "IB", 5, 3)], "workbook string, sheet_name string, row_num int, col_num int")
     writes = spark.createDataFrame(
-        [("w", "2026 list", "G5", 1), ("w", "2026 list", "H5", 3), ("w", "XX", "A1", 2), ("w", "IB", "C5", 4), ("v", "2026 list", "G5", 1)], WRITE)
-    found = contract.surface_violations(writes, surface)
+        [("w", "2026 list", "G5", 1), ("w", "2026 list", "H5", 3), ("w", "XX", "A1", 2), ("w", "IB", "C5", 4), ("v", "2026 list", "G5", 1),
+         ("u", "S", "ZZ99999", 1)], WRITE)
+    found = contract.surface_violations(writes, primary, cards)
     assert {(r.workbook, r.sheet_name, r.cell_ref, r.code) for r in found.collect()} == {
         ("w", "2026 list", "H5", "unsupported_write_cell"), ("w", "XX", "A1", "unsupported_write_sheet"),
         ("v", "2026 list", "G5", "unsupported_write_sheet")}
@@ -80,6 +82,22 @@ def test_contract_checks_and_decisions(spark):
     assert {r.workbook: r.card_variants[0] for r in own.collect()}["w6"] == []
 
 
+def test_what_cannot_be_checked_is_not_supported(spark):
+    columns = [f.name for f in spark.createDataFrame([], PRINT_SCHEMA).schema]
+    rows = [{**PRINT, "workbook": "ok"}, {**PRINT, "workbook": "no family", "family": "x"}, {**PRINT, "workbook": "twice", "family": "g"},
+            {**PRINT, "workbook": "no list", "sheet_order": None, "sheet_states": None}, {**PRINT, "workbook": "cut"}]
+    prints = spark.createDataFrame([tuple(r[c] for c in columns) for r in rows], PRINT_SCHEMA)
+    names = [f.name for f in spark.createDataFrame([], CONTRACT_SCHEMA).schema]
+    contracts = spark.createDataFrame([tuple({**CONTRACT, "family": f}[c] for c in names) for f in ("f", "g", "g")], CONTRACT_SCHEMA)
+    unreadable = spark.createDataFrame([("cut", "xl/workbook.xml")], "workbook string, part string")
+    checks = contract.check_contracts(prints, contracts, unreadable)
+    assert {r.workbook: r.code for r in checks.collect()} == {
+        "ok": None, "no family": "unsupported_missing_contract", "twice": "unsupported_ambiguous_contract",
+        "no list": "unsupported_missing_catalogue", "cut": "unsupported_unreadable_part"}
+    none = spark.createDataFrame([], WRITE + ", code string, detail string")
+    assert [r.workbook for r in contract.writer_decisions(checks, none).filter("supported").collect()] == ["ok"]
+
+
 def test_state_variants_and_hashes(spark):
     df = spark.createDataFrame(
         [([{"b": "1", "a": "2"}], {"x": "y"}, "h", ["i", "h"]), ([], {"x": "y"}, "", None), (None, {}, None, ["j"])],
@@ -100,6 +118,11 @@ def test_part_changes_and_allowlist(spark):
     allowed = spark.createDataFrame([("w", "a")], "workbook string, part string")
     none = allowed.limit(0)
     names = lambda df: {r.part for r in df.collect()}
+    settings = "allowed_changed_parts array<string>, allowed_changed_part_prefixes array<string>, allowed_changed_part_patterns array<string>, allowed_changed_sheet_names array<string>, include_contract_writable_surface_sheet_xml boolean, contract_path string"
+    compiled = diff.compiled_allowlist(spark.createDataFrame([(["e"], None, [r"d\.xml"], ["S"], True, None)], settings))
+    assert compiled == diff.Allowlist(("e",), (), (r"d\.xml",), ("S",), True, None)
+    with pytest.raises(ValueError):
+        diff.compiled_allowlist(spark.createDataFrame([], settings))
     assert names(diff.unexpected_changes(changes, none)) == {"a", "xl/media/c", "d.xml"}
     assert names(diff.unexpected_changes(changes, allowed, prefixes=["xl/media/"], patterns=[r"d\.xm", "d"])) == {"d.xml"}
     assert names(diff.unexpected_changes(changes, allowed, exact=["xl/media/c"], patterns=[r"d\.xml"])) == set()
@@ -134,9 +157,9 @@ def test_new_evidence_and_verdict(spark):
 # --- benchmark summaries ---------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("narrowings", [0, 1, 2, 3])
-def test_exact_median(spark, narrowings):
-    rnd = random.Random(narrowings)
+@pytest.mark.parametrize("last_values", [20, 100, 20_000])
+def test_exact_median(spark, last_values):
+    rnd = random.Random(last_values)
     groups = {
         "one": [3.5], "two": [1.0, 4.0], "same": [2.0] * 999, "ties": [1.0] * 500 + [2.0] * 500,
         "normal": [rnd.gauss(0, 1) for _ in range(5001)], "tail": [rnd.random() ** -3 for _ in range(4000)],
@@ -144,7 +167,7 @@ def test_exact_median(spark, narrowings):
     }
     rows = [(k, v) for k, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "k string, v double").repartition(8)
-    got = {r.k: r.median for r in benchmarks.exact_median(df, ["k"], "v", narrowings=narrowings).collect()}
+    got = {r.k: r.median for r in benchmarks.exact_median(df, ["k"], "v", last_values=last_values).collect()}
     assert got == {k: statistics.median(v) for k, v in groups.items()}
 
 
@@ -164,6 +187,9 @@ def test_benchmark_summary(spark):
     assert (row.passed, row.route, row.justification) == (True, "speedup", None)
     medians = {r.writer: r for r in benchmarks.median_metrics(benchmarks.run_metrics(runs)).collect()}
     assert medians["primary"].output_stage_seconds == 3.0 and medians["legacy"].manifest_build_seconds == 0.2
+    named = spark.createDataFrame([run_rows("new", 1.0, 1.0), run_rows("old", 9.0, 9.0), run_rows("third", 1.0, 0.0)], schema)
+    row = benchmark_summary(named, candidate="new", baseline="old").first()
+    assert (row.output_stage_speedup_factor_baseline_vs_candidate, row.passed, row.route) == (9.0, True, "speedup")
     slow = spark.createDataFrame([run_rows("primary", 9.0, 2.0), run_rows("legacy", 8.0, 2.0)], schema)
     assert benchmark_summary(slow, justification="x").first().route == "failed"
 

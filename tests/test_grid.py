@@ -9,7 +9,7 @@ from tagloom.functions import layout as lay
 from tagloom.functions import lexicon as lx
 from tagloom.functions import refs
 from tagloom.operators import grid, layout
-from tagloom.operators.skew import heavy_keys, spread_lookup
+from tagloom.operators.skew import spread_lookup
 
 CELL = "workbook string, sheet_idx int, sheet_name string, row_num int, col_num int, value string, hyperlink string, has_formula boolean"
 
@@ -112,6 +112,7 @@ def test_fan_out_and_upsert_against_brute_force(spark):
     assert got == sorted(updates)
     winners = grid.winning_updates(frame, found)
     assert {tuple(r)[:5] for r in winners.collect()} == {tuple(r)[:5] for r in grid.last_writes(all_updates).collect()}
+    assert all(r.sheet_idx is not None for r in winners.filter("sheet_name <> '2026 list'").collect())
     for places in (None, grid.writable_places()):
         after = {(r.workbook, r.sheet_name, r.row_num, r.col_num): (r.value, r.has_formula)
                  for r in grid.upsert(cells, winners, places).collect()}
@@ -120,9 +121,16 @@ def test_fan_out_and_upsert_against_brute_force(spark):
 
 def test_upsert_creates_missing_cells(spark):
     cells = cells_of(spark, [("w", 0, "2026 list", 5, 5, "원본값", None, False)])
-    new = spark.createDataFrame([("w", "2026 list", 5, 7, "반응_문의")], "workbook string, sheet_name string, row_num int, col_num int, value string")
-    got = {(r.col_num, r.value) for r in grid.upsert(cells, new, grid.writable_places()).collect()}
-    assert got == {(5, "원본값"), (7, "반응_문의")}
+    new = spark.createDataFrame([("w", 3, "IB", 5, 7, "반응_문의")], "workbook string, sheet_idx int, sheet_name string, row_num int, col_num int, value string")
+    got = {(r.sheet_idx, r.col_num, r.value) for r in grid.upsert(cells, new, grid.writable_places()).collect()}
+    assert got == {(0, 5, "원본값"), (3, 7, "반응_문의")}
+
+
+def test_target_rows_elsewhere(spark):
+    rules = grid.TargetRules(sheet="other", marker="open", marker_column=1, title_column=2, link_column=3, first_row=300, last_row=400)
+    cells = cells_of(spark, [("w", 0, "other", r, c, v, None, False) for r in (299, 300, 400) for c, v in ((1, "open"), (2, "제목"), (3, "l"))])
+    assert sorted(r.row_num for r in grid.target_rows(cells, rules).collect()) == [300, 400]
+    assert grid.target_rows(cells).count() == 0
 
 
 def test_reports(spark):
@@ -140,12 +148,8 @@ def test_hot_keys_are_split_and_nothing_is_lost(spark):
         "id", F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.col("id").cast("string")).alias("k"))
     right = spark.range(3000).select(F.col("id").cast("string").alias("k"), (F.col("id") * 2).alias("v")).union(
         spark.createDataFrame([("hot", -1)], "k string, v long"))
-    counts = left.groupBy("k").count().withColumnRenamed("count", "n")
-    heavy = heavy_keys(counts, "k", heavy_rows=100)
-    assert [(r.k, r._parts) for r in heavy.collect()] == [("hot", 10)]
-    assert heavy_keys(counts, "k") is None
-    for found in (heavy, None):
-        got = {r.id: (r.k, r.v) for r in spread_lookup(left, right, "k", [F.col("id")], found).collect()}
+    for parts in (1, 16):
+        got = {r.id: (r.k, r.v) for r in spread_lookup(left, right, "k", [F.col("id")], parts).collect()}
         assert len(got) == 3000
         assert all(got[i] == (("hot", -1), (str(i), 2 * i), (None, None))[i % 3] for i in range(3000))
 

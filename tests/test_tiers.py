@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -48,8 +50,8 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("heavy_rows, cut", [(1_000_000, True), (1, False)])
-def test_decision_table(spark, heavy_rows, cut):
+@pytest.mark.parametrize("cut", [True, False])
+def test_decision_table(spark, cut):
     asked = {k: [] for k in ("title_first", "title_second", "body_first", "body_second")}
     first = {t: a for t, _, a, *_ in CASES if a}
     second = {t: b for t, _, _, b, *_ in CASES if b}
@@ -61,7 +63,7 @@ def test_decision_table(spark, heavy_rows, cut):
     targets = spark.createDataFrame(rows, "workbook string, row_num int, title string, link string")
     pages = spark.createDataFrame(list(PAGES.items()), "url string, html string")
     options = {} if cut else {"stage": lambda df: df}
-    got = tiers.resolve_categories(targets, pages, scorers, heavy_rows=heavy_rows, **options)
+    got = tiers.resolve_categories(targets, pages, scorers, **options)
     result = {(r.workbook, r.row_num): (r.category, r.method) for r in got.collect()}
     assert result == {(b, i): (c[4], c[5]) for b in "wv" for i, c in enumerate(CASES)}
     # Each text goes out once, and only where no cheaper tier settled it.
@@ -115,3 +117,31 @@ def test_whole_batch(spark):
     assert after["2026 list", 6, 5] == "keep" and len(after) == len(rows)
     assert {(r.category, r.n) for r in batch.summary.filter("n > 0").collect()} == {(INFO, 1)}
     assert [r.method for r in batch.results.collect()] == ["article"]
+
+
+def test_each_model_is_called_once_for_all_tables(spark):
+    """A random scorer that counts its calls: one for each text, and all tables agree."""
+    calls = spark.sparkContext.accumulator(0)
+    replies = [say(label) for label in (INFO, TRADE, INQUIRY)]
+
+    def score(requests):
+        def answer(frames):
+            for frame in frames:
+                calls.add(len(frame))
+                yield frame[["item"]].assign(attempt=1, status="ok", response=[random.choice(replies) for _ in range(len(frame))])
+
+        return requests.mapInPandas(answer, "item string, attempt int, status string, response string")
+
+    cell = "workbook string, sheet_idx int, sheet_name string, row_num int, col_num int, value string, hyperlink string, has_formula boolean"
+    rows = []
+    for row in range(5, 27):
+        rows += [("w", 0, "2026 list", row, 7, "반응_제품반응", None, False), ("w", 0, "2026 list", row, 10, f"애매한 제목 {row}", None, False)]
+    batch = jobs.classify_grids(
+        spark.createDataFrame(rows, cell), spark.createDataFrame(list(PAGES.items()), "url string, html string"),
+        tiers.Scorers(score, score, score, score))
+    results = {r.row_num: r.category for r in batch.results.collect()}
+    assert {r.row_num: r.value for r in batch.updates.collect()} == results
+    assert {r.row_num: r.value for r in batch.cells.filter("col_num = 7").collect()} == results
+    counts = {r.category: r.n for r in batch.summary.filter("n > 0").collect()}
+    assert counts == {c: list(results.values()).count(c) for c in set(results.values())}
+    assert calls.value == 22
