@@ -50,7 +50,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str = "text", limit: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a part have about ``limit`` bytes; a longer text is a part of its own."""
     sizes = np.diff(utf8(batch.column(column))[1])
     first, held = 0, 0
@@ -78,7 +78,7 @@ def words_of(
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, run: int = 1 << 21) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, run: int = 1 << 19) -> np.ndarray:
     """A 64-bit polynomial hash of each word's bytes, worked out over runs of about ``run`` bytes."""
     out = np.empty(len(starts), np.uint64)
     at = 0
@@ -94,7 +94,7 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, run: int
     return mixed(out)
 
 
-def window_hashes(hashes: np.ndarray, size: int, run: int = 1 << 20) -> np.ndarray:
+def window_hashes(hashes: np.ndarray, size: int, run: int = 1 << 18) -> np.ndarray:
     """Rabin-Karp hashes of all windows of ``size`` consecutive values, whatever text they lie in."""
     count = len(hashes) - size + 1
     out = np.empty(max(0, count), np.uint64)
