@@ -104,15 +104,17 @@ def unexpected_changes(
 def cell_drift(template: DataFrame, output: DataFrame, surface: DataFrame) -> DataFrame:
     """Cells of two grids that differ by more than an approved value.
 
-    Of a writable cell only the presence, the formula and whether it carries a
-    type are compared; of any other cell everything.  Grids have ``cell_ref``,
-    ``value``, ``cell_type`` and ``has_formula``.
+    Of a writable cell the presence, the formula, the style and whether it
+    carries a type are compared; of any other cell everything.  Grids have
+    ``cell_ref``, ``value``, ``cell_type`` and ``has_formula``, and ``formula``
+    and ``style`` where they know them.
     """
+    more = [c for c in ("formula", "style") if c in template.columns and c in output.columns]
     key = ["workbook", "sheet_name", "cell_ref"]
     upper = F.upper(F.col("cell_ref")).alias("cell_ref")
 
     def side(cells: DataFrame, tag: str) -> DataFrame:
-        columns = ("value", "cell_type", "has_formula")
+        columns = ("value", "cell_type", "has_formula", *more)
         return cells.select(
             "workbook", "sheet_name", upper,
             *[F.col(c).alias(f"{tag}_{c}") for c in columns], F.lit(True).alias(tag),
@@ -124,12 +126,18 @@ def cell_drift(template: DataFrame, output: DataFrame, surface: DataFrame) -> Da
     same_text = F.coalesce("l_value", F.lit("")).eqNullSafe(F.coalesce("r_value", F.lit("")))
     same_typed = F.col("l_cell_type").isNull() == F.col("r_cell_type").isNull()
     one_sided = F.col("l").isNull() | F.col("r").isNull()
-    kept = F.when(F.col("writable").isNotNull(), same_typed & same("has_formula")).otherwise(
-        same_text & same("cell_type") & same("has_formula")
-    )
+    kept = same("has_formula")
+    for column in more:
+        kept = kept & same(column)
+    kept = kept & F.when(F.col("writable").isNotNull(), same_typed).otherwise(same_text & same("cell_type"))
     return both.filter(one_sided | ~kept).select(*key)
 
 
+def element_drift(template: DataFrame, output: DataFrame) -> DataFrame:
+    """Sheet elements besides cells that differ or that one side lacks: ``(workbook, sheet_name, element)``."""
+    return changed_values(template, output, "content", ["workbook", "sheet_name", "element"])
+
+
 def changed_values(
     template: DataFrame, output: DataFrame, column: str, keys: list[str]
 ) -> DataFrame:

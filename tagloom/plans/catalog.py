@@ -20,7 +20,7 @@ from tagloom.operators import benchmarks, contract, diff, grid, layout, tiers
 from tagloom.operators.lineage import cut_lineage, local_folder
 from tagloom.plans import jobs
 from tagloom.plans.views import view
-from tagloom.plans.xml_parts import package_parts
+from tagloom.plans.xml_parts import damaged_parts, package_parts
 from tagloom.sources import charset, files, outputs, packages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,6 +110,11 @@ def _page_table(spark, sf):
 # --- scans ---------------------------------------------------------------------------
 
 
+@query
+def s1_unreadable_parts(spark, sf):
+    return packages.unreadable_parts(damaged_parts(spark, sf))
+
+
 @query
 def s2_sheet_catalogue(spark, sf):
     return packages.sheet_catalogue(package_parts(spark, sf))
@@ -123,7 +128,7 @@ def s3_shared_strings(spark, sf):
 @query
 def s4_cell_scan(spark, sf):
     parts = package_parts(spark, sf)
-    return packages.cells(parts, packages.sheet_catalogue(parts)).drop("sheet_idx", "hyperlink")
+    return packages.cells(parts, packages.sheet_catalogue(parts)).drop("sheet_idx", "hyperlink", "formula", "style")
 
 
 @query
@@ -807,6 +812,13 @@ def v6_cell_drift(spark, sf):
     return diff.cell_drift(view(spark, sf, "grid_before"), view(spark, sf, "grid_after"), surface)
 
 
+@query
+def v6_sheet_drift(spark, sf):
+    parts = package_parts(spark, sf)
+    sheets = packages.sheet_catalogue(parts)
+    return diff.element_drift(packages.sheet_elements(parts, sheets), packages.sheet_elements(damaged_parts(spark, sf), sheets))
+
+
 SINCE = "2024-01-10 00:00:00"
 
 

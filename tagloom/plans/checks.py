@@ -155,6 +155,10 @@ def summary(table: str) -> str:
 # --- scans ---------------------------------------------------------------------------------
 
 SLOT = "(doc_id % 40)"
+NUMBERED = "books AS (SELECT DISTINCT workbook, CAST(substr(workbook, 3) AS INT) AS n FROM sheets)"
+rest("s1_unreadable_parts", ["sheets"], NUMBERED, """SELECT workbook, 'xl/workbook.xml' AS part, 'not well-formed' AS reason FROM books WHERE n % 5 = 1
+UNION ALL SELECT workbook, 'xl/sharedStrings.xml', 'not well-formed' FROM books WHERE n % 5 = 2
+UNION ALL SELECT workbook, 'xl/worksheets/sheet1.xml', 'member cannot be read' FROM books WHERE n % 5 = 3""")
 check("s2_sheet_catalogue", ["sheets"], "SELECT workbook, CAST(row_number() OVER (PARTITION BY workbook ORDER BY sheet_idx) - 1 AS INT) AS sheet_idx, sheet_name, state, part FROM sheets")
 check("s3_shared_strings", ["post_list"], f"SELECT workbook, CAST({SLOT} AS INT) AS idx, title AS text FROM post_list")
 FIRST_SHEET = "posts AS (SELECT p.*, s.sheet_name FROM post_list p JOIN sheets s ON p.workbook = s.workbook WHERE s.part = 'xl/worksheets/sheet1.xml')"
@@ -477,7 +481,8 @@ def drift(writable: str, wanted: str) -> str:
     return f"""drift AS (SELECT * FROM (SELECT coalesce(l.workbook, r.workbook) AS workbook, coalesce(l.sheet_name, r.sheet_name) AS sheet_name,
  coalesce(l.cell_ref, r.cell_ref) AS cell_ref, l.workbook IS NULL OR r.workbook IS NULL AS one_sided,
  coalesce(l.value, '') IS DISTINCT FROM coalesce(r.value, '') AS v, l.cell_type IS DISTINCT FROM r.cell_type AS t,
- (l.cell_type IS NULL) <> (r.cell_type IS NULL) AS tn, l.has_formula IS DISTINCT FROM r.has_formula AS f
+ (l.cell_type IS NULL) <> (r.cell_type IS NULL) AS tn,
+ l.has_formula IS DISTINCT FROM r.has_formula OR l.formula IS DISTINCT FROM r.formula OR l.style IS DISTINCT FROM r.style AS f
  FROM grid_before l FULL JOIN grid_after r ON l.workbook = r.workbook AND l.sheet_name = r.sheet_name AND l.cell_ref = r.cell_ref) d
  WHERE ({wanted}) AND (one_sided OR f OR CASE WHEN cell_ref = 'C5' AND ({writable}) THEN tn ELSE v OR t END))"""
 
@@ -498,6 +503,12 @@ UNION ALL SELECT workbook, 'sheet_states', '' FROM sheets WHERE sheet_name = 'S5
 UNION ALL SELECT workbook, 'merges', sheet_name FROM col_sums WHERE m % 1000 <> m % 29
 UNION ALL SELECT l.workbook, 'media_count', '' FROM objects l JOIN objects r ON l.side = 'l' AND r.side = 'r' AND l.workbook = r.workbook AND l.m <> r.m
 UNION ALL SELECT l.workbook, 'drawing_count', '' FROM objects l JOIN objects r ON l.side = 'l' AND r.side = 'r' AND l.workbook = r.workbook AND l.d <> r.d""")
+rest("v6_sheet_drift", ["sheets", "post_list"], f"""{NUMBERED}, first_sheet AS (SELECT b.workbook, b.n, s.sheet_name FROM books b JOIN sheets s
+ ON s.workbook = b.workbook AND s.part = 'xl/worksheets/sheet1.xml'),
+held AS (SELECT 'dimension' AS element UNION ALL SELECT 'row' UNION ALL SELECT 'mergeCells' UNION ALL SELECT 'hyperlinks')""",
+     """SELECT f.workbook, f.sheet_name, h.element FROM first_sheet f, held h WHERE f.n % 5 = 3
+ OR (f.n % 4 = 0 AND h.element = 'dimension')
+ OR (f.n % 4 = 2 AND h.element = 'row' AND EXISTS (SELECT 1 FROM post_list p WHERE p.workbook = f.workbook AND p.row_num = 7))""")
 EVIDENCE = """fresh AS (SELECT DISTINCT a.folder, a.path FROM listing_after a LEFT JOIN listing_before b ON a.folder = b.folder AND a.path = b.path
  WHERE a.modified >= TIMESTAMP '2024-01-10 00:00:00' AND (b.path IS NULL OR a.modified > b.modified OR a.length <> b.length))"""
 LISTINGS = ["listing_before", "listing_after"]

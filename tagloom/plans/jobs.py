@@ -84,14 +84,16 @@ class Snapshot(NamedTuple):
     names: DataFrame
     merges: DataFrame
     cells: DataFrame
+    elements: DataFrame | None = None
 
 
 def snapshot(parts: DataFrame) -> Snapshot:
     """Tables of all packages in ``parts``."""
     sheets = packages.sheet_catalogue(parts)
     return Snapshot(
-        parts.select("workbook", "part", "sha256"), sheets, packages.defined_names(parts),
+        parts.filter("content IS NOT NULL").select("workbook", "part", "sha256"), sheets, packages.defined_names(parts),
         packages.merges(parts, sheets), packages.with_cell_ref(packages.cells(parts, sheets)),
+        packages.sheet_elements(parts, sheets),
     )
 
 
@@ -147,6 +149,10 @@ def package_errors(
         diff.error_items("media_count", diff.changed_values(counts_l, counts_r, "media_count", book)),
         diff.error_items("drawing_count", diff.changed_values(counts_l, counts_r, "drawing_count", book)),
     ]
+    if template.elements is not None and output.elements is not None:
+        inside = lambda df: df.join(in_changed, key, "left_semi")
+        elements = diff.element_drift(inside(template.elements), inside(output.elements))
+        reports.append(diff.error_items("sheet_drift", elements, F.concat_ws("!", "sheet_name", "element")))
     whole = reports[0]
     for report in reports[1:]:
         whole = whole.unionByName(report)

@@ -181,7 +181,8 @@ GRID_BEFORE = """
 SELECT workbook, sheet_name,
        concat(CASE WHEN col_num > 26 THEN concat('A', chr(38 + col_num)) ELSE chr(64 + col_num) END,
               CAST(row_num AS STRING)) AS cell_ref, value,
-       CASE WHEN col_num % 9 = 0 THEN NULL ELSE 'inlineStr' END AS cell_type, has_formula
+       CASE WHEN col_num % 9 = 0 THEN NULL ELSE 'inlineStr' END AS cell_type, has_formula,
+       CASE WHEN has_formula THEN concat('A', CAST(row_num AS STRING)) END AS formula, CAST(col_num % 5 AS STRING) AS style
 FROM {cells}
 """
 
@@ -191,7 +192,9 @@ SELECT workbook, sheet_name,
               CAST(CASE WHEN (row_num * 17 + col_num * 5 + n) % 101 = 7 THEN row_num + 500
                         ELSE row_num END AS STRING)) AS cell_ref,
        CASE WHEN (row_num * 31 + col_num + n) % 29 = 0 THEN concat(coalesce(value, ''), '~') ELSE value END AS value,
-       CASE WHEN col_num % 9 = 0 AND n % 4 <> 1 THEN NULL ELSE 'inlineStr' END AS cell_type, has_formula
+       CASE WHEN col_num % 9 = 0 AND n % 4 <> 1 THEN NULL ELSE 'inlineStr' END AS cell_type, has_formula,
+       CASE WHEN has_formula THEN concat(CASE WHEN (col_num + n) % 4 = 2 THEN 'B' ELSE 'A' END, CAST(row_num AS STRING)) END AS formula,
+       CASE WHEN (row_num * 7 + col_num + n) % 41 = 2 THEN '9' ELSE CAST(col_num % 5 AS STRING) END AS style
 FROM (SELECT *, CAST(substr(workbook, 3) AS BIGINT) AS n FROM {cells}) c
 """
 

@@ -100,4 +100,34 @@ def package_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = catalogue
     for more in (catalogue_rels, strings, sheet, sheet_rels):
         parts = parts.unionByName(more)
-    return parts.withColumn("sha256", F.sha2("content", 256))
+    # Every third workbook has prefixed strings, every fourth a sheet in UTF-16.
+    number = F.substring("workbook", 3, 9).cast("int")
+    text = F.decode("content", "UTF-8")
+    prefixed = F.regexp_replace(F.regexp_replace(text, "<(/?)([A-Za-z])", "<$1x:$2"), "xmlns=", "xmlns:x=")
+    is_sheet = F.col("part") == "xl/worksheets/sheet1.xml"
+    content = (
+        F.when((number % 3 == 0) & (F.col("part") == "xl/sharedStrings.xml"), F.encode(prefixed, "UTF-8"))
+        .when((number % 4 == 1) & is_sheet, F.encode(F.concat(F.lit('<?xml version="1.0" encoding="UTF-16"?>'), text), "UTF-16"))
+        .otherwise(F.col("content"))
+    )
+    return parts.withColumn("content", content).withColumn("sha256", F.sha2("content", 256))
+
+
+def damaged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same parts as a poor copy would leave them: cut off, lost, or with other sheet settings."""
+    number, part = F.substring("workbook", 3, 9).cast("int"), F.col("part")
+    whole = F.col("content")
+    text = F.decode(whole, "UTF-8")
+    cut = F.substring(whole, 1, 60)
+    other = F.encode(F.replace(text, F.lit('ref="A1:K235"'), F.lit('ref="A1:K999"')), "UTF-8")
+    taller = F.encode(F.replace(text, F.lit('<row r="7"'), F.lit('<row ht="40" r="7"')), "UTF-8")
+    sheet = part == "xl/worksheets/sheet1.xml"
+    content = (
+        F.when((number % 5 == 1) & (part == "xl/workbook.xml"), cut)
+        .when((number % 5 == 2) & (part == "xl/sharedStrings.xml"), cut)
+        .when((number % 5 == 3) & sheet, F.lit(None).cast("binary"))
+        .when((number % 4 == 0) & sheet, other)
+        .when((number % 4 == 2) & sheet, taller)
+        .otherwise(whole)
+    )
+    return package_parts(spark, sf_dir).withColumn("content", content).withColumn("sha256", F.sha2("content", 256))

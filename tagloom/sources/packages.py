@@ -2,6 +2,9 @@
 
 Only the unzipping is Python, one file at a time.  Everything else works on
 ``parts(workbook, part, content, sha256)`` with Spark's own XML functions.
+Elements and attributes are matched without their prefix and texts are decoded
+as declared.  What cannot be read gives no rows here and one row in
+``unreadable_parts``, which makes a workbook unsupported.
 """
 
 from __future__ import annotations
@@ -12,16 +15,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.functions.bind import evaluate_once
 from tagloom.functions.refs import cell_ref, ref_column, ref_row
+from tagloom.sources.charset import decode_page
 
 CATALOGUE = "xl/workbook.xml"
 CATALOGUE_RELS = "xl/_rels/workbook.xml.rels"
 SHARED_STRINGS = "xl/sharedStrings.xml"
 
-XML_OPTIONS = {"ignoreSurroundingSpaces": "false", "ignoreNamespace": "false"}
+BROKEN = "_corrupt_record"
+XML_OPTIONS = {
+    "ignoreSurroundingSpaces": "false", "ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN,
+}
 
 SHEETS_XML = (
-    "sheets struct<sheet: array<struct<_name: string, _state: string, `_r:id`: string>>>, "
+    "sheets struct<sheet: array<struct<_name: string, _state: string, `_id`: string>>>, "
     "definedNames struct<definedName: array<struct<_VALUE: string, _name: string, _localSheetId: string>>>, "
     "bookViews struct<workbookView: array<struct<_activeTab: string>>>"
 )
@@ -29,16 +37,19 @@ RELS_XML = "Relationship array<struct<_Id: string, _Target: string, _Type: strin
 STRINGS_XML = "si array<struct<t: string, r: array<struct<t: string>>>>"
 SHEET_XML = (
     "dimension struct<_ref: string>, "
-    "cols struct<col: array<map<string, string>>>, "
-    "sheetData struct<row: array<struct<c: array<struct<_r: string, _t: string, v: string, f: string, "
+    "sheetData struct<row: array<struct<c: array<struct<_r: string, _t: string, _s: string, v: string, f: string, "
     "is: struct<t: string, r: array<struct<t: string>>>>>>>>, "
     "mergeCells struct<mergeCell: array<struct<_ref: string>>>, "
-    "hyperlinks struct<hyperlink: array<struct<_ref: string, `_r:id`: string>>>"
+    "hyperlinks struct<hyperlink: array<struct<_ref: string, `_id`: string>>>"
 )
 
 
 def read_parts(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataFrame:
-    """Members of all packages under a folder: ``(workbook, part, content, sha256)``."""
+    """Members of all packages under a folder: ``(workbook, part, content, sha256)``.
+
+    A member that cannot be read has no content; a file that is no package is
+    one such row without a part name.
+    """
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", pattern)
         .option("recursiveFileLookup", "true").load(path)
@@ -48,14 +59,20 @@ def read_parts(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataF
     def unzip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import io
         import zipfile
+        import zlib
 
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as package:
-                    for name in package.namelist():
-                        yield pd.DataFrame(
-                            {"workbook": [path], "part": [name], "content": [package.read(name)]}
-                        )
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as package:
+                        for name in package.namelist():
+                            try:
+                                data = package.read(name)
+                            except (zipfile.BadZipFile, OSError, ValueError, RuntimeError, NotImplementedError, zlib.error):
+                                data = None
+                            yield pd.DataFrame({"workbook": [path], "part": [name], "content": [data]})
+                except (zipfile.BadZipFile, OSError, ValueError):
+                    yield pd.DataFrame({"workbook": [path], "part": [""], "content": [None]})
 
     members = files.mapInPandas(unzip, "workbook string, part string, content binary")
     return members.withColumn("sha256", F.sha2("content", 256))
@@ -70,10 +87,56 @@ def file_hashes(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> Data
     return files.select(F.col("path").alias("workbook"), F.sha2("content", 256).alias("file_sha256"))
 
 
+def part_text(content: Column) -> Column:
+    """A part as text: by its byte order mark, else its XML declaration, else as UTF-8."""
+    mark = F.hex(F.substring(content, 1, 2))
+    head = F.decode(F.substring(content, 1, 200), "ISO-8859-1")
+    named = F.regexp_extract(head, "^\\s*<\\?xml[^>]*encoding=[\"']([A-Za-z0-9._-]+)[\"']", 1)
+    declared = F.when(mark.isin("FEFF", "FFFE"), F.lit("utf-16")).when(named != "", named)
+    return F.regexp_replace(decode_page(content, declared), "^\\x{FEFF}", "")
+
+
+def _tree(content: Column, schema: str) -> Column:
+    return F.from_xml(part_text(content), f"{schema}, {BROKEN} string", XML_OPTIONS)
+
+
+def _is_broken(tree: Column) -> Column:
+    return tree.isNull() | tree.getField(BROKEN).isNotNull()
+
+
 def _parsed(parts: DataFrame, name: Column, schema: str) -> DataFrame:
-    """Parse the parts that ``name`` picks; the filter runs before any parsing."""
-    text = F.decode("content", "UTF-8")
-    return parts.filter(name).select("workbook", "part", F.from_xml(text, schema, XML_OPTIONS).alias("x"))
+    """Parse the parts that ``name`` picks; the filter runs before any parsing.  Broken parts are left out."""
+    picked = parts.filter(name & F.col("content").isNotNull())
+    trees = evaluate_once(picked.select("workbook", "part", "content"), "x", _tree(F.col("content"), schema)).drop("content")
+    return trees.filter(~_is_broken(F.col("x")))
+
+
+def unreadable_parts(parts: DataFrame) -> DataFrame:
+    """Packages and XML parts that cannot be read: ``(workbook, part, reason)``.
+
+    Every XML part that a scan reads is parsed here once more, each by the
+    schema of its scan.  A workbook without a catalogue or without its
+    relationships is listed as well.
+    """
+    part = F.col("part")
+    lost = parts.filter(F.col("content").isNull()).select(
+        "workbook", "part", F.when(part == "", F.lit("not a package")).otherwise(F.lit("member cannot be read")).alias("reason")
+    )
+    sheet = part.rlike("^xl/worksheets/[^/]*\\.xml$")
+    found = lost
+    for picked, schema in (
+        (part == CATALOGUE, SHEETS_XML), (part.rlike("\\.rels$"), RELS_XML), (part == SHARED_STRINGS, STRINGS_XML), (sheet, SHEET_XML),
+    ):
+        chosen = parts.filter(picked & F.col("content").isNotNull()).select("workbook", "part", "content")
+        trees = evaluate_once(chosen, "x", _tree(F.col("content"), schema))
+        found = found.union(trees.filter(_is_broken(F.col("x"))).select("workbook", "part", F.lit("not well-formed")))
+    needed = (CATALOGUE, CATALOGUE_RELS)
+    has = parts.groupBy("workbook").agg(
+        F.count_if(part == "").alias("lost"), *[F.count_if(part == name).alias(f"n{i}") for i, name in enumerate(needed)]
+    ).filter("lost = 0")
+    for i, name in enumerate(needed):
+        found = found.union(has.filter(F.col(f"n{i}") == 0).select("workbook", F.lit(name), F.lit("missing")))
+    return found
 
 
 def _full_path(target: Column) -> Column:
@@ -99,7 +162,7 @@ def sheet_catalogue(parts: DataFrame) -> DataFrame:
         "workbook", "sheet_idx",
         F.col("s._name").alias("sheet_name"),
         F.coalesce("s._state", F.lit("visible")).alias("state"),
-        F.col("s").getField("_r:id").alias("rel_id"),
+        F.col("s._id").alias("rel_id"),
     )
     rels = relationships(parts, F.col("part") == CATALOGUE_RELS).select(
         "workbook", "rel_id", _full_path(F.col("target")).alias("part")
@@ -124,9 +187,21 @@ def shared_strings(parts: DataFrame) -> DataFrame:
 
 
 def _sheet_parts(parts: DataFrame, sheets: DataFrame) -> DataFrame:
+    """Parsed sheet parts; only parts that the catalogue names are parsed."""
     wanted = sheets.filter("sheet_name != '' AND part IS NOT NULL").select("workbook", "part", "sheet_idx", "sheet_name")
-    parsed = _parsed(parts, F.col("part").rlike("^xl/.*\\.xml$") & ~F.col("part").isin(CATALOGUE, SHARED_STRINGS), SHEET_XML)
-    return parsed.join(wanted, ["workbook", "part"])
+    chosen = parts.filter(F.col("content").isNotNull()).select("workbook", "part", "content").join(wanted, ["workbook", "part"])
+    trees = evaluate_once(chosen, "x", _tree(F.col("content"), SHEET_XML)).drop("content")
+    return trees.filter(~_is_broken(F.col("x")))
+
+
+def _link_targets(parts: DataFrame) -> DataFrame:
+    """``(workbook, rels, rel_id, hyperlink)`` of all relationship parts but the catalogue's."""
+    targets = relationships(parts, F.col("part").rlike("/_rels/[^/]+\\.rels$") & (F.col("part") != CATALOGUE_RELS))
+    return targets.select("workbook", F.col("part").alias("rels"), "rel_id", F.col("target").alias("hyperlink"))
+
+
+def _rels_of(part: Column) -> Column:
+    return F.regexp_replace(part, "^(.*)/([^/]+)$", "$1/_rels/$2.rels")
 
 
 def hyperlinks(parts: DataFrame, sheets: DataFrame) -> DataFrame:
@@ -134,12 +209,11 @@ def hyperlinks(parts: DataFrame, sheets: DataFrame) -> DataFrame:
     refs = _sheet_parts(parts, sheets).select(
         "workbook", "part", "sheet_name", F.explode("x.hyperlinks.hyperlink").alias("h")
     ).select(
-        "workbook", "sheet_name", F.col("h._ref").alias("cell_ref"), F.col("h").getField("_r:id").alias("rel_id"),
-        F.regexp_replace("part", "^(.*)/([^/]+)$", "$1/_rels/$2.rels").alias("rels"),
+        "workbook", "sheet_name", F.col("h._ref").alias("cell_ref"), F.col("h._id").alias("rel_id"),
+        _rels_of(F.col("part")).alias("rels"),
     )
-    targets = relationships(parts, F.col("part").rlike("/_rels/[^/]+\\.rels$") & (F.col("part") != CATALOGUE_RELS))
-    return refs.join(targets.withColumnRenamed("part", "rels"), ["workbook", "rels", "rel_id"]).select(
-        "workbook", "sheet_name", "cell_ref", F.col("target").alias("hyperlink")
+    return refs.join(_link_targets(parts), ["workbook", "rels", "rel_id"]).select(
+        "workbook", "sheet_name", "cell_ref", "hyperlink"
     )
 
 
@@ -147,34 +221,76 @@ def cells(parts: DataFrame, sheets: DataFrame) -> DataFrame:
     """The grid: one row per cell that holds a value, a formula or a link.
 
     A shared string beyond the table gives NULL; a cell without any value or
-    formula is left out unless a hyperlink lies on it.
+    formula is left out unless a hyperlink lies on it.  Each sheet is parsed
+    once: its cells and its links leave the tree together and meet by
+    reference.
     """
-    raw = (
+    tree = F.col("x")
+    none = lambda kind: F.lit(None).cast(kind)
+    entry = lambda ref, type_, style, raw, inline, formula, link: F.struct(
+        ref.alias("cell_ref"), type_.alias("cell_type"), style.alias("style"), raw.alias("raw"), inline.alias("inline"),
+        formula.alias("formula"), link.alias("rel_id"),
+    )
+    text = none("string")
+    rows = F.coalesce(tree["sheetData"]["row"]["c"], F.array())
+    held = F.transform(
+        F.flatten(F.filter(rows, lambda r: r.isNotNull())),
+        lambda c: entry(c["_r"], c["_t"], c["_s"], c["v"], F.when(c["is"].isNotNull(), _item_text(c["is"])), c["f"], text),
+    )
+    links = F.transform(
+        F.coalesce(tree["hyperlinks"]["hyperlink"], F.array()),
+        lambda h: entry(h["_ref"], text, text, text, text, text, h["_id"]),
+    )
+    loose = (
         _sheet_parts(parts, sheets)
-        .select("workbook", "sheet_idx", "sheet_name", F.explode("x.sheetData.row").alias("row"))
-        .select("workbook", "sheet_idx", "sheet_name", F.explode("row.c").alias("c"))
-        .select(
-            "workbook", "sheet_idx", "sheet_name",
-            F.col("c._r").alias("cell_ref"), F.col("c._t").alias("cell_type"),
-            F.col("c.v").alias("raw"), _item_text(F.col("c.is")).alias("inline"),
-            F.col("c.f").isNotNull().alias("has_formula"),
-        )
+        .select("workbook", "sheet_idx", "sheet_name", _rels_of(F.col("part")).alias("rels"), F.inline(F.concat(held, links)))
         .filter("cell_ref != ''")
     )
+    keyed = loose.groupBy("workbook", "sheet_idx", "sheet_name", "rels", "cell_ref").agg(
+        *[F.max(c).alias(c) for c in ("cell_type", "style", "raw", "inline", "formula", "rel_id")]
+    ).withColumn("has_formula", F.col("formula").isNotNull())
     shared = F.col("cell_type") == "s"
-    keyed = raw.withColumn("idx", F.when(shared, F.col("raw").try_cast("int")))
-    looked_up = keyed.join(shared_strings(parts), ["workbook", "idx"], "left")
+    looked_up = keyed.withColumn("idx", F.when(shared, F.col("raw").try_cast("int"))).join(
+        shared_strings(parts), ["workbook", "idx"], "left"
+    )
     value = (
-        F.when(F.col("cell_type") == "inlineStr", F.col("inline")).when(shared, F.col("text")).otherwise(F.col("raw"))
+        F.when(F.col("cell_type") == "inlineStr", F.coalesce("inline", F.lit(""))).when(shared, F.col("text")).otherwise(F.col("raw"))
     )
-    links = hyperlinks(parts, sheets)
-    grid = looked_up.withColumn("value", value).join(links, ["workbook", "sheet_name", "cell_ref"], "left")
+    grid = looked_up.withColumn("value", value).join(_link_targets(parts), ["workbook", "rels", "rel_id"], "left")
     return grid.filter("value IS NOT NULL OR has_formula OR hyperlink IS NOT NULL").select(
         "workbook", "sheet_idx", "sheet_name", ref_row(F.col("cell_ref")).alias("row_num"),
-        ref_column(F.col("cell_ref")).alias("col_num"), "value", "hyperlink", "cell_type", "has_formula",
+        ref_column(F.col("cell_ref")).alias("col_num"), "value", "hyperlink", "cell_type", "has_formula", "formula", "style",
     )
 
 
+# --- fixed values: sheet elements besides the cells -------------------------------
+SHEET_ELEMENTS = (
+    "sheetPr", "dimension", "sheetViews", "sheetFormatPr", "cols", "row", "sheetProtection", "autoFilter", "mergeCells",
+    "conditionalFormatting", "dataValidations", "hyperlinks", "printOptions", "pageMargins", "pageSetup", "headerFooter",
+    "rowBreaks", "colBreaks", "drawing", "legacyDrawing", "tableParts", "extLst",
+)
+
+
+def sheet_elements(parts: DataFrame, sheets: DataFrame) -> DataFrame:
+    """What a sheet holds besides its cells: ``(workbook, sheet_name, element, content)``.
+
+    ``content`` is the text of all elements of that name, of rows only their
+    own attributes; an element that a sheet lacks has no row.
+    """
+    wanted = sheets.filter("sheet_name != '' AND part IS NOT NULL").select("workbook", "part", "sheet_name")
+    chosen = parts.filter(F.col("content").isNotNull()).select("workbook", "part", "content").join(wanted, ["workbook", "part"])
+    texts = evaluate_once(chosen, "text", part_text(F.col("content"))).drop("content")
+
+    def found(name: str) -> Column:
+        prefix = "(?:[A-Za-z0-9_]+:)?"
+        closed = f"(?s)(<{prefix}{name}(?:\\s[^>]*)?/>|<{prefix}{name}(?:\\s[^>/]*)?>.*?</{prefix}{name}>)"
+        pattern = f"(<{prefix}{name}(?:\\s[^>]*)?>)" if name == "row" else closed
+        return F.array_join(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), "\n")
+
+    listed = F.array(*[F.struct(F.lit(n).alias("element"), found(n).alias("content")) for n in SHEET_ELEMENTS])
+    return texts.select("workbook", "sheet_name", F.inline(listed)).filter("content != ''")
+
+
 def defined_names(parts: DataFrame) -> DataFrame:
     """``(workbook, name, local_sheet_id, text)``."""
     book = _parsed(parts, F.col("part") == CATALOGUE, SHEETS_XML)

@@ -8,15 +8,15 @@ from pyspark.sql import functions as F
 from tagloom.functions import model_io
 from tagloom.functions.html import with_article_text
 from tagloom.functions.lexicon import CATEGORIES
-from tagloom.operators import grid, layout
+from tagloom.operators import diff, grid, layout
 from tagloom.plans import jobs
 from tagloom.sources import charset, files, outputs, packages
 
 NOTICE = "회원간의 거래 분쟁에 대한 공론화 금지"
 PAGES = [
-    ('<div class="article viewer"><p>게시판 목록 바로가기</p></div>', None),
-    (f'<div class="article viewer">\n<p>{NOTICE}</p>\n<p>가격이 얼마인가요?</p>\n</div>', "가격이 얼마인가요?"),
-    ('<div class="viewer article">\n  <p>사이즈가 궁금해요</p>\n</div>', "사이즈가 궁금해요"),
+    ('<div class="big article old viewer"><ul><li>내소식이 없습니다</li><li>글</li></ul></div>', None),
+    (f'<section id="s" class="article viewer"><em>알림: {NOTICE}!</em>택배는 언제 오나요</section>', "택배는 언제 오나요"),
+    ('<div class="viewer wide article">색이 <b>달라요</b></div>', "색이 \n달라요"),
     ("<DIV id=1 CLASS='x artice big viewer'>old</DIV><p>rest</p>", "old"),
     ('<p class="viewer artice">first</p><div class="article viewer">second</div>', "second"),
     ('<div class="article viewer">a<div>b</div>c</div>', "a\nb"),
@@ -38,7 +38,7 @@ def test_article_text(spark):
 
 def test_charset_cascade(spark):
     cases = [
-        ("재입고 되었어요".encode("cp949"), "ms949", "재입고 되었어요"),
+        ("신발이 커요".encode("cp949"), "ms949", "신발이 커요"),
         ("재입고".encode("cp949"), None, "재입고"), ("가".encode(), None, "가"), ("가".encode(), "UTF-8", "가"),
         (b"", None, None), (None, "utf-8", None), ("é".encode("latin-1"), "iso-8859-1", "é"),
         ("가".encode("utf-16"), "utf-16", "가"), ("가".encode(), "no-such", "가"), (b"a\xff\xfe\x80b", None, "ab"),
@@ -77,6 +77,9 @@ def test_response_label(spark, response, want):
     assert row.first().l == want
 
 
+PROMPT_DIGESTS = ("34894c6ba828ebeb", "0519e9c2d146183a")
+
+
 # --- packages -------------------------------------------------------------------
 
 MAIN = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
@@ -171,11 +174,64 @@ def test_package_errors(spark, tmp_path):
     same_name = lambda df: df.withColumn("workbook", F.lit("a"))
     left, right = (jobs.snapshot(same_name(packages.read_parts(spark, str(tmp_path / s)))) for s in "lr")
     surface = spark.createDataFrame([("a", "IB", "C5")], "workbook string, sheet_name string, cell_ref string")
-    errors = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface).collect()}
+    writable = diff.Allowlist(include_writable=True)
+    errors = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface, writable).collect()}
     assert errors == {
         ("unexpected_added", "xl/media/image2.png"), ("unexpected_changed", "xl/_rels/workbook.xml.rels"),
         ("drift", "IB!D5"), ("media_count", "")}
-    assert jobs.package_errors(left, left, surface).count() == 0
+    assert jobs.package_errors(left, left, surface, writable).count() == 0
+    strict = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface).collect()}
+    assert ("unexpected_changed", "xl/worksheets/sheet2.xml") in strict
+    free = diff.Allowlist(parts=("xl/_rels/workbook.xml.rels",), sheet_names=("IB",))
+    left_over = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface, free).collect()}
+    assert left_over == errors - {("unexpected_changed", "xl/_rels/workbook.xml.rels")}
+
+
+@pytest.mark.parametrize("old, new, want", [
+    ("<f>1+1</f>", "<f>3-1</f>", ("drift", "2026 list!L5")), ('<c r="N5" s="3"/>', '<c r="N5" s="4"><v>1</v></c>', ("drift", "2026 list!N5")),
+    ('<c r="L5">', '<c r="L5" s="2">', ("drift", "2026 list!L5")), ('<row r="5">', '<row r="5" ht="30">', ("sheet_drift", "2026 list!row")),
+    ('ref="A1:K9"', 'ref="A1:K10"', ("sheet_drift", "2026 list!dimension")),
+    ("<mergeCells>", '<dataValidations count="1"><dataValidation sqref="A1"/></dataValidations><mergeCells>', ("sheet_drift", "2026 list!dataValidations")),
+])
+def test_each_change_of_a_sheet_is_seen(spark, tmp_path, old, new, want):
+    (tmp_path / "l").mkdir(), (tmp_path / "r").mkdir()
+    changed = book_parts()
+    assert old in changed["xl/worksheets/sheet1.xml"]
+    changed["xl/worksheets/sheet1.xml"] = changed["xl/worksheets/sheet1.xml"].replace(old, new)
+    write_book(tmp_path / "l" / "a.xlsx", book_parts())
+    write_book(tmp_path / "r" / "a.xlsx", changed)
+    left, right = (jobs.snapshot(packages.read_parts(spark, str(tmp_path / s)).withColumn("workbook", F.lit("a"))) for s in "lr")
+    surface = spark.createDataFrame([("a", "2026 list", "G5")], "workbook string, sheet_name string, cell_ref string")
+    errors = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface, diff.Allowlist(include_writable=True)).collect()}
+    assert errors == {want}
+
+
+def test_unreadable_files_and_parts(spark, tmp_path):
+    (tmp_path / "no.xlsx").write_bytes(b"no package")
+    cut = book_parts()
+    cut["xl/workbook.xml"] = cut["xl/workbook.xml"][:90]
+    del cut["xl/sharedStrings.xml"]
+    write_book(tmp_path / "cut.xlsx", cut)
+    write_book(tmp_path / "bare.xlsx", {"xl/media/a.png": "x"})
+    odd = book_parts()
+    odd["xl/sharedStrings.xml"] = ('<?xml version="1.0" encoding="UTF-16"?>' + odd["xl/sharedStrings.xml"]).encode("utf-16")
+    odd["xl/workbook.xml"] = odd["xl/workbook.xml"].replace("xmlns:r=", "xmlns:q=").replace("r:id", "q:id")
+    write_book(tmp_path / "odd.xlsx", odd)
+    parts = packages.read_parts(spark, str(tmp_path)).withColumn("workbook", F.regexp_extract("workbook", "([^/]*).xlsx$", 1))
+    bad = {(r.workbook, r.part, r.reason) for r in packages.unreadable_parts(parts).collect()}
+    assert bad == {("no", "", "not a package"), ("cut", "xl/workbook.xml", "not well-formed"),
+                   ("bare", "xl/workbook.xml", "missing"), ("bare", "xl/_rels/workbook.xml.rels", "missing")}
+    sheets = packages.sheet_catalogue(parts)
+    assert {(r.workbook, r.sheet_name, r.part) for r in sheets.collect()} == {
+        ("odd", "2026 list", "xl/worksheets/sheet1.xml"), ("odd", "IB", "xl/worksheets/sheet2.xml")}
+    assert {r.value for r in packages.cells(parts, sheets).collect()} >= {"사이즈 궁금", "주요 이슈"}
+
+
+def test_prompts_are_the_fixed_texts():
+    import hashlib
+
+    digest = lambda text: hashlib.sha256(text.encode()).hexdigest()[:16]
+    assert (digest(model_io.TITLE_PROMPT), digest(model_io.BODY_PROMPT)) == PROMPT_DIGESTS
 
 
 # --- files and outputs -------------------------------------------------------------
@@ -203,8 +259,8 @@ def test_dated_output(spark, kind, want):
 
 
 def test_qa_output(spark):
-    good = outputs.qa_output(F.lit("output"), F.lit("source.xlsx"), F.lit("manual-QA"))
-    assert spark.range(1).select(good.alias("p")).first().p == "output/qa/manual-QA/source.xlsx"
+    good = outputs.qa_output(F.lit("output"), F.lit("source.xlsx"), F.lit("spring"))
+    assert spark.range(1).select(good.alias("p")).first().p == "output/qa/spring/source.xlsx"
     bad = outputs.qa_output(F.lit("output"), F.lit("source.xlsx"), F.col("id").cast("string") + F.lit("/"), strict=True)
     with pytest.raises(Exception, match="single safe path segment|CAST_INVALID"):
         spark.range(1).select(bad).collect()
