@@ -201,7 +201,7 @@ def sequences(pieces: DataFrame, packed: DataFrame, size: int = SIZE, pad_id: in
         length = len(ids) // 4
         return ids if length & (length - 1) == 0 else ids + np.full(size - length, pad_id, "<u4").tobytes()
 
-    def assemble(key, table: pa.Table) -> pa.Table:
+    def assemble(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         offsets = table.column("offset").to_pylist()
         return pa.table({
             "sequence_id": pa.array([key[0].as_py()]), "ids": pa.array([joined(table.column("ids").to_pylist(), offsets)], pa.binary()),
