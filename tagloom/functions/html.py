@@ -36,10 +36,16 @@ def entity_decoder():
     return F.pandas_udf(decode, "string")
 
 
+# --- fixed values: patterns of containers, scripts, notices and tags -----------
+# Group 2 of the container keeps the closing tag, so a match is never empty.
+CONTAINER = r"""(?isU)<([a-zA-Z0-9]+)[^>]*class=["'][^"']*\bFIRST\b[^"']*\bSECOND\b[^"']*["'][^>]*>(.*?</\1>)"""
+SCRIPTS = r"(?isU)<(script|style|noscript)\b[^>]*>.*?</\1>"
+NOTICE = r"(?is)<[^>]+>[^<]*\QPHRASE\E[^<]*</[^>]+>"
+TAG = "<[^>]+>"
+
+
 def _container_pattern(first: str, second: str) -> str:
-    quoted = "[\"'][^\"']*" + rf"\b{first}\b" + "[^\"']*" + rf"\b{second}\b" + "[^\"']*[\"']"
-    # Group 2 keeps the closing tag, so a match is never empty.
-    return rf"(?isU)<([a-zA-Z0-9]+)[^>]*class={quoted}[^>]*>(.*?</\1>)"
+    return CONTAINER.replace("FIRST", first).replace("SECOND", second)
 
 
 def article_container(html: Column) -> Column:
@@ -58,15 +64,13 @@ def article_container(html: Column) -> Column:
 
 
 def without_scripts(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?isU)<(script|style|noscript)\b[^>]*>.*?</\1>", " ")
+    return F.regexp_replace(html, SCRIPTS, " ")
 
 
 def without_notices(html: Column, phrases: Sequence[str] = lx.NOTICE_PHRASES) -> Column:
     """Drop each notice with the element right around it, then the bare phrase."""
     for phrase in phrases:
-        cleared = F.regexp_replace(
-            html, rf"(?is)<[^>]+>[^<]*\Q{phrase}\E[^<]*</[^>]+>", " "
-        )
+        cleared = F.regexp_replace(html, NOTICE.replace("PHRASE", phrase), " ")
         html = F.when(
             html.contains(phrase), F.replace(cleared, F.lit(phrase), F.lit(" "))
         ).otherwise(html)
@@ -74,7 +78,7 @@ def without_notices(html: Column, phrases: Sequence[str] = lx.NOTICE_PHRASES) ->
 
 
 def tags_to_lines(html: Column) -> Column:
-    return F.regexp_replace(html, "<[^>]+>", "\n")
+    return F.regexp_replace(html, TAG, "\n")
 
 
 def needs_decoding(text: Column) -> Column:

@@ -27,11 +27,8 @@ def page_count(max_column: Column) -> Column:
 
 def shift_column(column: Column) -> Column:
     """Where a content column lands once the pad columns are in."""
-    def moved(c: Column) -> Column:
-        passed = F.call_function("div", c - FIRST_COLUMN, F.lit(CONTENT_WIDTH))
-        return F.when(c < FIRST_COLUMN, c).otherwise(c + passed).cast("int")
-
-    return let(column, moved)
+    passed = F.call_function("div", column - FIRST_COLUMN, F.lit(CONTENT_WIDTH))
+    return F.when(column < FIRST_COLUMN, column).otherwise(column + passed).cast("int")
 
 
 def pad_column(page: Column) -> Column:
@@ -56,12 +53,13 @@ def quoted_sheet(name: Column) -> Column:
 def print_area(sheet_name: Column, max_column: Column) -> Column:
     return F.concat(
         quoted_sheet(sheet_name), F.lit("!$B$2:$"),
-        column_letters(print_area_end(max_column)), F.lit("$35"),
+        let(print_area_end(max_column), column_letters), F.lit("$35"),
     )
 
 
 def shift_ref(ref: Column) -> Column:
-    return let(ref, lambda r: cell_ref(ref_row(r), shift_column(ref_column(r))))
+    moved = lambda r: let(ref_column(r), lambda c: let(shift_column(c), lambda m: cell_ref(ref_row(r), m)))
+    return let(ref, moved)
 
 
 def _shift_range(text: Column) -> Column:

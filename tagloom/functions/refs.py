@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tagloom.functions.bind import let
-
 REF = "^([A-Z]+)([0-9]+)$"
 RANGE = "^[A-Z]+[0-9]+:[A-Z]+[0-9]+$"
 # Seven letters cover every positive INT.
@@ -23,17 +21,13 @@ def column_number(letters: Column) -> Column:
 
 
 def column_letters(number: Column) -> Column:
-    """1-based column number to base-26 letters."""
-
-    def digits(n: Column) -> Column:
-        parts = []
-        for power in reversed(range(MAX_LETTERS)):
-            below = sum(26**p for p in range(1, power + 1))
-            digit = F.char(F.lit(65) + F.call_function("div", n - 1 - below, F.lit(26**power)) % 26)
-            parts.append(digit if power == 0 else F.when(n > below, digit).otherwise(""))
-        return F.concat(*parts)
-
-    return let(number.cast("bigint"), digits)
+    """1-based column number to base-26 letters.  Mentions its input often: bind a costly one with ``let``."""
+    n, parts = number.cast("bigint"), []
+    for power in reversed(range(MAX_LETTERS)):
+        below = sum(26**p for p in range(1, power + 1))
+        digit = F.char(F.lit(65) + F.call_function("div", n - 1 - below, F.lit(26**power)) % 26)
+        parts.append(digit if power == 0 else F.when(n > below, digit).otherwise(""))
+    return F.concat(*parts)
 
 
 def cell_ref(row: Column, column: Column) -> Column:

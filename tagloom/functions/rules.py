@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import json
-import re
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -13,12 +10,7 @@ from pyspark.sql import functions as F
 from tagloom.functions import lexicon as lx
 from tagloom.functions.bind import let, literal_list
 from tagloom.functions.lexicon import AnyOf, Condition, Matches, Rule, StartsWith
-from tagloom.functions.text import clean_title, contains_any, distinct_needles, strip
-
-# Every Hangul syllable.  A text without one cannot contain a token that has one.
-HANGUL = "[가-힣]"
-# Frequent Korean endings and particles; only a matter of speed.
-EVERYDAY = "이다는고에가을를의하지해요어아기사시있서한나도로은네니습그리들게면"
+from tagloom.functions.text import clean_title, contains_any, strip
 
 
 def _has_case(token: str) -> bool:
@@ -38,105 +30,24 @@ def condition_column(text: Column, condition: Condition) -> Column:
     return text.rlike(condition.pattern)
 
 
-def _is_plain(rule: Rule) -> bool:
-    """A rule that only asks for one of some tokens, upper and lower case apart."""
-    first = rule.conditions[0]
-    return (
-        len(rule.conditions) == 1
-        and isinstance(first, AnyOf)
-        and not (first.ignore_case and any(_has_case(t) for t in first.tokens))
-    )
-
-
-def _pivots(entries: Sequence[tuple[str, int]]) -> dict[str, list[tuple[str, int]]]:
-    """Group (token, rule number) pairs under a character that each token contains.
-
-    The character that covers most of the remaining tokens is taken first, so
-    few characters have to be looked for; syllables that occur in almost any
-    sentence announce too much and are taken last.
-    """
-    groups: dict[str, list[tuple[str, int]]] = {}
-    left = list(entries)
-    while left:
-        cover = Counter(c for token, _ in left for c in set(token) if not c.isspace())
-        pivot = min(cover, key=lambda c: (c in EVERYDAY, -cover[c], c))
-        groups[pivot] = [e for e in left if pivot in e[0]]
-        left = [e for e in left if pivot not in e[0]]
-    return groups
-
-
-def _first_plain_rule(text: Column, entries: Sequence[tuple[str, int]]) -> Column:
-    """Lowest rule number among the tokens the text contains.
-
-    Trying some hundred tokens one by one reads the text as often.  Instead the
-    text is split into characters once, those that announce a token are kept,
-    and only the tokens they announce are tried.
-    """
-    groups = _pivots(entries)
-    table = {
-        pivot: [{"token": token, "rule": number} for token, number in tokens]
-        for pivot, tokens in groups.items()
-    }
-    # A literal of that many values is built fastest by parsing one string.
-    by_pivot = F.from_json(F.lit(json.dumps(table)), "map<string,array<struct<token:string,rule:int>>>")
-    announced = F.array_intersect(F.split(text, ""), literal_list(list(groups)))
-    candidates = F.flatten(F.transform(announced, lambda c: F.element_at(by_pivot, c)))
-    hits = F.filter(candidates, lambda c: F.contains(text, c["token"]))
-    return F.array_min(F.transform(hits, lambda c: c["rule"]))
-
-
 def first_rule(text: Column, rules: Sequence[Rule]) -> Column:
-    """Label of the first rule that holds for ``text``; NULL when none does."""
-    entries = [
-        (token, number)
-        for number, rule in enumerate(rules)
-        if _is_plain(rule)
-        for token in distinct_needles(rule.conditions[0].tokens)
-    ]
-    found = [_first_plain_rule(text, entries)] if entries else []
-    for number, rule in enumerate(rules):
-        if not _is_plain(rule):
-            test = condition_column(text, rule.conditions[0])
-            for condition in rule.conditions[1:]:
-                test = test & condition_column(text, condition)
-            found.append(F.when(test, F.lit(number)))
-    if not found:
-        return F.lit(None).cast("string")
-    number = F.least(*found) if len(found) > 1 else found[0]
-    return F.get(literal_list([rule.label for rule in rules]), number)
-
-
-def _without_hangul(condition: Condition) -> Condition | None:
-    """The condition as it stands for texts without Hangul; None if it cannot hold."""
-    hangul = re.compile(HANGUL)
-    if isinstance(condition, StartsWith):
-        return None if hangul.search(condition.prefix) else condition
-    if isinstance(condition, Matches):
-        if condition.needs and all(hangul.search(t) for t in condition.needs):
-            return None
-        return condition
-    left = tuple(t for t in condition.tokens if not hangul.search(t))
-    return AnyOf(left, condition.ignore_case) if left else None
-
+    """Label of the first rule that holds for ``text``; NULL when none does.
 
-def rules_without_hangul(rules: Sequence[Rule]) -> list[Rule]:
-    kept = []
+    One ``CASE`` in rule order: a text is tested no further than its rule.
+    """
+    found = None
     for rule in rules:
-        conditions = [_without_hangul(c) for c in rule.conditions]
-        if None not in conditions:
-            kept.append(Rule(rule.label, tuple(conditions)))
-    return kept
+        test = condition_column(text, rule.conditions[0])
+        for condition in rule.conditions[1:]:
+            test = test & condition_column(text, condition)
+        label = F.lit(rule.label)
+        found = F.when(test, label) if found is None else found.when(test, label)
+    return F.lit(None).cast("string") if found is None else found
 
 
 def rule_cascade(cleaned: Column, rules: Sequence[Rule] = lx.TITLE_RULES) -> Column:
-    """The ordered rules on already cleaned text; NULL when none holds.
-
-    Text without a Hangul syllable takes a short branch with only the rules it
-    can still meet, so foreign posts and pages cost a few tests instead of all.
-    """
-    return F.when(cleaned.rlike(HANGUL), first_rule(cleaned, rules)).otherwise(
-        first_rule(cleaned, rules_without_hangul(rules))
-    )
+    """The ordered rules on already cleaned text; NULL when none holds."""
+    return first_rule(cleaned, rules)
 
 
 def classify_strict(text: Column, rules: Sequence[Rule] = lx.TITLE_RULES) -> Column:
