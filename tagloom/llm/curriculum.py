@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import stage
+from tagloom.llm.shared import free_name, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
@@ -139,14 +139,17 @@ def training_order(docs: DataFrame, **options) -> DataFrame:
     Keeps all columns of ``docs``; a document cut at its source's target keeps
     its leading words, joined by one space.
     """
-    placed = repeats(mix(docs, **options)).select(
-        F.col("doc_id").alias("its_id"), F.col("content").alias("its_content"), "words", "of_words", "position"
+    placed = free_name(docs, "placed")
+    chosen = repeats(mix(docs, **options)).select(
+        F.struct("doc_id", "content", "words", "of_words", "position").alias(placed)
     ).distinct()
-    leading = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), 1, F.col("words").cast("int")), " ")
-    keys = F.col("doc_id").eqNullSafe(F.col("its_id")) & (F.md5("text") == F.col("its_content"))
+    at = lambda field: F.col(f"{placed}.{field}")
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    leading = F.array_join(F.slice(words, 1, at("words").cast("int")), " ")
+    keys = F.col("doc_id").eqNullSafe(at("doc_id")) & (F.md5("text") == at("content"))
     return (
-        docs.join(placed, keys)
-        .withColumn("text", F.when(F.col("words") < F.col("of_words"), leading).otherwise(F.col("text")))
-        .orderBy("position", "its_id", "its_content")
+        docs.join(chosen, keys)
+        .withColumn("text", F.when(at("words") < at("of_words"), leading).otherwise(F.col("text")))
+        .orderBy(at("position"), at("doc_id"), at("content"))
         .select(*docs.columns)
     )

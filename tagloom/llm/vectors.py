@@ -52,8 +52,21 @@ def unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt(np.einsum("ij,ij->i", rows, rows))[:, None]
 
 
+def _dots(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Row products, summed from the first component on, so that every row's rounding is that of a plain loop."""
+    out = np.zeros(len(left))
+    for a, b in zip(np.ascontiguousarray(left.T), np.ascontiguousarray(right.T), strict=True):
+        out += a * b
+    return out
+
+
 def cosines(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """The cosine of each pair of rows, in double precision."""
-    left, right = left / np.abs(left).max(1, keepdims=True), right / np.abs(right).max(1, keepdims=True)
-    dots = np.einsum("ij,ij->i", left, right)
-    return dots / (np.sqrt(np.einsum("ij,ij->i", left, left)) * np.sqrt(np.einsum("ij,ij->i", right, right)))
+    """The cosine of each pair of rows, in double precision; very small or large rows are scaled first."""
+    with np.errstate(over="ignore", divide="ignore", invalid="ignore", under="ignore"):
+        lengths = _dots(left, left) * _dots(right, right)
+        out = _dots(left, right) / np.sqrt(lengths)
+    odd = ~((lengths > 1e-200) & (lengths < 1e200))
+    if odd.any():
+        a, b = unit(left[odd]), unit(right[odd])
+        out[odd] = _dots(a, b)
+    return np.clip(out, -1.0, 1.0)

@@ -231,6 +231,7 @@ def test_curriculum(docs, empty):
     assert len(rows) == len(ROWS) and all(taken[s] == round(target[s]) for s in sizes)
     placed = curriculum.repeats(curriculum.mix(docs)).collect()
     assert sum(r.words for r in placed) == sum(taken.values()) and all(0 <= r.position <= 1 for r in placed)
+    docs = docs.withColumns({"words": F.lit(1), "position": F.lit("p"), "placed": F.lit(0)})
     ordered = curriculum.training_order(docs)
     assert ordered.columns == docs.columns
     assert sum(len(words(r.text)) for r in ordered.collect()) == sum(taken.values())
@@ -358,7 +359,7 @@ def test_toxicity(spark, monkeypatch):
             for _ in range(1 + len(w) // 20):
                 w.insert(rnd.randrange(len(w)), rnd.choice(["Scumbag!", "moronic", "trashy", "grumph" + rnd.choice(plain)]))
         rows.append((i, " ".join(w)))
-    table = frame(spark, [*rows, (900, None), (901, ""), (902, "123 !!"), (903, " ".join(plain * 200))]).drop("score")
+    table = frame(spark, [*rows, (900, None), (901, ""), (902, "123 !!"), (903, " ".join(plain * 200))])
     labels = spark.createDataFrame([(i, 1, int(i % 5 == 0)) for i in range(500)] + [(3, 1, None), (None, 1, 1)], "doc_id long, quality int, toxic int")
     got = {r.doc_id: r for r in toxicity.score(table, labels).withColumn("held", toxicity.held_out(F.col("doc_id"))).collect()}
     assert all(0 <= r.score <= 1 for r in got.values()) and len(got) == 504
