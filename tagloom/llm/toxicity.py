@@ -102,12 +102,14 @@ def grams_of(texts: Texts, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 def word_inputs(model: dict[str, np.ndarray], texts: Texts, words: np.ndarray) -> np.ndarray:
     """A vector for each of the given words: its own plus the mean of its character n-grams'; zeros for word 0."""
-    codes, begins, count = grams_of(texts, words)
     out = model["words"][texts.buckets[words]]
-    has = np.flatnonzero(count)
-    if len(has):
-        spelled = np.take(np.ascontiguousarray(model["grams"].T), codes, axis=1)
-        out[has] += np.add.reduceat(spelled, begins[has], axis=1).T / (count[has, None] + 1).astype(np.float32)
+    grams = np.ascontiguousarray(model["grams"].T)
+    for at in range(0, len(words), 1 << 13):
+        codes, begins, count = grams_of(texts, words[at : at + (1 << 13)])
+        has = np.flatnonzero(count)
+        if len(has):
+            summed = np.add.reduceat(np.take(grams, codes, axis=1), begins[has], axis=1)
+            out[at + has] += summed.T / (count[has, None] + 1).astype(np.float32)
     out[words == 0] = 0
     return out
 
@@ -271,6 +273,8 @@ def score(
 ) -> DataFrame:
     """All rows and columns of ``docs`` and ``column``, the probability that the text is toxic.
 
+    A column of that name is replaced.
+
     The network is trained on the driver on a bounded sample of whole
     labelled texts (``toxic_rows`` and ``other_rows``; labels of held-out rows
     are never used) and sent to the tasks; its size is fixed.  Every text is
@@ -281,6 +285,7 @@ def score(
     no labelled row of either kind the untrained network's scores are
     constant.  A label row with nulls or other values is not used.
     """
+    docs = docs.drop(column)
     texts, known = sample_of(docs, labels, toxic_rows, other_rows)
     model = trained(texts, known) if len(known) and 0 < known.sum() < len(known) else {k: v * 0 for k, v in fresh_model().items()}
     shipped = docs.sparkSession.sparkContext.broadcast(model)
