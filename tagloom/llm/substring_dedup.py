@@ -51,7 +51,8 @@ def first_owners(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     Every window has a hash, but only windows that may repeat are moved.
     First each document sends the distinct markers of its windows, about a
     twentieth of its words.  Only windows whose marker two documents share are
-    then sent and counted; no other window can repeat.  Both counts are
+    then sent, each once for its document, and counted; no other window can
+    repeat.  Both counts are
     partial aggregates (smallest and largest document of a hash), so a passage
     in a third of all documents is summed before it moves.
     """
@@ -79,14 +80,20 @@ def first_owners(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 held = lists.flatten().to_numpy().view(np.uint64)
                 salt = np.uint64(0x9E3779B97F4A7C15)
                 found = np.isin(marker + text.astype(np.uint64) * salt, held + owner.astype(np.uint64) * salt)
-                ids = cut.column("doc_id").to_numpy()[text[found]]
+                whole, text, first = whole[found], text[found], first[found]
+                order = np.lexsort((whole, text))
+                whole, text, first = whole[order], text[order], first[order]
+                new = np.ones(len(whole), bool)
+                new[1:] = (whole[1:] != whole[:-1]) | (text[1:] != text[:-1])
+                begins = np.append(np.flatnonzero(new), len(whole)).astype(np.int32)
+                places = pa.ListArray.from_arrays(pa.array(begins), pa.array(first.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(whole[found].view(np.int64)), pa.array(ids, pa.int64()), pa.array(first[found].astype(np.int32))],
-                    ["window", "doc_id", "place"],
+                    [pa.array(whole[new].view(np.int64)), pa.array(cut.column("doc_id").to_numpy()[text[new]], pa.int64()), places],
+                    ["window", "doc_id", "places"],
                 )
 
     candidates = stage(
-        owning.join(shared, "doc_id").select("doc_id", "text", "markers").mapInArrow(windows, "window long, doc_id long, place int"),
+        owning.join(shared, "doc_id").select("doc_id", "text", "markers").mapInArrow(windows, "window long, doc_id long, places array<int>"),
         "windows",
     )
     least = candidates.groupBy("window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
@@ -94,7 +101,7 @@ def first_owners(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         candidates.join(least, "window")
         .where("doc_id > low")
         .groupBy("doc_id")
-        .agg(F.collect_list("place").alias("places"))
+        .agg(F.flatten(F.collect_list("places")).alias("places"))
     )
 
 
