@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import curriculum, jaccard_join, line_templates, packing, toxicity
 from tagloom.llm.queries import tokenizer_path
-from tagloom.llm.shared import free_name, stage, table
+from tagloom.llm.shared import free_name, ship_package, stage, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -45,12 +46,23 @@ def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack(pieces).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def shipped(apply: Stage) -> Stage:
+    """The stage, with the package sent to the workers first."""
+
+    @wraps(apply)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return apply(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", toxic_documents),
-    ("line dedup", recurring_lines),
-    ("n-gram Jaccard join", near_copies),
-    ("mixing", mixing),
-    ("packing", packed_sequences),
+    ("toxicity", shipped(toxic_documents)),
+    ("line dedup", shipped(recurring_lines)),
+    ("n-gram Jaccard join", shipped(near_copies)),
+    ("mixing", shipped(mixing)),
+    ("packing", shipped(packed_sequences)),
 ]
 
 #: Training, grouping of near copies and packing have no SQL form; the stages are tested by brute force.

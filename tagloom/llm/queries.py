@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup, suffix_dedup, toxicity
-from tagloom.llm.shared import table
+from tagloom.llm.shared import ship_package, table
 
 
 def tokenizer_path() -> str:
@@ -86,6 +89,17 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, with the package sent to the workers first."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_chat_formatting": op2_chat_formatting,
@@ -98,6 +112,7 @@ QUERIES = {
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_source_mixing": op10_source_mixing,
 }
+QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
 CHECKS = {
     "op3_nearest_neighbours": """
