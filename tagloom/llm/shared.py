@@ -66,7 +66,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large-star and small-star steps (Kiveris et al., 2014).  Each
     step is a partial aggregate and an equi-join, so nodes with very many
-    links are summed before they move; the links of each round are staged.
+    links are summed before they move; the links of each round are staged, and
+    so are the sums, so that adaptive execution can split a hub's join.
     Ends when a round changes nothing.
     """
     pairs = stage(
@@ -75,7 +76,7 @@ def components(edges: DataFrame) -> DataFrame:
     seen = None
     while True:
         both = pairs.union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
         small = large.groupBy("a").agg(F.min("b").alias("low"))
         down = large.join(small, "a").where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))
