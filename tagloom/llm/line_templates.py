@@ -70,13 +70,14 @@ def distinct_lines(docs: DataFrame, depth: int) -> DataFrame:
     return texts.mapInArrow(read, "text_hash long, doc_id long, leaf long, line long, marks binary")
 
 
-def recurring_lines(lines: DataFrame, similar: float, min_texts: int) -> DataFrame:
+def recurring_lines(lines: DataFrame, depth: int, similar: float, min_texts: int) -> DataFrame:
     """``line, first_doc`` for the lines of templates that ``min_texts`` different texts have.
 
     A leaf's most frequent line (the largest hash among equals) stands for its
-    template.  A line of the leaf that agrees with it in ``similar`` of the
-    tokens joins it; where they differ, the template is variable.  Other lines
-    stand for themselves.
+    first template.  A line of the leaf that agrees with it in ``similar`` of
+    the tokens joins it; where they differ, the template is variable.  The
+    lines that are left make further templates in the same way, until no line
+    left has enough texts with those that agree with it.
     """
     counts = (
         lines.groupBy("leaf", "line", "text_hash").agg(F.min("doc_id").alias("low"), F.min("marks").alias("marks"))
@@ -92,22 +93,79 @@ def recurring_lines(lines: DataFrame, similar: float, min_texts: int) -> DataFra
             share = []
             for a, b in zip(batch.column("marks").to_pylist(), batch.column("top_marks").to_pylist(), strict=True):
                 share.append(float(np.mean(np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8))))
-            keep = [batch.schema.get_field_index(n) for n in ("leaf", "line", "texts", "low", "top_line")]
+            keep = [batch.schema.get_field_index(n) for n in ("leaf", "line", "texts", "low", "marks", "top_line")]
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(share, pa.float64())], ["leaf", "line", "texts", "low", "top_line", "share"]
+                [*(batch.column(i) for i in keep), pa.array(share, pa.float64())], ["leaf", "line", "texts", "low", "marks", "top_line", "share"]
             )
 
     near = (
         counts.join(leaves.select("leaf", F.col("top.line").alias("top_line"), F.col("top.marks").alias("top_marks")), "leaf")
-        .mapInArrow(agree, "leaf long, line long, texts long, low long, top_line long, share double")
-        .withColumn("template", F.when(F.col("share") >= similar, F.col("top_line")).otherwise(F.col("line")))
+        .mapInArrow(agree, "leaf long, line long, texts long, low long, marks binary, top_line long, share double")
+        .withColumn("is_top", F.col("share") >= similar)
+        .withColumn("template", F.when(F.col("is_top"), F.col("top_line")).otherwise(F.col("line")))
     )
-    near = stage(near.select("leaf", "line", "template", "texts", "low"), "templates")
+    near = stage(near.select("leaf", "line", "template", "texts", "low", "marks", "is_top"), "templates")
     recurring = (
-        near.groupBy("leaf", "template").agg(F.sum("texts").alias("texts"), F.min("low").alias("first_doc"))
+        near.where("is_top").groupBy("leaf", "template").agg(F.sum("texts").alias("texts"), F.min("low").alias("first_doc"))
         .where(F.col("texts") >= min_texts)
     )
-    return near.join(recurring.select("leaf", "template", "first_doc"), ["leaf", "template"]).select("line", "first_doc")
+    known = near.join(recurring.select("leaf", "template", "first_doc", F.lit(True).alias("taken")), ["leaf", "template"], "left")
+    known = stage(known, "first-templates")
+    others = further_templates(known.where("taken is null").select("leaf", "line", "texts", "low", "marks"), depth, similar, min_texts)
+    return known.where("taken").select("line", "first_doc").union(others)
+
+
+def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: int) -> DataFrame:
+    """``line, first_doc`` for the lines of the further templates of each leaf.
+
+    From the most frequent line down, a line that still stands alone is a
+    template if it and the lines left that agree with it in ``similar`` of the
+    tokens have ``min_texts`` texts; they all join it.
+
+    Lines that agree have a key in common: all marks but one where one token
+    may differ, else one of as many runs of marks as tokens may differ and one
+    more.  Keys are counted before lines move, so only lines with a neighbour,
+    or frequent by themselves, are compared, and only those with enough texts
+    in reach are tried.
+    """
+    open_leaves = rest.groupBy("leaf").agg(F.sum("texts").alias("left")).where(F.col("left") >= min_texts).select("leaf")
+    rest = stage(rest.join(open_leaves, "leaf"), "further-lines")
+    size = F.octet_length("marks")
+    most = F.floor(size * F.lit(1 - similar) + F.lit(1e-6)).cast("int")
+    free = F.greatest(size - depth, F.lit(0))
+    edge = lambda b: F.floor(b * free / (most + 1)).cast("int")
+    part = lambda at, n: F.substring("marks", at, n)
+    but_one = F.transform(F.sequence(F.lit(1), F.greatest(free, F.lit(1))), lambda b: F.xxhash64("leaf", b, part(F.lit(1), depth + b - 1), part(depth + b + 1, size)))
+    runs = F.transform(F.sequence(F.lit(0), most), lambda b: F.xxhash64("leaf", b, part(depth + 1 + edge(b), edge(b + 1) - edge(b))))
+    keyed = stage(rest.select("leaf", "line", "texts", F.explode(F.when(most == 1, but_one).otherwise(runs)).alias("key")), "line-keys")
+    held = keyed.groupBy("key").agg(F.sum("texts").alias("key_texts"), F.count("*").alias("key_lines"))
+    reach = keyed.join(held, "key").groupBy("leaf", "line").agg(
+        (F.sum("key_texts") - F.sum("texts") + F.max("texts")).alias("reach"), F.max("key_lines").alias("key_lines")
+    ).where((F.col("key_lines") > 1) | (F.col("reach") >= min_texts)).select("leaf", "line", "reach")
+    near = rest.join(reach, ["leaf", "line"])
+
+    def lead(table: pa.Table) -> pa.Table:
+        line, texts = table.column("line").to_numpy(), table.column("texts").to_numpy()
+        order = np.lexsort((line, texts))[::-1]
+        none = np.iinfo(np.int64).max
+        low = table.column("low").fill_null(none).to_numpy()
+        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(line), -1)
+        line, texts, low, marks, reach = line[order], texts[order], low[order], marks[order], table.column("reach").to_numpy()[order]
+        lines, firsts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+        while at < len(line):
+            if reach[at] >= min_texts:
+                ball = (marks == marks[at]).mean(1) >= similar
+                if texts[ball].sum() >= min_texts:
+                    lines.append(line[ball])
+                    firsts.append(np.full(len(lines[-1]), low[ball].min()))
+                    at -= int(ball[:at].sum())
+                    line, texts, low, marks, reach = (x[~ball] for x in (line, texts, low, marks, reach))
+                    continue
+            at += 1
+        first = np.concatenate(firsts)
+        return pa.table([pa.array(np.concatenate(lines)), pa.array(first, mask=first == none)], ["line", "first_doc"])
+
+    return near.select("leaf", "line", "texts", "low", "marks", "reach").groupBy("leaf").applyInArrow(lead, "line long, first_doc long")
 
 
 def without_recurring(
@@ -130,7 +188,7 @@ def without_recurring(
     share an id lose what any of them may lose.  An empty table gives no rows.
     """
     lines = stage(distinct_lines(docs, depth), "lines")
-    recurring = recurring_lines(lines, similar, min_texts)
+    recurring = recurring_lines(lines, depth, similar, min_texts)
     owner, dropped = free_name(docs, "owner_of_lines"), free_name(docs, "dropped_lines")
     drop = (
         lines.select("doc_id", "line").join(recurring, "line").where("doc_id <> first_doc")

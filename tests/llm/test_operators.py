@@ -155,6 +155,19 @@ def test_variable_fields_join_a_template(spark, empty):
     assert got[0].startswith("visit us") and all(t.startswith("own") for i, t in got.items() if i)
 
 
+def test_a_leaf_holds_several_templates(spark):
+    names = [a + b for a in "klmnprst" for b in ("ara", "eno", "iva")]
+    lines = [f"Click here to read the story by {n}" for n in names[:12]] + [f"Click here to buy all items from {n}" for n in names[:12]]
+    lines += [f"Click here to win one of those {n}" for n in names[:9]]
+    long = "we say that one two three four five six seven eight"
+    lines += [f"{long} {a} {b} nine ten eleven" for a, b in zip(names[:11], names[1:12], strict=True)]
+    rows = [(i, f"{line}\nown {'x' * i} text") for i, line in enumerate(lines)]
+    got = {r.doc_id: r.text for r in line_templates.without_recurring(frame(spark, rows)).collect()}
+    for i, t in rows:
+        stays = i in (0, 12, 33) or 24 <= i < 33
+        assert got[i] == (t if stays else t.split("\n")[1])
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
