@@ -15,6 +15,7 @@ from tagloom.llm.shared import free_name, stage
 DEPTH = 3
 SIMILAR = 0.8
 MIN_TEXTS = 10
+LONG, LONG_TEXTS = 50, 2
 
 
 class Lines:
@@ -24,7 +25,8 @@ class Lines:
     words in it; tokens with a digit are variable and all count as one.
     ``leaf`` is reached by the number of tokens and the first ``depth`` of
     them; ``line`` hashes all tokens; ``marks`` has one byte for each token.
-    Blank lines have no tokens.
+    ``exact`` hashes the words themselves, digits and all.  Blank lines have
+    no tokens.
     """
 
     def __init__(self, column: pa.Array, depth: int):
@@ -38,9 +40,10 @@ class Lines:
         starts, ends, _ = words_of(data, offsets)
         hashes = word_hashes(data, starts, ends)
         digits = np.concatenate([[0], np.cumsum((data >= 48) & (data <= 57))])
-        hashes[digits[ends] > digits[starts]] = np.uint64(0)
         self.first = np.searchsorted(starts, self.starts)
         self.last = np.append(self.first[1:], len(starts))
+        self.exact = mixed(segment_hashes(hashes, self.first, self.last))
+        hashes[digits[ends] > digits[starts]] = np.uint64(0)
         self.tokens = self.last - self.first
         lead = segment_hashes(hashes, self.first, np.minimum(self.last, self.first + depth))
         self.leaf = mixed(lead + self.tokens.astype(np.uint64))
@@ -70,6 +73,25 @@ def distinct_lines(docs: DataFrame, depth: int) -> DataFrame:
     return texts.mapInArrow(read, "text_hash long, doc_id long, leaf long, line long, marks binary")
 
 
+def long_lines(docs: DataFrame, depth: int, long: int) -> DataFrame:
+    """``text_hash, doc_id, line`` for the lines of ``long`` words or more of each text; ``line`` is their ``exact`` hash."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cut in slices(batch):
+                found = Lines(cut.column("text"), depth)
+                held = np.flatnonzero(found.tokens >= long)
+                row = pa.array(found.text[held])
+                yield pa.RecordBatch.from_arrays(
+                    [cut.column("text_hash").take(row), cut.column("doc_id").take(row), pa.array(found.exact[held].view(np.int64))],
+                    ["text_hash", "doc_id", "line"],
+                )
+
+    # fewer bytes than that cannot be so many words
+    texts = docs.where(F.octet_length("text") >= 2 * long - 1).select(F.xxhash64("text").alias("text_hash"), F.col("doc_id").cast("long"), "text")
+    return texts.mapInArrow(read, "text_hash long, doc_id long, line long").distinct()
+
+
 def recurring_lines(lines: DataFrame, depth: int, similar: float, min_texts: int) -> DataFrame:
     """``line, first_doc`` for the lines of templates that ``min_texts`` different texts have.
 
@@ -169,16 +191,18 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
 
 
 def without_recurring(
-    docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min_texts: int = MIN_TEXTS, report: bool = False
+    docs: DataFrame, depth: int = DEPTH, similar: float = SIMILAR, min_texts: int = MIN_TEXTS, report: bool = False,
+    long: int = LONG, long_texts: int = LONG_TEXTS,
 ) -> DataFrame:
     """The documents without lines that recur across documents.
 
     A template recurs if at least ``min_texts`` different texts have it; equal
     texts count once, so copies of a document make none of its lines recur.
     Its lines stay in the document with the smallest id that has it and are
-    dropped from all others.  Every count is a partial aggregate and every
+    dropped from all others.  A line of ``long`` words or more recurs word for
+    word in ``long_texts`` different texts already.  Every count is a partial aggregate and every
     look-up an equi-join, so a line in a third of all documents is summed
-    before it moves.  Texts are read twice and moved once.
+    before it moves.  Texts are read three times and moved once.
 
     Keeps all rows and columns of ``docs`` and changes ``text`` alone; with
     ``report`` it returns ``doc_id, n_lines, n_removed, kept`` instead.  Blank
@@ -189,9 +213,17 @@ def without_recurring(
     """
     lines = stage(distinct_lines(docs, depth), "lines")
     recurring = recurring_lines(lines, depth, similar, min_texts)
+    exact = stage(long_lines(docs, depth, long), "long-lines")
+    repeated = (
+        exact.groupBy("line", "text_hash").agg(F.min("doc_id").alias("low"))
+        .groupBy("line").agg(F.count("*").alias("texts"), F.min("low").alias("first_doc"))
+        .where(F.col("texts") >= long_texts).select("line", "first_doc")
+    )
     owner, dropped = free_name(docs, "owner_of_lines"), free_name(docs, "dropped_lines")
     drop = (
-        lines.select("doc_id", "line").join(recurring, "line").where("doc_id <> first_doc")
+        lines.select("doc_id", "line").join(recurring, "line").select("line", "doc_id", "first_doc")
+        .union(exact.select("doc_id", "line").join(repeated, "line").select("line", "doc_id", "first_doc"))
+        .where("doc_id <> first_doc")
         .groupBy(F.col("doc_id").alias(owner)).agg(F.collect_set("line").alias(dropped))
     )
     marked = docs.join(drop, docs["doc_id"] == drop[owner], "left").drop(owner)
@@ -204,7 +236,9 @@ def without_recurring(
                 of = np.repeat(np.arange(len(lists)), np.nan_to_num(lists.value_lengths().to_numpy(zero_copy_only=False)).astype(np.int64))
                 salt = np.uint64(0x9E3779B97F4A7C15)
                 gone_keys = lists.flatten().to_numpy().view(np.uint64) + of.astype(np.uint64) * salt
-                gone = np.isin(found.line + found.text.astype(np.uint64) * salt, gone_keys) & (found.tokens > 0)
+                own = found.text.astype(np.uint64) * salt
+                gone = np.isin(found.line + own, gone_keys) & (found.tokens > 0)
+                gone |= np.isin(found.exact + own, gone_keys) & (found.tokens >= long)
                 texts = cut.column("text").to_pylist()
                 before = np.searchsorted(found.text, np.arange(len(texts) + 1))
                 for i in np.unique(found.text[gone]).tolist():

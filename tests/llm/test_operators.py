@@ -168,6 +168,18 @@ def test_a_leaf_holds_several_templates(spark):
         assert got[i] == (t if stays else t.split("\n")[1])
 
 
+@pytest.mark.parametrize("holders", [2, 5, 9])
+def test_a_long_line_recurs_from_two_texts_on(spark, holders):
+    long, short = " ".join(f"w{k}" for k in range(60)), " ".join(f"s{k}" for k in range(49))
+    rows = [(i, f"{long}\n{short}\nown {'x' * i} text") for i in range(holders)]
+    other = long.replace("w7 ", "w8 ")  # only digits differ, so it is not the same word for word
+    if holders < 9:  # else ten texts have the generalised line
+        rows += [(20, f"{other}\nlast one"), (30, f"{other}\nlast one")]  # copies are one text
+    got = {r.doc_id: r.text for r in line_templates.without_recurring(frame(spark, rows)).collect()}
+    for i, t in rows:
+        assert got[i] == (t if i in (0, 20, 30) else t.removeprefix(long + "\n"))
+
+
 def test_packing(docs, empty):
     from tokenizers import Tokenizer
 
