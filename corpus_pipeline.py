@@ -16,9 +16,9 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose toxicity reaches the threshold."""
+    """Drop documents whose toxicity reaches the threshold; without labels of both kinds all stay."""
     column = free_name(docs, "toxicity")
-    scored = toxicity.score(docs, table(spark, sf_dir, "labels"), column=column)
+    scored = toxicity.score(docs, table(spark, sf_dir, "labels"), column=column, unknown=toxicity.UNKNOWN)
     return scored.where(F.col(column) < toxicity.THRESHOLD).select(*docs.columns)
 
 

@@ -19,8 +19,8 @@ def tokenizer_path() -> str:
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The toxicity of every document, by a network that has not seen the held-out labels."""
-    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    """The toxicity of every document, by a network that has not seen the held-out labels; 0 without labels of both kinds."""
+    scored = toxicity.score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), unknown=toxicity.UNKNOWN)
     return scored.select(
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),

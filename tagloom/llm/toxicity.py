@@ -18,6 +18,8 @@ DIM, HIDDEN, ATTEND = 16, 8, 8
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 4, 5)
 UPDATES, BATCH, RATE = 450, 64, 8e-3
 THRESHOLD = 0.3
+#: What op1 and the pipeline score without labels of both kinds: nothing is known to be toxic.
+UNKNOWN = 0.0
 
 _NO_LETTER = np.ones(256, bool)
 _NO_LETTER[[*range(97, 123), *range(128, 256)]] = False
@@ -269,7 +271,8 @@ def sample_of(docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: i
 
 
 def score(
-    docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS, column: str = "score"
+    docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS, column: str = "score",
+    unknown: float | None = None,
 ) -> DataFrame:
     """All rows and columns of ``docs`` and ``column``, the probability that the text is toxic.
 
@@ -281,13 +284,15 @@ def score(
     scored by all its overlapping windows and counts as its worst one.  Scores
     depend on the text alone, and training is the same in each run.
 
-    Null, empty and letterless texts get the score of an empty window.  With
-    no labelled row of either kind the untrained network's scores are
-    constant.  A label row with nulls or other values is not used.
+    Null, empty and letterless texts get the score of an empty window.
+    Without labelled rows of both kinds there is nothing to learn, and every
+    score is ``unknown``, or 0.5 if that is not given.  A label row with nulls or other values is not used.
     """
     docs = docs.drop(column)
     texts, known = sample_of(docs, labels, toxic_rows, other_rows)
-    model = trained(texts, known) if len(known) and 0 < known.sum() < len(known) else {k: v * 0 for k, v in fresh_model().items()}
+    if not 0 < known.sum() < len(known):
+        return docs.withColumn(column, F.lit(0.5 if unknown is None else float(unknown)))
+    model = trained(texts, known)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

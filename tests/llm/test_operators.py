@@ -398,6 +398,22 @@ def test_toxicity(spark, monkeypatch):
     assert toxicity.score(table.limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("kinds", [[], [0], [1], [None, 2]])
+def test_without_both_kinds_of_labels_nothing_is_toxic(spark, tmp_path, kinds):
+    import corpus_pipeline
+    from tagloom.llm.queries import QUERIES
+
+    rows = [(i, t) for i, t in ROWS if i is not None][:30]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, 1, kind) for kind in kinds for i, _ in rows]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    read = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    kept = corpus_pipeline.STAGES[0][1](spark, read, str(tmp_path))
+    assert kept.columns == read.columns and {r.doc_id for r in kept.collect()} == {i for i, _ in rows}
+    got = QUERIES["op1_toxicity"](spark, str(tmp_path)).collect()
+    assert len(got) == 30 and all((r.score, r.predicted) == (0.0, 0) for r in got)
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
