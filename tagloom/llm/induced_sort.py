@@ -1,8 +1,8 @@
 """External induced suffix sorting with common-prefix lengths, in numpy.
 
-The text of a shard stays in memory at two bytes a symbol; everything of the
-size of a suffix (positions and common-prefix lengths) waits in queues that go
-to disk.  Follows eSAIS (Bingmann, Fischer and Osipov, 2013).
+The queues of suffixes (positions and common-prefix lengths) go to disk.  The
+text at two bytes a symbol, symbol types, run lengths (8 bytes a symbol) and
+the sorted seeds stay in memory, so a text is a shard of bounded size.  Follows eSAIS (Bingmann, Fischer and Osipov, 2013).
 """
 
 from __future__ import annotations

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.llm.arrays import byte_values, slices, sliding_least, utf8, window_hashes
@@ -125,18 +126,59 @@ def repeated_in_shard(contents: list[bytes], length: int, limit: int) -> list[tu
     return [runs_of(repeated[a : a + max(0, n - length + 1)]) for a, n in zip(begins[:-1].tolist(), sizes.tolist(), strict=True)]
 
 
+def head_segments(kinds: DataFrame, shard_bytes: int) -> DataFrame:
+    """``marker, doc_id, start, size, sorts``: a segment of each kind that may share strings with another or itself.
+
+    ``sorts`` says that all kinds of the marker fit in a shard together.
+    """
+    many = kinds.groupBy("marker").agg(F.count("*").alias("kinds"), F.sum("size").alias("marker_size"))
+    return kinds.join(many, "marker").where("kinds > 1 or inner").select(
+        "marker", F.col("head.doc_id"), F.col("head.start"), "size", (F.col("marker_size") <= shard_bytes).alias("sorts")
+    )
+
+
+def counted_spans(pieces: DataFrame, length: int) -> DataFrame:
+    """``doc_id, low, high`` of the strings that start in two places of the segments, by counting their digests.
+
+    For markers of which many different segments are held: each string has a
+    key of its own, so nothing but equal strings must meet, and those are
+    counted before they move.
+    """
+
+    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc_id, start, content in zip(*(batch.column(n) for n in ("doc_id", "start", "content")), strict=True):
+                whole, doc_id, start = memoryview(content.as_buffer()), doc_id.as_py(), start.as_py()
+                count = len(whole) - length + 1
+                for at in range(0, count, 1 << 16):
+                    n = min(count - at, 1 << 16)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([hashlib.md5(whole[k : k + length]).digest() for k in range(at, at + n)], pa.binary()),
+                         pa.array(np.full(n, doc_id)), pa.array(np.arange(start + at, start + at + n))],
+                        ["string", "doc_id", "low"],
+                    )
+
+    strings = stage(pieces.select("doc_id", "start", "content").mapInArrow(digests, "string binary, doc_id long, low long"), "strings")
+    repeated = strings.groupBy("string").agg(F.count("*").alias("times")).where("times > 1")
+    # consecutive strings make one span
+    found = strings.join(repeated, "string").select("doc_id", "low").distinct()
+    run = F.col("low") - F.row_number().over(Window.partitionBy("doc_id").orderBy("low"))
+    return found.withColumn("run", run).groupBy("doc_id", "run").agg(
+        F.min("low").alias("low"), (F.max("low") + length).alias("high")
+    ).select("doc_id", "low", "high")
+
+
 def sorted_spans(segments: DataFrame, kinds: DataFrame, length: int, shard_bytes: int, limit: int) -> DataFrame:
     """``doc_id, low, high`` of what repeats in other segments, one segment of each kind standing for all.
 
     A shard holds all different segments of its markers, so equal strings meet
     in it.  Suffixes are sorted by external induction with their common
     prefixes; a string repeats if it shares ``length`` bytes with a neighbour.
+    The strings of a marker with more than ``shard_bytes`` of different
+    segments are dealt out and counted instead.
     """
-    many = kinds.groupBy("marker").agg(F.count("*").alias("kinds"))
-    heads = stage(
-        kinds.join(many, "marker").where("kinds > 1 or inner").select("marker", F.col("head.doc_id"), F.col("head.start"), "size"), "heads"
-    )
-    shards = max(1, math.ceil((heads.agg(F.sum("size")).first()[0] or 0) / shard_bytes))
+    heads = stage(head_segments(kinds, shard_bytes), "heads")
+    shards = max(1, math.ceil((heads.where("sorts").agg(F.sum("size")).first()[0] or 0) / shard_bytes))
 
     def sort(table: pa.Table) -> pa.Table:
         ids, starts = table.column("doc_id").to_numpy(), table.column("start").to_numpy()
@@ -147,12 +189,15 @@ def sorted_spans(segments: DataFrame, kinds: DataFrame, length: int, shard_bytes
             rows[2].append(starts[i] + b + length - 1)
         return pa.table([pa.array(np.concatenate(c).astype(np.int64)) for c in rows], ["doc_id", "low", "high"])
 
-    return (
-        segments.select("marker", "doc_id", "start", "content")
-        .join(heads.select("marker", "doc_id", "start"), ["marker", "doc_id", "start"])
+    keys = ["marker", "doc_id", "start"]
+    pieces = segments.select(*keys, "content")
+    spans = (
+        pieces.join(heads.where("sorts").select(*keys), keys)
         .withColumn("shard", F.pmod(F.xxhash64("marker"), F.lit(shards)))
         .groupBy("shard").applyInArrow(sort, "doc_id long, low long, high long")
     )
+    hot = heads.where("not sorts")
+    return spans if hot.isEmpty() else spans.union(counted_spans(pieces.join(hot.select(*keys), keys), length))
 
 
 def remove_repeats(
@@ -168,9 +213,9 @@ def remove_repeats(
     Equal texts are taken out first: they repeat as a whole, and one stands
     for all in the search.  Of the others only segments that may repeat are
     moved; equal segments are counted, and different ones with a common marker
-    are suffix sorted in shards of about ``shard_bytes``.  A marker that many
-    documents share makes a larger shard; its suffixes wait on disk beyond
-    ``memory_items``.
+    are suffix sorted in shards of about ``shard_bytes``; suffixes wait on disk
+    beyond ``memory_items``.  A marker with more different segments than that
+    is split down to its strings, which are counted.
 
     Null and empty texts have no bytes, and texts shorter than ``length`` lose
     none.  ``doc_id`` is expected to name one row; of rows that share one each

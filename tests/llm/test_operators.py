@@ -81,6 +81,28 @@ def test_long_repeats(docs, empty, shard_bytes, memory_items):
     assert suffix_dedup.remove_repeats(empty).count() == 0
 
 
+def test_a_marker_of_many_segments_is_split(spark, monkeypatch):
+    rnd = random.Random(12)
+    own = lambda n: "".join(rnd.choice("abcdefghijklmnop ") for _ in range(n))
+    short, passage, pair = own(100), own(440), own(700)
+    rows = [(i, own(500) + (short if i % 2 else passage) + own(500)) for i in range(60)] + [(i, own(99 + i) + pair + own(i)) for i in (70, 71)]
+    rows += [(80, "z" * 9000)]
+    count = collections.Counter(t[k : k + 400] for _, t in rows for k in range(len(t) - 399))
+    held = []
+    heads = suffix_dedup.head_segments
+    monkeypatch.setattr(suffix_dedup, "head_segments", lambda *a: held.append(heads(*a)) or held[-1])
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(frame(spark, rows), shard_bytes=6000).collect()}
+    sizes = {r.sorts: (r.most, r.n) for r in held[0].groupBy("sorts", "marker").agg(F.sum("size").alias("size")).groupBy("sorts").agg(F.max("size").alias("most"), F.count("*").alias("n")).collect()}
+    assert sizes[True][0] <= 6000 < sizes[False][0]
+    for i, t in rows:
+        gone = bytearray(len(t))
+        for k in range(len(t) - 399):
+            if count[t[k : k + 400]] > 1:
+                gone[k : k + 400] = b"\1" * 400
+        assert got[i].n_removed == sum(gone)
+        assert bytes(got[i].kept).decode() == "".join(x for x, g in zip(t, gone, strict=True) if not g)
+
+
 def test_similar_documents(docs, empty):
     sets = {i: shingles(t) for i, t in KNOWN.items()}
     ids, pairs, links = sorted(sets), [], collections.Counter()
