@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.arrays import slices, utf8, window_hashes, word_hashes, words_of
 
 TOXIC_ROWS, OTHER_ROWS = 800, 1600
-WINDOW, STRIDE = 32, 24
+WINDOW, STRIDE = 32, 12
 DIM, HIDDEN, ATTEND = 16, 8, 8
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 4, 5)
 UPDATES, BATCH, RATE = 450, 64, 8e-3
@@ -36,7 +36,8 @@ class Texts:
     Words are runs of letters, in lower case.  A distinct word has a bucket
     and, through its character n-grams (with marks at both ends), a bag of
     gram buckets.  Windows of ``WINDOW`` words start every ``STRIDE`` words,
-    the last one at the end of its text, so they overlap and cover it all; a
+    the last one at the end of its text, so they overlap and cover it all, and
+    any ``WINDOW - STRIDE + 1`` words in a row lie whole in one of them; a
     shorter text is one window, padded with word 0, which stands for nothing.
     """
 

@@ -395,6 +395,18 @@ def test_gradients_of_the_network():
             assert math.isclose((up - down) / (2 * step), slope[k], rel_tol=0.1, abs_tol=2e-4), name
 
 
+def test_a_passage_lies_whole_in_a_window():
+    import pyarrow as pa
+
+    rest, passage = ["and"] * 90, [f"p{chr(97 + k)}" for k in range(20)]
+    texts = toxicity.Texts(pa.array([" ".join(rest[:at] + passage + rest[at:]) for at in range(len(rest) + 1)]))
+    numbers, real = texts.windows(slice(None))
+    held = np.array([len(set(numbers[real[:, w], w].tolist())) for w in range(numbers.shape[1])])
+    # the passage's 20 different words and, in 32, the one around it
+    whole = set(texts.text[held == 21].tolist())
+    assert whole == set(range(len(rest) + 1))
+
+
 def test_toxicity(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "UPDATES", 150)
     rnd = random.Random(8)
