@@ -110,8 +110,8 @@ def mix(
 def repeats(mixed: DataFrame, drift: float = 0.5) -> DataFrame:
     """Give each repeat of a document its training position.
 
-    Returns ``doc_id, source, content, words, of_words, position``: the words
-    taken in this repeat and the words the document has.  Weights of sources
+    Returns ``doc_id, source, content, start, words, of_words, position``: the
+    words taken in this repeat and the words the document has.  Weights of sources
     at even places fall over training by ``drift`` and the others rise.
     """
     last = F.col("part_taken") > 0
@@ -126,6 +126,7 @@ def repeats(mixed: DataFrame, drift: float = 0.5) -> DataFrame:
             "doc_id",
             "source",
             "content",
+            "start",
             F.when(F.col("k") < F.col("whole"), F.col("size")).otherwise(F.col("part_taken")).alias("words"),
             F.col("size").alias("of_words"),
             demand_time(share, sign).alias("position"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup, suffix_dedup, toxicity
-from tagloom.llm.shared import ship_package, table
+from tagloom.llm.shared import ship_package, stage, table
 
 
 def tokenizer_path() -> str:
@@ -80,12 +80,15 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of each document, with the training position of its first repeat."""
-    mixed = curriculum.mix(table(spark, sf_dir, "documents"))
-    share = F.when(F.col("taken") > 0, F.col("start") / F.round("target"))
-    sign = F.when(F.col("place") % 2 == 0, F.lit(-0.5)).otherwise(F.lit(0.5))
-    return mixed.select(
-        "doc_id", "size", "source_size", "target", "taken",
-        F.round(curriculum.demand_time(share, sign), 6).alias("first_position"),
+    mixed = stage(curriculum.mix(table(spark, sf_dir, "documents")), "mix")
+    keys = ["doc_id", "source", "content", "start"]
+    placed = curriculum.repeats(mixed).groupBy(*keys).agg(F.sum("words").alias("words"), F.min("position").alias("position"))
+    placed = placed.select(F.struct(*keys).alias("row"), "words", "position")
+    same = mixed["doc_id"].eqNullSafe(F.col("row.doc_id")) & mixed["source"].eqNullSafe(F.col("row.source"))
+    same = same & (mixed["content"] == F.col("row.content")) & (mixed["start"] == F.col("row.start"))
+    return mixed.join(placed, same & (mixed["size"] > 0), "left").select(
+        "doc_id", "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"),
+        F.round("position", 6).alias("first_position"),
     )
 
 

@@ -285,6 +285,22 @@ def test_curriculum(docs, empty):
     assert curriculum.training_order(empty).count() == 0
 
 
+def test_the_mix_query_uses_the_repeats(spark, tmp_path, monkeypatch):
+    from tagloom.llm.queries import QUERIES
+
+    frame(spark, ROWS + ROWS[:3]).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = QUERIES["op10_source_mixing"](spark, str(tmp_path)).collect()
+    mixed = curriculum.mix(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()
+    order = lambda r: (r.doc_id or 0, r.size, r.taken)
+    assert sorted(map(order, rows)) == sorted(map(order, mixed))
+    assert all((r.first_position is None) == (r.taken == 0) for r in rows)
+    monkeypatch.setattr(curriculum, "demand_time", lambda share, drift: F.lit(0.25))
+    repeats = curriculum.repeats
+    monkeypatch.setattr(curriculum, "repeats", lambda m: repeats(m).withColumn("words", F.lit(7)))
+    moved = QUERIES["op10_source_mixing"](spark, str(tmp_path)).where("taken > 0").collect()
+    assert moved and all(r.first_position == 0.25 and r.taken % 7 == 0 for r in moved)
+
+
 def test_chats(spark):
     rnd = random.Random(2)
     pieces = ["</s>", "[INST]", "\\", "\\a", "<|end|>", "<|turn|>user\n", "\n", " ", "hi", "é漢", "\U0001f600", "<", "|", "end|>", ""]
