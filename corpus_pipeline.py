@@ -36,8 +36,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources mixed to their target weights and put into training order; repeats are rows of their own."""
-    return curriculum.training_order(docs)
+    """Sources mixed to their target weights and put into training order; repeats are rows of their own.
+
+    Documents at a cut are whole or left out, but where that misses a target by far.
+    """
+    return curriculum.training_order(docs, far=curriculum.FAR)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

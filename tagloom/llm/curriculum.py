@@ -9,6 +9,7 @@ from tagloom.llm.shared import free_name, stage
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MOST = 3.0
+FAR = 0.01
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -134,19 +135,32 @@ def repeats(mixed: DataFrame, drift: float = 0.5) -> DataFrame:
     )
 
 
-def training_order(docs: DataFrame, **options) -> DataFrame:
+def whole_at_cuts(mixed: DataFrame, far: float = FAR) -> DataFrame:
+    """The mix with the document at each source's cut taken whole or not at all, whichever is nearer to the target.
+
+    It stays cut only if both would miss the target by more than ``far`` of it.
+    """
+    part, size = F.col("part_taken"), F.col("size")
+    nearest = F.when(2 * part >= size, size).otherwise(F.lit(0))
+    kept = F.when((part > 0) & (part < size) & (F.abs(nearest - part) <= F.col("target") * far), nearest).otherwise(part).cast("long")
+    return mixed.withColumn("part_taken", kept).withColumn("taken", F.col("whole") * size + F.col("part_taken"))
+
+
+def training_order(docs: DataFrame, far: float | None = None, **options) -> DataFrame:
     """The documents of the mix, repeats included, sorted by range of training position.
 
     Keeps all columns of ``docs``; a document cut at its source's target keeps
-    its leading words, joined by one space.
+    its leading words and the white space before each.  With ``far`` only
+    those are cut that ``whole_at_cuts`` leaves.
     """
     placed = free_name(docs, "placed")
-    chosen = repeats(mix(docs, **options)).select(
+    mixed = mix(docs, **options)
+    chosen = repeats(mixed if far is None else whole_at_cuts(mixed, far)).select(
         F.struct("doc_id", "content", "words", "of_words", "position").alias(placed)
     ).distinct()
     at = lambda field: F.col(f"{placed}.{field}")
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    leading = F.array_join(F.slice(words, 1, at("words").cast("int")), " ")
+    words = F.regexp_extract_all("text", F.lit(rf"([\x20\x09-\x0D]*{WORD})"), F.lit(1))
+    leading = F.array_join(F.slice(words, 1, at("words").cast("int")), "")
     keys = F.col("doc_id").eqNullSafe(at("doc_id")) & (F.md5("text") == at("content"))
     return (
         docs.join(chosen, keys)

@@ -301,6 +301,20 @@ def test_the_mix_query_uses_the_repeats(spark, tmp_path, monkeypatch):
     assert moved and all(r.first_position == 0.25 and r.taken % 7 == 0 for r in moved)
 
 
+def test_documents_at_a_cut_stay_whole(spark):
+    import corpus_pipeline
+
+    rows = [(i, "\n".join(f"line  {i} {k}" for k in range(3 + i % 7))) for i in range(900)]
+    texts = dict(rows)
+    table = frame(spark, rows)
+    cuts = [r for r in curriculum.mix(table).collect() if 0 < r.part_taken < r.size]
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.STAGES[3][1](spark, table, "").collect()]
+    assert cuts and got and all(t == texts[i] for i, t in got)
+    few = frame(spark, [(i, texts[i]) for i in range(3, 9)])
+    cut = [(i, t) for i, t in ((r.doc_id, r.text) for r in curriculum.training_order(few, far=0.0).collect()) if t != texts[i]]
+    assert cut and all(texts[i].startswith(t) and "  " in t for i, t in cut)
+
+
 def test_chats(spark):
     rnd = random.Random(2)
     pieces = ["</s>", "[INST]", "\\", "\\a", "<|end|>", "<|turn|>user\n", "\n", " ", "hi", "é漢", "\U0001f600", "<", "|", "end|>", ""]
