@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import chat_format, curriculum, embedding_links, jaccard_join, line_templates, nearest, packing, substring_dedup, suffix_dedup, toxicity
+from tagloom.llm import (
+    chat_format, curriculum, decontamination, embedding_links, jaccard_join, line_templates, nearest, packing, periodic_runs, substring_dedup,
+    suffix_dedup, toxicity, whitening,
+)
 from tagloom.llm.shared import ship_package, stage, table
 
 
@@ -92,6 +95,52 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of every document that stand in windows of ten words of the benchmark, and the items they come from."""
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors along the four leading components of their covariance, at unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).select(
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    )
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """The documents; of those whose id's checksum ends in 0 the words from a place on are made to repeat."""
+    sum_ = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(sum_ / 10).cast("long")
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        times = F.ceil((n - a) / p).cast("int")
+        tail = F.flatten(F.array_repeat(F.slice(words, a + 1, p), times))
+        return F.concat(F.slice(words, 1, a), F.slice(tail, F.lit(1), (n - a).cast("int")))
+
+    words = F.regexp_extract_all("text", F.lit("[^\\x20\\x09-\\x0D]+"), F.lit(0))
+    made = F.transform(F.array(words), lambda w: F.when(F.size(w) > 0, F.array_join(repeated(w), " ")).otherwise(""))[0]
+    return docs.select("doc_id", F.when((F.pmod(sum_, F.lit(10)) == 0) & F.col("text").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of every document, a tenth of which get a repeating tail first."""
+    found = periodic_runs.find_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("top.start")).alias("start"), F.col("top.length").alias("length"),
+        (-F.col("top.period")).alias("period"), F.floor(-F.col("top.length") * 1000 / F.col("top.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query, with the package sent to the workers first."""
 
@@ -114,9 +163,13 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_source_mixing": op10_source_mixing,
+    "op11_decontamination": op11_decontamination,
+    "op12_embedding_whitening": op12_embedding_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 QUERIES = {name: shipped(query) for name, query in QUERIES.items()}
 
+TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 CHECKS = {
     "op3_nearest_neighbours": """
         WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
@@ -136,6 +189,19 @@ CHECKS = {
                sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE
                       list_filter(w, lambda x, k: NOT list_contains(gone, k)) END, ' ')) AS kept_sha256
         FROM d LEFT JOIN r ON d.doc_id = r.doc_id""",
+    "op11_decontamination": f"""
+        WITH d AS (SELECT row_number() OVER () AS row_id, doc_id, {TERMS} AS w FROM documents),
+        b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {TERMS} AS w FROM benchmark),
+        t AS (SELECT item_id, len(s) AS n, array_to_string(s, ' ') AS s FROM (
+                SELECT item_id, w[i:i + 9] AS s FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM b WHERE len(w) > 0))),
+        g AS (SELECT row_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS s
+              FROM (SELECT row_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM t))),
+        m AS (SELECT DISTINCT g.row_id, g.i, g.n, t.item_id FROM g JOIN t ON g.s = t.s AND g.n = t.n),
+        h AS (SELECT row_id, count(*) AS n_hit FROM (SELECT DISTINCT row_id, unnest(range(i, i + n)) AS p FROM m) GROUP BY row_id),
+        k AS (SELECT row_id, list_sort(list(DISTINCT item_id)) AS ids FROM m WHERE item_id IS NOT NULL GROUP BY row_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0) AS n_items,
+               sha256(array_to_string(coalesce(ids, []), ',')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h ON d.row_id = h.row_id LEFT JOIN k ON d.row_id = k.row_id""",
     "op10_source_mixing": """
         WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
                           md5(CAST(doc_id AS VARCHAR)) AS turn, md5(coalesce(text, '')) AS content FROM documents),

@@ -18,5 +18,5 @@ def test_all_are_registered():
     import __spark_entry__ as entry
 
     known = entry.queries()
-    assert [sum(name.startswith(f"op{n}_") for name in known) for n in range(1, 11)] == [1] * 10
+    assert [sum(name.startswith(f"op{n}_") for name in known) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in known and set(CHECKS) <= set(entry.oracle_sql())
