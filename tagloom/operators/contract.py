@@ -261,6 +261,78 @@ def writable_surface(primary: DataFrame, cards: DataFrame) -> DataFrame:
     return ranged.unionByName(own).distinct()
 
 
+# How fine the bins of ``outside`` are: rows and columns of a bin, per level.  A range lies in at most four bins of its level.
+ROW_LEVELS, COLUMN_LEVELS = (32, 4096, 1 << 31), (16, 1 << 31)
+BOUNDS = ("low_row", "high_row", "low_col", "high_col")
+DEALT = 16
+
+
+def writable_bounds(ranges: DataFrame, cards: DataFrame | None = None, range_col: str = "cell_range") -> DataFrame:
+    """The writable surface as corners: ``(workbook, sheet_name, low_row, high_row, low_col, high_col)``.
+
+    Ranges are ``A1:B9`` or single cells, in either case; a whole sheet is one
+    row.  ``cards`` add their own cells.
+    """
+    upper = F.upper(F.col(range_col))
+    paired = F.when(F.contains(upper, F.lit(":")), upper).otherwise(F.concat_ws(":", upper, upper))
+    found = range_bounds(ranges.select("workbook", "sheet_name", paired.alias("cell_range")).distinct())
+    found = found.select("workbook", "sheet_name", *BOUNDS)
+    if cards is None:
+        return found
+    row, col = F.col("row_num"), F.col("col_num")
+    return found.union(cards.select("workbook", "sheet_name", row, row, col, col)).distinct()
+
+
+def _level(size: Column, levels: tuple[int, ...]) -> Column:
+    """The first level whose bins are at least as large."""
+    found = F.lit(len(levels) - 1)
+    for number in reversed(range(len(levels) - 1)):
+        found = F.when(size <= levels[number], F.lit(number)).otherwise(found)
+    return found
+
+
+def outside(cells: DataFrame, bounds: DataFrame, row: str = "at_row", column: str = "at_col") -> DataFrame:
+    """The rows of ``cells(workbook, sheet_name, row, column, ...)`` that no rectangle of their sheet holds.
+
+    An interval join in bins: a rectangle goes to the bins it touches on the
+    level of its own size, four at most, and a cell looks into its one bin of
+    each level, so that only rectangles near it are compared and none is
+    expanded to cells.  On levels without bounds in one direction a sheet is
+    few bins; there rectangles are repeated and cells dealt out over 16 parts,
+    so that no sheet is one task.  Cells without a place are outside.
+    """
+    sheet = ["workbook", "sheet_name"]
+    height, width = F.col("high_row") - F.col("low_row") + 1, F.col("high_col") - F.col("low_col") + 1
+    size_of = lambda level, levels: F.element_at(F.array(*[F.lit(n).cast("long") for n in levels]), level + 1)
+    bin_of = lambda at, level, levels: F.floor(F.col(at) / size_of(level, levels)).cast("int")
+    span = lambda low, high, level, levels: F.explode(F.sequence(bin_of(low, level, levels), bin_of(high, level, levels)))
+    row_level, column_level = F.col("row_level"), F.col("column_level")
+    coarse = row_level == len(ROW_LEVELS) - 1
+    dealt = (
+        bounds.select(*sheet, *BOUNDS).distinct()
+        .withColumn("row_level", _level(height, ROW_LEVELS)).withColumn("column_level", _level(width, COLUMN_LEVELS))
+        .withColumn("row_bin", span("low_row", "high_row", row_level, ROW_LEVELS))
+        .withColumn("column_bin", span("low_col", "high_col", column_level, COLUMN_LEVELS))
+        .withColumn("part", F.explode(F.when(coarse, F.sequence(F.lit(0), F.lit(DEALT - 1))).otherwise(F.array(F.lit(0)))))
+    )
+    levels = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in range(len(ROW_LEVELS)) for c in range(len(COLUMN_LEVELS))])
+    places = cells.select(*sheet, F.col(row).alias("at_row"), F.col(column).alias("at_col")).where("at_row IS NOT NULL AND at_col IS NOT NULL").distinct()
+    looked = (
+        places.select("*", F.explode(levels).alias("level")).select("*", F.col("level.r").alias("row_level"), F.col("level.c").alias("column_level"))
+        .withColumn("row_bin", bin_of("at_row", row_level, ROW_LEVELS)).withColumn("column_bin", bin_of("at_col", column_level, COLUMN_LEVELS))
+        .withColumn("part", F.when(coarse, F.pmod(F.xxhash64("at_row", "at_col"), F.lit(DEALT)).cast("int")).otherwise(F.lit(0)))
+        .drop("level")
+    )
+    keys = [*sheet, "row_level", "column_level", "row_bin", "column_bin", "part"]
+    a, b = looked.alias("a"), dealt.alias("b")
+    same = F.lit(True)
+    for key in keys:
+        same = same & (F.col(f"a.{key}") == F.col(f"b.{key}"))
+    within = F.col("a.at_row").between(F.col("b.low_row"), F.col("b.high_row")) & F.col("a.at_col").between(F.col("b.low_col"), F.col("b.high_col"))
+    held = a.join(b, same & within, "left_semi").select(*sheet, F.col("at_row").alias(row), F.col("at_col").alias(column)).distinct()
+    return cells.join(held, [*sheet, row, column], "left_anti")
+
+
 def surface_violations(updates: DataFrame, primary: DataFrame, cards: DataFrame) -> DataFrame:
     """Updates off the surface: ``(workbook, sheet_name, cell_ref, seq, code, detail)``.
 

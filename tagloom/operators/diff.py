@@ -8,6 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.functions.refs import ref_column, ref_row
+from tagloom.operators.contract import outside
+from tagloom.operators.lineage import Stage, cut_lineage
+
 PART_KEY = ["workbook", "part"]
 
 
@@ -24,6 +28,18 @@ def part_changes(template: DataFrame, output: DataFrame, keys: list[str] = PART_
     return left.join(right, keys, "full_outer").select(*keys, status.alias("status"))
 
 
+def store_snapshot(snapshot: DataFrame, table: str, keys: list[str] = PART_KEY, buckets: int = 64) -> DataFrame:
+    """Keep a snapshot as a table that is dealt out and sorted by its keys, for comparisons to come.
+
+    ``part_changes`` and ``new_evidence`` against it then shuffle the other
+    side alone.  Rows are dealt out before they are written, so that each
+    bucket is one file.  An existing table is not replaced.
+    """
+    dealt = snapshot.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).mode("errorifexists").saveAsTable(table)
+    return snapshot.sparkSession.table(table)
+
+
 def only_in(left: DataFrame, right: DataFrame, keys: list[str] = PART_KEY) -> DataFrame:
     return left.select(*keys).join(right.select(*keys), keys, "left_anti")
 
@@ -102,12 +118,14 @@ def unexpected_changes(
 
 
 def cell_drift(template: DataFrame, output: DataFrame, surface: DataFrame) -> DataFrame:
-    """Cells of two grids that differ by more than an approved value.
+    """Cells of two grids that differ by more than an approved value: ``(workbook, sheet_name, cell_ref)``.
 
     Of a writable cell the presence, the formula, the style and whether it
     carries a type are compared; of any other cell everything.  Grids have
     ``cell_ref``, ``value``, ``cell_type`` and ``has_formula``, and ``formula``
-    and ``style`` where they know them.
+    and ``style`` where they know them.  ``surface`` are corners, as
+    ``contract.writable_bounds`` gives them; only cells whose value or type
+    changed are looked up there.
     """
     more = [c for c in ("formula", "style") if c in template.columns and c in output.columns]
     key = ["workbook", "sheet_name", "cell_ref"]
@@ -120,22 +138,68 @@ def cell_drift(template: DataFrame, output: DataFrame, surface: DataFrame) -> Da
             *[F.col(c).alias(f"{tag}_{c}") for c in columns], F.lit(True).alias(tag),
         )
 
-    allowed = surface.select("workbook", "sheet_name", upper, F.lit(True).alias("writable")).distinct()
-    both = side(template, "l").join(side(output, "r"), key, "full_outer").join(allowed, key, "left")
+    both = side(template, "l").join(side(output, "r"), key, "full_outer")
     same = lambda c: F.col(f"l_{c}").eqNullSafe(F.col(f"r_{c}"))
     same_text = F.coalesce("l_value", F.lit("")).eqNullSafe(F.coalesce("r_value", F.lit("")))
     same_typed = F.col("l_cell_type").isNull() == F.col("r_cell_type").isNull()
-    one_sided = F.col("l").isNull() | F.col("r").isNull()
-    kept = same("has_formula")
+    frame = F.col("l").isNotNull() & F.col("r").isNotNull() & same("has_formula") & same_typed
     for column in more:
-        kept = kept & same(column)
-    kept = kept & F.when(F.col("writable").isNotNull(), same_typed).otherwise(same_text & same("cell_type"))
-    return both.filter(one_sided | ~kept).select(*key)
+        frame = frame & same(column)
+    changed = both.select(*key, (~frame).alias("certain"), (same_text & same("cell_type")).alias("equal")).filter("certain OR NOT equal")
+    return _off_surface(changed.select(*key, "certain"), "cell_ref", surface).select(*key)
+
+
+def _off_surface(changed: DataFrame, ref: str, surface: DataFrame) -> DataFrame:
+    """Changes that are certain, and those of cells that may not be written."""
+    asked = changed.filter(~F.col("certain")).withColumn("at_row", ref_row(F.col(ref))).withColumn("at_col", ref_column(F.col(ref)))
+    return changed.filter("certain").union(outside(asked, surface).select(*changed.columns))
+
+
+NODE_KEY = ["workbook", "sheet_name", "path"]
 
 
-def element_drift(template: DataFrame, output: DataFrame) -> DataFrame:
-    """Sheet elements besides cells that differ or that one side lacks: ``(workbook, sheet_name, element)``."""
-    return changed_values(template, output, "content", ["workbook", "sheet_name", "element"])
+def tree_drift(template: DataFrame, output: DataFrame, surface: DataFrame, stage: Stage = cut_lineage) -> DataFrame:
+    """Elements of two sheets that differ by more than approved values: ``(workbook, sheet_name, path, anchor, change)``.
+
+    Sides are ``xml_tree.shred`` rows.  Of a cell on the surface the frame is
+    compared: its attributes, but for the value of ``t`` if it has one, its
+    text, and its children without the payload; of everything else all.
+    ``change`` says what: ``added``, ``removed``, ``name``, ``attributes``,
+    ``text``, ``tail`` or ``order``.  Of what is added or removed as a whole
+    only the top element is listed, and an element's order only where its
+    children are the same ones.
+    """
+    values = ("name", "attributes", "text", "tail", "children", "frame", "payload", "anchor", "parent")
+
+    def side(nodes: DataFrame, tag: str) -> DataFrame:
+        return nodes.select(*NODE_KEY, F.struct(*values).alias(tag))
+
+    both = side(template, "l").join(side(output, "r"), NODE_KEY, "full_outer").filter(~F.col("l").eqNullSafe(F.col("r")))
+    either = lambda name: F.coalesce(f"l.{name}", f"r.{name}")
+    differs = lambda name: ~F.col(f"l.{name}").eqNullSafe(F.col(f"r.{name}"))
+    untyped = lambda tag: F.transform(
+        f"{tag}.attributes", lambda a: F.when(a["name"] == "t", F.struct(a["name"].alias("name"), F.lit("*").alias("value"))).otherwise(a)
+    )
+    change = F.when(F.col("l").isNull(), "added").when(F.col("r").isNull(), "removed")
+    for name in ("name", "attributes", "text", "tail"):
+        change = change.when(differs(name), name)
+    change = change.when(differs("children"), "order")
+    is_cell = F.element_at(F.split(either("parent"), "/"), -1).startswith("row[")
+    framed = F.col("l").isNull() | F.col("r").isNull() | differs("name") | (~untyped("l").eqNullSafe(untyped("r"))) | differs("text") | differs("tail") | differs("frame")
+    certain = either("anchor").isNull() | (~either("payload") & F.when(is_cell, framed).otherwise(F.lit(True)))
+    rows = both.select(*NODE_KEY, either("parent").alias("parent"), either("anchor").alias("anchor"), change.alias("change"), certain.alias("certain"))
+    found = stage(_off_surface(rows.filter("change IS NOT NULL"), "anchor", surface).drop("certain"))
+    moved = F.col("change").isin("added", "removed")
+    one_sided = found.filter(moved)
+    above = one_sided.select("workbook", "sheet_name", F.col("path").alias("parent"))
+    inside = ["workbook", "sheet_name", "parent"]
+    tops = one_sided.join(above, inside, "left_anti")
+    held = found.filter(~moved & (F.col("change") != "order"))
+    ordered = found.filter("change = 'order'").join(
+        one_sided.select("workbook", "sheet_name", F.col("parent").alias("path")).distinct(), NODE_KEY, "left_anti"
+    )
+    columns = [*NODE_KEY, "anchor", "change"]
+    return tops.select(*columns).union(held.select(*columns)).union(ordered.select(*columns))
 
 
 def changed_values(
@@ -157,10 +221,23 @@ def object_counts(parts: DataFrame) -> DataFrame:
     )
 
 
-def error_items(kind: str, df: DataFrame, item: Column | None = None) -> DataFrame:
-    """Rows of the report: ``(workbook, error_kind, item)``."""
-    value = F.lit("") if item is None else item.cast("string")
-    return df.select("workbook", F.lit(kind).alias("error_kind"), value.alias("item")).distinct()
+def error(kind: str, item: Column | None = None) -> Column:
+    """An entry of the report: ``struct<error_kind, item>``."""
+    return F.struct(F.lit(kind).alias("error_kind"), (F.lit("") if item is None else item.cast("string")).alias("item"))
+
+
+def part_errors(
+    changes: DataFrame, allowed_parts: DataFrame, exact: Sequence[str] = (), prefixes: Sequence[str] = (), patterns: Sequence[str] = ()
+) -> DataFrame:
+    """Errors of parts that are new, gone or changed without leave: ``(workbook, errors)``."""
+    part, status = F.col("part"), F.col("status")
+    listed = changes.join(allowed_parts.distinct().withColumn("free", F.lit(True)), PART_KEY, "left")
+    free = F.col("free").isNotNull() | allowed_by_name(part, exact, prefixes, patterns)
+    found = [
+        F.when(status == "added", error("unexpected_added", part)), F.when(status == "removed", error("unexpected_removed", part)),
+        F.when((status == "changed") & ~free, error("unexpected_changed", part)),
+    ]
+    return listed.select("workbook", F.array_compact(F.array(*found)).alias("errors"))
 
 
 def error_report(items: DataFrame) -> DataFrame:

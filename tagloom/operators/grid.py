@@ -16,6 +16,7 @@ from tagloom.functions import lexicon as lx
 from tagloom.functions.bind import evaluate_once
 from tagloom.functions.refs import cell_ref
 from tagloom.functions.text import clean_title, final_label, link_text
+from tagloom.operators.skew import spread_join
 
 CELL_KEY = ["workbook", "sheet_name", "row_num", "col_num"]
 
@@ -185,11 +186,14 @@ def own_updates(results: DataFrame, rules: TargetRules = TargetRules()) -> DataF
     )
 
 
-def _card_updates(results: DataFrame, cards: DataFrame) -> DataFrame:
+def _card_updates(results: DataFrame, cards: DataFrame, unique: bool = False) -> DataFrame:
+    """Each result on every card of its link; ``unique`` says that a link has one result."""
     linked = results.filter(F.col("link").isNotNull()).select(
         "workbook", "link", F.col("row_num").alias("target_row"), "category"
     )
-    return linked.join(cards, ["workbook", "link"]).select(
+    places = cards.select("workbook", "link", "sheet_idx", "sheet_name", "row_num", "col_num")
+    met = linked.join(places, ["workbook", "link"]) if unique else spread_join(places, linked, ["workbook", "link"], [F.col(c) for c in places.columns])
+    return met.select(
         "workbook", F.col("sheet_idx").cast("int").alias("sheet_idx"), "sheet_name", "row_num", "col_num",
         F.col("category").alias("value"),
         _seq(F.col("target_row"), 1, F.col("sheet_idx"), F.col("col_num")).alias("seq"),
@@ -200,7 +204,8 @@ def fan_out(results: DataFrame, cards: DataFrame, rules: TargetRules = TargetRul
     """Every update of every result, superseded ones included.
 
     A workbook has at most one target per row of the range, so a card gets no
-    more updates than that.  A hot link is split by adaptive skew joins.
+    more updates than that.  Cards are dealt out over parts and the results
+    repeated for each, so that the pairs of a hot link are many tasks' work.
     """
     return own_updates(results, rules).unionByName(_card_updates(results, cards))
 
@@ -217,7 +222,7 @@ def winning_updates(results: DataFrame, cards: DataFrame, rules: TargetRules = T
         .agg(F.max(F.struct("row_num", "category")).alias("last"))
         .select("workbook", "link", "last.row_num", "last.category")
     )
-    return last_writes(own_updates(results, rules).unionByName(_card_updates(last, cards)))
+    return last_writes(own_updates(results, rules).unionByName(_card_updates(last, cards, unique=True)))
 
 
 def last_writes(updates: DataFrame, keys: list[str] = CELL_KEY) -> DataFrame:

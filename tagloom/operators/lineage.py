@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Stage = Callable[[DataFrame], DataFrame]
+
 
 def local_folder(spark: SparkSession) -> None:
     """Give a local session without a checkpoint folder a temporary one; all its tasks share that machine.
@@ -18,13 +22,21 @@ def local_folder(spark: SparkSession) -> None:
         context.setCheckpointDir(tempfile.mkdtemp(prefix="tagloom-checkpoint-"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in ``spark.checkpoint.dir``, or that was set on its context."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from there.
+    """Write ``df`` as Parquet to the shared folder and go on from there.
 
-    The folder is the one the session names in ``spark.checkpoint.dir``.  Set
-    ``spark.cleaner.referenceTracking.cleanCheckpoints`` to have the files
-    removed once nothing refers to them.
+    Later passes read only the columns they use, the planner knows the size,
+    and a lost executor repeats nothing that came before.  Whoever owns the
+    folder empties it.
     """
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return df.checkpoint()
+    path = f"{shared_folder(df.sparkSession)}/stage-{uuid.uuid4().hex}"
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -24,3 +24,18 @@ def spread_lookup(left: DataFrame, right: DataFrame, key: str, spread_by: list[C
     dealt = left.withColumn("_part", part.cast("int"))
     repeated = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     return dealt.join(repeated, [key, "_part"], "left").drop("_part")
+
+
+def spread_join(left: DataFrame, right: DataFrame, keys: list[str], spread_by: list[Column], parts: int = PARTS) -> DataFrame:
+    """Inner join of two sides that may both have many rows per key, without a hot task.
+
+    For a ``right`` side with few rows of each key: left rows are dealt out
+    over ``parts`` by a hash of ``spread_by`` and each right row is repeated
+    for every part, so that the pairs of a hot key are made by ``parts``
+    tasks, each pair once.  Rows without a key meet nothing and are left out
+    before they move.
+    """
+    known = lambda df: df.dropna(subset=keys)
+    dealt = known(left).withColumn("_part", F.pmod(F.xxhash64(*spread_by), F.lit(parts)).cast("int"))
+    repeated = known(right).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    return dealt.join(repeated, [*keys, "_part"]).drop("_part")

@@ -8,6 +8,7 @@ cheaper tier has settled.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -52,6 +53,39 @@ def recorded(attempts: DataFrame) -> Scorer:
     return score
 
 
+ATTEMPT_SHAPE = "item string, attempt int, status string, response string"
+
+
+def remembered(scorer: Scorer, folder: str) -> Scorer:
+    """Scorer that asks only for texts without a stored answer, and stores what it learns in ``folder``.
+
+    Stored attempts are Parquet, one folder for each call and answers keyed by
+    item.  A text counts as answered once an attempt succeeded; one whose
+    attempts all failed is asked again.  Requests are anti-joined with the
+    answered items before scoring, so that a run over grown input asks for the
+    new texts alone, and a run that is lost leaves the answers of its finished
+    calls.  The answers are written before they are used.
+    """
+
+    def score(requests: DataFrame) -> DataFrame:
+        spark = requests.sparkSession
+        store = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        system = store.getFileSystem(spark._jsc.hadoopConfiguration())
+        calls = [s.getPath() for s in system.listStatus(store)] if system.exists(store) else []
+        whole = [p.toString() for p in calls if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+        read = spark.read.schema(ATTEMPT_SHAPE)
+        stored = read.parquet(*sorted(whole)) if whole else spark.createDataFrame([], ATTEMPT_SHAPE)
+        known = stored.filter((F.col("status") == OK) & F.col("attempt").between(1, MAX_ATTEMPTS))
+        asked = requests.join(known.select("item").distinct(), "item", "left_anti")
+        fresh = f"{folder.rstrip('/')}/call-{uuid.uuid4().hex}"
+        kinds = [field.split() for field in ATTEMPT_SHAPE.split(", ")]
+        scorer(asked).select(*[F.col(name).cast(kind) for name, kind in kinds]).write.parquet(fresh)
+        mine = known.join(requests.select("item").distinct(), "item", "left_semi")
+        return mine.union(read.parquet(fresh).select(*mine.columns))
+
+    return score
+
+
 def first_success(attempts: DataFrame, keys: list[str]) -> DataFrame:
     """Response of the first attempt that did not fail, among those allowed."""
     tried = attempts.filter(

@@ -21,7 +21,7 @@ from tagloom.operators.lineage import cut_lineage, local_folder
 from tagloom.plans import jobs
 from tagloom.plans.views import view
 from tagloom.plans.xml_parts import damaged_parts, package_parts
-from tagloom.sources import charset, files, outputs, packages
+from tagloom.sources import charset, files, outputs, packages, xml_tree
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -112,7 +112,7 @@ def _page_table(spark, sf):
 
 @query
 def s1_unreadable_parts(spark, sf):
-    return packages.unreadable_parts(damaged_parts(spark, sf))
+    return packages.unreadable_parts(cut_lineage(damaged_parts(spark, sf)))
 
 
 @query
@@ -172,14 +172,18 @@ def s12_article_source(spark, sf):
 
 @query
 def s13_charset_cascade(spark, sf):
-    way = F.col("doc_id") % 6
     docs = view(spark, sf, "documents").withColumn("i", F.col("doc_id") % 30).join(view(spark, sf, "phrase_bytes"), "i")
-    pages = docs.select(
-        "doc_id",
-        F.when(way == 1, F.encode("text", "UTF-16")).when(way >= 3, F.unhex("cp949")).otherwise(F.encode("text", "UTF-8")).alias("content"),
+    every = docs.select("doc_id", "text", "cp949", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("way"))
+    way = F.col("way")
+    # what the Korean code page has besides the phrase is ASCII; other characters are put as question marks
+    mapped = F.encode(F.regexp_replace(F.coalesce("text", F.lit("")), "[^\\x00-\\x7F]", "?"), "UTF-8")
+    korean = F.concat(F.unhex("cp949"), F.encode(F.lit(" "), "UTF-8"), mapped)
+    pages = every.select(
+        "doc_id", "way",
+        F.when(way == 1, F.encode("text", "UTF-16")).when(way >= 3, korean).otherwise(F.encode("text", "UTF-8")).alias("content"),
         F.when(way == 1, "utf-16").when(way == 2, "no-such-charset").when(way == 4, "ms949").when(way == 5, "euc-kr").alias("declared"),
     )
-    return pages.select("doc_id", charset.decode_page(F.col("content"), F.col("declared")).alias("text"))
+    return pages.select("doc_id", "way", charset.decode_page(F.col("content"), F.col("declared")).alias("text"))
 
 
 @query
@@ -794,7 +798,7 @@ def v4_rejects(spark, sf):
 
 @query
 def v5_package_errors(spark, sf):
-    sheets, cells = view(spark, sf, "sheets"), view(spark, sf, "cells")
+    sheets, cells = cut_lineage(view(spark, sf, "sheets")), _cells(spark, sf)
     moved = sheets.withColumn("state", F.when(F.col("sheet_name") == "S5", "hidden").otherwise(F.col("state")))
     merges = lambda part: cells.groupBy("workbook", "sheet_name").agg(
         F.max("col_num").alias("m")
@@ -802,21 +806,45 @@ def v5_package_errors(spark, sf):
     names = view(spark, sf, "names")
     left = jobs.Snapshot(view(spark, sf, "parts_left"), sheets, names, merges(1000), view(spark, sf, "grid_before"))
     right = jobs.Snapshot(view(spark, sf, "parts_right"), moved, names, merges(29), view(spark, sf, "grid_after"))
-    surface = sheets.filter("sheet_idx IN (1, 2)").select("workbook", "sheet_name", F.lit("c5").alias("cell_ref"))
+    surface = _surface(sheets.filter("sheet_idx IN (1, 2)"), whole=2)
     return jobs.package_errors(left, right, surface, diff.Allowlist(prefixes=("xl/media/",), include_writable=True))
 
 
+WHOLE_SHEET = "A1:XFD1048576"
+
+
+def _surface(sheets, whole):
+    """Cell C5 of every sheet, in lower case, and the sheets of one place as a whole."""
+    ranges = F.when(F.col("sheet_idx") == whole, F.array(F.lit("c5"), F.lit(WHOLE_SHEET))).otherwise(F.array(F.lit("c5")))
+    return contract.writable_bounds(sheets.select("workbook", "sheet_name", F.explode(ranges).alias("cell_range")))
+
+
+def _first_sheets(sheets):
+    """The target range of the sheets that have a part."""
+    return contract.writable_bounds(
+        sheets.filter("part = 'xl/worksheets/sheet1.xml'").select("workbook", "sheet_name", F.lit("G5:G220").alias("cell_range"))
+    )
+
+
+@query
+def v5_package_report(spark, sf):
+    left, right = (jobs.snapshot(cut_lineage(parts(spark, sf))) for parts in (package_parts, damaged_parts))
+    return jobs.package_errors(left, right, _first_sheets(left.sheets), diff.Allowlist(include_writable=True))
+
+
 @query
 def v6_cell_drift(spark, sf):
-    surface = view(spark, sf, "sheets").select("workbook", "sheet_name", F.lit("c5").alias("cell_ref"))
+    surface = _surface(view(spark, sf, "sheets"), whole=3)
     return diff.cell_drift(view(spark, sf, "grid_before"), view(spark, sf, "grid_after"), surface)
 
 
 @query
 def v6_sheet_drift(spark, sf):
-    parts = package_parts(spark, sf)
+    parts = cut_lineage(package_parts(spark, sf))
     sheets = packages.sheet_catalogue(parts)
-    return diff.element_drift(packages.sheet_elements(parts, sheets), packages.sheet_elements(damaged_parts(spark, sf), sheets))
+    nodes = lambda p: xml_tree.sheet_nodes(p, sheets)
+    found = diff.tree_drift(nodes(parts), nodes(damaged_parts(spark, sf)), _first_sheets(sheets))
+    return found.select("workbook", "sheet_name", "path", "change")
 
 
 SINCE = "2024-01-10 00:00:00"

@@ -181,8 +181,9 @@ check("s9_single_input", ["input_listing"], "SELECT folder, min(path) AS path FR
 check("s10_newest_artifact", ["listing_before"], "SELECT folder, path, modified FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY modified DESC, path DESC) AS rn FROM listing_before) WHERE rn = 1")
 rest("s12_article_source", ["post_list", "article_pages"], TARGETS,
      "SELECT t.workbook, t.row_num, t.link, p.page_id, sha256(p.html) AS html_sha256 FROM targets t LEFT JOIN article_pages p ON t.link = p.url")
-check("s13_charset_cascade", ["phrases"], """SELECT d.doc_id, CASE WHEN d.doc_id % 6 >= 3 THEN p.phrase ELSE nullif(d.text, '') END AS text
-FROM documents d JOIN phrases p ON d.doc_id % 30 = p.i""")
+check("s13_charset_cascade", ["phrases"], r"""SELECT d.doc_id, CAST(w.way AS INT) AS way, CASE WHEN w.way >= 3
+ THEN concat(p.phrase, ' ', regexp_replace(coalesce(d.text, ''), '[^\x00-\x7F]', '?', 'g')) ELSE nullif(d.text, '') END AS text
+FROM documents d JOIN phrases p ON d.doc_id % 30 = p.i, (SELECT unnest(range(0, 6)) AS way) w""")
 SAFE = f"({strip('kind')} <> '' AND {strip('kind')} NOT IN ('.', '..') AND NOT contains(kind, '/') AND NOT contains(kind, chr(92)))"
 check("s14_dated_output", ["output_names"], f"SELECT o_orderkey, CASE WHEN {SAFE} THEN concat('output/', strftime(o_orderdate, '%y%m%d'), '_', {strip('kind')}, '_', name) END AS path FROM output_names")
 check("s15_qa_output", ["output_names"], f"SELECT o_orderkey, CASE WHEN {SAFE} THEN concat('output/qa/', {strip('kind')}, '/', name) END AS path FROM output_names")
@@ -484,14 +485,14 @@ def drift(writable: str, wanted: str) -> str:
  (l.cell_type IS NULL) <> (r.cell_type IS NULL) AS tn,
  l.has_formula IS DISTINCT FROM r.has_formula OR l.formula IS DISTINCT FROM r.formula OR l.style IS DISTINCT FROM r.style AS f
  FROM grid_before l FULL JOIN grid_after r ON l.workbook = r.workbook AND l.sheet_name = r.sheet_name AND l.cell_ref = r.cell_ref) d
- WHERE ({wanted}) AND (one_sided OR f OR CASE WHEN cell_ref = 'C5' AND ({writable}) THEN tn ELSE v OR t END))"""
+ WHERE ({wanted}) AND (one_sided OR f OR CASE WHEN {writable} THEN tn ELSE v OR t END))"""
 
 
 KNOWN = "EXISTS (SELECT 1 FROM sheets s WHERE s.workbook = d.workbook AND s.sheet_name = d.sheet_name{more})"
-rest("v6_cell_drift", ["grid_before", "grid_after", "sheets"], drift(KNOWN.format(more=""), "true"), "SELECT workbook, sheet_name, cell_ref FROM drift")
+rest("v6_cell_drift", ["grid_before", "grid_after", "sheets"], drift(f"""(cell_ref = 'C5' AND {KNOWN.format(more='')}) OR {KNOWN.format(more=' AND s.sheet_idx = 3')}""", "true"), "SELECT workbook, sheet_name, cell_ref FROM drift")
 IN_CHANGED = KNOWN.format(
     more=" AND s.sheet_idx IN (1, 2) AND EXISTS (SELECT 1 FROM changes c WHERE c.status = 'changed' AND c.workbook = s.workbook AND c.part = s.part)")
-rest("v5_package_errors", PARTS + ["grid_before", "grid_after", "sheets", "cells"], f"""{CHANGES}, {drift('true', IN_CHANGED)},
+rest("v5_package_errors", PARTS + ["grid_before", "grid_after", "sheets", "cells"], f"""{CHANGES}, {drift(f"""cell_ref = 'C5' OR {KNOWN.format(more=' AND s.sheet_idx = 2')}""", IN_CHANGED)},
 col_sums AS (SELECT workbook, sheet_name, max(col_num) AS m FROM cells GROUP BY ALL),
 objects AS (SELECT 'l' AS side, workbook, count(*) FILTER (part LIKE 'xl/media/%') AS m, count(*) FILTER (part LIKE 'xl/drawings/%') AS d FROM parts_left GROUP BY workbook
  UNION ALL SELECT 'r', workbook, count(*) FILTER (part LIKE 'xl/media/%'), count(*) FILTER (part LIKE 'xl/drawings/%') FROM parts_right GROUP BY workbook)""",
@@ -503,12 +504,28 @@ UNION ALL SELECT workbook, 'sheet_states', '' FROM sheets WHERE sheet_name = 'S5
 UNION ALL SELECT workbook, 'merges', sheet_name FROM col_sums WHERE m % 1000 <> m % 29
 UNION ALL SELECT l.workbook, 'media_count', '' FROM objects l JOIN objects r ON l.side = 'l' AND r.side = 'r' AND l.workbook = r.workbook AND l.m <> r.m
 UNION ALL SELECT l.workbook, 'drawing_count', '' FROM objects l JOIN objects r ON l.side = 'l' AND r.side = 'r' AND l.workbook = r.workbook AND l.d <> r.d""")
-rest("v6_sheet_drift", ["sheets", "post_list"], f"""{NUMBERED}, first_sheet AS (SELECT b.workbook, b.n, s.sheet_name FROM books b JOIN sheets s
+TREE = f"""{NUMBERED}, firsts AS (SELECT b.workbook, b.n, s.sheet_name FROM books b JOIN sheets s
  ON s.workbook = b.workbook AND s.part = 'xl/worksheets/sheet1.xml'),
-held AS (SELECT 'dimension' AS element UNION ALL SELECT 'row' UNION ALL SELECT 'mergeCells' UNION ALL SELECT 'hyperlinks')""",
-     """SELECT f.workbook, f.sheet_name, h.element FROM first_sheet f, held h WHERE f.n % 5 = 3
- OR (f.n % 4 = 0 AND h.element = 'dimension')
- OR (f.n % 4 = 2 AND h.element = 'row' AND EXISTS (SELECT 1 FROM post_list p WHERE p.workbook = f.workbook AND p.row_num = 7))""")
+held AS (SELECT f.*, p.row_num, p.doc_id % 40 % 6 = 2 AS formula, concat('worksheet/sheetData[0]/row[', p.row_num, ']') AS line
+ FROM firsts f JOIN post_list p ON p.workbook = f.workbook WHERE f.n % 5 <> 3 AND f.n % 4 <> 1),
+seen AS (SELECT DISTINCT workbook, n, sheet_name FROM held),
+tree AS (SELECT workbook, sheet_name, 'worksheet/dimension[0]' AS path, 'attributes' AS change, NULL AS cell FROM seen WHERE n % 4 = 0
+ UNION ALL SELECT workbook, sheet_name, line, 'attributes', NULL FROM held WHERE n % 4 = 2 AND row_num = 7
+ UNION ALL SELECT workbook, sheet_name, 'worksheet/ignoredErrors[0]', 'added', NULL FROM seen WHERE n % 7 = 1
+ UNION ALL SELECT workbook, sheet_name, concat(line, '/c[H', row_num, ']/f[0]'), 'attributes', concat('H', row_num) FROM held WHERE n % 7 = 2 AND formula
+ UNION ALL SELECT workbook, sheet_name, concat(line, '/c[G7]'), 'attributes', 'G7' FROM held WHERE n % 7 = 3 AND row_num = 7
+ UNION ALL SELECT workbook, sheet_name, concat(line, '/c[J7]/v[0]'), 'text', 'J7' FROM held WHERE n % 7 = 0 AND row_num = 7
+ UNION ALL SELECT workbook, sheet_name, concat(line, '/c[G', row_num, ']/is[0]/t[0]'), 'text', concat('G', row_num) FROM held
+ WHERE n % 7 = 6 AND row_num NOT BETWEEN 5 AND 220)"""
+rest("v6_sheet_drift", ["sheets", "post_list"], TREE, """SELECT workbook, sheet_name, path, change FROM tree
+UNION ALL SELECT workbook, sheet_name, 'worksheet', 'removed' FROM firsts WHERE n % 5 = 3""")
+rest("v5_package_report", ["sheets", "post_list"], TREE, """
+SELECT DISTINCT workbook, CASE WHEN cell IS NULL THEN 'sheet_drift' ELSE 'drift' END AS error_kind, concat(sheet_name, '!', coalesce(cell, path)) AS item FROM tree
+UNION ALL SELECT workbook, 'unexpected_changed', 'xl/workbook.xml' FROM books WHERE n % 5 = 1
+UNION ALL SELECT workbook, k.kind, '' FROM books, (VALUES ('sheet_order'), ('sheet_states'), ('relationship_targets'), ('defined_names')) AS k(kind) WHERE n % 5 = 1
+UNION ALL SELECT workbook, 'unexpected_changed', 'xl/sharedStrings.xml' FROM books WHERE n % 5 = 2
+UNION ALL SELECT workbook, 'unexpected_removed', 'xl/worksheets/sheet1.xml' FROM books WHERE n % 5 = 3
+UNION ALL SELECT workbook, 'merges', sheet_name FROM firsts WHERE n % 5 IN (1, 3)""")
 EVIDENCE = """fresh AS (SELECT DISTINCT a.folder, a.path FROM listing_after a LEFT JOIN listing_before b ON a.folder = b.folder AND a.path = b.path
  WHERE a.modified >= TIMESTAMP '2024-01-10 00:00:00' AND (b.path IS NULL OR a.modified > b.modified OR a.length <> b.length))"""
 LISTINGS = ["listing_before", "listing_after"]

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.functions.rules import classify_general
 from tagloom.functions.bind import evaluate_once
 from tagloom.operators import benchmarks, contract, diff, grid, tiers
 from tagloom.operators.grid import CardRules, TargetRules
-from tagloom.operators.lineage import cut_lineage
-from tagloom.sources import packages
+from tagloom.operators.lineage import Stage, cut_lineage
+from tagloom.sources import packages, xml_tree
 
 
 class Batch(NamedTuple):
@@ -77,24 +77,58 @@ def decide_writers(
 
 
 class Snapshot(NamedTuple):
-    """What a package comparison looks at."""
+    """What a package comparison looks at; sheets are compared by ``nodes``, or by ``cells`` where there are no parts."""
 
     parts: DataFrame
     sheets: DataFrame
     names: DataFrame
     merges: DataFrame
-    cells: DataFrame
-    elements: DataFrame | None = None
+    cells: DataFrame | None = None
+    contents: DataFrame | None = None
 
 
 def snapshot(parts: DataFrame) -> Snapshot:
     """Tables of all packages in ``parts``."""
     sheets = packages.sheet_catalogue(parts)
+    whole = parts.filter("content IS NOT NULL")
     return Snapshot(
-        parts.filter("content IS NOT NULL").select("workbook", "part", "sha256"), sheets, packages.defined_names(parts),
-        packages.merges(parts, sheets), packages.with_cell_ref(packages.cells(parts, sheets)),
-        packages.sheet_elements(parts, sheets),
+        whole.select("workbook", "part", "sha256"), sheets, packages.defined_names(parts), packages.merges(parts, sheets),
+        contents=whole.select("workbook", "part", "content"),
+    )
+
+
+def book_errors(template: Snapshot, output: Snapshot) -> DataFrame:
+    """Errors of whole workbooks: ``(workbook, errors)``; everything known of a workbook meets in one shuffle.
+
+    The arrays hold the sheets, names or parts of one file.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    sheet, name = "struct<sheet_idx: int, sheet_name: string, state: string, part: string>", "struct<name: string, local_sheet_id: int, text: string>"
+
+    def facts(side: Snapshot, tag: str) -> DataFrame:
+        counts = diff.object_counts(side.parts)
+        of_sheets = F.struct(F.col("sheet_idx").cast("int").alias("sheet_idx"), "sheet_name", "state", "part").cast(sheet)
+        rows = side.sheets.select("workbook", of_sheets.alias("sheet"), none(name).alias("named"), none("long").alias("media"), none("long").alias("drawings"))
+        rows = rows.union(side.names.select("workbook", none(sheet), F.struct("name", "local_sheet_id", "text").cast(name), none("long"), none("long")))
+        rows = rows.union(counts.select("workbook", none(sheet), none(name), "media_count", "drawing_count"))
+        return rows.withColumn("side", F.lit(tag))
+
+    def listed(tag: str, column: str, fields: tuple[str, ...]) -> Column:
+        own = F.when((F.col("side") == tag) & F.col(column).isNotNull(), F.struct(*[F.col(f"{column}.{f}") for f in fields]))
+        return F.array_sort(F.collect_list(own))
+
+    kinds = {
+        "sheet_order": ("sheet", ("sheet_idx", "sheet_name")), "sheet_states": ("sheet", ("sheet_name", "state")),
+        "relationship_targets": ("sheet", ("sheet_name", "part")), "defined_names": ("named", ("name", "local_sheet_id", "text")),
+    }
+    counted = {"media_count": "media", "drawing_count": "drawings"}
+    both = facts(template, "l").union(facts(output, "r")).groupBy("workbook").agg(
+        *[listed(tag, column, fields).alias(f"{kind}_{tag}") for kind, (column, fields) in kinds.items() for tag in "lr"],
+        *[F.max(F.when(F.col("side") == tag, F.col(column))).alias(f"{kind}_{tag}") for kind, column in counted.items() for tag in "lr"],
     )
+    shown = lambda kind, tag: F.col(f"{kind}_{tag}")["sheet_name"] if kind == "sheet_order" else F.col(f"{kind}_{tag}")
+    differs = [F.when(~shown(kind, "l").eqNullSafe(shown(kind, "r")), diff.error(kind)) for kind in (*kinds, *counted)]
+    return both.select("workbook", F.array_compact(F.array(*differs)).alias("errors"))
 
 
 def package_errors(
@@ -102,61 +136,48 @@ def package_errors(
     output: Snapshot,
     surface: DataFrame,
     allowlist: diff.Allowlist = diff.Allowlist(),
+    stage: Stage = cut_lineage,
 ) -> DataFrame:
     """All violations of the package invariants: ``(workbook, error_kind, item)``.
 
-    ``surface(workbook, sheet_name, cell_ref)`` are the writable cells.  If the
-    allowlist includes them, their sheets may change, but only there; the
+    ``surface`` are the writable rectangles, ``contract.writable_bounds``.  If
+    the allowlist includes them, their sheets may change, but only there; the
     sheets that it names may change freely.
-    """
-    changes = diff.part_changes(template.parts, output.parts)
-    writable_sheets = surface.select("workbook", "sheet_name").distinct()
-    allowed = diff.allowed_parts(allowlist, template.sheets, writable_sheets)
-    unexpected = diff.unexpected_changes(changes, allowed, allowlist.parts, allowlist.prefixes, allowlist.patterns)
 
-    in_changed = template.sheets.join(
-        changes.filter("status = 'changed'").select("workbook", "part"), ["workbook", "part"], "left_semi"
-    ).select("workbook", "sheet_name").join(writable_sheets, ["workbook", "sheet_name"], "left_semi")
+    Each kind of key is compared once, and each comparison yields all its
+    errors as an array: parts, whole workbooks, merges of a sheet, and the
+    elements (or cells) of writable sheets whose part changed.
+    """
     key = ["workbook", "sheet_name"]
-    drift = diff.cell_drift(
-        template.cells.join(in_changed, key, "left_semi"), output.cells.join(in_changed, key, "left_semi"), surface
-    )
-
-    book = ["workbook"]
-    order = F.array_sort(F.collect_list(F.struct("sheet_idx", "sheet_name")))["sheet_name"]
-    per_book = lambda df, value: df.groupBy("workbook").agg(value.alias("v"))
-    entries = lambda *cols: F.array_sort(F.collect_list(F.struct(*cols)))
-    counts_l, counts_r = diff.object_counts(template.parts), diff.object_counts(output.parts)
-
-    def compare(kind: str, value) -> DataFrame:
-        left, right = per_book(template.sheets, value), per_book(output.sheets, value)
-        return diff.error_items(kind, diff.changed_values(left, right, "v", book))
-
-    named = entries("name", "local_sheet_id", "text")
-    name_changes = diff.changed_values(per_book(template.names, named), per_book(output.names, named), "v", book)
-    reports = [
-        diff.error_items("unexpected_added", changes.filter("status = 'added'"), F.col("part")),
-        diff.error_items("unexpected_removed", changes.filter("status = 'removed'"), F.col("part")),
-        diff.error_items("unexpected_changed", unexpected, F.col("part")),
-        diff.error_items("drift", drift, F.concat_ws("!", "sheet_name", "cell_ref")),
-        compare("sheet_order", order),
-        compare("sheet_states", entries("sheet_name", "state")),
-        compare("relationship_targets", entries("sheet_name", "part")),
-        diff.error_items("defined_names", name_changes),
-        diff.error_items(
-            "merges", diff.changed_values(template.merges, output.merges, "merges", key), F.col("sheet_name")
-        ),
-        diff.error_items("media_count", diff.changed_values(counts_l, counts_r, "media_count", book)),
-        diff.error_items("drawing_count", diff.changed_values(counts_l, counts_r, "drawing_count", book)),
-    ]
-    if template.elements is not None and output.elements is not None:
-        inside = lambda df: df.join(in_changed, key, "left_semi")
-        elements = diff.element_drift(inside(template.elements), inside(output.elements))
-        reports.append(diff.error_items("sheet_drift", elements, F.concat_ws("!", "sheet_name", "element")))
-    whole = reports[0]
-    for report in reports[1:]:
-        whole = whole.unionByName(report)
-    return whole
+    # small tables that several comparisons use: worked out once each
+    template, output = (side._replace(sheets=stage(side.sheets)) for side in (template, output))
+    surface = stage(surface)
+    writable_sheets = surface.select(*key).distinct()
+    allowed = diff.allowed_parts(allowlist, template.sheets, writable_sheets)
+    changes = stage(diff.part_changes(template.parts, output.parts).filter("status <> 'equal'"))
+    of_parts = diff.part_errors(changes, allowed, allowlist.parts, allowlist.prefixes, allowlist.patterns)
+
+    changed = changes.filter("status = 'changed'").select("workbook", "part")
+    in_changed = stage(template.sheets.join(changed, ["workbook", "part"], "left_semi").select(*key, "part").join(writable_sheets, key, "left_semi"))
+    if template.contents is not None and output.contents is not None:
+        nodes = lambda side: xml_tree.sheet_nodes(side.contents, in_changed)
+        found = diff.tree_drift(nodes(template), nodes(output), surface, stage)
+        in_cell = F.col("anchor").isNotNull()
+        kind = F.when(in_cell, "drift").otherwise("sheet_drift")
+        drift = found.select("workbook", kind.alias("error_kind"), F.concat_ws("!", "sheet_name", F.coalesce("anchor", "path")).alias("item")).distinct()
+    else:
+        grid_of = lambda side: side.cells.join(in_changed, key, "left_semi")
+        found = diff.cell_drift(grid_of(template), grid_of(output), surface)
+        drift = found.select("workbook", F.lit("drift").alias("error_kind"), F.concat_ws("!", "sheet_name", "cell_ref").alias("item"))
+
+    tagged = lambda side, tag: side.merges.select(*key, "merges", F.lit(tag).alias("side"))
+    of_side = lambda tag: F.max(F.when(F.col("side") == tag, F.struct("merges")))
+    of_merges = tagged(template, "l").union(tagged(output, "r")).groupBy(*key).agg(of_side("l").alias("l"), of_side("r").alias("r")).filter(
+        ~F.col("l").eqNullSafe(F.col("r"))
+    ).select("workbook", F.array(diff.error("merges", F.col("sheet_name"))).alias("errors"))
+
+    errors = of_parts.union(book_errors(template, output)).union(of_merges)
+    return errors.select("workbook", F.inline("errors")).union(drift)
 
 
 def benchmark_summary(

@@ -114,20 +114,38 @@ def package_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same parts as a poor copy would leave them: cut off, lost, or with other sheet settings."""
+    """The same parts as another tool or a poor copy would leave them.
+
+    Some are cut off or lost; sheets in UTF-8 have other settings, elements,
+    attributes, formulas and values, or are only written in another way.
+    """
     number, part = F.substring("workbook", 3, 9).cast("int"), F.col("part")
     whole = F.col("content")
-    text = F.decode(whole, "UTF-8")
     cut = F.substring(whole, 1, 60)
-    other = F.encode(F.replace(text, F.lit('ref="A1:K235"'), F.lit('ref="A1:K999"')), "UTF-8")
-    taller = F.encode(F.replace(text, F.lit('<row r="7"'), F.lit('<row ht="40" r="7"')), "UTF-8")
-    sheet = part == "xl/worksheets/sheet1.xml"
+    sheet = (part == "xl/worksheets/sheet1.xml") & (number % 4 != 1)
+
+    def swap(text: Column, when: Column, old: str, new: str) -> Column:
+        # mentions the text once, so that a chain of swaps stays a chain
+        return F.regexp_replace(text, F.when(when, F.lit(old)).otherwise("(?!)"), F.lit(new))
+
+    text = F.decode(whole, "UTF-8")
+    text = swap(text, number % 4 == 0, 'ref="A1:K235"', 'ref="A1:K999"')
+    text = swap(text, number % 4 == 2, '<row r="7"', '<row ht="40" r="7"')
+    text = swap(text, number % 7 == 0, '(<c r="J7" t="s"><v>)[0-9]+', "$1777")
+    text = swap(text, number % 7 == 1, "</worksheet>", '<ignoredErrors><ignoredError sqref="A1"/></ignoredErrors></worksheet>')
+    text = swap(text, number % 7 == 2, "<f>", '<f t="shared" ref="H5:H6" si="0">')
+    text = swap(text, number % 7 == 3, '<c r="G7"', '<c cm="1" r="G7"')
+    # the same tree, written in other ways
+    text = swap(text, number % 7 == 4, '<c r="(H[0-9]+)" s="1"/>', '<c s="1"\n r="$1"></c>')
+    text = swap(swap(text, number % 7 == 4, "<(/?)([A-Za-z])", "<$1x:$2"), number % 7 == 4, "xmlns=", "xmlns:x=")
+    text = swap(text, number % 7 == 5, "<mergeCells>", '<!-- <c r="Z9"/> -->\n<mergeCells>')
+    # an approved value
+    text = swap(text, number % 7 == 6, "<is><t>[^<]*</t></is>", "<is><t>new</t></is>")
     content = (
         F.when((number % 5 == 1) & (part == "xl/workbook.xml"), cut)
         .when((number % 5 == 2) & (part == "xl/sharedStrings.xml"), cut)
-        .when((number % 5 == 3) & sheet, F.lit(None).cast("binary"))
-        .when((number % 4 == 0) & sheet, other)
-        .when((number % 4 == 2) & sheet, taller)
+        .when((number % 5 == 3) & (part == "xl/worksheets/sheet1.xml"), F.lit(None).cast("binary"))
+        .when(sheet, F.encode(text, "UTF-8"))
         .otherwise(whole)
     )
     return package_parts(spark, sf_dir).withColumn("content", content).withColumn("sha256", F.sha2("content", 256))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.bind import evaluate_once
 from tagloom.functions.refs import cell_ref, ref_column, ref_row
+from tagloom.operators.lineage import cut_lineage
 from tagloom.sources.charset import decode_page
 
 CATALOGUE = "xl/workbook.xml"
@@ -78,6 +79,87 @@ def read_parts(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataF
     return members.withColumn("sha256", F.sha2("content", 256))
 
 
+def read_large_parts(spark: SparkSession, path: str, pattern: str = "*.xlsx", task_bytes: int = 64 << 20) -> DataFrame:
+    """The rows of ``read_parts`` for packages too large for one task, read by byte ranges.
+
+    First only the central directory of each file is read; then members are
+    dealt out over tasks of about ``task_bytes`` packed bytes, wherever their
+    package lies, and each task seeks to its members.  No task holds more than
+    one member at a time.  Files are opened through ``pyarrow.fs``, so their
+    scheme must be one that it knows.
+    """
+    listed = (
+        spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+        .option("recursiveFileLookup", "true").load(path).select("path")
+    )
+    spots = listed.mapInPandas(
+        _package_directory, "workbook string, part string, at long, packed long, size long, method int, crc long, hidden boolean"
+    )
+    spots = cut_lineage(spots)
+    packed = spots.agg(F.sum("packed")).first()[0] or 0
+    dealt = spots.repartition(max(1, -(-packed // task_bytes)), F.xxhash64("workbook", "part", "at"))
+    members = dealt.mapInPandas(_package_members, "workbook string, part string, content binary")
+    return members.withColumn("sha256", F.sha2("content", 256))
+
+
+def _opened(path: str):
+    from pyarrow import fs
+
+    system, inside = fs.FileSystem.from_uri(path)
+    return system.open_input_file(inside)
+
+
+def _package_directory(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Where the members of each package lie, from its central directory alone."""
+    import zipfile
+
+    names = ["workbook", "part", "at", "packed", "size", "method", "crc", "hidden"]
+    for batch in batches:
+        for path in batch["path"]:
+            try:
+                with _opened(path) as file, zipfile.ZipFile(file) as package:
+                    rows = [
+                        (path, i.filename, i.header_offset, i.compress_size, i.file_size, i.compress_type, i.CRC, bool(i.flag_bits & 1))
+                        for i in package.infolist()
+                    ]
+            except (zipfile.BadZipFile, OSError, ValueError):
+                rows = [(path, "", -1, 0, 0, 0, 0, False)]
+            for at in range(0, len(rows), 10_000):
+                yield pd.DataFrame(rows[at : at + 10_000], columns=names)
+
+
+def _package_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row for each member, read where the directory says; what does not unpack to its checksum has no content."""
+    import struct
+    import zlib
+
+    def content(file, spot) -> bytes | None:
+        if spot.hidden or spot.method not in (0, 8):
+            return None
+        file.seek(spot.at)
+        head = file.read(30)
+        if len(head) < 30 or head[:4] != b"PK\x03\x04":
+            return None
+        file.seek(spot.at + 30 + sum(struct.unpack("<HH", head[26:30])))
+        data = file.read(spot.packed)
+        if spot.method == 8:
+            try:
+                data = zlib.decompressobj(-15).decompress(data, spot.size + 1)
+            except zlib.error:
+                return None
+        return data if len(data) == spot.size and zlib.crc32(data) == spot.crc else None
+
+    for batch in batches:
+        for path, spots in batch.groupby("workbook", sort=False):
+            lost = spots[spots["at"] < 0]
+            if len(lost):
+                yield pd.DataFrame({"workbook": [path], "part": [""], "content": [None]})
+                continue
+            with _opened(path) as file:
+                for spot in spots.itertuples():
+                    yield pd.DataFrame({"workbook": [path], "part": [spot.part], "content": [content(file, spot)]})
+
+
 def file_hashes(spark: SparkSession, path: str, pattern: str = "*.xlsx") -> DataFrame:
     """Hash of each whole file: ``(workbook, file_sha256)``."""
     files = (
@@ -263,34 +345,6 @@ def cells(parts: DataFrame, sheets: DataFrame) -> DataFrame:
     )
 
 
-# --- fixed values: sheet elements besides the cells -------------------------------
-SHEET_ELEMENTS = (
-    "sheetPr", "dimension", "sheetViews", "sheetFormatPr", "cols", "row", "sheetProtection", "autoFilter", "mergeCells",
-    "conditionalFormatting", "dataValidations", "hyperlinks", "printOptions", "pageMargins", "pageSetup", "headerFooter",
-    "rowBreaks", "colBreaks", "drawing", "legacyDrawing", "tableParts", "extLst",
-)
-
-
-def sheet_elements(parts: DataFrame, sheets: DataFrame) -> DataFrame:
-    """What a sheet holds besides its cells: ``(workbook, sheet_name, element, content)``.
-
-    ``content`` is the text of all elements of that name, of rows only their
-    own attributes; an element that a sheet lacks has no row.
-    """
-    wanted = sheets.filter("sheet_name != '' AND part IS NOT NULL").select("workbook", "part", "sheet_name")
-    chosen = parts.filter(F.col("content").isNotNull()).select("workbook", "part", "content").join(wanted, ["workbook", "part"])
-    texts = evaluate_once(chosen, "text", part_text(F.col("content"))).drop("content")
-
-    def found(name: str) -> Column:
-        prefix = "(?:[A-Za-z0-9_]+:)?"
-        closed = f"(?s)(<{prefix}{name}(?:\\s[^>]*)?/>|<{prefix}{name}(?:\\s[^>/]*)?>.*?</{prefix}{name}>)"
-        pattern = f"(<{prefix}{name}(?:\\s[^>]*)?>)" if name == "row" else closed
-        return F.array_join(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), "\n")
-
-    listed = F.array(*[F.struct(F.lit(n).alias("element"), found(n).alias("content")) for n in SHEET_ELEMENTS])
-    return texts.select("workbook", "sheet_name", F.inline(listed)).filter("content != ''")
-
-
 def defined_names(parts: DataFrame) -> DataFrame:
     """``(workbook, name, local_sheet_id, text)``."""
     book = _parsed(parts, F.col("part") == CATALOGUE, SHEETS_XML)

@@ -135,7 +135,7 @@ def test_cell_drift(spark):
     cell = "workbook string, sheet_name string, cell_ref string, value string, cell_type string, has_formula boolean"
     base = [("w", "S", "C5", "old", "s", False), ("w", "S", "D5", "x", None, False), ("w", "S", "E5", None, None, False), ("w", "S", "F5", "1", None, False)]
     after = [("w", "S", "C5", "new", "inlineStr", False), ("w", "S", "D5", "y", None, False), ("w", "S", "E5", "", None, False), ("w", "S", "G5", "1", None, False)]
-    surface = spark.createDataFrame([("w", "S", "c5")], SURFACE)
+    surface = contract.writable_bounds(spark.createDataFrame([("w", "S", "c5")], "workbook string, sheet_name string, cell_range string"))
     got = {r.cell_ref for r in diff.cell_drift(spark.createDataFrame(base, cell), spark.createDataFrame(after, cell), surface).collect()}
     assert got == {"D5", "F5", "G5"}
     typed = [("w", "S", "C5", "old", None, False)]
@@ -143,6 +143,34 @@ def test_cell_drift(spark):
     assert [r.cell_ref for r in got] == ["C5"]
 
 
+def test_cells_outside_rectangles(spark):
+    rnd = random.Random(7)
+    edges = lambda most: sorted(rnd.choice([rnd.randint(1, 40), rnd.randint(1, most), most]) for _ in range(2))
+    bounds = [(f"w{k % 3}", f"S{k % 2}", *edges(6000), *edges(300)) for k in range(40)]
+    bounds = [b for b in bounds if b[0] != "w1"] + [("w1", "S0", 1, 1_048_576, 1, 16_384), ("w1", "S1", 1, 1_048_576, 3, 3), ("w1", "S1", 5, 5, 1, 16_384)]
+    near = [(w, s, r + dr, c + dc) for w, s, r0, r1, c0, c1 in bounds for r in (r0, r1) for c in (c0, c1) for dr in (-1, 0, 1) for dc in (-1, 0, 1)]
+    cells = near + [(f"w{rnd.randrange(4)}", f"S{rnd.randrange(3)}", rnd.randint(1, 7000), rnd.randint(1, 400)) for _ in range(3000)]
+    cells += [("w1", "S0", None, 4), ("w1", "S0", 4, None)]
+    got = contract.outside(
+        spark.createDataFrame([(*c, k) for k, c in enumerate(cells)], "workbook string, sheet_name string, at_row int, at_col int, k int"),
+        spark.createDataFrame(bounds, "workbook string, sheet_name string, low_row int, high_row int, low_col int, high_col int"),
+    )
+    inside = lambda w, s, r, c: r is not None and c is not None and any(
+        (w, s) == b[:2] and b[2] <= r <= b[3] and b[4] <= c <= b[5] for b in bounds
+    )
+    assert {r.k for r in got.collect()} == {k for k, c in enumerate(cells) if not inside(*c)}
+
+
+def test_whole_sheets_stay_one_rectangle(spark):
+    ranges = spark.createDataFrame([("w", "S", "a1:xfd1048576"), ("w", "S", "C5"), ("w", "T", "B9:A1")], "workbook string, sheet_name string, cell_range string")
+    cards = spark.createDataFrame([("w", "T", 7, 3)], "workbook string, sheet_name string, row_num int, col_num int")
+    got = contract.writable_bounds(ranges, cards)
+    assert {tuple(r) for r in got.collect()} == {("w", "S", 1, 1048576, 1, 16384), ("w", "S", 5, 5, 3, 3), ("w", "T", 7, 7, 3, 3)}
+    cells = spark.createDataFrame([("w", "S", "ZZ999999", "1", None, False)], "workbook string, sheet_name string, cell_ref string, value string, cell_type string, has_formula boolean")
+    drift = diff.cell_drift(cells, cells.withColumn("value", F.lit("2")), got)
+    assert drift.count() == 0 and "sequence(low_row" not in drift._jdf.queryExecution().toString().replace("#", "")
+
+
 def test_new_evidence_and_verdict(spark):
     listing = "path string, modified int, length int"
     before = spark.createDataFrame([("same", 5, 1), ("newer", 5, 1), ("longer", 20, 1), ("old-change", 1, 1)], listing)
@@ -210,3 +238,56 @@ def test_guardrail(spark, speedup, reduction, why, want):
 def test_zero_baseline(spark):
     ratio, reduction, speedup = benchmarks.ratios(F.lit(1.0), F.lit(0.0))
     assert tuple(spark.range(1).select(ratio, reduction, speedup).first()) == (None, None, 0.0)
+
+
+def test_a_stored_snapshot_is_not_shuffled_again(spark):
+    import uuid
+
+    name = f"snapshot_{uuid.uuid4().hex}"
+    old = [(f"w{k % 30}", f"p{k}", str(k)) for k in range(400)]
+    new = [(w, p, h if k % 5 else "new") for k, (w, p, h) in enumerate(old) if k % 7] + [("w1", "more", "x"), (None, "p", "x")]
+    frame = lambda rows: spark.createDataFrame(rows, "workbook string, part string, sha256 string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = diff.store_snapshot(frame(old), name, buckets=16)
+        got = diff.part_changes(stored, frame(new))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and plan.index("FileScan") < plan.index("Exchange") and "Bucketed: true" in plan
+        key = lambda r: tuple(map(str, r))
+        assert sorted(got.collect(), key=key) == sorted(diff.part_changes(frame(old), frame(new)).collect(), key=key)
+        listing = spark.createDataFrame([(f"f{k}", k % 9, k) for k in range(50)], "path string, modified int, length int")
+        files = diff.store_snapshot(listing, name + "_files", ["path"], 16)
+        after = listing.withColumn("modified", F.col("modified") + F.col("length") % 2)
+        fresh = diff.new_evidence(files, after, F.lit(3))
+        # the other side's shuffle alone: distinct paths are counted where they are
+        assert fresh._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+        assert {r.path for r in fresh.collect()} == {f"f{k}" for k in range(50) if k % 2 and k % 9 + 1 >= 3}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}_files")
+
+
+def test_a_hot_link_is_many_tasks_work(spark):
+    from tagloom.operators import grid
+
+    results = spark.createDataFrame([("w", r, "hot" if r % 3 else None, f"c{r}") for r in range(5, 65)] + [("v", 5, "x", "c")], "workbook string, row_num int, link string, category string")
+    cards = spark.createDataFrame(
+        [("w", "hot", s, f"S{s}", 5, c) for s in range(40) for c in range(3, 60, 6)] + [("v", "x", 0, "S0", 5, 3), ("w", None, 1, "S1", 5, 3)],
+        "workbook string, link string, sheet_idx int, sheet_name string, row_num int, col_num int",
+    )
+    pairs = grid._card_updates(results, cards)
+    plain = results.join(cards.withColumnRenamed("row_num", "at"), ["workbook", "link"])
+    assert pairs.count() == plain.count() == 40 * 400 + 1
+    assert {(r.workbook, r.sheet_name, r.col_num, r.value) for r in pairs.collect()} == {(r.workbook, r.sheet_name, r.col_num, r.category) for r in plain.collect()}
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "64")
+        sizes = grid._card_updates(results, cards).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in sizes) < 16_000 / 4
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)

@@ -1,5 +1,6 @@
 import datetime
 import json
+import re
 import zipfile
 
 import pytest
@@ -8,9 +9,9 @@ from pyspark.sql import functions as F
 from tagloom.functions import model_io
 from tagloom.functions.html import with_article_text
 from tagloom.functions.lexicon import CATEGORIES
-from tagloom.operators import diff, grid, layout
+from tagloom.operators import contract, diff, grid, layout
 from tagloom.plans import jobs
-from tagloom.sources import charset, files, outputs, packages
+from tagloom.sources import charset, files, outputs, packages, xml_tree
 
 NOTICE = "회원간의 거래 분쟁에 대한 공론화 금지"
 PAGES = [
@@ -173,7 +174,7 @@ def test_package_errors(spark, tmp_path):
     write_book(tmp_path / "r" / "a.xlsx", changed)
     same_name = lambda df: df.withColumn("workbook", F.lit("a"))
     left, right = (jobs.snapshot(same_name(packages.read_parts(spark, str(tmp_path / s)))) for s in "lr")
-    surface = spark.createDataFrame([("a", "IB", "C5")], "workbook string, sheet_name string, cell_ref string")
+    surface = contract.writable_bounds(spark.createDataFrame([("a", "IB", "C5")], "workbook string, sheet_name string, cell_range string"))
     writable = diff.Allowlist(include_writable=True)
     errors = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface, writable).collect()}
     assert errors == {
@@ -187,23 +188,88 @@ def test_package_errors(spark, tmp_path):
     assert left_over == errors - {("unexpected_changed", "xl/_rels/workbook.xml.rels")}
 
 
-@pytest.mark.parametrize("old, new, want", [
+SHEET_CHANGES = [
     ("<f>1+1</f>", "<f>3-1</f>", ("drift", "2026 list!L5")), ('<c r="N5" s="3"/>', '<c r="N5" s="4"><v>1</v></c>', ("drift", "2026 list!N5")),
-    ('<c r="L5">', '<c r="L5" s="2">', ("drift", "2026 list!L5")), ('<row r="5">', '<row r="5" ht="30">', ("sheet_drift", "2026 list!row")),
-    ('ref="A1:K9"', 'ref="A1:K10"', ("sheet_drift", "2026 list!dimension")),
-    ("<mergeCells>", '<dataValidations count="1"><dataValidation sqref="A1"/></dataValidations><mergeCells>', ("sheet_drift", "2026 list!dataValidations")),
-])
-def test_each_change_of_a_sheet_is_seen(spark, tmp_path, old, new, want):
-    (tmp_path / "l").mkdir(), (tmp_path / "r").mkdir()
-    changed = book_parts()
-    assert old in changed["xl/worksheets/sheet1.xml"]
-    changed["xl/worksheets/sheet1.xml"] = changed["xl/worksheets/sheet1.xml"].replace(old, new)
-    write_book(tmp_path / "l" / "a.xlsx", book_parts())
-    write_book(tmp_path / "r" / "a.xlsx", changed)
-    left, right = (jobs.snapshot(packages.read_parts(spark, str(tmp_path / s)).withColumn("workbook", F.lit("a"))) for s in "lr")
-    surface = spark.createDataFrame([("a", "2026 list", "G5")], "workbook string, sheet_name string, cell_ref string")
-    errors = {(r.error_kind, r.item) for r in jobs.package_errors(left, right, surface, diff.Allowlist(include_writable=True)).collect()}
-    assert errors == {want}
+    ('<c r="L5">', '<c r="L5" s="2">', ("drift", "2026 list!L5")), ('<row r="5">', '<row r="5" ht="30">', ("sheet_drift", "2026 list!worksheet/sheetData[0]/row[5]")),
+    ('ref="A1:K9"', 'ref="A1:K10"', ("sheet_drift", "2026 list!worksheet/dimension[0]")),
+    ("<mergeCells>", '<dataValidations count="1"><dataValidation sqref="A1"/></dataValidations><mergeCells>', ("sheet_drift", "2026 list!worksheet/dataValidations[0]")),
+    ("</worksheet>", '<ignoredErrors><ignoredError sqref="A1"/></ignoredErrors></worksheet>', ("sheet_drift", "2026 list!worksheet/ignoredErrors[0]")),
+    ("<f>1+1</f>", '<f t="shared" ref="L5:L6" si="0">1+1</f>', ("drift", "2026 list!L5")),
+    ('<c r="G5" t="s">', '<c r="G5" t="s" cm="1">', ("drift", "2026 list!G5")), ('<c r="J5" t="s">', '<c r="J5" ph="1" t="s">', ("drift", "2026 list!J5")),
+    ('<c r="J5" t="s"><v>1</v>', '<c r="J5" t="s"><v>2</v>', ("drift", "2026 list!J5")), ('<c r="G5" t="s">', '<c r="G5">', ("drift", "2026 list!G5")),
+    ('<c r="G5" t="s"><v>0</v></c>', "", ("drift", "2026 list!G5")), ("<v>2</v></c>", "<v>2</v></c>stray", ("drift", "2026 list!L5")),
+    ('<dimension ref="A1:K9"/>', '<dimension ref="A1:K9"/><other:x xmlns:other="u"/>', ("sheet_drift", "2026 list!worksheet/{u}x[0]")),
+    (" 원문 ", "원문", ("drift", "2026 list!K5")), ("</worksheet>", "", ("sheet_drift", "2026 list!unreadable")),
+]
+
+
+def stored_parts(spark, books):
+    """Parts of ``books``: workbook name to its members."""
+    rows = [(name, part, content.encode()) for name, parts in books.items() for part, content in parts.items()]
+    return spark.createDataFrame(rows, "workbook string, part string, content binary").withColumn("sha256", F.sha2("content", 256))
+
+
+def test_each_change_of_a_sheet_is_seen(spark):
+    sheet, before, after = "xl/worksheets/sheet1.xml", {}, {}
+    for k, (old, new, _) in enumerate(SHEET_CHANGES):
+        before[f"w{k}"], after[f"w{k}"] = book_parts(), book_parts()
+        assert old in after[f"w{k}"][sheet]
+        after[f"w{k}"][sheet] = after[f"w{k}"][sheet].replace(old, new)
+    left, right = jobs.snapshot(stored_parts(spark, before)), jobs.snapshot(stored_parts(spark, after))
+    surface = spark.createDataFrame([(w, "2026 list", "G5") for w in before], "workbook string, sheet_name string, cell_range string")
+    errors = jobs.package_errors(left, right, contract.writable_bounds(surface), diff.Allowlist(include_writable=True)).collect()
+    for k, (_, _, want) in enumerate(SHEET_CHANGES):
+        own = {(r.error_kind, r.item) for r in errors if r.workbook == f"w{k}"}
+        assert want in own if want[1].endswith("unreadable") else own == {want}, SHEET_CHANGES[k]
+
+
+SAME_SHEETS = [
+    [('<c r="G5" t="s">', '<c t="s"  r="G5">'), ('<c r="N5" s="3"/>', '<c s="3" r="N5"></c>')], [("<mergeCells>", "<!-- <c r='A1'/> -->\n <mergeCells>")],
+    [("<v>2</v>", "<v><![CDATA[2]]></v>"), (r"<f>1\+1</f>", "<f>1&#43;1</f>")], [("xmlns:r=", "xmlns:rel="), ("r:id=", "rel:id=")],
+    [("xmlns=", "xmlns:x="), ("<(/?)([a-zA-Z])", r"<\1x:\2")], [('<c r="G5" t="s"><v>0</v>', '<c r="G5" t="inlineStr"><is><t>any <b/></t></is>')],
+]
+
+
+def test_the_same_sheet_written_otherwise_is_no_drift(spark):
+    sheet, rows = book_parts()["xl/worksheets/sheet1.xml"], []
+    for k, changes in enumerate(SAME_SHEETS):
+        other = sheet
+        for old, new in changes:
+            assert re.search(old, other)
+            other = re.sub(old, new, other)
+        rows.append((f"w{k}", "S", other.encode(), sheet.encode()))
+    table = spark.createDataFrame(rows, "workbook string, sheet_name string, other binary, sheet binary")
+    surface = contract.writable_bounds(table.select("workbook", "sheet_name", F.lit("G5:G9").alias("cell_range")))
+    side = lambda name: xml_tree.shred(table.withColumnRenamed(name, "content"))
+    assert diff.tree_drift(side("sheet"), side("other"), surface).collect() == []
+
+
+def test_moved_elements_are_a_drift_of_order(spark):
+    sheet = book_parts()["xl/worksheets/sheet1.xml"]
+    swapped = sheet.replace('<mergeCell ref="B1:C1"/>', "").replace('<mergeCell ref="A1:A2"/>', '<mergeCell ref="A1:A2"/><mergeCell ref="B1:C1"/>')
+    head = '<dimension ref="A1:K9"/>'
+    moved = sheet.replace(head, "").replace("<mergeCells>", head + "<mergeCells>")
+    surface = contract.writable_bounds(spark.createDataFrame([], "workbook string, sheet_name string, cell_range string"))
+    shredded = lambda text: xml_tree.shred(spark.createDataFrame([("a", "S", text.encode())], "workbook string, sheet_name string, content binary"))
+    got = lambda text: {(r.path, r.change) for r in diff.tree_drift(shredded(sheet), shredded(text), surface).collect()}
+    assert got(moved) == {("worksheet", "order")}
+    assert got(swapped) == {("worksheet/mergeCells[0]/mergeCell[0]", "attributes"), ("worksheet/mergeCells[0]/mergeCell[1]", "attributes")}
+
+
+def test_shredded_rows(spark):
+    text = '<?xml version="1.0"?><a xmlns="u" xmlns:o="w"> <b k="2" j="1">x<c/>tail</b>\n<b/><o:b o:k="3">&amp;</o:b></a>'
+    rows = xml_tree.shred(
+        spark.createDataFrame([(7, text.encode()), (8, b"<a><b></a>"), (9, None), (10, b"")], "id int, content binary"), ["id"], {"b": "k"}, "b", ["c"]
+    ).orderBy("id", "node").collect()
+    got = [(r.path, r.parent, r.name, r.anchor, r.payload, [(a.name, a.value) for a in r.attributes], r.text, r.tail, r.children[:1], r.frame[:1]) for r in rows if r.id == 7]
+    assert got == [
+        ("a", "", "u}a", None, False, [], "", "", "3", "3"),
+        ("a/b[2]", "a", "u}b", "2", False, [("j", "1"), ("k", "2")], "x", "", "1", ""),
+        ("a/b[2]/c[0]", "a/b[2]", "u}c", "2", True, [], "", "tail", "", ""),
+        ("a/b[0]", "a", "u}b", None, False, [], "", "", "", ""),
+        ("a/{w}b[0]", "a", "w}b", None, False, [("w}k", "3")], "&", "", "", ""),
+    ]
+    assert {(r.id, r.path) for r in rows if r.id != 7} == {(8, "unreadable"), (10, "unreadable")}
 
 
 def test_unreadable_files_and_parts(spark, tmp_path):
@@ -313,3 +379,68 @@ def test_layout_of_two_cards(spark):
     assert edges.count() == 2 * 34 * 6
     right = {r.col_num for r in edges.filter("right_edge").select("col_num").distinct().collect()}
     assert right == {7, 14}
+
+
+def test_large_packages_by_ranges(spark, tmp_path):
+    import os
+    import random
+
+    rnd = random.Random(2)
+    write_book(tmp_path / "a.xlsx", book_parts())
+    with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as book:
+        for k in range(40):
+            kind = (zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2)[k % 3 if k else 0]
+            book.writestr(f"xl/media/{k}.bin", rnd.randbytes(300_000 + k), kind)
+        book.writestr("empty", b"")
+    (tmp_path / "no.xlsx").write_bytes(b"no package")
+    spoilt = bytearray((tmp_path / "a.xlsx").read_bytes())
+    at = spoilt.index(b"Voice Of Customer")
+    spoilt[at] ^= 1
+    (tmp_path / "spoilt.xlsx").write_bytes(bytes(spoilt))
+    whole = packages.read_parts(spark, str(tmp_path))
+    ranged = packages.read_large_parts(spark, str(tmp_path), task_bytes=1 << 20)
+    key = lambda r: (os.path.basename(r.workbook), r.part, r.sha256)
+    want = {key(r) for r in whole.collect()}
+    bz = {("b.xlsx", f"xl/media/{k}.bin") for k in range(40) if k % 3 == 2}
+    got = {key(r) for r in ranged.collect()}
+    assert {k for k in got if k[:2] not in bz} == {k for k in want if k[:2] not in bz}
+    assert {k[2] for k in got if k[:2] in bz} == {None}  # packed in a way that packages do not use
+    assert ("no.xlsx", "", None) in got and ("spoilt.xlsx", "xl/worksheets/sheet2.xml", None) in got
+    tasks = ranged.where("workbook LIKE '%b.xlsx'").select(F.spark_partition_id().alias("t"), F.length("content").alias("n")).groupBy("t").agg(F.sum("n").alias("n")).collect()
+    assert len(tasks) > 6 and max(r.n or 0 for r in tasks) < 4_000_000
+
+
+def test_publishing_shows_old_or_new_tables(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path / "out")
+    table = lambda rows: spark.createDataFrame(rows, "workbook string, value int")
+    now = lambda name="grid": {(r.workbook, r.value) for r in outputs.published(spark, folder, name).collect()}
+    with pytest.raises(ValueError):
+        now()
+    outputs.publish({"grid": table([("a", 1), ("a", 2), ("b", 3)]), "summary": table([("a", 9)])}, folder)
+    assert now() == {("a", 1), ("a", 2), ("b", 3)} and now("summary") == {("a", 9)}
+
+    def lost(*_):
+        raise KeyboardInterrupt("the driver is gone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(outputs, "_commit", lost)
+        with pytest.raises(KeyboardInterrupt):
+            outputs.publish({"grid": table([("a", 7)])}, folder)
+    assert now() == {("a", 1), ("a", 2), ("b", 3)} and now("summary") == {("a", 9)}
+    outputs.publish({"grid": table([("a", 7), ("c", 8)])}, folder)
+    assert now() == {("a", 7), ("c", 8), ("b", 3)}
+    with pytest.raises(ValueError):
+        now("summary")  # the run replaced all of workbook a, and had no summary
+    assert outputs.damaged_entries(spark, folder, "grid").count() == 0
+    entry = outputs.manifest(spark, folder).where("workbook = 'b'").first()
+    assert (entry.table_name, entry.n_rows) == ("grid", 1)
+    table([("b", 4)]).write.mode("overwrite").parquet(f"{folder}/versions/{entry.version}/grid")
+    assert [r.workbook for r in outputs.damaged_entries(spark, folder, "grid").collect()] == ["b"]
+    # two runs that start from one manifest: the second to commit fails and changes nothing
+    names = outputs._manifest_names(spark, folder)
+    outputs.publish({"grid": table([("d", 1)])}, folder)
+    monkeypatch.setattr(outputs, "_manifest_names", lambda *_: names)
+    with pytest.raises(RuntimeError, match="another run"):
+        outputs.publish({"grid": table([("e", 1)])}, folder)
+    monkeypatch.undo()
+    assert {w for w, _ in now()} == {"a", "b", "c", "d"}

@@ -145,3 +145,36 @@ def test_each_model_is_called_once_for_all_tables(spark):
     counts = {r.category: r.n for r in batch.summary.filter("n > 0").collect()}
     assert counts == {c: list(results.values()).count(c) for c in set(results.values())}
     assert calls.value == 22
+
+
+def test_answers_are_kept_across_runs(spark, tmp_path):
+    requests = lambda *texts: spark.createDataFrame([(t,) for t in texts], "text string").select(tiers.item_key(F.col("text")).alias("item"), "text")
+    asked = []
+    model = tiers.remembered(scorer(spark, {"a": TRADE, "b": INFO, "c": INQUIRY}, asked), str(tmp_path / "answers"))
+    labels = lambda frame: {r.item: r.label for r in tiers.answers(model, frame).collect()}
+    first = labels(requests("a", "b", "unknown"))
+    assert sorted(first.values()) == sorted([TRADE, INFO]) and asked == ["a", "b", "unknown"]
+    asked.clear()
+    grown = labels(requests("a", "b", "c", "unknown"))
+    assert sorted(grown.values()) == sorted([TRADE, INFO, INQUIRY]) and asked == ["c", "unknown"]
+    asked.clear()
+    assert labels(requests("a")) == {k: v for k, v in first.items() if v == TRADE} and asked == []
+    (tmp_path / "answers" / "call-lost").mkdir()  # a call that never ended
+    assert labels(requests("a", "c")) == {k: v for k, v in grown.items() if v != INFO}
+
+
+def test_a_second_run_of_the_tiers_asks_for_new_texts_only(spark, tmp_path):
+    asked = []
+    known = scorer(spark, {"애매한 하나": TRADE, "애매한 둘": INFO, "애매한 셋": INQUIRY}, asked)
+    silent = scorer(spark, {})
+    kept = {n: tiers.remembered(m, str(tmp_path / n)) for n, m in {"a": known, "b": silent, "c": silent, "d": silent}.items()}
+    scorers = tiers.Scorers(kept["a"], kept["b"], kept["c"], kept["d"])
+    pages = spark.createDataFrame([], "url string, html string")
+
+    def run(titles):
+        rows = spark.createDataFrame([("w", i, t, None) for i, t in enumerate(titles)], "workbook string, row_num int, title string, link string")
+        return {r.row_num: r.category for r in tiers.resolve_categories(rows, pages, scorers).collect()}
+
+    assert run(["애매한 하나", "애매한 둘"]) == {0: TRADE, 1: INFO} and asked == sorted(["애매한 둘", "애매한 하나"])
+    asked.clear()
+    assert run(["애매한 하나", "애매한 둘", "애매한 셋", "애매한 하나"]) == {0: TRADE, 1: INFO, 2: INQUIRY, 3: TRADE} and asked == ["애매한 셋"]
