@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 from collections.abc import Iterator
 
@@ -17,6 +16,8 @@ from tagloom.llm.shared import sized, stage
 from tagloom.llm.substring_dedup import runs_of
 
 LENGTH, GRAM = 400, 64
+# A marker of too many different segments is split by these longer grams, one after the other.
+LONGER_GRAMS = (200, 320)
 SHARD_BYTES = 4 << 20
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -27,9 +28,9 @@ class Windows:
     Equal strings have equal markers, and neighbours mostly share one.
     """
 
-    def __init__(self, column: pa.Array, length: int):
+    def __init__(self, column: pa.Array, length: int, gram: int = GRAM):
         self.data, self.offsets = utf8(column)
-        self.gram = min(GRAM, length)
+        self.gram = min(gram, length)
         self.width = length - self.gram + 1
         self.grams = window_hashes(byte_values(self.data), self.gram)
         self.marker = sliding_least(self.grams, self.width)
@@ -45,6 +46,27 @@ class Windows:
         return np.flatnonzero((high == self.grams) & (high > 0)) if len(held) else np.zeros(0, np.int64)
 
 
+    def segments(self, live: np.ndarray, ids: pa.Array, shift: np.ndarray, length: int) -> pa.RecordBatch:
+        """Runs of ``live`` strings with one marker, with their bytes; ``shift`` is where each text starts in its document."""
+        text = self.text[: len(self.marker)]
+        at = np.flatnonzero(live)
+        new = np.ones(len(at), bool)
+        new[1:] = (at[1:] != at[:-1] + 1) | (self.marker[at[1:]] != self.marker[at[:-1]]) | (text[at[1:]] != text[at[:-1]])
+        starts = at[new]
+        counts = np.diff(np.append(np.flatnonzero(new), len(at)))
+        inner = [bool(np.count_nonzero(self.grams[s : s + n + self.width - 1] == self.marker[s]) > 1) for s, n in zip(starts, counts, strict=True)]
+        content = [self.data[s : s + n + length - 1].tobytes() for s, n in zip(starts, counts, strict=True)]
+        owner = text[starts]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.marker[starts].view(np.int64)), ids.take(pa.array(owner)), pa.array(starts - self.offsets[owner] + shift[owner]),
+             pa.array(counts), pa.array(inner, pa.bool_()), pa.array(content, pa.binary())],
+            ["marker", "doc_id", "start", "strings", "inner", "content"],
+        )
+
+
+SEGMENT_SHAPE = "marker long, doc_id long, start long, strings long, inner boolean, content binary"
+
+
 def repeated_texts(docs: DataFrame, length: int) -> DataFrame:
     """``doc_id, first`` for the documents of ``length`` bytes or more whose whole text another one has too."""
     named = docs.where(F.octet_length("text") >= length).select("doc_id", F.md5("text").alias("content"))
@@ -84,25 +106,44 @@ def candidate_segments(docs: DataFrame, length: int) -> DataFrame:
                 held = lists.flatten().to_numpy().view(np.uint64) + owner.astype(np.uint64) * _SALT
                 text = found.text[: len(found.marker)]
                 live = found.inside & np.isin(found.marker + text.astype(np.uint64) * _SALT, held)
-                at = np.flatnonzero(live)
-                new = np.ones(len(at), bool)
-                new[1:] = (at[1:] != at[:-1] + 1) | (found.marker[at[1:]] != found.marker[at[:-1]]) | (text[at[1:]] != text[at[:-1]])
-                starts = at[new]
-                counts = np.diff(np.append(np.flatnonzero(new), len(at)))
-                inner = [bool(np.count_nonzero(found.grams[s : s + n + found.width - 1] == found.marker[s]) > 1) for s, n in zip(starts, counts, strict=True)]
-                content = [found.data[s : s + n + length - 1].tobytes() for s, n in zip(starts, counts, strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.marker[starts].view(np.int64)), cut.column("doc_id").take(pa.array(text[starts])),
-                     pa.array(starts - found.offsets[text[starts]]), pa.array(counts), pa.array(inner, pa.bool_()), pa.array(content, pa.binary())],
-                    ["marker", "doc_id", "start", "strings", "inner", "content"],
-                )
+                yield found.segments(live, cut.column("doc_id"), np.zeros(len(lists), np.int64), length)
 
     sent = stage(docs.mapInArrow(markers, "marker long, doc_id long, times long"), "markers")
     shared = sent.groupBy("marker").agg(F.sum("times").alias("times")).where("times > 1")
     lists = stage(sent.join(shared.select("marker"), "marker").groupBy("doc_id").agg(F.collect_list("marker").alias("markers")), "shared-markers")
     owning = docs.join(sized(lists.select("doc_id")), "doc_id", "left_semi").join(lists, "doc_id").select("doc_id", "text", "markers")
-    shape = "marker long, doc_id long, start long, strings long, inner boolean, content binary"
-    return owning.mapInArrow(segments, shape).withColumn("digest", F.md5("content"))
+    return owning.mapInArrow(segments, SEGMENT_SHAPE).withColumn("digest", F.md5("content"))
+
+
+def finer_segments(pieces: DataFrame, length: int, gram: int) -> DataFrame:
+    """The strings of ``pieces(doc_id, start, content)`` as segments once more, by the least hash of longer grams.
+
+    Strings that only share a short passage in different surroundings part
+    here; equal strings have equal markers on every level.
+    """
+
+    def cut_finer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cut in slices(batch, "content", 1 << 18):
+                found = Windows(cut.column("content"), length, gram)
+                yield found.segments(found.inside, cut.column("doc_id"), cut.column("start").to_numpy(), length)
+
+    return pieces.select("doc_id", "start", "content").mapInArrow(cut_finer, SEGMENT_SHAPE).withColumn("digest", F.md5("content"))
+
+
+def segment_kinds(segments: DataFrame) -> DataFrame:
+    """Different segments of each marker: ``marker, digest, times, head, inner, size``."""
+    return segments.groupBy("marker", "digest").agg(
+        F.count("*").alias("times"), F.min(F.struct("doc_id", "start")).alias("head"), F.max("inner").alias("inner"), F.max("size").alias("size")
+    )
+
+
+def alike_spans(segments: DataFrame, kinds: DataFrame, length: int) -> DataFrame:
+    """``doc_id, low, high`` of the segments that stand in two places or more."""
+    often = kinds.where("times > 1").select("marker", "digest")
+    return segments.select("marker", "digest", "doc_id", "start", "strings").join(often, ["marker", "digest"]).select(
+        "doc_id", F.col("start").alias("low"), (F.col("start") + F.col("strings") + length - 1).alias("high")
+    )
 
 
 def repeated_in_shard(contents: list[bytes], length: int, limit: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -138,44 +179,49 @@ def head_segments(kinds: DataFrame, shard_bytes: int) -> DataFrame:
 
 
 def counted_spans(pieces: DataFrame, length: int) -> DataFrame:
-    """``doc_id, low, high`` of the strings that start in two places of the segments, by counting their digests.
+    """``doc_id, low, high`` of the strings that start in two places of the segments, by counting their hashes.
 
-    For markers of which many different segments are held: each string has a
-    key of its own, so nothing but equal strings must meet, and those are
-    counted before they move.
+    For markers of which many different segments are held on every level:
+    each string has a key of its own, two independent rolling hashes of 64
+    bits, so nothing but equal strings must meet, and those are counted before
+    they move.
     """
+    other = np.random.default_rng(400).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc_id, start, content in zip(*(batch.column(n) for n in ("doc_id", "start", "content")), strict=True):
-                whole, doc_id, start = memoryview(content.as_buffer()), doc_id.as_py(), start.as_py()
-                count = len(whole) - length + 1
-                for at in range(0, count, 1 << 16):
-                    n = min(count - at, 1 << 16)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([hashlib.md5(whole[k : k + length]).digest() for k in range(at, at + n)], pa.binary()),
-                         pa.array(np.full(n, doc_id)), pa.array(np.arange(start + at, start + at + n))],
-                        ["string", "doc_id", "low"],
-                    )
-
-    strings = stage(pieces.select("doc_id", "start", "content").mapInArrow(digests, "string binary, doc_id long, low long"), "strings")
-    repeated = strings.groupBy("string").agg(F.count("*").alias("times")).where("times > 1")
+            for cut in slices(batch, "content", 1 << 18):
+                data, offsets = utf8(cut.column("content"))
+                text = np.repeat(np.arange(cut.num_rows), np.diff(offsets))[: max(0, len(data) - length + 1)]
+                at = np.flatnonzero(np.arange(len(text)) + length <= offsets[1:][text])
+                first, second = window_hashes(byte_values(data), length), window_hashes(other[data], length)
+                low = at - offsets[text[at]] + cut.column("start").to_numpy()[text[at]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(first[at].view(np.int64)), pa.array(second[at].view(np.int64)), cut.column("doc_id").take(pa.array(text[at])), pa.array(low)],
+                    ["first", "second", "doc_id", "low"],
+                )
+
+    strings = stage(pieces.select("doc_id", "start", "content").mapInArrow(hashed, "first long, second long, doc_id long, low long"), "strings")
+    repeated = strings.groupBy("first", "second").agg(F.count("*").alias("times")).where("times > 1")
     # consecutive strings make one span
-    found = strings.join(repeated, "string").select("doc_id", "low").distinct()
+    found = strings.join(repeated, ["first", "second"]).select("doc_id", "low").distinct()
     run = F.col("low") - F.row_number().over(Window.partitionBy("doc_id").orderBy("low"))
     return found.withColumn("run", run).groupBy("doc_id", "run").agg(
         F.min("low").alias("low"), (F.max("low") + length).alias("high")
     ).select("doc_id", "low", "high")
 
 
-def sorted_spans(segments: DataFrame, kinds: DataFrame, length: int, shard_bytes: int, limit: int) -> DataFrame:
+def sorted_spans(
+    segments: DataFrame, kinds: DataFrame, length: int, shard_bytes: int, limit: int, longer: tuple[int, ...] = LONGER_GRAMS
+) -> DataFrame:
     """``doc_id, low, high`` of what repeats in other segments, one segment of each kind standing for all.
 
     A shard holds all different segments of its markers, so equal strings meet
     in it.  Suffixes are sorted by external induction with their common
     prefixes; a string repeats if it shares ``length`` bytes with a neighbour.
-    The strings of a marker with more than ``shard_bytes`` of different
-    segments are dealt out and counted instead.
+    A marker with more than ``shard_bytes`` of different segments is split by
+    the ``longer`` grams in turn, without moving bytes that meet no others;
+    what is too large after the last is dealt out string by string and counted.
     """
     heads = stage(head_segments(kinds, shard_bytes), "heads")
     shards = max(1, math.ceil((heads.where("sorts").agg(F.sum("size")).first()[0] or 0) / shard_bytes))
@@ -197,7 +243,18 @@ def sorted_spans(segments: DataFrame, kinds: DataFrame, length: int, shard_bytes
         .groupBy("shard").applyInArrow(sort, "doc_id long, low long, high long")
     )
     hot = heads.where("not sorts")
-    return spans if hot.isEmpty() else spans.union(counted_spans(pieces.join(hot.select(*keys), keys), length))
+    if hot.isEmpty():
+        return spans
+    large = stage(pieces.join(hot.select(*keys), keys), "large-markers")
+    longer = tuple(g for g in longer if g < length)
+    if not longer:
+        return spans.union(counted_spans(large, length))
+    finer = finer_segments(large, length, longer[0])
+    listed = stage(finer.withColumn("size", F.octet_length("content")).drop("content"), "finer-segments")
+    finer_kinds = stage(segment_kinds(listed), "finer-kinds")
+    return spans.union(alike_spans(listed, finer_kinds, length)).union(
+        sorted_spans(finer, finer_kinds, length, shard_bytes, limit, longer[1:])
+    )
 
 
 def remove_repeats(
@@ -215,7 +272,8 @@ def remove_repeats(
     moved; equal segments are counted, and different ones with a common marker
     are suffix sorted in shards of about ``shard_bytes``; suffixes wait on disk
     beyond ``memory_items``.  A marker with more different segments than that
-    is split down to its strings, which are counted.
+    is split by longer grams, and in the end down to its strings, which are
+    counted.
 
     Null and empty texts have no bytes, and texts shorter than ``length`` lose
     none.  ``doc_id`` is expected to name one row; of rows that share one each
@@ -227,17 +285,8 @@ def remove_repeats(
     equal = stage(repeated_texts(known, length), "equal-texts")
     copies = stage(equal.where("doc_id <> first").select("doc_id"), "copies")
     segments = stage(candidate_segments(known.join(sized(copies), "doc_id", "left_anti"), length), "segments")
-    kinds = stage(
-        segments.groupBy("marker", "digest").agg(
-            F.count("*").alias("times"), F.min(F.struct("doc_id", "start")).alias("head"), F.max("inner").alias("inner"),
-            F.max(F.octet_length("content")).alias("size"),
-        ),
-        "kinds",
-    )
-    often = kinds.where("times > 1").select("marker", "digest")
-    alike = segments.select("marker", "digest", "doc_id", "start", "strings").join(often, ["marker", "digest"]).select(
-        "doc_id", F.col("start").alias("low"), (F.col("start") + F.col("strings") + length - 1).alias("high")
-    )
+    kinds = stage(segment_kinds(segments.withColumn("size", F.octet_length("content"))), "kinds")
+    alike = alike_spans(segments, kinds, length)
     spans = alike.union(sorted_spans(segments, kinds, length, shard_bytes, memory_items))
     change = stage(
         spans.groupBy("doc_id").agg(F.collect_list(F.struct("low", "high")).alias("spans"), F.lit(False).alias("whole"))
