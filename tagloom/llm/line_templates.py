@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.arrays import mixed, segment_hashes, slices, utf8, word_hashes, words_of
-from tagloom.llm.shared import free_name, stage
+from tagloom.llm.shared import components, free_name, stage
 
 DEPTH = 3
 SIMILAR = 0.8
@@ -24,7 +24,7 @@ class Lines:
     A line ends at a line feed or at the end of its text.  Its tokens are the
     words in it; tokens with a digit are variable and all count as one.
     ``leaf`` is reached by the number of tokens and the first ``depth`` of
-    them; ``line`` hashes all tokens; ``marks`` has one byte for each token.
+    them; ``line`` hashes all tokens; ``marks`` has four bytes for each token.
     ``exact`` hashes the words themselves, digits and all.  Blank lines have
     no tokens.
     """
@@ -48,7 +48,7 @@ class Lines:
         lead = segment_hashes(hashes, self.first, np.minimum(self.last, self.first + depth))
         self.leaf = mixed(lead + self.tokens.astype(np.uint64))
         self.line = segment_hashes(hashes, self.first, self.last)
-        self.marks = (hashes >> np.uint64(56)).astype(np.uint8)
+        self.marks = (hashes >> np.uint64(32)).astype(np.uint32)
 
 
 def distinct_lines(docs: DataFrame, depth: int) -> DataFrame:
@@ -114,7 +114,7 @@ def recurring_lines(lines: DataFrame, depth: int, similar: float, min_texts: int
         for batch in batches:
             share = []
             for a, b in zip(batch.column("marks").to_pylist(), batch.column("top_marks").to_pylist(), strict=True):
-                share.append(float(np.mean(np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8))))
+                share.append(float(np.mean(np.frombuffer(a, np.uint32) == np.frombuffer(b, np.uint32))))
             keep = [batch.schema.get_field_index(n) for n in ("leaf", "line", "texts", "low", "marks", "top_line")]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in keep), pa.array(share, pa.float64())], ["leaf", "line", "texts", "low", "marks", "top_line", "share"]
@@ -148,15 +148,17 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
     may differ, else one of as many runs of marks as tokens may differ and one
     more.  Keys are counted before lines move, so only lines with a neighbour,
     or frequent by themselves, are compared, and only those with enough texts
-    in reach are tried.
+    in reach are tried.  Lines of a leaf that no chain of keys connects never
+    meet, so each connected set of lines is worked through by itself, and a
+    leaf with very many lines is many tasks' work.
     """
     open_leaves = rest.groupBy("leaf").agg(F.sum("texts").alias("left")).where(F.col("left") >= min_texts).select("leaf")
     rest = stage(rest.join(open_leaves, "leaf"), "further-lines")
-    size = F.octet_length("marks")
+    size = F.call_function("div", F.octet_length("marks"), F.lit(4)).cast("int")
     most = F.floor(size * F.lit(1 - similar) + F.lit(1e-6)).cast("int")
     free = F.greatest(size - depth, F.lit(0))
     edge = lambda b: F.floor(b * free / (most + 1)).cast("int")
-    part = lambda at, n: F.substring("marks", at, n)
+    part = lambda at, n: F.substring("marks", at * 4 - 3, n * 4)
     but_one = F.transform(F.sequence(F.lit(1), F.greatest(free, F.lit(1))), lambda b: F.xxhash64("leaf", b, part(F.lit(1), depth + b - 1), part(depth + b + 1, size)))
     runs = F.transform(F.sequence(F.lit(0), most), lambda b: F.xxhash64("leaf", b, part(depth + 1 + edge(b), edge(b + 1) - edge(b))))
     keyed = stage(rest.select("leaf", "line", "texts", F.explode(F.when(most == 1, but_one).otherwise(runs)).alias("key")), "line-keys")
@@ -164,14 +166,18 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
     reach = keyed.join(held, "key").groupBy("leaf", "line").agg(
         (F.sum("key_texts") - F.sum("texts") + F.max("texts")).alias("reach"), F.max("key_lines").alias("key_lines")
     ).where((F.col("key_lines") > 1) | (F.col("reach") >= min_texts)).select("leaf", "line", "reach")
-    near = rest.join(reach, ["leaf", "line"])
+    shared = keyed.join(held.where("key_lines > 1").select("key"), "key")
+    tops = shared.groupBy("key").agg(F.min("line").alias("b"))
+    sets = components(shared.join(tops, "key").select(F.col("line").alias("a"), "b"))
+    near = rest.join(reach, ["leaf", "line"]).join(sets.withColumnRenamed("node", "line"), "line", "left")
+    near = near.withColumn("component", F.coalesce("component", "line"))
 
     def lead(table: pa.Table) -> pa.Table:
         line, texts = table.column("line").to_numpy(), table.column("texts").to_numpy()
         order = np.lexsort((line, texts))[::-1]
         none = np.iinfo(np.int64).max
         low = table.column("low").fill_null(none).to_numpy()
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint8).reshape(len(line), -1)
+        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint32).reshape(len(line), -1)
         line, texts, low, marks, reach = line[order], texts[order], low[order], marks[order], table.column("reach").to_numpy()[order]
         lines, firsts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while at < len(line):
@@ -187,7 +193,7 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
         first = np.concatenate(firsts)
         return pa.table([pa.array(np.concatenate(lines)), pa.array(first, mask=first == none)], ["line", "first_doc"])
 
-    return near.select("leaf", "line", "texts", "low", "marks", "reach").groupBy("leaf").applyInArrow(lead, "line long, first_doc long")
+    return near.select("component", "line", "texts", "low", "marks", "reach").groupBy("component").applyInArrow(lead, "line long, first_doc long")
 
 
 def without_recurring(

@@ -495,3 +495,159 @@ def test_pipeline(spark, tmp_path):
     assert {r.doc_id for r in alone.collect()} == classes and alone.columns == read.columns
     out = corpus_pipeline.STAGES[4][1](spark, read.limit(5), str(tmp_path))
     assert out.select("doc_id").distinct().count() == 5
+
+
+@pytest.mark.parametrize("split", ["plain", "prefixed", "pieces", "lower"])
+def test_words_are_encoded_as_the_tokenizer_does(tmp_path, split):
+    """Random texts, and files whose way of splitting is not the plain one."""
+    import json
+
+    from tokenizers import Tokenizer
+
+    described = json.load(open(tokenizer_path()))
+    if split == "prefixed":
+        described["pre_tokenizer"]["add_prefix_space"] = True
+    if split == "pieces":
+        described["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "Digits", "individual_digits": True}, described["pre_tokenizer"]]}
+    if split == "lower":
+        described["normalizer"] = {"type": "Lowercase"}
+    path = tmp_path / "tokenizer.json"
+    path.write_text(json.dumps(described))
+    encoder, plain = packing.WordEncoder(str(path)), Tokenizer.from_file(str(path))
+    rnd = random.Random(5)
+    signs = ["a", "Be", "the", "ing", " ", "  ", "\n", "\t", "\r\n", "'s", "'LL", "don't", "1", "23", "é", "ß", "日本", "한글", "🙂", "é", " ", " ", "_", "--", "</s>", "<s>", ".", "…", "\x00", "\x1c", "​"]
+    for _ in range(1500 if split == "plain" else 200):
+        text = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 25)))
+        assert np.frombuffer(encoder(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_learned_texts_are_bounded_by_bytes(spark):
+    rows = [(i, f"text {i} " * (1 if i % 3 else 400)) for i in range(60)] + [(70, None), (71, "é" * 500)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(72)], "doc_id long, quality int, toxic int")
+    texts, known = toxicity.sample_of(frame(spark, rows), labels, 100, 100, most_bytes=600)
+    held = [zlib.crc32(str(i).encode()) % 4 == 2 for i in range(72)]
+    assert sorted(texts.to_pylist()) == sorted(t for i, t in rows if t and len(t.encode()) <= 600 and not held[i]) and len(known) == len(texts)
+
+
+def test_a_turn_of_more_than_a_million_characters(spark):
+    long = "word é </s> " * 100_000
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", long), (1, 2, "user", long), (1, 3, "assistant", "ok")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    r = chat_format.read_back(chat_format.format_chats(table, tokenizer_path())).first()
+    learned = long + "ok"
+    assert (r.n_turns, r.loss_chars, r.loss_sha256) == (4, len(learned), hashlib.sha256(learned.encode()).hexdigest())
+    assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{t}\n" for _, _, a, t in rows).encode()).hexdigest()
+
+
+def test_vectors_with_clashing_columns(spark):
+    rows, odd = vectors()
+    names = ["packed", "block", "query_id", "rank", "score", "component_id", "n_links", "kept", "row", "length"]
+    plain = spark.createDataFrame(rows[:120] + odd, "vec_id long, embedding array<float>")
+    extra = plain.select("vec_id", "embedding", *[F.lit("x").alias(n) for n in names])
+    for apply in (nearest.nearest, embedding_links.links):
+        assert sorted(map(repr, apply(extra).collect())) == sorted(map(repr, apply(plain).collect()))
+
+
+@pytest.mark.parametrize("some", [True, False])
+def test_all_stages_in_sequence(spark, tmp_path, some):
+    """Every stage on what the one before it kept, against plain versions; and on an empty table."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rows = [(i, t) for i, t in ROWS if i is not None] if some else []
+    frame(spark, rows, sources=("a", "b")).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i, _ in rows[:9]], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    docs, kept = spark.read.parquet(str(tmp_path / "documents.parquet")), {}
+    for name, apply in corpus_pipeline.STAGES:
+        docs = apply(spark, docs, str(tmp_path))
+        docs.write.parquet(str(tmp_path / name))
+        docs = kept[name] = spark.read.parquet(str(tmp_path / name))
+    out = collections.Counter(tuple(r) for r in kept["packing"].select("doc_id", "start", "length", "doc_tokens").collect())
+    whole = collections.Counter(tuple(r) for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id", "start", "length", "doc_tokens").collect())
+    assert out == whole
+    if not some:
+        assert not out
+        return
+    lined = {r.doc_id: r.text for r in kept["line dedup"].collect()}
+    sets = {i: shingles(t) for i, t in lined.items()}
+    ids = sorted(sets)
+    alike = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) and sets[a] & sets[b]
+    classes = groups([(a, b) for n, a in enumerate(ids) for b in ids[n + 1 :] if alike(a, b)], ids)
+    alone = {r.doc_id: r.text for r in kept["n-gram Jaccard join"].collect()}
+    assert alone == {i: lined[i] for i in set(classes.values())}
+    mixed = collections.Counter((r.doc_id, r.text) for r in kept["mixing"].collect())
+    assert set(mixed) <= set(alone.items()) and max(mixed.values()) <= 3
+    plain = Tokenizer.from_file(tokenizer_path())
+    tokens = {i: len(plain.encode(t, add_special_tokens=False).ids) + 1 for i, t in mixed if t}
+    sums = collections.Counter()
+    for (i, _, length, _), n in out.items():
+        sums[i] += length * n
+    assert sums == {i: tokens[i] * n for (i, t), n in mixed.items()}
+
+
+def plain_templates(rows, min_texts=10, similar=0.8):
+    """First and further templates of every leaf, the most frequent line first; the operator's hash settles ties only."""
+    import pyarrow as pa
+
+    def parse(line):
+        return tuple("<*>" if any(c in "0123456789" for c in w) else w for w in words(line))
+
+    texts, low, leaves, hashes = collections.defaultdict(set), {}, collections.defaultdict(list), {}
+    for i, t in rows:
+        for line in (t or "").split("\n"):
+            if p := parse(line):
+                texts[p].add(t)
+                low[p] = min(low.get(p, i), i)
+                hashes[p] = int(line_templates.Lines(pa.array([line]), 3).line.view(np.int64)[0])
+    for p in texts:
+        leaves[len(p), p[:3]].append(p)
+    agree = lambda p, q: sum(a == b for a, b in zip(p, q, strict=True)) / len(p) >= similar
+    first = {}
+    for lines in leaves.values():
+        left = sorted(lines, key=lambda p: (len(texts[p]), hashes[p]), reverse=True)
+        if sum(len(texts[p]) for p in left) < min_texts:
+            continue
+        at = 0
+        while at < len(left):
+            ball = [p for p in left if agree(p, left[at])]
+            if sum(len(texts[p]) for p in ball) >= min_texts:
+                first |= {p: min(low[q] for q in ball) for p in ball}
+                at -= sum(p in ball for p in left[:at])
+                left = [p for p in left if p not in ball]
+            else:
+                at += 1  # it stands alone, but may join a later one
+    return lambda i, line: bool(parse(line)) and first.get(parse(line), i) != i
+
+
+def test_further_templates_by_brute_force(spark):
+    rnd = random.Random(21)
+    names = [a + b for a in "klmnprstvz" for b in ("ara", "eno", "iva", "uso")]
+    heads = ["click here to", "we say that", "in all of"]
+    patterns = [rnd.choice(heads).split() + [rnd.choice(["read", "buy", "win", "see", "the", "for"]) for _ in range(rnd.randint(2, 9))] for _ in range(14)]
+    lines = []
+    for pattern in patterns:
+        for _ in range(rnd.randint(4, 30)):
+            w = list(pattern)
+            for _ in range(rnd.choice([0, 1, 1, 1, 2, 3])):
+                w[rnd.randrange(3, len(w))] = rnd.choice(names)
+            lines.append(" ".join(w))
+    rows = [(i, f"{line}\nown {'x' * (i + 1)} text") for i, line in enumerate(lines)]
+    got = {r.doc_id: r.text for r in line_templates.without_recurring(frame(spark, rows)).collect()}
+    gone = plain_templates(rows)
+    want = {i: "\n".join(x for x in t.split("\n") if not gone(i, x)) for i, t in rows}
+    assert got == want and sum(want[i] != t for i, t in rows) > 60
+
+
+def test_a_leaf_of_many_lines_is_many_tasks(spark, monkeypatch):
+    """Lines of one leaf that do not agree are not brought together."""
+    rnd = random.Random(22)
+    pick = lambda: "".join(rnd.choice("bcdfghjklm") for _ in range(6))
+    lines = [f"click here to {pick()} {pick()} {pick()} {pick()} {pick()}" for _ in range(3000)]
+    lines += [f"click here to {a} the {b} story now" for a in ("read", "hear") for b in [pick() for _ in range(12)]]
+    rows = [(i, f"{line}\nown {'x' * 3} {i}") for i, line in enumerate(lines)]
+    sizes = []
+    monkeypatch.setattr(line_templates, "components", lambda edges: sizes.append(components(edges)) or sizes[-1])
+    got = {r.doc_id: r.text for r in line_templates.without_recurring(frame(spark, rows)).collect()}
+    assert max(r["count"] for r in sizes[0].groupBy("component").count().collect()) <= 24
+    changed = {i for i, t in rows if got[i] != t and not got[i].startswith("click")}
+    assert changed == set(range(3001, 3024)) - {3012} or changed == set(range(3001, 3024))
