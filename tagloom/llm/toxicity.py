@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tagloom.llm.arrays import slices, utf8, window_hashes, word_hashes, words_of
 
 TOXIC_ROWS, OTHER_ROWS = 800, 1600
+LEARNED_BYTES = 1 << 17  # of one text in the sample
 WINDOW, STRIDE = 32, 12
 DIM, HIDDEN, ATTEND = 16, 8, 8
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 14, 1 << 15, (3, 4, 5)
@@ -262,12 +263,17 @@ def trained(column: pa.Array, labels: np.ndarray, seed: int = 11) -> dict[str, n
     return model
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: int) -> tuple[pa.Array, np.ndarray]:
-    """Whole labelled texts to learn from: at most so many toxic and other rows, those with the smallest hashes of their ids."""
+def sample_of(docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: int, most_bytes: int = LEARNED_BYTES) -> tuple[pa.Array, np.ndarray]:
+    """Whole labelled texts to learn from: at most so many toxic and other rows, those with the smallest hashes of their ids.
+
+    Of these, texts of more than ``most_bytes`` are left out, so that what
+    reaches the driver is bounded by bytes as well.
+    """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(toxic_rows).union(known.where("toxic = 0").orderBy(*order).limit(other_rows))
-    rows = docs.select("doc_id", "text").where("text is not null").join(chosen.hint("broadcast"), "doc_id").orderBy("doc_id", "text").toArrow()
+    short = F.octet_length("text") <= most_bytes  # null is not
+    rows = docs.select("doc_id", "text").where(short).join(chosen.hint("broadcast"), "doc_id").orderBy("doc_id", "text").toArrow()
     return rows.column("text").combine_chunks(), rows.column("toxic").to_numpy()
 
 
@@ -280,8 +286,8 @@ def score(
     A column of that name is replaced.
 
     The network is trained on the driver on a bounded sample of whole
-    labelled texts (``toxic_rows`` and ``other_rows``; labels of held-out rows
-    are never used) and sent to the tasks; its size is fixed.  Every text is
+    labelled texts (``toxic_rows`` and ``other_rows``, each of at most
+    ``LEARNED_BYTES``; labels of held-out rows are never used) and sent to the tasks; its size is fixed.  Every text is
     scored by all its overlapping windows and counts as its worst one.  Scores
     depend on the text alone, and training is the same in each run.
 
