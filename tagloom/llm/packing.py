@@ -29,13 +29,17 @@ PIECES = (
 )
 
 
+_PLAIN_BYTE_LEVEL = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
 class WordEncoder:
     """Encode texts with a byte-level BPE tokenizer file, remembering the ids of words.
 
     A space after a visible character always begins a token, so a text is the
     concatenation of its words, each with the space before it.  Texts with a
     space inside white space or with a special token's string are encoded as a
-    whole.  Returns ids as little-endian unsigned 32-bit numbers.
+    whole, and so is every text if the file splits in another way than plain
+    byte-level tokenizers do.  Returns ids as little-endian unsigned 32-bit numbers.
     """
 
     def __init__(self, path: str):
@@ -45,6 +49,8 @@ class WordEncoder:
         self.whole = Tokenizer.from_file(path)
         described = json.loads(self.whole.to_str())
         self.special = [t["content"] for t in described["added_tokens"]]
+        # only this way of splitting is known to part at spaces; any other file is encoded text by text
+        self.splits = described.get("normalizer") is None and _PLAIN_BYTE_LEVEL.items() <= (described.get("pre_tokenizer") or {}).items()
         split = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(visible)]
@@ -59,7 +65,7 @@ class WordEncoder:
         return np.array(self.word(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
-        if any(s in text for s in self.special):
+        if not self.splits or any(s in text for s in self.special):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if _TIGHT.search(text):
             return self._bytes(text)
