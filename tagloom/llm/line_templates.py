@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.arrays import mixed, segment_hashes, slices, utf8, word_hashes, words_of
-from tagloom.llm.shared import components, free_name, stage
+from tagloom.llm.shared import components, free_name, sized, stage
 
 DEPTH = 3
 SIMILAR = 0.8
@@ -101,6 +101,10 @@ def recurring_lines(lines: DataFrame, depth: int, similar: float, min_texts: int
     lines that are left make further templates in the same way, until no line
     left has enough texts with those that agree with it.
     """
+    # marks are as long as the texts; they move only for leaves with enough texts
+    held = lines.select("leaf", "line", "text_hash").distinct().groupBy("leaf").agg(F.count("*").alias("texts"))
+    open_leaves = stage(held.where(F.col("texts") >= min_texts).select("leaf"), "open-leaves")
+    lines = lines.join(sized(open_leaves), "leaf", "left_semi")
     counts = (
         lines.groupBy("leaf", "line", "text_hash").agg(F.min("doc_id").alias("low"), F.min("marks").alias("marks"))
         .groupBy("leaf", "line").agg(F.count("*").alias("texts"), F.min("low").alias("low"), F.min("marks").alias("marks"))
