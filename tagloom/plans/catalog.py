@@ -545,7 +545,8 @@ def o3_newest_per_user(spark, sf):
 @query
 def o4_sorted_changes(spark, sf):
     changes = diff.part_changes(view(spark, sf, "parts_left"), view(spark, sf, "parts_right"))
-    report = diff.error_report(diff.error_items("changed", changes.filter("status = 'changed'"), F.col("part")))
+    changed = changes.filter("status = 'changed'").select("workbook", F.inline(F.array(diff.error("changed", F.col("part")))))
+    report = diff.error_report(changed)
     return report.select("workbook", joined(F.col("items")).alias("parts"))
 
 
