@@ -576,13 +576,18 @@ def test_all_stages_in_sequence(spark, tmp_path, some):
     alone = {r.doc_id: r.text for r in kept["n-gram Jaccard join"].collect()}
     assert alone == {i: lined[i] for i in set(classes.values())}
     mixed = collections.Counter((r.doc_id, r.text) for r in kept["mixing"].collect())
-    assert set(mixed) <= set(alone.items()) and max(mixed.values()) <= 3
+    # the document at a source's cut may give its leading words only
+    cut = [(i, t) for i, t in mixed if t != alone[i]]
+    assert len(cut) <= 2 and all(words(alone[i])[: len(words(t))] == words(t) for i, t in cut)
+    assert max(mixed.values()) <= 3
     plain = Tokenizer.from_file(tokenizer_path())
-    tokens = {i: len(plain.encode(t, add_special_tokens=False).ids) + 1 for i, t in mixed if t}
+    want = collections.Counter()
+    for (i, t), n in mixed.items():
+        want[i] += n * (len(plain.encode(t or "", add_special_tokens=False).ids) + 1)
     sums = collections.Counter()
     for (i, _, length, _), n in out.items():
         sums[i] += length * n
-    assert sums == {i: tokens[i] * n for (i, t), n in mixed.items()}
+    assert sums == want
 
 
 def plain_templates(rows, min_texts=10, similar=0.8):
