@@ -309,14 +309,14 @@ def outside(cells: DataFrame, bounds: DataFrame, row: str = "at_row", column: st
     row_level, column_level = F.col("row_level"), F.col("column_level")
     coarse = row_level == len(ROW_LEVELS) - 1
     dealt = (
-        bounds.select(*sheet, *BOUNDS).distinct()
+        bounds.select(*sheet, *BOUNDS)
         .withColumn("row_level", _level(height, ROW_LEVELS)).withColumn("column_level", _level(width, COLUMN_LEVELS))
         .withColumn("row_bin", span("low_row", "high_row", row_level, ROW_LEVELS))
         .withColumn("column_bin", span("low_col", "high_col", column_level, COLUMN_LEVELS))
         .withColumn("part", F.explode(F.when(coarse, F.sequence(F.lit(0), F.lit(DEALT - 1))).otherwise(F.array(F.lit(0)))))
     )
     levels = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(c).alias("c")) for r in range(len(ROW_LEVELS)) for c in range(len(COLUMN_LEVELS))])
-    places = cells.select(*sheet, F.col(row).alias("at_row"), F.col(column).alias("at_col")).where("at_row IS NOT NULL AND at_col IS NOT NULL").distinct()
+    places = cells.select(*sheet, F.col(row).alias("at_row"), F.col(column).alias("at_col")).where("at_row IS NOT NULL AND at_col IS NOT NULL")
     looked = (
         places.select("*", F.explode(levels).alias("level")).select("*", F.col("level.r").alias("row_level"), F.col("level.c").alias("column_level"))
         .withColumn("row_bin", bin_of("at_row", row_level, ROW_LEVELS)).withColumn("column_bin", bin_of("at_col", column_level, COLUMN_LEVELS))
