@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tagloom.llm.arrays import mixed, segment_hashes, slices, utf8, word_hashes, words_of
@@ -16,6 +17,9 @@ DEPTH = 3
 SIMILAR = 0.8
 MIN_TEXTS = 10
 LONG, LONG_TEXTS = 50, 2
+# a connected set of more lines is dealt out over tasks, and so many of its lines are tried in one round
+SET_LINES, HEADS = 20_000, 1_024
+NONE = np.iinfo(np.int64).max
 
 
 class Lines:
@@ -141,7 +145,9 @@ def recurring_lines(lines: DataFrame, depth: int, similar: float, min_texts: int
     return known.where("taken").select("line", "first_doc").union(others)
 
 
-def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: int) -> DataFrame:
+def further_templates(
+    rest: DataFrame, depth: int, similar: float, min_texts: int, set_lines: int | None = None, heads: int | None = None
+) -> DataFrame:
     """``line, first_doc`` for the lines of the further templates of each leaf.
 
     From the most frequent line down, a line that still stands alone is a
@@ -153,8 +159,8 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
     more.  Keys are counted before lines move, so only lines with a neighbour,
     or frequent by themselves, are compared, and only those with enough texts
     in reach are tried.  Lines of a leaf that no chain of keys connects never
-    meet, so each connected set of lines is worked through by itself, and a
-    leaf with very many lines is many tasks' work.
+    meet, so each connected set of lines is worked through by itself: in one
+    task up to ``set_lines`` lines, else by ``dealt_out``, with equal results.
     """
     open_leaves = rest.groupBy("leaf").agg(F.sum("texts").alias("left")).where(F.col("left") >= min_texts).select("leaf")
     rest = stage(rest.join(open_leaves, "leaf"), "further-lines")
@@ -174,15 +180,16 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
     tops = shared.groupBy("key").agg(F.min("line").alias("b"))
     sets = components(shared.join(tops, "key").select(F.col("line").alias("a"), "b"))
     near = rest.join(reach, ["leaf", "line"]).join(sets.withColumnRenamed("node", "line"), "line", "left")
-    near = near.withColumn("component", F.coalesce("component", "line"))
+    near = stage(near.select(F.coalesce("component", "line").alias("component"), "line", "texts", "low", "marks", "reach"), "line-sets")
+    most_lines = SET_LINES if set_lines is None else set_lines
+    large = near.groupBy("component").agg(F.count("*").alias("n")).where(F.col("n") > most_lines)
+    large = stage(large.select("component", F.ceil(F.col("n") / most_lines).cast("int").alias("slices")), "large-sets")
+    small = near.join(sized(large), "component", "left_anti")
 
     def lead(table: pa.Table) -> pa.Table:
-        line, texts = table.column("line").to_numpy(), table.column("texts").to_numpy()
-        order = np.lexsort((line, texts))[::-1]
-        none = np.iinfo(np.int64).max
-        low = table.column("low").fill_null(none).to_numpy()
-        marks = np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint32).reshape(len(line), -1)
-        line, texts, low, marks, reach = line[order], texts[order], low[order], marks[order], table.column("reach").to_numpy()[order]
+        order = np.lexsort((table.column("line").to_numpy(), table.column("texts").to_numpy()))[::-1]
+        line, texts, reach = (table.column(c).to_numpy()[order] for c in ("line", "texts", "reach"))
+        low, marks = table.column("low").fill_null(NONE).to_numpy()[order], marks_of(table)[order]
         lines, firsts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while at < len(line):
             if reach[at] >= min_texts:
@@ -195,9 +202,84 @@ def further_templates(rest: DataFrame, depth: int, similar: float, min_texts: in
                     continue
             at += 1
         first = np.concatenate(firsts)
-        return pa.table([pa.array(np.concatenate(lines)), pa.array(first, mask=first == none)], ["line", "first_doc"])
+        return pa.table([pa.array(np.concatenate(lines)), pa.array(first, mask=first == NONE)], ["line", "first_doc"])
+
+    found = small.groupBy("component").applyInArrow(lead, "line long, first_doc long")
+    if large.isEmpty():
+        return found
+    return found.union(dealt_out(near.join(sized(large), "component"), similar, min_texts, HEADS if heads is None else heads))
+
+
+def marks_of(table: pa.Table) -> np.ndarray:
+    """The marks of lines of one length, a row for each line."""
+    return np.frombuffer(b"".join(table.column("marks").to_pylist()), np.uint32).reshape(len(table), -1)
+
+
+def dealt_out(near: DataFrame, similar: float, min_texts: int, heads: int) -> DataFrame:
+    """``line, first_doc`` for the templates of sets of any size, dealt out over ``slices`` tasks each.
+
+    In each round the next ``heads`` lines of every set are tried.  Each slice
+    of a set says, as one bit a head, with which of them its lines agree; the
+    texts are summed by equal bits, which is all that is needed to decide on
+    the heads one after another, as if all lines were at hand.  Lines that
+    joined leave; heads that failed stay as possible members.  A task holds
+    one slice, or the different bits of a set, and no pair of lines is written.
+    """
 
-    return near.select("component", "line", "texts", "low", "marks", "reach").groupBy("component").applyInArrow(lead, "line long, first_doc long")
+    def agreeing(lines: pa.Table, tried: pa.Table) -> pa.Table:
+        tried = tried.sort_by("at")
+        marks, tops = marks_of(lines), marks_of(tried) if len(tried) else np.zeros((0, 1), np.uint32)
+        agree = np.zeros((len(lines), len(tops)), bool)
+        for j, top in enumerate(tops):
+            agree[:, j] = (marks == top).mean(1) >= similar
+        held = np.flatnonzero(agree.any(1))
+        bits = pa.array([row.tobytes() for row in np.packbits(agree[held], axis=1)], pa.binary())
+        return pa.table([*(lines.column(c).take(pa.array(held)) for c in ("component", "line", "texts", "low")), bits], ["component", "line", "texts", "low", "bits"])
+
+    def settle(groups: pa.Table, tried: pa.Table) -> pa.Table:
+        tried = tried.sort_by("at")
+        rows = lambda t: np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint8).reshape(len(t), -1)
+        bits, own = rows(groups), rows(tried)
+        texts, low = groups.column("texts").to_numpy(), groups.column("low").fill_null(NONE).to_numpy()
+        alone, first, leading = np.ones(len(groups), bool), np.full(len(groups), NONE), np.zeros(own.shape[1], np.uint8)
+        for j in range(len(own)):
+            if (own[j] & leading).any():
+                continue
+            ball = alone & ((bits[:, j // 8] >> (7 - j % 8)) & 1).astype(bool)
+            if texts[ball].sum() >= min_texts:
+                first[ball] = low[ball].min()
+                alone &= ~ball
+                leading[j // 8] |= 1 << (7 - j % 8)
+        gone = pa.array(np.flatnonzero(~alone))
+        return pa.table(
+            [groups.column("component").take(gone), groups.column("bits").take(gone), pa.array(first[~alone], mask=first[~alone] == NONE)],
+            ["component", "bits", "first_doc"],
+        )
+
+    near = stage(near.withColumn("slice", F.pmod(F.xxhash64("line"), "slices").cast("int")), "large-lines")
+    order = W.partitionBy("component").orderBy(F.desc("texts"), F.desc("line"))
+    open_ = F.col("reach") >= min_texts
+    rest, found = near.withColumn("open", open_), None
+    while True:
+        tried = rest.where("open").withColumn("at", F.row_number().over(order)).where(F.col("at") <= heads)
+        tried = stage(tried.select("component", "slices", "line", "marks", "at"), "tried-lines")
+        if tried.isEmpty():
+            break
+        each = tried.withColumn("slice", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        marked = rest.groupBy("component", "slice").cogroup(each.groupBy("component", "slice")).applyInArrow(
+            agreeing, "component long, line long, texts long, low long, bits binary"
+        )
+        marked = stage(marked, "agreeing-lines")
+        groups = marked.groupBy("component", "bits").agg(F.sum("texts").alias("texts"), F.min("low").alias("low"))
+        own = stage(tried.join(marked.select("line", "bits"), "line").select("component", "at", "bits"), "tried-bits")
+        joined = stage(groups, "equal-bits").groupBy("component").cogroup(own.groupBy("component")).applyInArrow(settle, "component long, bits binary, first_doc long")
+        gone = stage(marked.join(joined, ["component", "bits"]).select("line", "first_doc"), "settled-lines")
+        found = gone if found is None else found.union(gone)
+        now = tried.select("line", F.lit(True).alias("now"))
+        rest = rest.join(gone.select("line"), "line", "left_anti").join(now, "line", "left")
+        rest = stage(rest.withColumn("open", F.col("open") & F.col("now").isNull()).drop("now"), "large-lines")
+    none = near.limit(0).select("line", F.lit(None).cast("long").alias("first_doc"))
+    return none if found is None else found
 
 
 def without_recurring(

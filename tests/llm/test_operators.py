@@ -624,7 +624,12 @@ def plain_templates(rows, min_texts=10, similar=0.8):
     return lambda i, line: bool(parse(line)) and first.get(parse(line), i) != i
 
 
-def test_further_templates_by_brute_force(spark):
+@pytest.mark.parametrize("most", [None, (5, 3)])
+def test_further_templates_by_brute_force(spark, monkeypatch, most):
+    """In one task a set, and dealt out over slices of five lines with three tried in a round."""
+    if most:
+        monkeypatch.setattr(line_templates, "SET_LINES", most[0])
+        monkeypatch.setattr(line_templates, "HEADS", most[1])
     rnd = random.Random(21)
     names = [a + b for a in "klmnprstvz" for b in ("ara", "eno", "iva", "uso")]
     heads = ["click here to", "we say that", "in all of"]
