@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable
 from functools import wraps
 from hashlib import sha256
@@ -16,8 +17,8 @@ from tagloom.functions import lexicon as lx
 from tagloom.functions import model_io, refs, rules, text
 from tagloom.functions.bind import evaluate_once
 from tagloom.functions.html import with_article_text
-from tagloom.operators import benchmarks, contract, diff, grid, layout, tiers
-from tagloom.operators.lineage import cut_lineage, local_folder
+from tagloom.operators import benchmarks, contract, daily_medians, diff, grid, layout, tiers
+from tagloom.operators.lineage import cut_lineage, local_folder, shared_folder
 from tagloom.plans import jobs
 from tagloom.plans.views import view
 from tagloom.plans.xml_parts import damaged_parts, package_parts
@@ -472,6 +473,16 @@ def a8_median_metrics(spark, sf):
     return benchmarks.median_metrics(benchmarks.run_metrics(view(spark, sf, "bench_runs")))
 
 
+@query
+def a8_daily_medians(spark, sf):
+    """The same from states kept by day; a second job adds the days that a first one did not know."""
+    folder = f"{shared_folder(spark)}/run-days-{uuid.uuid4().hex}"
+    runs = benchmarks.run_metrics(view(spark, sf, "bench_runs"))
+    for grown in (runs.where(F.dayofmonth("day") <= 15), runs):
+        daily_medians.add_days(grown, folder)
+    return daily_medians.medians(spark, folder)
+
+
 @query
 def a9_writer_comparison(spark, sf):
     return benchmarks.compare_writers(a8_median_metrics(spark, sf))

@@ -340,6 +340,7 @@ MEDIANS = f"""medians AS (SELECT writer, {', '.join(middle(m) for m in METRICS)}
 COMPARED = f"""{MEDIANS}, both_writers AS (SELECT p.output_stage_seconds AS c, l.output_stage_seconds AS b
  FROM medians p JOIN medians l ON p.writer = 'primary' AND l.writer = 'legacy')"""
 rest("a8_median_metrics", ["bench_runs"], MEDIANS, "SELECT * FROM medians")
+rest("a8_daily_medians", ["bench_runs"], MEDIANS, "SELECT * FROM medians")
 rest("a9_writer_comparison", ["bench_runs"], COMPARED, """SELECT c / nullif(b, 0) AS output_stage_ratio_candidate_vs_baseline,
  (b - c) / nullif(b, 0) AS output_stage_reduction_fraction, b / nullif(c, 0) AS output_stage_speedup_factor_baseline_vs_candidate FROM both_writers""")
 rest("a10_guardrail", ["bench_runs"], COMPARED, """SELECT coalesce(b / nullif(c, 0) >= 3.0, false) OR coalesce((b - c) / nullif(b, 0) >= 0.6, false) AS passed,

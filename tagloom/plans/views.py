@@ -209,7 +209,7 @@ BENCH_RUNS = """
 SELECT event_id, CASE WHEN user_id % 5 = 4 THEN 'other' WHEN user_id % 2 = 0 THEN 'primary' ELSE 'legacy' END AS writer,
        value AS load_seconds, value / 8 AS manifest_build_seconds, value * 2 AS classify_seconds,
        CASE WHEN user_id % 2 = 0 THEN value / 4 ELSE value END AS write_seconds,
-       value / 4 AS save_seconds, value * 8 AS total_seconds
+       value / 4 AS save_seconds, value * 8 AS total_seconds, CAST(ts AS DATE) AS day
 FROM {events}
 """
 
