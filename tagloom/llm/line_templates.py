@@ -18,7 +18,7 @@ SIMILAR = 0.8
 MIN_TEXTS = 10
 LONG, LONG_TEXTS = 50, 2
 # a connected set of more lines is dealt out over tasks, and so many of its lines are tried in one round
-SET_LINES, HEADS = 20_000, 1_024
+SET_LINES, HEADS = 20_000, 4_096
 NONE = np.iinfo(np.int64).max
 
 
@@ -228,12 +228,16 @@ def dealt_out(near: DataFrame, similar: float, min_texts: int, heads: int) -> Da
 
     def agreeing(lines: pa.Table, tried: pa.Table) -> pa.Table:
         tried = tried.sort_by("at")
-        marks, tops = marks_of(lines), marks_of(tried) if len(tried) else np.zeros((0, 1), np.uint32)
-        agree = np.zeros((len(lines), len(tops)), bool)
+        # token by token: each is one contiguous comparison
+        tokens, tops = np.ascontiguousarray(marks_of(lines).T), marks_of(tried) if len(tried) else np.zeros((0, 1), np.uint32)
+        agree = np.zeros((len(tops), len(lines)), bool)
         for j, top in enumerate(tops):
-            agree[:, j] = (marks == top).mean(1) >= similar
-        held = np.flatnonzero(agree.any(1))
-        bits = pa.array([row.tobytes() for row in np.packbits(agree[held], axis=1)], pa.binary())
+            same = np.zeros(len(lines), np.int32)
+            for token, mark in zip(tokens, top, strict=True):
+                same += token == mark
+            agree[j] = same / len(tokens) >= similar
+        held = np.flatnonzero(agree.any(0))
+        bits = pa.array([row.tobytes() for row in np.packbits(agree[:, held], axis=0).T], pa.binary())
         return pa.table([*(lines.column(c).take(pa.array(held)) for c in ("component", "line", "texts", "low")), bits], ["component", "line", "texts", "low", "bits"])
 
     def settle(groups: pa.Table, tried: pa.Table) -> pa.Table:
