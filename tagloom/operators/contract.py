@@ -6,7 +6,7 @@ values are sorted arrays of ``(key, value)`` entries, as maps cannot be compared
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.functions.refs import cell_ref, checked_ref, ref_column, ref_row
@@ -255,10 +255,29 @@ def writable_surface(primary: DataFrame, cards: DataFrame) -> DataFrame:
 
     ``primary(workbook, sheet_name, cell_range)``; ``cards`` are the workbook's
     own card cells, which take the place of those in the contract.
+
+    Overlaps are taken out of the bounds before any cell is named: in each
+    column a range gives only the rows below those that earlier ranges reach.
+    So cells are neither moved nor kept to be told apart, only bounds are.
     """
-    ranged = expand_ranges(primary.distinct()).select("workbook", "sheet_name", "cell_ref")
-    own = cards.select("workbook", "sheet_name", cell_ref(F.col("row_num"), F.col("col_num")).alias("cell_ref"))
-    return ranged.unionByName(own).distinct()
+    column = ["workbook", "sheet_name", "col_num"]
+    ranged = range_bounds(primary.select("workbook", "sheet_name", "cell_range").distinct()).select(
+        "workbook", "sheet_name", F.explode(F.sequence("low_col", "high_col")).alias("col_num"), "low_row", "high_row"
+    )
+    # a card without a place is one row without a reference
+    placed = lambda name: F.when(F.col("row_num").isNotNull() & F.col("col_num").isNotNull(), F.col(name)).alias(name)
+    own = cards.select("workbook", "sheet_name", placed("row_num"), placed("col_num")).select(
+        *column, F.col("row_num").alias("low_row"), F.col("row_num").alias("high_row")
+    )
+    down = Window.partitionBy(*column).orderBy("low_row", "high_row")
+    above = down.rowsBetween(Window.unboundedPreceding, -1)
+    reached = F.max(F.col("high_row").cast("long")).over(above)
+    pieces = ranged.unionByName(own).select(
+        *column, "high_row", F.greatest(F.col("low_row").cast("long"), reached + 1).alias("from_row"), F.row_number().over(down).alias("nth")
+    ).filter("from_row <= high_row OR (from_row IS NULL AND nth = 1)")
+    return pieces.select(*column, F.explode_outer(F.sequence("from_row", F.col("high_row").cast("long"))).alias("row_num")).select(
+        "workbook", "sheet_name", cell_ref(F.col("row_num"), F.col("col_num")).alias("cell_ref")
+    )
 
 
 # How fine the bins of ``outside`` are: rows and columns of a bin, per level.  A range lies in at most four bins of its level.

@@ -291,3 +291,25 @@ def test_a_hot_link_is_many_tasks_work(spark):
     finally:
         for k, v in kept.items():
             spark.conf.set(k, v)
+
+
+def test_writable_surface_takes_overlaps_out_of_bounds(spark):
+    primary = spark.createDataFrame(
+        [("w", "S", "A1:C5"), ("w", "S", "B3:D9"), ("w", "S", "B3:D9"), ("w", "S", "C2:C2"), ("w", "S", "A8:A9"), ("w", "S", "Z9:Z1"),
+         ("w", "T", "A1:B2"), (None, None, "A1:A2"), (None, None, "A2:A3")],
+        "workbook string, sheet_name string, cell_range string",
+    )
+    cards = spark.createDataFrame(
+        [("w", "S", 5, 3), ("w", "S", 5, 3), ("w", "S", 99, 30), ("w", "S", None, 3), ("w", "S", 4, None), ("v", "S", 5, 3)],
+        "workbook string, sheet_name string, row_num int, col_num int",
+    )
+    surface = contract.writable_surface(primary, cards)
+    got = sorted(((r.workbook, r.sheet_name, r.cell_ref) for r in surface.collect()), key=str)
+    of = lambda w, s, columns, rows: {(w, s, f"{c}{r}") for c in columns for r in rows}
+    wanted = of("w", "S", "ABC", range(1, 6)) | of("w", "S", "BCD", range(3, 10)) | of("w", "S", "A", (8, 9)) | of("w", "T", "AB", (1, 2))
+    wanted |= of(None, None, "A", (1, 2, 3)) | {("w", "S", "AD99"), ("w", "S", None), ("v", "S", "C5")}
+    assert got == sorted(wanted, key=str)
+    # bounds are shuffled, cells are not
+    plan = surface._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [workbook#" not in plan.split("Generate explode(sequence(from_row")[0]
+    assert "cell_ref" not in plan.split("Window")[-1]
