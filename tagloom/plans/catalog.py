@@ -840,7 +840,8 @@ def _first_sheets(sheets):
 
 @query
 def v5_package_report(spark, sf):
-    left, right = (jobs.snapshot(cut_lineage(parts(spark, sf))) for parts in (package_parts, damaged_parts))
+    parts = cut_lineage(package_parts(spark, sf))
+    left, right = jobs.snapshot(parts), jobs.snapshot(cut_lineage(damaged_parts(spark, sf, parts)))
     return jobs.package_errors(left, right, _first_sheets(left.sheets), diff.Allowlist(include_writable=True))
 
 
@@ -855,7 +856,7 @@ def v6_sheet_drift(spark, sf):
     parts = cut_lineage(package_parts(spark, sf))
     sheets = packages.sheet_catalogue(parts)
     nodes = lambda p: xml_tree.sheet_nodes(p, sheets)
-    found = diff.tree_drift(nodes(parts), nodes(damaged_parts(spark, sf)), _first_sheets(sheets))
+    found = diff.tree_drift(nodes(parts), nodes(damaged_parts(spark, sf, parts)), _first_sheets(sheets))
     return found.select("workbook", "sheet_name", "path", "change")
 
 

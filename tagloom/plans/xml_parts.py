@@ -113,8 +113,8 @@ def package_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parts.withColumn("content", content).withColumn("sha256", F.sha2("content", 256))
 
 
-def damaged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same parts as another tool or a poor copy would leave them.
+def damaged_parts(spark: SparkSession, sf_dir: str, parts: DataFrame | None = None) -> DataFrame:
+    """The same parts as another tool or a poor copy would leave them; ``parts`` are those of ``package_parts``, if they are at hand.
 
     Some are cut off or lost; sheets in UTF-8 have other settings, elements,
     attributes, formulas and values, or are only written in another way.
@@ -148,4 +148,5 @@ def damaged_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(sheet, F.encode(text, "UTF-8"))
         .otherwise(whole)
     )
-    return package_parts(spark, sf_dir).withColumn("content", content).withColumn("sha256", F.sha2("content", 256))
+    parts = package_parts(spark, sf_dir) if parts is None else parts
+    return parts.withColumn("content", content).withColumn("sha256", F.sha2("content", 256))

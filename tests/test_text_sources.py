@@ -272,6 +272,15 @@ def test_shredded_rows(spark):
     assert {(r.id, r.path) for r in rows if r.id != 7} == {(8, "unreadable"), (10, "unreadable")}
 
 
+def test_damage_is_done_to_the_parts_at_hand(spark):
+    from tagloom.plans import xml_parts
+
+    rows = [("wb12", "xl/worksheets/sheet1.xml", b'<d ref="A1:K235"/>', "x"), ("wb3", "xl/workbook.xml", b"<workbook/>", "x")]
+    parts = spark.createDataFrame(rows, "workbook string, part string, content binary, sha256 string")
+    got = {r.workbook: bytes(r.content) for r in xml_parts.damaged_parts(spark, "/no/such/folder", parts).collect()}
+    assert got == {"wb12": b'<d ref="A1:K999"/>', "wb3": b"<workbook/>"}
+
+
 def test_unreadable_files_and_parts(spark, tmp_path):
     (tmp_path / "no.xlsx").write_bytes(b"no package")
     cut = book_parts()
