@@ -272,6 +272,16 @@ def test_shredded_rows(spark):
     assert {(r.id, r.path) for r in rows if r.id != 7} == {(8, "unreadable"), (10, "unreadable")}
 
 
+def test_sheets_are_dealt_out_by_bytes(spark):
+    rows = [(f"w{i}", "p", f"<a>{'<b/>' * 50}</a>".encode()) for i in range(20)]
+    parts = spark.createDataFrame(rows, "workbook string, part string, content binary").coalesce(1)
+    sheets = spark.createDataFrame([(f"w{i}", "p", "S") for i in range(20)], "workbook string, part string, sheet_name string")
+    nodes = xml_tree.sheet_nodes(parts, sheets, task_bytes=len(rows[0][2]))
+    assert nodes.groupBy("workbook").count().filter("count = 51").count() == 20
+    per_task = nodes.groupBy(F.spark_partition_id()).agg(F.count_distinct("workbook").alias("n")).collect()
+    assert len(per_task) > 8 and max(r.n for r in per_task) < 8
+
+
 def test_damage_is_done_to_the_parts_at_hand(spark):
     from tagloom.plans import xml_parts
 
