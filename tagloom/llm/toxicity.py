@@ -263,20 +263,46 @@ def trained(column: pa.Array, labels: np.ndarray, seed: int = 11) -> dict[str, n
     return model
 
 
-def sample_of(docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: int, most_bytes: int = LEARNED_BYTES) -> tuple[pa.Array, np.ndarray]:
-    """Whole labelled texts to learn from: at most so many toxic and other rows, those with the smallest hashes of their ids.
+def sample_rows(docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: int, most_bytes: int = LEARNED_BYTES) -> DataFrame:
+    """Whole labelled texts to learn from, ``text, toxic`` in one sorted partition: at most so many toxic and other rows, those with the smallest hashes of their ids.
 
-    Of these, texts of more than ``most_bytes`` are left out, so that what
-    reaches the driver is bounded by bytes as well.
+    Of these, texts of more than ``most_bytes`` are left out, so that the
+    sample is bounded by bytes as well.
     """
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(toxic_rows).union(known.where("toxic = 0").orderBy(*order).limit(other_rows))
     short = F.octet_length("text") <= most_bytes  # null is not
-    rows = docs.select("doc_id", "text").where(short).join(chosen.hint("broadcast"), "doc_id").orderBy("doc_id", "text").toArrow()
+    rows = docs.select("doc_id", "text").where(short).join(chosen.hint("broadcast"), "doc_id")
+    return rows.repartition(1).sortWithinPartitions("doc_id", "text").select("text", "toxic")
+
+
+def sample_of(docs: DataFrame, labels: DataFrame, toxic_rows: int, other_rows: int, most_bytes: int = LEARNED_BYTES) -> tuple[pa.Array, np.ndarray]:
+    """The rows of ``sample_rows`` brought here, to be looked at or for ``trained``."""
+    rows = sample_rows(docs, labels, toxic_rows, other_rows, most_bytes).toArrow()
     return rows.column("text").combine_chunks(), rows.column("toxic").to_numpy()
 
 
+def fitted(sample: DataFrame) -> dict[str, np.ndarray] | None:
+    """The network trained on ``text, toxic`` in one task; without both kinds there is nothing to learn and no network.
+
+    The texts and the work on them stay off the driver, which gets the weights alone.
+    """
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = list(batches)
+        if not rows:
+            return
+        read = pa.Table.from_batches(rows).combine_chunks()
+        known = read.column("toxic").to_numpy()
+        if 0 < known.sum() < len(known):
+            model = trained(read.column("text").combine_chunks(), known)
+            yield pa.RecordBatch.from_pydict({"name": list(model), "shape": [list(v.shape) for v in model.values()], "weights": [v.tobytes() for v in model.values()]})
+
+    weights = sample.mapInArrow(fit, "name string, shape array<long>, weights binary").collect()
+    return {r["name"]: np.frombuffer(r["weights"], np.float32).reshape(r["shape"]).copy() for r in weights} or None
+
+
 def score(
     docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS, column: str = "score",
     unknown: float | None = None,
@@ -285,7 +311,7 @@ def score(
 
     A column of that name is replaced.
 
-    The network is trained on the driver on a bounded sample of whole
+    The network is trained in one task on a bounded sample of whole
     labelled texts (``toxic_rows`` and ``other_rows``, each of at most
     ``LEARNED_BYTES``; labels of held-out rows are never used) and sent to the tasks; its size is fixed.  Every text is
     scored by all its overlapping windows and counts as its worst one.  Scores
@@ -296,10 +322,9 @@ def score(
     score is ``unknown``, or 0.5 if that is not given.  A label row with nulls or other values is not used.
     """
     docs = docs.drop(column)
-    texts, known = sample_of(docs, labels, toxic_rows, other_rows)
-    if not 0 < known.sum() < len(known):
+    model = fitted(sample_rows(docs, labels, toxic_rows, other_rows))
+    if model is None:
         return docs.withColumn(column, F.lit(0.5 if unknown is None else float(unknown)))
-    model = trained(texts, known)
     shipped = docs.sparkSession.sparkContext.broadcast(model)
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

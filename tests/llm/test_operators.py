@@ -661,3 +661,20 @@ def test_a_leaf_of_many_lines_is_many_tasks(spark, monkeypatch):
     assert max(r["count"] for r in sizes[0].groupBy("component").count().collect()) <= 24
     changed = {i for i, t in rows if got[i] != t and not got[i].startswith("click")}
     assert changed == set(range(3001, 3024)) - {3012} or changed == set(range(3001, 3024))
+
+
+def test_the_texts_to_learn_from_stay_off_the_driver(spark, monkeypatch):
+    rows = [(i, f"{'awful nasty word' if i % 3 == 0 else 'plain kind word'} {i}") for i in range(60)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    texts, known = toxicity.sample_of(table, labels, 100, 100)
+    own = toxicity.trained(texts, known)
+
+    def refused(*_):
+        raise AssertionError("texts brought to the driver")
+
+    monkeypatch.setattr(type(table), "toArrow", refused)
+    sent = toxicity.fitted(toxicity.sample_rows(table, labels, 100, 100))
+    assert own.keys() == sent.keys() and all(np.allclose(own[k], sent[k], atol=1e-3) for k in own)
+    assert toxicity.fitted(toxicity.sample_rows(table, labels.where("toxic = 0"), 100, 100)) is None
+    assert toxicity.score(table, labels).count() == 60
