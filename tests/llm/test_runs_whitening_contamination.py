@@ -279,3 +279,13 @@ def test_near_matches(spark):
                 need = set(own[k : k + size])
                 want |= {(i, " ".join(own), k, p) for p in range(len(w)) if w[p] in need and need <= set(w[p : p + span])}
     assert got == want and {(i, p) for i, text, _, p in want if text.startswith("alpha")} == {(95, 1)}
+
+
+def test_postings_are_sorted_by_one_number(spark):
+    docs = spark.createDataFrame([(i, f"b a c{i % 3} a Z {i}") for i in range(40)], "doc_id long, text string").coalesce(1)
+    index = decontamination.build_index(docs)
+    terms = [r.term for r in index.collect()]
+    assert len(terms) == 240 and sum(a != b for a, b in zip(terms, terms[1:])) == len(set(terms)) - 1
+    # a sort by strings compares rows, one by a number needs no comparison
+    hashes = [r.h for r in index.select(F.xxhash64("term").alias("h")).collect()]
+    assert hashes == sorted(hashes)
