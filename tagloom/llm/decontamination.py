@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.shared import sized, stage
+from tagloom.llm.shared import stage
 
 WINDOW, SPAN = 10, 20
-MOST_ROWS = 500_000  # of what is broadcast: short rows, 40 MB at most
+MOST_ROWS, ROW_BYTES = 500_000, 50  # of what is broadcast, 55 MB at most; so many bytes of strings count as a row more
 
 # --- fixed values: what a word is -------------------------------------------------
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"  # words are what lies between, in lower case
@@ -29,6 +29,24 @@ def terms_of(text: Column) -> Column:
     return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
+def lookup(df: DataFrame) -> DataFrame:
+    """A staged table that larger ones are joined with: broadcast if it is short, shuffled if not, however small its file is.
+
+    Left alone, Spark broadcasts by the size of the file, and equal values cost
+    next to nothing there: 7 MB can hold three million rows, more than the
+    driver has room for.
+    """
+    strings = [F.octet_length(c) for c, kind in df.dtypes if kind == "string"]
+    strings += [F.octet_length(F.array_join(c, " ")) + 16 * F.size(c) for c, kind in df.dtypes if kind == "array<string>"]
+    more = [F.coalesce(F.sum(F.coalesce(n, F.lit(0)).cast("long")), F.lit(0)) / ROW_BYTES for n in strings]
+    return F.broadcast(df) if df.agg(sum(more, F.count("*"))).first()[0] <= MOST_ROWS else shuffled(df)
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """A table of as many rows as documents or matches may give, never broadcast, see ``lookup``."""
+    return df.hint("merge")
+
+
 def keyed(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """``doc_id, text`` with ``doc`` and ``mark``, which tell apart rows that share an id, or have none, by their text."""
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(column).alias("text"))
@@ -52,7 +70,8 @@ def test_items(items: DataFrame, key: str = "item_id", column: str = "text") ->
     """Different item texts ``item, words`` and the ids that have them: ``item, item_id``.  Items without words are left out."""
     rows = items.select(F.col(key).cast("string").alias("item_id"), terms_of(F.col(column)).alias("words")).where("size(words) > 0")
     rows = stage(rows.withColumn("item", F.md5(F.array_join("words", " "))), "items")
-    return stage(rows.select("item", "words").distinct(), "item-texts"), rows.where("item_id is not null").select("item", "item_id").distinct()
+    ids = rows.where("item_id is not null").select("item", "item_id").distinct()
+    return stage(rows.select("item", "words").distinct(), "item-texts"), stage(ids, "item-ids")
 
 
 def window_probes(index: DataFrame, texts: DataFrame, window: int) -> DataFrame:
@@ -63,7 +82,7 @@ def window_probes(index: DataFrame, texts: DataFrame, window: int) -> DataFrame:
     """
     terms = texts.select("item", F.posexplode("words").alias("k", "term"))
     vocabulary = stage(terms.select("term").distinct(), "vocabulary")
-    counts = index.join(sized(vocabulary, MOST_ROWS), "term").groupBy("term").agg(F.count("*").alias("n"))
+    counts = index.join(lookup(vocabulary), "term").groupBy("term").agg(F.count("*").alias("n"))
     place = F.struct("k", "n", "term")
     placed = terms.join(counts, "term", "left").groupBy("item").agg(F.array_sort(F.collect_list(place)).alias("places"))
     width = F.least(F.size("places"), F.lit(window))
@@ -81,13 +100,14 @@ def held(index: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
     """The rows of ``wanted(doc, mark, term, pos, ...)`` whose posting the index has.
 
     Postings of other documents and terms are left out before they move, by
-    broadcast while the lists of documents and terms are short.
+    broadcast while the lists of documents and terms are short.  ``wanted``
+    grows with the documents, so it is shuffled.
     """
     wanted = stage(wanted, name)
     docs = stage(wanted.select(*DOC).distinct(), f"{name}-documents")
     terms = stage(wanted.select("term").distinct(), f"{name}-terms")
-    near = index.join(sized(terms, MOST_ROWS), "term", "left_semi").join(sized(docs, MOST_ROWS), DOC, "left_semi")
-    return wanted.join(near.select(*DOC, "term", "pos").distinct(), [*DOC, "term", "pos"])
+    near = index.join(lookup(terms), "term", "left_semi").join(lookup(docs), DOC, "left_semi")
+    return shuffled(wanted).join(near.select(*DOC, "term", "pos").distinct(), [*DOC, "term", "pos"])
 
 
 def phrase_matches(index: DataFrame, texts: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -101,16 +121,16 @@ def phrase_matches(index: DataFrame, texts: DataFrame, window: int = WINDOW) ->
     """
     probes = stage(window_probes(index, texts, window), "probes")
     firsts = stage(probes.select("item", F.col("k1").alias("k"), F.col("term1").alias("term")).distinct(), "rarest")
-    shifts = index.join(sized(firsts, MOST_ROWS), "term").select(*DOC, "item", "k", (F.col("pos") - F.col("k")).alias("shift"))
+    shifts = index.join(lookup(firsts), "term").select(*DOC, "item", "k", (F.col("pos") - F.col("k")).alias("shift"))
     pairs = probes.select("item", F.col("k1").alias("k"), "k2", "term2").distinct()
-    both = stage(shifts.join(sized(stage(pairs, "pairs"), MOST_ROWS), ["item", "k"]), "shifts")
+    both = stage(shifts.join(lookup(stage(pairs, "pairs")), ["item", "k"]), "shifts")
     second = held(
         index, both.where("k2 is not null").select(*DOC, F.col("term2").alias("term"), (F.col("shift") + F.col("k2")).alias("pos"), "item", "shift").distinct(),
         "second",
     )
     left = second.select(*DOC, "item", "shift").union(both.where("k2 is null").select(*DOC, "item", "shift")).distinct()
-    places = texts.select("item", F.size("words").alias("size"), F.posexplode("words").alias("k", "term"))
-    wanted = left.join(places, "item").select(*DOC, "term", (F.col("shift") + F.col("k")).alias("pos"), "item", "shift", "k", "size")
+    places = left.join(lookup(texts), "item").select(*DOC, "item", "shift", F.size("words").alias("size"), F.posexplode("words").alias("k", "term"))
+    wanted = places.select(*DOC, "term", (F.col("shift") + F.col("k")).alias("pos"), "item", "shift", "k", "size")
     found = held(index, wanted.where("pos >= 0"), "all-terms")
     rows = found.groupBy(*DOC, "item", "shift").agg(F.array_sort(F.collect_set("k")).alias("ks"), F.least(F.first("size"), F.lit(window)).alias("words"))
     starts = F.filter(
@@ -129,18 +149,18 @@ def near_matches(index: DataFrame, texts: DataFrame, window: int = WINDOW, span:
     """
     probes = stage(window_probes(index, texts, window), "near-probes")
     anchors = probes.select("item", F.col("first").alias("window"), F.col("term1").alias("term"))
-    at = stage(index.join(sized(stage(anchors, "anchors"), MOST_ROWS), "term").select(*DOC, "item", "window", F.col("pos").alias("at")), "near-anchors")
-    words = texts.select("item", "words").join(probes.select("item", F.col("first").alias("window")).distinct(), "item")
+    at = stage(index.join(lookup(stage(anchors, "anchors")), "term").select(*DOC, "item", "window", F.col("pos").alias("at")), "near-anchors")
+    words = shuffled(texts.select("item", "words")).join(probes.select("item", F.col("first").alias("window")).distinct(), "item")
     needed = F.array_distinct(F.slice("words", F.col("window") + 1, F.lit(window)))
-    needs = words.select("item", "window", needed.alias("needed"))
+    needs = stage(words.select("item", "window", needed.alias("needed")), "near-needs")
     bins = F.explode(F.transform(F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda b: b + F.floor(F.col("at") / span)))
-    wanted = at.join(needs, ["item", "window"]).select(*DOC, "item", "window", "at", F.size("needed").alias("terms"), F.explode("needed").alias("term"))
+    wanted = at.join(lookup(needs), ["item", "window"]).select(*DOC, "item", "window", "at", F.size("needed").alias("terms"), F.explode("needed").alias("term"))
     wanted = stage(wanted.select("*", bins.alias("bin")), "near-wanted")
     docs = stage(wanted.select(*DOC).distinct(), "near-documents")
     terms = stage(wanted.select("term").distinct(), "near-terms")
-    lists = index.join(sized(terms, MOST_ROWS), "term", "left_semi").join(sized(docs, MOST_ROWS), DOC, "left_semi").distinct()
+    lists = index.join(lookup(terms), "term", "left_semi").join(lookup(docs), DOC, "left_semi").distinct()
     lists = lists.withColumn("bin", F.floor(F.col("pos") / span))
-    close = wanted.join(lists, [*DOC, "term", "bin"]).where(F.abs(F.col("pos") - F.col("at")) < span)
+    close = shuffled(wanted).join(lists, [*DOC, "term", "bin"]).where(F.abs(F.col("pos") - F.col("at")) < span)
     seen = close.groupBy(*DOC, "item", "window", "at", "terms").agg(F.array_sort(F.collect_set(F.struct("pos", "term"))).alias("seen"))
     inside = lambda p: F.filter("seen", lambda o: (o["pos"] >= p) & (o["pos"] < p + span))
     full = lambda p: (p <= F.col("at")) & (p + span > F.col("at")) & (F.size(F.array_distinct(F.transform(inside(p), lambda o: o["term"]))) == F.col("terms"))
@@ -171,11 +191,12 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     before = Window.partitionBy(*DOC).orderBy("first", "words").rowsBetween(Window.unboundedPreceding, -1)
     new = F.greatest(F.lit(0), end - F.greatest(F.col("first"), F.coalesce(F.col("reached"), F.lit(0))))
     hits = spans.withColumn("reached", F.max(end).over(before)).groupBy(*DOC).agg(F.sum(new).alias("n_hit"))
-    listed = found.select(*DOC, "item").distinct().join(ids, "item").groupBy(*DOC).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    listed = found.select(*DOC, "item").distinct().join(lookup(ids), "item").groupBy(*DOC).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
     sizes = index.groupBy(*DOC).agg((F.max("pos") + 1).alias("n_words"))
     number = lambda name: F.coalesce(name, F.lit(0)).cast("long").alias(name)
     ids_of = F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids")
     return (
-        keyed(docs).select("doc_id", *DOC).join(sizes, DOC, "left").join(hits, DOC, "left").join(listed, DOC, "left")
+        keyed(docs).select("doc_id", *DOC)
+        .join(shuffled(sizes), DOC, "left").join(shuffled(hits), DOC, "left").join(shuffled(listed), DOC, "left")
         .select("doc_id", number("n_words"), number("n_hit"), F.size(ids_of).cast("long").alias("n_items"), ids_of)
     )

@@ -298,3 +298,27 @@ def test_terms_are_split_and_not_collected_match_by_match(spark):
     found = rows.select("doc_id", decontamination.terms_of(F.col("text")).alias("terms"))
     assert {r.doc_id: r.terms for r in found.collect()} == {i: terms(t) for i, t in enumerate(texts)}
     assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()  # 80 CPU seconds for 0.10 GB, a split 15
+
+
+def joins(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("BroadcastHashJoin"), plan.count("SortMergeJoin")
+
+
+def test_long_tables_with_small_files_are_not_broadcast(spark, monkeypatch):
+    index = decontamination.build_index(spark.createDataFrame([(1, "a b c"), (2, "b c")], "doc_id long, text string"))
+    place = index.where("doc = 1 and term = 'b'").drop("pos")
+    wanted = place.crossJoin(spark.range(60_000).select((F.col("id") % 2).cast("int").alias("pos"), F.lit("item").alias("item"), F.col("id").alias("k")))
+    found = decontamination.held(index, wanted, "wanted")
+    assert found.count() == 30_000
+    assert joins(found) == (2, 1)  # the lists of documents and terms, and no rows of wanted
+
+
+def test_broadcast_by_rows_and_bytes(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "MOST_ROWS", 100)
+    rows = lambda n, size: spark.range(n).select(F.rpad(F.col("id").cast("string"), size, "-").alias("term"))
+    index = rows(5_000, 5).withColumn("pos", F.lit(0))
+    for table, want in ((rows(90, 5), (1, 0)), (rows(101, 5), (0, 1)), (rows(10, 1_000), (0, 1)), (rows(0, 1), (1, 0))):
+        assert joins(index.join(decontamination.lookup(table), "term")) == want
+    words = rows(10, 5).select("term", F.array_repeat("term", 300).alias("words"))
+    assert joins(index.join(decontamination.lookup(words), "term")) == (0, 1)
